@@ -141,6 +141,16 @@ WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '{WORD}', 0)) AS word F
 c AS (SELECT word, count(*)::BIGINT AS n FROM w GROUP BY word),
 t AS (SELECT word, n FROM c ORDER BY n DESC, word LIMIT 100)"""
 
+LEXICON = f"""
+WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '{WORD}', 0)) AS word FROM documents),
+c AS (SELECT word, count(*) AS n FROM w WHERE length(word) BETWEEN 2 AND 7 GROUP BY word),
+lex AS (SELECT word FROM c ORDER BY n DESC, word LIMIT 200),
+t AS (SELECT doc_id, regexp_replace(lower(text), '\\s+', '', 'g') AS t FROM documents),
+mm AS (SELECT doc_id, unnest(toks) AS word, (generate_subscripts(toks, 1) - 1)::INTEGER AS idx
+       FROM (SELECT doc_id, regexp_extract_all(
+               t, (SELECT string_agg(word, '|' ORDER BY length(word) DESC, word) FROM lex) || '|.', 0)
+               AS toks FROM t))"""
+
 ORACLE: dict[str, str] = {
     "top_words": TOP_WORDS + "\nSELECT word, n FROM t",
     "word_cloud_weights": TOP_WORDS + """
@@ -223,4 +233,29 @@ SELECT label, n_docs::BIGINT AS n_docs, round(pi::DOUBLE, 6) AS pi,
     "nb_accuracy": "WITH " + experiment_ctes("binary_drop4") + ACCURACY,
     "nb_accuracy_4neg": "WITH " + experiment_ctes("binary_4neg") + ACCURACY,
     "nb_multiclass_accuracy": "WITH " + experiment_ctes("multi") + ACCURACY,
+    "segment_full": LEXICON + """,
+ch AS (SELECT doc_id, unnest(cs) AS c, (generate_subscripts(cs, 1) - 1) AS p
+       FROM (SELECT doc_id, string_split(t, '') AS cs FROM t WHERE length(t) > 0)),
+ld AS (SELECT doc_id, p, c AS c0, lead(c, 1) OVER w AS c1, lead(c, 2) OVER w AS c2, lead(c, 3) OVER w AS c3, lead(c, 4) OVER w AS c4, lead(c, 5) OVER w AS c5, lead(c, 6) OVER w AS c6
+       FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+g AS (SELECT doc_id, p, c0||c1 AS word FROM ld WHERE c1 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2 AS word FROM ld WHERE c2 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2||c3 AS word FROM ld WHERE c3 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2||c3||c4 AS word FROM ld WHERE c4 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2||c3||c4||c5 AS word FROM ld WHERE c5 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2||c3||c4||c5||c6 AS word FROM ld WHERE c6 IS NOT NULL)
+SELECT g.doc_id, g.p::INTEGER AS pos, g.word FROM g JOIN lex ON g.word = lex.word""",
+    "segment_max_match": LEXICON + "\nSELECT doc_id, idx, word FROM mm",
+    "segment_search": LEXICON + """,
+subs AS (SELECT m.doc_id, m.idx, o.o AS off, substr(m.word, o.o + 1, k.k) AS word
+         FROM mm m CROSS JOIN (SELECT unnest(range(0, 7)) AS o) o
+                   CROSS JOIN (SELECT unnest(range(2, 7)) AS k) k
+         WHERE length(m.word) > 2 AND k.k < length(m.word) AND o.o + k.k <= length(m.word))
+SELECT doc_id, idx, 0::INTEGER AS off, word FROM mm
+UNION ALL
+SELECT s.doc_id, s.idx, s.off::INTEGER, s.word FROM subs s JOIN lex ON s.word = lex.word""",
+    "latin_second_split": """
+WITH d AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\\s+')) AS token FROM documents)
+SELECT doc_id, token, unnest(regexp_extract_all(token, '[a-z]{2,}|[0-9]{2,}', 0)) AS part
+FROM d WHERE regexp_matches(token, '[a-z]') AND regexp_matches(token, '[0-9]')""",
 }

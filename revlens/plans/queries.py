@@ -18,6 +18,7 @@ from revlens.operators.clean import distinct_lines, parse_lines
 from revlens.operators.label import POLICIES, labelled_reviews, negatives_isin, negatives_union
 from revlens.operators.metrics import accuracy, rating_histogram, top_words, word_cloud_weights, word_counts
 from revlens.operators.sample import first_rows, zip_by_key
+from revlens.operators import segment as seg
 from revlens.plans.pipeline import balanced, experiment, fit_naive_bayes, predict_test
 from revlens.sources.tables import review_lines, table
 
@@ -178,6 +179,41 @@ def q_nb_multiclass_accuracy(spark, sf_dir):
     return a.select("n_test", "n_correct", _r("accuracy").alias("accuracy"))
 
 
+# -- segmentation -------------------------------------------------------------------------
+
+LEXICON_SIZE = 200  # lexicon of the segmentation queries: the 200 most frequent words
+
+
+def _lexicon(spark, sf_dir):
+    return seg.frequent_lexicon(_doc_words(spark, sf_dir), LEXICON_SIZE)
+
+
+def _unsegmented(spark, sf_dir):
+    return seg.unsegmented(table(spark, sf_dir, "documents"))
+
+
+def q_segment_full(spark, sf_dir):
+    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "full",
+                       lexicon_bound=LEXICON_SIZE)
+
+
+def q_segment_max_match(spark, sf_dir):
+    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "max_match",
+                       lexicon_bound=LEXICON_SIZE)
+
+
+def q_segment_search(spark, sf_dir):
+    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "search",
+                       lexicon_bound=LEXICON_SIZE)
+
+
+def q_latin_second_split(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", F.explode(F.split(F.lower("text"), r"\s+", -1)).alias("token"))
+    mixed = d.filter(F.col("token").rlike("[a-z]") & F.col("token").rlike("[0-9]"))
+    return mixed.select("doc_id", "token", F.explode(T.latin_parts("token")).alias("part"))
+
+
 QUERIES: dict[str, Query] = {
     "top_words": q_top_words,
     "word_cloud_weights": q_word_cloud_weights,
@@ -208,4 +244,8 @@ QUERIES: dict[str, Query] = {
     "nb_accuracy": q_nb_accuracy,
     "nb_accuracy_4neg": q_nb_accuracy_4neg,
     "nb_multiclass_accuracy": q_nb_multiclass_accuracy,
+    "segment_full": q_segment_full,
+    "segment_max_match": q_segment_max_match,
+    "segment_search": q_segment_search,
+    "latin_second_split": q_latin_second_split,
 }
