@@ -130,6 +130,43 @@ pred AS (SELECT doc_id, label, cls AS prediction FROM (
            FROM sc) WHERE rn = 1)"""
 
 
+def svm_ctes(policy: str = "binary_drop4", iterations: int = 100, step: float = 1.0,
+             reg: float = 0.01, tol: float = 0.001) -> str:
+    """The SVM iterations unrolled: one group of materialized CTEs per iteration, ending in
+    ``wf(term, w)`` (final weights) and ``spred(doc_id, label, prediction)``."""
+    import math
+    parts = [experiment_ctes(policy) + """,
+xtr AS MATERIALIZED (SELECT x.doc_id, x.term, x.v, (2 * t.label - 1)::DOUBLE AS ys
+                     FROM x JOIN train t ON x.doc_id = t.doc_id),
+ntr AS (SELECT count(*)::DOUBLE AS n FROM train),
+w0 AS MATERIALIZED (SELECT 0::INTEGER AS term, 0.0::DOUBLE AS w WHERE false),
+c0 AS MATERIALIZED (SELECT false AS stop)"""]
+    for t in range(1, iterations + 1):
+        s = step / math.sqrt(t)
+        conv = "false" if t == 1 else f"""(SELECT sqrt(sum((coalesce(u.w, 0) - coalesce(a.w, 0)) ^ 2))
+                  < {tol!r} * greatest(sqrt(sum(coalesce(u.w, 0) ^ 2)), 1.0)
+           FROM u{t} u FULL JOIN w{t-1} a ON u.term = a.term)"""
+        parts.append(f"""
+m{t} AS MATERIALIZED (SELECT x.doc_id, x.ys, sum(x.v * coalesce(w.w, 0)) AS m
+        FROM xtr x LEFT JOIN w{t-1} w ON x.term = w.term GROUP BY x.doc_id, x.ys),
+g{t} AS (SELECT x.term, sum(-x.ys * x.v) / (SELECT n FROM ntr) AS g
+        FROM xtr x JOIN m{t} m ON x.doc_id = m.doc_id WHERE m.ys * m.m < 1 GROUP BY x.term),
+u{t} AS MATERIALIZED (SELECT coalesce(a.term, b.term) AS term,
+               coalesce(a.w, 0) * (1 - {s!r} * {reg!r}) - {s!r} * coalesce(b.g, 0) AS w
+        FROM w{t-1} a FULL JOIN g{t} b ON a.term = b.term),
+c{t} AS MATERIALIZED (SELECT (SELECT stop FROM c{t-1}) OR {conv} AS stop),
+w{t} AS MATERIALIZED (SELECT term, w FROM u{t} WHERE NOT (SELECT stop FROM c{t-1})
+        UNION ALL SELECT term, w FROM w{t-1} WHERE (SELECT stop FROM c{t-1}))""")
+    parts.append(f"""
+wf AS (SELECT term, w FROM w{iterations}),
+smg AS (SELECT x.doc_id, sum(x.v * w.w) AS margin FROM x JOIN wf w ON x.term = w.term
+        GROUP BY x.doc_id),
+spred AS (SELECT t.doc_id, t.label,
+                 CASE WHEN coalesce(s.margin, 0) > 0 THEN 1 ELSE 0 END AS prediction
+          FROM test t LEFT JOIN smg s ON s.doc_id = t.doc_id)""")
+    return ",".join(parts)
+
+
 ACCURACY = """
 SELECT count(*)::BIGINT AS n_test,
        coalesce(sum(CASE WHEN label = prediction THEN 1 ELSE 0 END), 0)::BIGINT AS n_correct,
@@ -233,6 +270,9 @@ SELECT label, n_docs::BIGINT AS n_docs, round(pi::DOUBLE, 6) AS pi,
     "nb_accuracy": "WITH " + experiment_ctes("binary_drop4") + ACCURACY,
     "nb_accuracy_4neg": "WITH " + experiment_ctes("binary_4neg") + ACCURACY,
     "nb_multiclass_accuracy": "WITH " + experiment_ctes("multi") + ACCURACY,
+    "svm_weights": "WITH " + svm_ctes() + "\nSELECT term, round(w::DOUBLE, 6) AS w FROM wf",
+    "svm_predict": "WITH " + svm_ctes() + "\nSELECT doc_id, label, prediction::INTEGER AS prediction FROM spred",
+    "svm_accuracy": "WITH " + svm_ctes() + ACCURACY.replace("FROM pred", "FROM spred"),
     "segment_full": LEXICON + """,
 ch AS (SELECT doc_id, unnest(cs) AS c, (generate_subscripts(cs, 1) - 1) AS p
        FROM (SELECT doc_id, string_split(t, '') AS cs FROM t WHERE length(t) > 0)),

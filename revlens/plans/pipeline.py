@@ -16,6 +16,7 @@ from revlens.operators import features as feat
 from revlens.operators.bayes import NaiveBayesModel, nb_fit, nb_predict
 from revlens.operators.label import POLICIES, labelled_reviews
 from revlens.operators.sample import balance, hash_split
+from revlens.operators.svm import ITERATIONS, SVMModel, svm_fit, svm_predict
 from revlens.sources.tables import review_lines
 
 # Features of the model queries: md5 buckets (2**16), so the vocabulary tables have a
@@ -67,3 +68,13 @@ def fit_naive_bayes(e: Experiment, smoothing: float = 1.0) -> NaiveBayesModel:
 def predict_test(e: Experiment, model: NaiveBayesModel) -> DataFrame:
     test_x = e.tfidf.join(e.test.select("doc_id"), "doc_id", "left_semi")
     return nb_predict(model, test_x, e.test)
+
+
+def fit_svm(e: Experiment, iterations: int = ITERATIONS) -> SVMModel:
+    train_x = e.tfidf.join(e.train.select("doc_id"), "doc_id", "left_semi")
+    return svm_fit(train_x, e.train, iterations=iterations, hashing=e.hashing)
+
+
+def svm_predict_test(e: Experiment, model: SVMModel) -> DataFrame:
+    test_x = e.tfidf.join(e.test.select("doc_id"), "doc_id", "left_semi")
+    return svm_predict(model, test_x, e.test).select("doc_id", "label", "prediction")

@@ -19,7 +19,8 @@ from revlens.operators.label import POLICIES, labelled_reviews, negatives_isin,
 from revlens.operators.metrics import accuracy, rating_histogram, top_words, word_cloud_weights, word_counts
 from revlens.operators.sample import first_rows, zip_by_key
 from revlens.operators import segment as seg
-from revlens.plans.pipeline import balanced, experiment, fit_naive_bayes, predict_test
+from revlens.plans.pipeline import (balanced, experiment, fit_naive_bayes, fit_svm, predict_test,
+                                    svm_predict_test)
 from revlens.sources.tables import review_lines, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +180,24 @@ def q_nb_multiclass_accuracy(spark, sf_dir):
     return a.select("n_test", "n_correct", _r("accuracy").alias("accuracy"))
 
 
+# -- linear SVM ---------------------------------------------------------------------------
+
+def q_svm_weights(spark, sf_dir):
+    m = fit_svm(experiment(spark, sf_dir, "binary_drop4"))
+    return m.weights.select("term", _r("w").alias("w"))
+
+
+def q_svm_predict(spark, sf_dir):
+    e = experiment(spark, sf_dir, "binary_drop4")
+    return svm_predict_test(e, fit_svm(e))
+
+
+def q_svm_accuracy(spark, sf_dir):
+    e = experiment(spark, sf_dir, "binary_drop4")
+    a = accuracy(svm_predict_test(e, fit_svm(e)))
+    return a.select("n_test", "n_correct", _r("accuracy").alias("accuracy"))
+
+
 # -- segmentation -------------------------------------------------------------------------
 
 LEXICON_SIZE = 200  # lexicon of the segmentation queries: the 200 most frequent words
@@ -244,6 +263,9 @@ QUERIES: dict[str, Query] = {
     "nb_accuracy": q_nb_accuracy,
     "nb_accuracy_4neg": q_nb_accuracy_4neg,
     "nb_multiclass_accuracy": q_nb_multiclass_accuracy,
+    "svm_weights": q_svm_weights,
+    "svm_predict": q_svm_predict,
+    "svm_accuracy": q_svm_accuracy,
     "segment_full": q_segment_full,
     "segment_max_match": q_segment_max_match,
     "segment_search": q_segment_search,
