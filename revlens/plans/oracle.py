@@ -196,6 +196,23 @@ SELECT word, n,
              ELSE 20.0 + 80.0 * (n - min(n) OVER ()) / (max(n) OVER () - min(n) OVER ()) END::DOUBLE, 6)
        AS size
 FROM t""",
+    "extract_reviews": r"""
+WITH rv AS (
+  SELECT d.doc_id,
+         concat_ws(',', CAST(d.doc_id AS VARCHAR), d.lang,
+                   CASE WHEN d.doc_id % 97 = 0 THEN ''
+                        WHEN d.doc_id % 89 = 0 THEN 'Rating'
+                        WHEN l.quality = 1 THEN '5'
+                        WHEN l.quality = 0 THEN CAST(1 + d.doc_id % 3 AS VARCHAR)
+                        ELSE '4' END,
+                   d.source, CAST(d.n_chars AS VARCHAR), '-', '-', '-', '-', '-',
+                   regexp_replace(d.text, '[\r\n\t]+', ' ', 'g')) AS value
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+f AS (SELECT doc_id, string_split(value, ',') AS f FROM rv),
+ln AS (SELECT doc_id, f[3] || chr(9) || f[11] AS line FROM f WHERE len(f) >= 11)
+SELECT doc_id, line FROM ln
+WHERE len(string_split(regexp_replace(line, '\t+$', ''), chr(9))) = 2
+  AND string_split(line, chr(9))[1] <> 'Rating'""",
     "parse_reviews_jvm": _with(REVIEW_LINES, PARSE_JVM)
     + "\nSELECT doc_id, rating_txt, rating, document FROM pj",
     "parse_reviews_python": _with(REVIEW_LINES, parse_python())
@@ -270,6 +287,24 @@ SELECT label, n_docs::BIGINT AS n_docs, round(pi::DOUBLE, 6) AS pi,
     "nb_accuracy": "WITH " + experiment_ctes("binary_drop4") + ACCURACY,
     "nb_accuracy_4neg": "WITH " + experiment_ctes("binary_4neg") + ACCURACY,
     "nb_multiclass_accuracy": "WITH " + experiment_ctes("multi") + ACCURACY,
+    "score_new_reviews": "WITH " + experiment_ctes("binary_drop4") + f""",
+cv AS (SELECT conv_id, turn, text FROM conversations),
+ctok AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '{WORD}', 0)) AS w FROM cv),
+ctc AS (SELECT conv_id, turn, {MD5_TERM} AS term, count(*) AS tf FROM ctok GROUP BY 1, 2, 3),
+cx AS (SELECT c.conv_id, c.turn, c.term,
+              c.tf * coalesce(idf.idf, ln((SELECT m FROM m) + 1.0)) AS v
+       FROM ctc c LEFT JOIN idf ON c.term = idf.term),
+cxs AS (SELECT conv_id, turn, sum(v) AS xsum FROM cx GROUP BY 1, 2),
+csw AS (SELECT cx.conv_id, cx.turn, s.label, sum(cx.v * ln(1 + s.s / 1.0)) AS sw
+        FROM cx JOIN sums s ON cx.term = s.term GROUP BY 1, 2, 3),
+csc AS (SELECT c.conv_id, c.turn, p.label AS cls,
+               p.pi + coalesce(cxs.xsum, 0) * (ln(1.0) - p.log_norm) + coalesce(csw.sw, 0) AS score
+        FROM cv c CROSS JOIN pri p
+        LEFT JOIN cxs ON cxs.conv_id = c.conv_id AND cxs.turn = c.turn
+        LEFT JOIN csw ON csw.conv_id = c.conv_id AND csw.turn = c.turn AND csw.label = p.label)
+SELECT conv_id, turn, cls AS prediction FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY score DESC, cls) AS rn
+  FROM csc) WHERE rn = 1""",
     "svm_weights": "WITH " + svm_ctes() + "\nSELECT term, round(w::DOUBLE, 6) AS w FROM wf",
     "svm_predict": "WITH " + svm_ctes() + "\nSELECT doc_id, label, prediction::INTEGER AS prediction FROM spred",
     "svm_accuracy": "WITH " + svm_ctes() + ACCURACY.replace("FROM pred", "FROM spred"),

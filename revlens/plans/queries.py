@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from revlens.functions import text as T
 from revlens.operators import features as feat
-from revlens.operators.clean import distinct_lines, parse_lines
+from revlens.operators.clean import distinct_lines, extract_reviews, parse_lines
 from revlens.operators.label import POLICIES, labelled_reviews, negatives_isin, negatives_union
 from revlens.operators.metrics import accuracy, rating_histogram, top_words, word_cloud_weights, word_counts
 from revlens.operators.sample import first_rows, zip_by_key
 from revlens.operators import segment as seg
 from revlens.plans.pipeline import (balanced, experiment, fit_naive_bayes, fit_svm, predict_test,
-                                    svm_predict_test)
-from revlens.sources.tables import review_lines, table
+                                    score_texts, svm_predict_test)
+from revlens.sources.tables import review_csv_rows, review_lines, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 6
@@ -48,6 +48,10 @@ def q_word_cloud_weights(spark, sf_dir):
 
 # -- parsing and labels -------------------------------------------------------------------
 
+def q_extract_reviews(spark, sf_dir):
+    return extract_reviews(review_csv_rows(spark, sf_dir), keep=["doc_id"])
+
+
 def q_parse_reviews_jvm(spark, sf_dir):
     return parse_lines(review_lines(spark, sf_dir), reading="jvm")
 
@@ -180,6 +184,26 @@ def q_nb_multiclass_accuracy(spark, sf_dir):
     return a.select("n_test", "n_correct", _r("accuracy").alias("accuracy"))
 
 
+def q_score_new_reviews(spark, sf_dir):
+    e = experiment(spark, sf_dir, "binary_drop4")
+    model = fit_naive_bayes(e)
+    conv = table(spark, sf_dir, "conversations").select(
+        F.concat_ws(":", "conv_id", "turn").alias("rid"), "conv_id", "turn", "text")
+    pred = score_texts(e, model, conv.select("rid", "text"), key="rid")
+    return conv.select("rid", "conv_id", "turn").join(pred, "rid").select("conv_id", "turn",
+                                                                         "prediction")
+
+
+def q_ml_pipeline_predictions(spark, sf_dir):
+    """Spark ML PipelineModel fitted on the training rows, applied to the test rows."""
+    from revlens.operators.ml import fit_review_model, score
+    e = experiment(spark, sf_dir, "binary_drop4")
+    train = e.split.filter(F.col("split") == "train").select("document", "label")
+    test = e.split.filter(F.col("split") == "test").select("doc_id", "document", "label")
+    out = score(fit_review_model(train), test)
+    return out.select("doc_id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
 # -- linear SVM ---------------------------------------------------------------------------
 
 def q_svm_weights(spark, sf_dir):
@@ -236,6 +260,7 @@ def q_latin_second_split(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "top_words": q_top_words,
     "word_cloud_weights": q_word_cloud_weights,
+    "extract_reviews": q_extract_reviews,
     "parse_reviews_jvm": q_parse_reviews_jvm,
     "parse_reviews_python": q_parse_reviews_python,
     "rating_histogram": q_rating_histogram,
@@ -263,6 +288,8 @@ QUERIES: dict[str, Query] = {
     "nb_accuracy": q_nb_accuracy,
     "nb_accuracy_4neg": q_nb_accuracy_4neg,
     "nb_multiclass_accuracy": q_nb_multiclass_accuracy,
+    "score_new_reviews": q_score_new_reviews,
+    "ml_pipeline_predictions": q_ml_pipeline_predictions,
     "svm_weights": q_svm_weights,
     "svm_predict": q_svm_predict,
     "svm_accuracy": q_svm_accuracy,

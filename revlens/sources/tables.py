@@ -44,3 +44,17 @@ def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (docs.join(labels, "doc_id", "left")
             .select("doc_id",
                     F.concat(rating_text(), F.lit("\t"), flatten_breaks("text")).alias("line")))
+
+
+def review_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, value)``: the review table as raw comma-separated rows, rating in field 2
+    and review text in field 10 (the layout of the reference's raw file), text unquoted.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    filler = [F.lit("-")] * 5
+    return (docs.join(labels, "doc_id", "left")
+            .select("doc_id",
+                    F.concat_ws(",", F.col("doc_id").cast("string"), "lang", rating_text(),
+                                "source", F.col("n_chars").cast("string"), *filler,
+                                flatten_breaks("text")).alias("value")))
