@@ -27,34 +27,39 @@ def balance(labelled: DataFrame, positive_label: int = 1, key: str = "doc_id",
 
     1. positives are bucketed by the first ``bucket_digits`` hex digits of their hash
        (16**digits buckets, uniform whatever the keys look like);
-    2. per-bucket counts (<= 16**digits rows) get a running sum: the only single-partition
-       step, and it is bounded by the bucket count;
-    3. buckets that end at or below n are kept whole (a broadcast join on a bounded table);
-       only the one boundary bucket is ranked, by a window over that bucket's rows alone.
+    2. one narrow aggregate counts the rows per bucket, negatives as one extra group;
+       the bucket counts (<= 16**digits rows) get a running sum -- the only
+       single-partition step, bounded by the bucket count;
+    3. one broadcast join against that bounded table keeps negatives and every bucket
+       that ends at or below n whole; only the one boundary bucket is ranked, by a
+       window over that bucket's rows alone.
     """
-    lab = F.col(label_col)
-    pos = (labelled.filter(lab == positive_label)
-           .withColumn("_h", row_hash(salt, F.col(key)))
-           .withColumn("_b", F.substring("_h", 1, bucket_digits)))
-    neg = labelled.filter(lab != positive_label)
-    n_neg = neg.agg(F.count(F.lit(1)).alias("_n"))
-    counts = pos.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    is_pos = F.col(label_col) == positive_label
+    h = row_hash(salt, F.col(key))
+    tagged = labelled.select(*labelled.columns,
+                             F.when(is_pos, h).alias("_h"),
+                             F.when(is_pos, F.substring(h, 1, bucket_digits)).alias("_b"))
+    stats = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    n_neg = stats.filter(F.col("_b").isNull()).select(F.col("_c").alias("_n"))
+    n_neg = n_neg.unionByName(
+        labelled.sparkSession.range(1).select(F.lit(0).cast("long").alias("_n"))
+    ).agg(F.max("_n").alias("_n"))
     running = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    plan = (counts.withColumn("_cum", F.sum("_c").over(running))
+    plan = (stats.filter(F.col("_b").isNotNull())
+            .withColumn("_cum", F.sum("_c").over(running))
             .crossJoin(F.broadcast(n_neg))
             .select("_b", "_c",
                     F.least(F.col("_c"),
                             F.greatest(F.col("_n") - (F.col("_cum") - F.col("_c")),
-                                       F.lit(0))).alias("_take"))
-            .filter(F.col("_take") > 0))
-    picked = pos.join(F.broadcast(plan), "_b")
-    whole = picked.filter(F.col("_take") == F.col("_c"))
+                                       F.lit(0))).alias("_take")))
+    joined = tagged.join(F.broadcast(plan), "_b", "left")
+    cols = labelled.columns
+    direct = joined.filter(F.col("_b").isNull() | (F.col("_take") == F.col("_c")))
     in_bucket = Window.partitionBy("_b").orderBy("_h", key)
-    boundary = (picked.filter(F.col("_take") < F.col("_c"))
+    boundary = (joined.filter((F.col("_take") > 0) & (F.col("_take") < F.col("_c")))
                 .withColumn("_rn", F.row_number().over(in_bucket))
                 .filter(F.col("_rn") <= F.col("_take")))
-    cols = labelled.columns
-    return neg.select(*cols).unionByName(whole.select(*cols)).unionByName(boundary.select(*cols))
+    return direct.select(*cols).unionByName(boundary.select(*cols))
 
 
 def hash_split(df: DataFrame, key: str = "doc_id", train_fraction: float = TRAIN_FRACTION,

@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -47,6 +47,21 @@ class SVMModel:
     threshold: float = 0.0
 
 
+def _checkpoint_partitioned(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition by ``key`` and checkpoint, keeping the partitioning visible to the
+    planner so later aggregates and joins on ``key`` need no exchange. (An adaptive plan
+    reports its output partitioning as unknown, so adaptive execution is paused for the
+    one checkpoint job.)"""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        n = int(conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(n, key).checkpoint(eager=True)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
+
+
 def _weights_join(x: DataFrame, w: DataFrame, hashing: Hashing, hot: DataFrame | None,
                   how: str = "left") -> DataFrame:
     if hashing.bound is not None or hot is None:
@@ -63,10 +78,8 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
     ensure_checkpoint_dir(spark)
     lab = labels.select(key, (F.col("label") * 2 - 1).cast("double").alias("ys"))
     n_rows = lab.count()
-    x = (features.select(key, "term", F.col(value).cast("double").alias("x"))
-         .join(lab, key)
-         .repartition(key)
-         .checkpoint(eager=True))
+    x = _checkpoint_partitioned(
+        features.select(key, "term", F.col(value).cast("double").alias("x")).join(lab, key), key)
     hot = None
     if hashing.bound is None:
         hot = hot_keys(x.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "term", "_df")
@@ -84,22 +97,24 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
         grad = (x.join(active, key, "left_semi")
                 .groupBy("term")
                 .agg((F.sum(-F.col("ys") * F.col("x")) / F.lit(float(n_rows))).alias("_g")))
-        new_w = (w.join(grad, "term", "full")
-                 .select("term", (F.coalesce(F.col("w"), F.lit(0.0)) * (1.0 - s * reg_param)
-                                  - F.lit(s) * F.coalesce(F.col("_g"), F.lit(0.0))).alias("w"))
+        upd = (w.join(grad, "term", "full")
+               .select("term", F.coalesce(F.col("w"), F.lit(0.0)).alias("_old"),
+                       (F.coalesce(F.col("w"), F.lit(0.0)) * (1.0 - s * reg_param)
+                        - F.lit(s) * F.coalesce(F.col("_g"), F.lit(0.0))).alias("w")))
+        # the norms for the convergence test are observed while the weights are written:
+        # one job per iteration
+        obs = Observation(f"svm_{t}")
+        new_w = (upd.observe(obs, F.sum((F.col("w") - F.col("_old")) ** 2).alias("d2"),
+                             F.sum(F.col("w") ** 2).alias("n2"))
+                 .select("term", "w")
                  .checkpoint(eager=True))
+        w = new_w
         run = t
         if t >= 2:
-            d = (new_w.alias("n").join(w.alias("o"), "term", "full")
-                 .agg(F.sqrt(F.sum((F.coalesce(F.col("n.w"), F.lit(0.0))
-                                    - F.coalesce(F.col("o.w"), F.lit(0.0))) ** 2)).alias("diff"),
-                      F.sqrt(F.sum(F.coalesce(F.col("n.w"), F.lit(0.0)) ** 2)).alias("norm"))
-                 .first())
-            w = new_w
-            if d["diff"] < convergence_tol * max(d["norm"], 1.0):
+            m = obs.get
+            diff, norm = math.sqrt(m["d2"] or 0.0), math.sqrt(m["n2"] or 0.0)
+            if diff < convergence_tol * max(norm, 1.0):
                 break
-        else:
-            w = new_w
     return SVMModel(w, run, hashing)
 
 

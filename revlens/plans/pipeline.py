@@ -17,6 +17,7 @@ from revlens.operators.bayes import NaiveBayesModel, nb_fit, nb_predict
 from revlens.operators.label import POLICIES, labelled_reviews
 from revlens.operators.sample import balance, hash_split
 from revlens.operators.svm import ITERATIONS, SVMModel, svm_fit, svm_predict
+from revlens.session import ensure_checkpoint_dir
 from revlens.sources.tables import review_lines
 
 # Features of the model queries: md5 buckets (2**16), so the vocabulary tables have a
@@ -48,15 +49,20 @@ def experiment(spark: SparkSession, sf_dir: str, policy: str = "binary_drop4",
     rows together, as the reference did."""
     p = POLICIES[policy]
     sp = hash_split(balanced(spark, sf_dir, policy))
-    train = sp.filter(F.col("split") == "train").select("doc_id", "label")
-    test = sp.filter(F.col("split") == "test").select("doc_id", "label")
-    docs = sp.select("doc_id", words("document").alias("words"))
-    tc = feat.term_counts(docs, hashing=hashing)
-    fit_docs = train if fit_on == "train" else sp.select("doc_id")
+    # The balanced, split rows and their words are read by every later step: write them
+    # once to the checkpoint folder (cuts the lineage, survives lost executors).
+    ensure_checkpoint_dir(spark)
+    rows = sp.select("doc_id", "label", "split", words("document").alias("words"),
+                     "document").checkpoint(eager=True)
+    train = rows.filter(F.col("split") == "train").select("doc_id", "label")
+    test = rows.filter(F.col("split") == "test").select("doc_id", "label")
+    tc = feat.term_counts(rows.select("doc_id", "words"), hashing=hashing)
+    fit_docs = train if fit_on == "train" else rows.select("doc_id")
     fit_tc = tc.join(fit_docs.select("doc_id"), "doc_id", "left_semi")
     idf_t = feat.idf(fit_tc, fit_docs)
-    x = feat.tfidf(tc, idf_t, hashing, fit_docs=fit_docs)
+    x = feat.tfidf(tc, idf_t, hashing, fit_docs=fit_docs).checkpoint(eager=True)
     classes = sorted({p.positive_label, *((0,) if p.binary else p.negatives)})
+    sp = rows.select("doc_id", "label", "document", "split")
     return Experiment(sp, train, test, tc, idf_t, x, classes, hashing)
 
 
