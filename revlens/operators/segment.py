@@ -6,8 +6,8 @@ Three modes, all JVM-side (no Python per row):
                 (k = min_len .. max_len) from look-ahead matches, joined with the lexicon.
 * ``max_match`` forward maximum matching: at each position the longest lexicon word,
                 else one character (``keep_unknown``). One ``regexp_extract_all`` whose
-                pattern is the lexicon as an alternation, longest words first; the pattern
-                is a one-row aggregate of the lexicon, broadcast to the scan.
+                pattern is the lexicon as a trie (bounded lexicons) or as a flat
+                alternation, longest words first, aggregated from the lexicon table.
 * ``search``    ``max_match`` tokens plus every shorter lexicon word inside a token, each
                 with its offset in the token.
 
@@ -54,18 +54,18 @@ def full_matches(texts: DataFrame, lexicon: DataFrame, lexicon_bound: int | None
                  min_len: int = MIN_LEN, max_len: int = MAX_LEN) -> DataFrame:
     """``(key, pos, word)``: every lexicon word at every position (0-based), overlapping.
 
-    For each k one look-ahead ``(?=(.{k}))`` yields the k-gram starting at every position;
-    the k arrays are flattened into one explode, so each text is read once and no row
-    carries the whole text. Candidates (characters x lengths) stream into a broadcast hash
-    join with the lexicon; nothing is grouped.
+    For each k one look-ahead ``(?=(.{k}))`` yields the k-gram starting at every position
+    and ``posexplode`` gives its position; no row carries the whole text and no substring
+    walks the text from its start. Candidates (characters x lengths) stream into a
+    broadcast hash join with the lexicon; nothing is grouped or shuffled.
     """
     t = F.col(text_col)
-    per_k = [F.transform(F.regexp_extract_all(t, F.lit(f"(?=(.{{{k}}}))"), 1),
-                         lambda g, i: F.struct(i.alias("pos"), g.alias("word")))
-             for k in range(min_len, max_len + 1)]
-    cands = texts.select(key, F.explode(F.flatten(F.array(*per_k))).alias("_c"))
-    return (cands.select(key, F.col("_c.pos").alias("pos"), F.col("_c.word").alias("word"))
-            .join(_lexicon_side(lexicon, lexicon_bound), "word")
+    cands = None
+    for k in range(min_len, max_len + 1):
+        grams = texts.select(key, F.posexplode(
+            F.regexp_extract_all(t, F.lit(f"(?=(.{{{k}}}))"), 1)).alias("pos", "word"))
+        cands = grams if cands is None else cands.unionByName(grams)
+    return (cands.join(_lexicon_side(lexicon, lexicon_bound), "word")
             .select(key, "pos", "word"))
 
 
@@ -84,13 +84,61 @@ def lexicon_pattern(lexicon: DataFrame, keep_unknown: bool = KEEP_UNKNOWN) -> Da
     return lexicon.agg(F.concat(alts, F.lit(tail)).alias("_pattern"))
 
 
+# Largest lexicon turned into a trie pattern on the driver (its rows are collected behind
+# this row-count check); larger lexicons use the aggregated flat pattern.
+MAX_TRIE_WORDS = 50_000
+
+
+def _escape(ch: str) -> str:
+    return ch if ch.isalnum() else "\\" + ch
+
+
+def trie_pattern(words: list[str], keep_unknown: bool = KEEP_UNKNOWN) -> str:
+    """The lexicon as a trie-shaped regex: at each node the longer continuations are tried
+    first (greedy optional groups), so a match is the longest word starting at a position,
+    exactly as the flat longest-first alternation, with a few attempts per character
+    instead of one per word."""
+    trie: dict = {}
+    for w in set(words):
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node: dict) -> str:
+        kids = sorted(k for k in node if k)
+        alts = [_escape(k) + emit(node[k]) for k in kids]
+        if not alts:
+            return ""
+        body = alts[0] if len(alts) == 1 and len(kids[0]) == 1 and not emit(node[kids[0]]) \
+            else "(?:" + "|".join(alts) + ")"
+        return body + ("?" if "" in node else "")
+
+    root = emit(trie)
+    if root.endswith("?"):
+        root = root[:-1]
+    return root + ("|." if keep_unknown else "") if root else ("." if keep_unknown else "(?!)")
+
+
 def max_match(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id", text_col: str = "text",
-              keep_unknown: bool = KEEP_UNKNOWN, clear_stop_words: bool = CLEAR_STOP_WORDS
-              ) -> DataFrame:
-    """``(key, idx, word)``: forward-maximum-matching tokens in order (idx from 0)."""
-    pat = F.broadcast(lexicon_pattern(lexicon, keep_unknown))
-    toks = texts.crossJoin(pat).select(
-        key, F.regexp_extract_all(F.col(text_col), F.col("_pattern"), 0).alias("_t"))
+              keep_unknown: bool = KEEP_UNKNOWN, clear_stop_words: bool = CLEAR_STOP_WORDS,
+              lexicon_bound: int | None = None) -> DataFrame:
+    """``(key, idx, word)``: forward-maximum-matching tokens in order (idx from 0).
+
+    One ``regexp_extract_all`` per text, JVM-side. With a bounded lexicon (at most
+    ``MAX_TRIE_WORDS``) the pattern is a trie built from its rows; otherwise it is a flat
+    alternation aggregated from the lexicon table and broadcast as one row.
+    """
+    if lexicon_bound is not None and lexicon_bound <= MAX_TRIE_WORDS:
+        rows = lexicon.select("word").limit(lexicon_bound + 1).collect()
+        if len(rows) > lexicon_bound:
+            raise ValueError(f"lexicon has more than {lexicon_bound} rows")
+        pattern = F.lit(trie_pattern([r.word for r in rows if r.word], keep_unknown))
+        toks = texts.select(key, F.regexp_extract_all(F.col(text_col), pattern, 0).alias("_t"))
+    else:
+        pat = F.broadcast(lexicon_pattern(lexicon, keep_unknown))
+        toks = texts.crossJoin(pat).select(
+            key, F.regexp_extract_all(F.col(text_col), F.col("_pattern"), 0).alias("_t"))
     out = toks.select(key, F.posexplode("_t").alias("idx", "word"))
     if clear_stop_words:
         out = out.filter(~F.col("word").isin(STOP_WORDS))
@@ -98,27 +146,37 @@ def max_match(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id", text_co
 
 
 def search_tokens(tokens: DataFrame, lexicon: DataFrame, lexicon_bound: int | None,
-                  key: str = "doc_id", min_len: int = MIN_LEN) -> DataFrame:
+                  key: str = "doc_id", min_len: int = MIN_LEN, max_len: int = MAX_LEN
+                  ) -> DataFrame:
     """``(key, idx, off, word)``: each max-match token (off = 0, the token itself) plus the
     shorter lexicon words inside it (off = their start in the token).
 
-    A token has at most ``MAX_LEN`` characters, so its sub-words are a handful of k-grams
-    per token, joined with the broadcast lexicon.
+    One pass over the tokens. A token is at most ``max_len`` characters long, so its inner
+    k-grams are written out per token length as a fixed array of substrings (at most 20
+    for length 7), chosen by a CASE on the length: plain generated code, no lambdas.
+    Tokens of length <= min_len explode to themselves only. One left join with the
+    broadcast lexicon keeps each token and its inner k-grams that are words.
     """
     w = F.col("word")
-    subs = F.flatten(F.transform(
-        F.sequence(F.lit(min_len), F.greatest(F.length(w) - 1, F.lit(min_len))),
-        lambda k: F.transform(
-            F.sequence(F.lit(0), F.length(w) - k),
-            lambda o: F.struct(o.alias("off"), F.substring(w, o + 1, k).alias("sub")))))
-    long_toks = tokens.filter(F.length(w) > min_len)
-    cands = long_toks.select(key, "idx", F.explode(subs).alias("_s"))
-    inner = (cands.select(key, "idx", F.col("_s.off").alias("off"), F.col("_s.sub").alias("word"))
-             .filter(F.length("word") >= min_len)
-             .join(_lexicon_side(lexicon, lexicon_bound), "word")
-             .select(key, "idx", "off", "word"))
-    whole = tokens.select(key, "idx", F.lit(0).alias("off"), "word")
-    return whole.unionByName(inner)
+    n = F.length(w)
+
+    def cand(off, word, tok):
+        return F.struct(F.lit(off).alias("off"), word.alias("word"), F.lit(tok).alias("tok"))
+
+    itself = cand(0, w, True)
+    both = None
+    for L in range(min_len + 1, max_len + 1):
+        arr = F.array(itself, *[cand(o, F.substring(w, o + 1, k), False)
+                                for k in range(min_len, L) for o in range(0, L - k + 1)])
+        both = F.when(n == L, arr) if both is None else both.when(n == L, arr)
+    both = both.otherwise(F.array(itself))
+    cands = tokens.select(key, "idx", F.explode(both).alias("_c"))
+    lex = _lexicon_side(lexicon, lexicon_bound).withColumn("_in", F.lit(True))
+    return (cands.select(key, "idx", F.col("_c.off").alias("off"), F.col("_c.word").alias("word"),
+                         F.col("_c.tok").alias("_tok"))
+            .join(lex, "word", "left")
+            .filter(F.col("_tok") | F.col("_in").isNotNull())
+            .select(key, "idx", "off", "word"))
 
 
 def segment(texts: DataFrame, lexicon: DataFrame, mode: str = "max_match",
@@ -128,10 +186,11 @@ def segment(texts: DataFrame, lexicon: DataFrame, mode: str = "max_match",
     if mode == "full":
         return full_matches(texts, lexicon, lexicon_bound, key, text_col, **kw)
     if mode == "max_match":
-        return max_match(texts, lexicon, key, text_col, **kw)
+        return max_match(texts, lexicon, key, text_col, lexicon_bound=lexicon_bound, **kw)
     if mode == "search":
-        return search_tokens(max_match(texts, lexicon, key, text_col, **kw), lexicon,
-                             lexicon_bound, key)
+        return search_tokens(max_match(texts, lexicon, key, text_col,
+                                       lexicon_bound=lexicon_bound, **kw),
+                             lexicon, lexicon_bound, key)
     raise ValueError(f"unknown mode {mode!r}")
 
 
