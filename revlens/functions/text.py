@@ -29,6 +29,21 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def explode_elements(arr: str | Column, name: str, with_pos: bool = False,
+                     pos_name: str = "pos") -> list[Column]:
+    """Generator column(s) for the elements of an array column.
+
+    ``explode`` makes the optimizer add ``size(arr) > 0`` as a filter below the generator,
+    which evaluates the array expression (a tokenizing regex, say) a second time per row;
+    ``explode_outer`` does not, so it is used here and its one null row for an empty array
+    is dropped by the caller with a not-null filter.
+    """
+    a = _col(arr)
+    if with_pos:
+        return [F.posexplode_outer(a).alias(pos_name, name)]
+    return [F.explode_outer(a).alias(name)]
+
+
 def flatten_breaks(text: str | Column) -> Column:
     """Replace every run of line breaks and tabs by one blank (keeps a review on one line)."""
     return F.regexp_replace(_col(text), LINE_BREAKS, " ")

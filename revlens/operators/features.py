@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.functions.text import explode_elements
 from revlens.functions.hashing import REFERENCE_NUM_FEATURES, md5_bucket, md5_num_features, murmur_bucket
 from revlens.operators.joins import broadcast_if_bounded, hot_keys, skew_split_join
 
@@ -67,7 +68,8 @@ def term_counts(docs: DataFrame, key: str = "doc_id", words_col: str = "words",
 
     explode -> hash aggregate on (key, term) with map-side partial counts.
     """
-    return (docs.select(key, F.explode(words_col).alias("_w"))
+    return (docs.select(key, *explode_elements(words_col, "_w"))
+            .filter(F.col("_w").isNotNull())
             .groupBy(key, hashing.term(F.col("_w")).alias("term"))
             .agg(F.count(F.lit(1)).alias("tf")))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.functions.text import explode_elements
+
 
 def rating_histogram(reviews: DataFrame, rating: str = "rating") -> DataFrame:
     """Rows per rating in one scan (the reference ran one filtered count per rating)."""
@@ -13,7 +15,8 @@ def rating_histogram(reviews: DataFrame, rating: str = "rating") -> DataFrame:
 
 def word_counts(docs: DataFrame, words_col: str = "words") -> DataFrame:
     """``(word, n)``: flatten word arrays, count per word (partial + final hash aggregate)."""
-    return (docs.select(F.explode(words_col).alias("word"))
+    return (docs.select(*explode_elements(words_col, "word"))
+            .filter(F.col("word").isNotNull())
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -40,14 +40,17 @@ def balance(labelled: DataFrame, positive_label: int = 1, key: str = "doc_id",
                              F.when(is_pos, h).alias("_h"),
                              F.when(is_pos, F.substring(h, 1, bucket_digits)).alias("_b"))
     stats = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-    n_neg = stats.filter(F.col("_b").isNull()).select(F.col("_c").alias("_n"))
-    n_neg = n_neg.unionByName(
-        labelled.sparkSession.range(1).select(F.lit(0).cast("long").alias("_n"))
-    ).agg(F.max("_n").alias("_n"))
+    # one pass over the <= 16**digits + 1 stat rows gives both n (the negatives' group,
+    # _b null) and the running count of positives over the buckets in hash order
+    everything = Window.partitionBy()
     running = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    plan = (stats.filter(F.col("_b").isNotNull())
-            .withColumn("_cum", F.sum("_c").over(running))
-            .crossJoin(F.broadcast(n_neg))
+    is_neg = F.col("_b").isNull()
+    plan = (stats.select("_b", "_c",
+                         F.sum(F.when(is_neg, F.col("_c")).otherwise(F.lit(0))).over(everything)
+                         .alias("_n"),
+                         F.sum(F.when(is_neg, F.lit(0)).otherwise(F.col("_c"))).over(running)
+                         .alias("_cum"))
+            .filter(~is_neg)
             .select("_b", "_c",
                     F.least(F.col("_c"),
                             F.greatest(F.col("_n") - (F.col("_cum") - F.col("_c")),

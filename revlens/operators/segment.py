@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions.text import STOP_WORDS, despace
+from revlens.functions.text import STOP_WORDS, despace, explode_elements
 from revlens.operators.joins import broadcast_if_bounded
 from revlens.operators.metrics import top_words, word_counts
 
@@ -62,8 +62,9 @@ def full_matches(texts: DataFrame, lexicon: DataFrame, lexicon_bound: int | None
     t = F.col(text_col)
     cands = None
     for k in range(min_len, max_len + 1):
-        grams = texts.select(key, F.posexplode(
-            F.regexp_extract_all(t, F.lit(f"(?=(.{{{k}}}))"), 1)).alias("pos", "word"))
+        grams = (texts.select(key, *explode_elements(
+            F.regexp_extract_all(t, F.lit(f"(?=(.{{{k}}}))"), 1), "word", with_pos=True))
+            .filter(F.col("word").isNotNull()))
         cands = grams if cands is None else cands.unionByName(grams)
     return (cands.join(_lexicon_side(lexicon, lexicon_bound), "word")
             .select(key, "pos", "word"))
@@ -139,7 +140,8 @@ def max_match(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id", text_co
         pat = F.broadcast(lexicon_pattern(lexicon, keep_unknown))
         toks = texts.crossJoin(pat).select(
             key, F.regexp_extract_all(F.col(text_col), F.col("_pattern"), 0).alias("_t"))
-    out = toks.select(key, F.posexplode("_t").alias("idx", "word"))
+    out = (toks.select(key, *explode_elements("_t", "word", with_pos=True, pos_name="idx"))
+           .filter(F.col("word").isNotNull()))
     if clear_stop_words:
         out = out.filter(~F.col("word").isin(STOP_WORDS))
     return out

@@ -16,7 +16,8 @@ document and checkpointed once, so margins (group by document) and the active-ro
 join need no shuffle; the weights join is a broadcast when the feature space is hashed
 (bounded) and a hot-term split otherwise; the gradient is a partial-then-final aggregate
 by term. The new weights are checkpointed to the shared checkpoint folder every
-iteration, which cuts the lineage and survives lost executors.
+iteration (one job, with the convergence norms observed in it), which cuts the lineage
+and survives lost executors.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from revlens.operators.features import EXACT, Hashing, join_by_term
 from revlens.operators.joins import hot_keys, skew_split_join
-from revlens.session import ensure_checkpoint_dir
+from revlens.session import checkpoint_partitioned, ensure_checkpoint_dir, materialize
 
 # Defaults of the reference's SVM training call.
 ITERATIONS = 100
@@ -47,21 +48,6 @@ class SVMModel:
     threshold: float = 0.0
 
 
-def _checkpoint_partitioned(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by ``key`` and checkpoint, keeping the partitioning visible to the
-    planner so later aggregates and joins on ``key`` need no exchange. (An adaptive plan
-    reports its output partitioning as unknown, so adaptive execution is paused for the
-    one checkpoint job.)"""
-    conf = df.sparkSession.conf
-    before = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        n = int(conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(n, key).checkpoint(eager=True)
-    finally:
-        conf.set("spark.sql.adaptive.enabled", before)
-
-
 def _weights_join(x: DataFrame, w: DataFrame, hashing: Hashing, hot: DataFrame | None,
                   how: str = "left") -> DataFrame:
     if hashing.bound is not None or hot is None:
@@ -78,16 +64,34 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
     ensure_checkpoint_dir(spark)
     lab = labels.select(key, (F.col("label") * 2 - 1).cast("double").alias("ys"))
     n_rows = lab.count()
-    x = _checkpoint_partitioned(
+    x = checkpoint_partitioned(
         features.select(key, "term", F.col(value).cast("double").alias("x")).join(lab, key), key)
     hot = None
     if hashing.bound is None:
         hot = hot_keys(x.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "term", "_df")
-        hot = hot.checkpoint(eager=True)
+        hot = materialize(hot, "svm-hot-terms")
     schema = StructType([StructField("term", x.schema["term"].dataType, False),
                          StructField("w", DoubleType(), False)])
     w = spark.createDataFrame([], schema)
     run = 0
+    # Every iteration has the same fixed plan (partition-aligned joins on the document,
+    # bounded broadcast of the weights), so runtime re-planning only adds a scheduling
+    # round per stage; it is paused for the loop and restored after.
+    conf = spark.conf
+    aqe = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        w, run = _iterate(x, w, hashing, hot, key, n_rows, iterations, step, reg_param,
+                          convergence_tol)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", aqe)
+    return SVMModel(w, run, hashing)
+
+
+def _iterate(x: DataFrame, w: DataFrame, hashing: Hashing, hot: DataFrame | None, key: str,
+             n_rows: int, iterations: int, step: float, reg_param: float,
+             convergence_tol: float) -> tuple[DataFrame, int]:
+    run = 0
     for t in range(1, iterations + 1):
         s = step / math.sqrt(t)
         margins = (_weights_join(x, w, hashing, hot)
@@ -115,7 +119,7 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
             diff, norm = math.sqrt(m["d2"] or 0.0), math.sqrt(m["n2"] or 0.0)
             if diff < convergence_tol * max(norm, 1.0):
                 break
-    return SVMModel(w, run, hashing)
+    return w, run
 
 
 def svm_predict(model: SVMModel, features: DataFrame, docs: DataFrame, key: str = "doc_id",

@@ -17,7 +17,7 @@ from revlens.operators import features as feat
 from revlens.operators.clean import distinct_lines, extract_reviews, parse_lines
 from revlens.operators.label import POLICIES, labelled_reviews, negatives_isin, negatives_union
 from revlens.operators.metrics import accuracy, rating_histogram, top_words, word_cloud_weights, word_counts
-from revlens.operators.sample import first_rows, zip_by_key
+from revlens.operators.sample import first_rows, hash_split, zip_by_key
 from revlens.operators import segment as seg
 from revlens.plans.pipeline import (balanced, experiment, fit_naive_bayes, fit_svm, predict_test,
                                     score_texts, svm_predict_test)
@@ -99,7 +99,7 @@ def q_first_rows(spark, sf_dir):
 
 
 def q_train_test_split(spark, sf_dir):
-    return experiment(spark, sf_dir, "binary_drop4").split.select("doc_id", "label", "split")
+    return hash_split(balanced(spark, sf_dir, "binary_drop4")).select("doc_id", "label", "split")
 
 
 def q_zip_labels_features(spark, sf_dir):

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "revlens",
@@ -60,3 +61,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="revlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    A written table instead of an RDD checkpoint: readable by any later session, the lineage
+    is cut, and the files survive lost executors. The folder is the one
+    ``spark.checkpoint.dir`` names.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/revlens-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
+def checkpoint_partitioned(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Hash-partition by ``key`` and checkpoint, keeping the partitioning visible to the
+    planner, so later aggregates and joins on ``key`` need no exchange.
+
+    Adaptive execution is paused for this one job because an adaptive plan reports its
+    output partitioning as unknown.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    conf = spark.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        n = partitions or int(conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(n, key).checkpoint(eager=True)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
+
