@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"\p{L}+|\p{N}+"
 WORD_AND_MARK_PATTERN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]"
 LATIN_PART_PATTERN = r"[a-z]{2,}|[0-9]{2,}"
+#   words keeping marks: letter/digit runs joined by the segmenter's kept marks @ # % . & +
+#                    (marks only between letters or digits, so a full stop still ends a word)
+WORD_KEEP_MARKS_PATTERN = r"[\p{L}\p{N}]+(?:[@#%.&+]+[\p{L}\p{N}]+)*"
 LINE_BREAKS = r"[\r\n\t]+"
 
 # The stop-word set of the reference's third Python script, 19 entries:
@@ -59,6 +62,11 @@ def words_and_marks(text: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(_col(text)), F.lit(WORD_AND_MARK_PATTERN), 0)
 
 
+def words_keep_marks(text: str | Column) -> Column:
+    """Lower-cased tokens that keep the marks @ # % . & + inside them (3.14, a@b.com)."""
+    return F.regexp_extract_all(F.lower(_col(text)), F.lit(WORD_KEEP_MARKS_PATTERN), 0)
+
+
 def remove_stop_words(arr: str | Column, stop_words: list[str] | None = None) -> Column:
     """Drop every stop word from a word array, keeping order and repeats of the other words.
 

@@ -12,6 +12,7 @@ from revlens.operators.sample import REFERENCE_SEED, TRAIN_FRACTION, _hex_thresh
 
 WORD = r"\p{L}+|\p{N}+"
 WORD_MARK = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]"
+WORD_KEEP = r"[\p{L}\p{N}]+(?:[@#%.&+]+[\p{L}\p{N}]+)*"
 STOP = ("['', ' ', '，', '的', '。', '了', '！', '是', '就', '吧', '?', '…', '、', '～', '~', "
         "'很', '都', '也', '还']")
 
@@ -255,6 +256,11 @@ WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD_MARK}', 0) AS t
 SELECT doc_id, len(t)::BIGINT AS n_before,
        len(string_split(array_to_string(t, '/'), '/'))::BIGINT AS n_after
 FROM d""",
+    "tokens_keep_marks": f"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD_KEEP}', 0)) AS token
+           FROM documents)
+SELECT doc_id, token, count(*)::BIGINT AS n FROM t
+WHERE regexp_matches(token, '[@#%.&+]') GROUP BY 1, 2""",
     "term_counts": f"""
 WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD}', 0)) AS term FROM documents)
 SELECT doc_id, term, count(*)::BIGINT AS tf FROM w GROUP BY 1, 2""",

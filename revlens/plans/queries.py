@@ -119,6 +119,14 @@ def q_stop_words_removed(spark, sf_dir):
                     F.array_join(kept, " ").alias("kept"))
 
 
+def q_tokens_keep_marks(spark, sf_dir):
+    """Tokens that hold one of the kept marks, counted per document."""
+    d = _doc_words(spark, sf_dir, T.words_keep_marks)
+    t = (d.select("doc_id", *T.explode_elements("words", "token"))
+         .filter(F.col("token").rlike("[@#%.&+]")))
+    return t.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_slash_rejoin(spark, sf_dir):
     d = _doc_words(spark, sf_dir, T.words_and_marks)
     return d.select("doc_id", F.size("words").cast("long").alias("n_before"),
@@ -278,6 +286,7 @@ QUERIES: dict[str, Query] = {
     "zip_labels_features": q_zip_labels_features,
     "stop_words_removed": q_stop_words_removed,
     "slash_rejoin": q_slash_rejoin,
+    "tokens_keep_marks": q_tokens_keep_marks,
     "term_counts": q_term_counts,
     "term_counts_hashed": q_term_counts_hashed,
     "idf": q_idf,

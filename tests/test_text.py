@@ -34,3 +34,8 @@ def test_cn_numerals(spark):
              "两千": 2000, "二零二三": 2023, "好吃": None, "十万": 100000}
     for k, v in cases.items():
         assert one(spark, T.cn_numeral_to_arabic, k) == v, k
+
+
+def test_words_keep_marks(spark):
+    got = one(spark, T.words_keep_marks, "Pi is 3.14, mail a@b.com. C++ & R&D!")
+    assert got == ["pi", "is", "3.14", "mail", "a@b.com", "c", "r&d"]
