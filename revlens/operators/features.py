@@ -4,7 +4,7 @@ Long form keeps every step relational: counts are one hash aggregate, document f
 second one, TF-IDF a join. Terms are exact strings or hashed buckets:
 
 * ``hashing=None``      exact terms; vocabulary grows with the data, so joins keyed by term
-                        split off the heaviest terms (``joins.skew_split_join``);
+                        salt the heaviest terms over many reducers (``joins.salted_join``);
 * ``hashing="murmur"``  ``pmod(hash(word), n)``: the reference's buckets, n = 2**18;
 * ``hashing="md5"``     first hex digits of md5(word): portable to other SQL engines.
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.text import explode_elements
 from revlens.functions.hashing import REFERENCE_NUM_FEATURES, md5_bucket, md5_num_features, murmur_bucket
-from revlens.operators.joins import broadcast_if_bounded, hot_keys, skew_split_join
+from revlens.operators.joins import broadcast_if_bounded, hot_keys, salted_join
 
 
 @dataclass(frozen=True)
@@ -93,16 +93,16 @@ def join_by_term(big: DataFrame, table: DataFrame, hashing: Hashing, weight: str
     """Join ``big`` to a table keyed by term.
 
     Hashed terms bound the table (``num_features * rows_per_term`` rows): broadcast it.
-    Exact terms have no bound: the heaviest terms by ``weight`` (e.g. document frequency)
-    go through a broadcast join and the rest through a shuffled join, so a term present in
-    a third of all documents does not land in one task.
+    Exact terms have no bound: one shuffled join in which the heaviest terms by ``weight``
+    (e.g. document frequency) are salted over many reducers, so a term present in a third
+    of all documents does not land in one task.
     """
     bound = hashing.bound
     if bound is not None:
         return big.join(broadcast_if_bounded(table, bound * rows_per_term), key, how)
     if weight is None:
         return big.join(table, key, how)
-    return skew_split_join(big, table, key, hot_keys(table, key, weight), how)
+    return salted_join(big, table, key, hot_keys(table, key, weight), how)
 
 
 def tfidf(tc: DataFrame, idf_table: DataFrame, hashing: Hashing = EXACT,

@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only with a proven bound, split hot keys off before a shuffle."""
+"""Join helpers: broadcast only with a proven bound, salt hot keys before a shuffle."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 # Largest table broadcast after a row-count check (rows, not bytes: the tables broadcast
 # here are narrow -- a key and one or two numbers).
 DEFAULT_BROADCAST_ROWS = 2_000_000
-# Number of heaviest keys that are broadcast when a table keyed by a skewed key is joined.
+# Number of heaviest keys treated as hot when a table keyed by a skewed key is joined.
 DEFAULT_HOT_KEYS = 10_000
+# Ways a hot key's rows are spread over reducers by salted_join.
+DEFAULT_SALTS = 64
 
 
 def broadcast_if_bounded(small: DataFrame, bound: int | None,
@@ -30,20 +32,27 @@ def hot_keys(table: DataFrame, key: str, weight: str, n: int = DEFAULT_HOT_KEYS)
     return table.orderBy(F.desc(weight), F.asc(key)).limit(n).select(key)
 
 
-def skew_split_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame,
-                    how: str = "inner") -> DataFrame:
-    """Join ``big`` to ``small`` (one row per key) without a hot key landing in one task.
+def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame,
+                how: str = "inner", salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Shuffled join of ``big`` to ``small`` (one row per key) in one pass over ``big``,
+    with hot keys spread over ``salts`` reducers.
 
-    Rows of ``big`` whose key is among ``hot`` (at most n keys, so a bounded table) join a
-    broadcast copy of those keys' rows of ``small`` where they are: no shuffle for them.
-    The other rows take an ordinary shuffled join; each of their keys is rarer than the
-    n-th heaviest, so no reducer holds more than about 1/n of the rows.
+    ``hot`` (at most n keys, broadcast) tags the rows of hot keys; such a row of ``big``
+    gets a salt from a hash of the whole row, and the matching row of ``small`` is copied
+    once per salt (n x salts extra rows at most). Other keys keep salt 0. The join on
+    (key, salt) then gives every pair exactly once, for inner and left joins alike.
     """
-    hot_tag = hot.select(key).withColumn("_hot", F.lit(True))
-    tagged = big.join(F.broadcast(hot_tag), key, "left")
-    small_hot = small.join(F.broadcast(hot_tag), key, "inner").drop("_hot")
-    hot_part = (tagged.filter(F.col("_hot")).drop("_hot")
-                .join(F.broadcast(small_hot), key, how))
-    cold_part = (tagged.filter(F.col("_hot").isNull()).drop("_hot")
-                 .join(small, key, how))
-    return hot_part.unionByName(cold_part)
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    tag = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+    b = (big.join(tag, key, "left")
+         .withColumn("_salt", F.when(F.col("_hot"),
+                                     F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
+                                            F.lit(salts)).cast("int"))
+                     .otherwise(F.lit(0)))
+         .drop("_hot"))
+    s = (small.join(tag, key, "left")
+         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                        .otherwise(F.array(F.lit(0)))))
+         .drop("_hot"))
+    return b.join(s, [key, "_salt"], how).drop("_salt")

@@ -14,7 +14,7 @@ Prediction: 1 if w.x > 0 else 0.
 Plan per iteration: the training matrix ``(doc, term, x, ys)`` is hash-partitioned by
 document and checkpointed once, so margins (group by document) and the active-row semi
 join need no shuffle; the weights join is a broadcast when the feature space is hashed
-(bounded) and a hot-term split otherwise; the gradient is a partial-then-final aggregate
+(bounded) and a salted shuffled join for hot terms otherwise; the gradient is a partial-then-final aggregate
 by term. The new weights are checkpointed to the shared checkpoint folder every
 iteration (one job, with the convergence norms observed in it), which cuts the lineage
 and survives lost executors.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from revlens.operators.features import EXACT, Hashing, join_by_term
-from revlens.operators.joins import hot_keys, skew_split_join
+from revlens.operators.joins import hot_keys, salted_join
 from revlens.session import checkpoint_partitioned, ensure_checkpoint_dir, materialize
 
 # Defaults of the reference's SVM training call.
@@ -52,7 +52,7 @@ def _weights_join(x: DataFrame, w: DataFrame, hashing: Hashing, hot: DataFrame |
                   how: str = "left") -> DataFrame:
     if hashing.bound is not None or hot is None:
         return join_by_term(x, w, hashing, how=how)
-    return skew_split_join(x, w, "term", hot, how)
+    return salted_join(x, w, "term", hot, how)
 
 
 def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS,

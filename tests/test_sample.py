@@ -60,3 +60,18 @@ def test_zip_by_key(spark):
     c = spark.createDataFrame([(1, 5)], "doc_id long, n long")
     with pytest.raises(Exception):
         zip_by_key(a, c, "doc_id").collect()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_equals_plain_join(spark, how):
+    from revlens.operators.joins import salted_join
+    big = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}", i * 1.0) for i in range(300)]
+                                + [(999, "missing", 0.0)], "doc_id long, term string, x double")
+    small = spark.createDataFrame([("hot", 1.5)] + [(f"k{i}", float(i)) for i in range(7)],
+                                  "term string, idf double")
+    hot = spark.createDataFrame([("hot",), ("k1",)], "term string")
+    got = sorted(tuple(r) for r in salted_join(big, small, "term", hot, how, salts=8)
+                 .select("doc_id", "term", "x", "idf").collect())
+    want = sorted(tuple(r) for r in big.join(small, "term", how)
+                  .select("doc_id", "term", "x", "idf").collect())
+    assert got == want
