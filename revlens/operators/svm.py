@@ -39,6 +39,11 @@ STEP = 1.0
 REG_PARAM = 0.01
 CONVERGENCE_TOL = 0.001
 
+# Partitions of the training matrix: about this many documents each, at least the cluster's
+# default parallelism and at most 4 x that. The loop runs with adaptive execution paused, so the
+# partition count comes from the data, not from spark.sql.shuffle.partitions.
+DOCS_PER_PARTITION = 10_000
+
 
 @dataclass
 class SVMModel:
@@ -64,8 +69,11 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
     ensure_checkpoint_dir(spark)
     lab = labels.select(key, (F.col("label") * 2 - 1).cast("double").alias("ys"))
     n_rows = lab.count()
+    par = spark.sparkContext.defaultParallelism
+    n_part = max(par, min(4 * par, math.ceil(n_rows / DOCS_PER_PARTITION)))
     x = checkpoint_partitioned(
-        features.select(key, "term", F.col(value).cast("double").alias("x")).join(lab, key), key)
+        features.select(key, "term", F.col(value).cast("double").alias("x")).join(lab, key), key,
+        n_part)
     hot = None
     if hashing.bound is None:
         hot = hot_keys(x.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "term", "_df")
@@ -78,13 +86,15 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
     # bounded broadcast of the weights), so runtime re-planning only adds a scheduling
     # round per stage; it is paused for the loop and restored after.
     conf = spark.conf
-    aqe = conf.get("spark.sql.adaptive.enabled")
+    saved = {k: conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
     conf.set("spark.sql.adaptive.enabled", "false")
+    conf.set("spark.sql.shuffle.partitions", str(n_part))
     try:
         w, run = _iterate(x, w, hashing, hot, key, n_rows, iterations, step, reg_param,
                           convergence_tol)
     finally:
-        conf.set("spark.sql.adaptive.enabled", aqe)
+        for k, v in saved.items():
+            conf.set(k, v)
     return SVMModel(w, run, hashing)
 
 
