@@ -45,3 +45,16 @@ def load_model(path: str) -> PipelineModel:
 def score(model: PipelineModel, reviews: DataFrame) -> DataFrame:
     """Apply a fitted pipeline to any number of reviews (a one-row table scores one)."""
     return model.transform(reviews)
+
+
+def dense_features(df: DataFrame, col: str = "features", out: str = "dense") -> DataFrame:
+    """Vector column -> array<double> (for export); the training path stays sparse."""
+    from pyspark.ml.functions import vector_to_array
+    return df.withColumn(out, vector_to_array(col))
+
+
+def score_one(model: PipelineModel, text: str) -> DataFrame:
+    """Score one new review: a one-row table through the same fitted pipeline."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return model.transform(spark.createDataFrame([(text,)], "document string"))

@@ -92,3 +92,21 @@ def test_svm_matches_mllib(spark, iterations):
     for d, lab, f in rows:
         margin = sum(ref.weights[j] * v for j, v in f.items())
         assert pred[d] == (1 if margin > 0 else 0)
+
+
+def test_ml_pipeline_save_load_and_score_one(spark, tmp_dir):
+    import os
+    from revlens.operators.ml import dense_features, fit_review_model, load_model, save_model, score, score_one
+    train = spark.createDataFrame(
+        [("great tasty food", 1), ("awful cold food", 0), ("tasty great service", 1),
+         ("cold awful service", 0)] * 5, "document string, label int")
+    model = fit_review_model(train, num_features=1 << 10)
+    path = os.path.join(tmp_dir, "model")
+    save_model(model, path)
+    again = load_model(path)
+    a = [r.prediction for r in score(model, train).collect()]
+    b = [r.prediction for r in score(again, train).collect()]
+    assert a == b == [float(l) for l in [1, 0, 1, 0] * 5]
+    assert score_one(again, "great tasty").first().prediction == 1.0
+    d = dense_features(score(again, train)).first().dense
+    assert len(d) == 1 << 10
