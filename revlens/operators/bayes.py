@@ -52,15 +52,20 @@ class NaiveBayesModel:
 
 def nb_fit(features: DataFrame, labels: DataFrame, classes: list[int], smoothing: float = 1.0,
            hashing: Hashing = EXACT, key: str = "doc_id", value: str = "tfidf") -> NaiveBayesModel:
-    """Fit on long-form features ``(key, term, value)`` and ``labels (key, label)``.
+    """Fit on long-form features ``(key, term, value)`` and ``labels (key, label)``
+    (features that already hold a ``label`` column are used as they are).
 
-    One shuffled join on the document key, one hash aggregate on (label, term) with map-side
+    One shuffled join on the document key (none when the features carry the label), one
+    hash aggregate on (label, term) with map-side
     partial sums, and K-row aggregates for the priors. V is the bucket count for hashed
     features (Spark ML counts every bucket) and the observed vocabulary for exact terms.
     """
     lam = float(smoothing)
     k = len(classes)
-    sums = (features.join(labels.select(key, "label"), key)
+    # features may already carry the label (no join back by document then)
+    labelled = (features if "label" in features.columns
+                else features.join(labels.select(key, "label"), key))
+    sums = (labelled
             .groupBy("label", "term")
             .agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("docs")))
     if hashing.bound is not None:
@@ -87,7 +92,7 @@ def nb_scores(model: NaiveBayesModel, features: DataFrame, docs: DataFrame,
     """Per-document class scores ``score_<i>`` (i = class position) and ``prediction``.
 
     Features meet the per-term weights in one join (broadcast for hashed features; hot
-    terms split off for exact ones), then one hash aggregate per document computes X and
+    terms salted for exact ones), then one hash aggregate per document computes X and
     the K weighted sums together. ``docs`` supplies every document to score, including
     those without a single known term (their score is the prior plus the X = 0 term).
     """

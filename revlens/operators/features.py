@@ -63,14 +63,17 @@ MD5_16 = Hashing("md5", md5_num_features(4))
 
 
 def term_counts(docs: DataFrame, key: str = "doc_id", words_col: str = "words",
-                hashing: Hashing = EXACT) -> DataFrame:
-    """``(key, term, tf)``: how often each term occurs in each document.
+                hashing: Hashing = EXACT, carry: list[str] | None = None) -> DataFrame:
+    """``(key, [carry...], term, tf)``: how often each term occurs in each document.
 
-    explode -> hash aggregate on (key, term) with map-side partial counts.
+    explode -> hash aggregate on (key, term) with map-side partial counts. ``carry`` names
+    columns that are functions of the key (a label, a split): they ride along as grouping
+    keys, so later steps filter on them instead of joining back by document.
     """
-    return (docs.select(key, *explode_elements(words_col, "_w"))
+    carry = list(carry or [])
+    return (docs.select(key, *carry, *explode_elements(words_col, "_w"))
             .filter(F.col("_w").isNotNull())
-            .groupBy(key, hashing.term(F.col("_w")).alias("term"))
+            .groupBy(key, *carry, hashing.term(F.col("_w")).alias("term"))
             .agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -121,4 +124,5 @@ def tfidf(tc: DataFrame, idf_table: DataFrame, hashing: Hashing = EXACT,
     else:
         j = join_by_term(tc, idf_table, hashing, weight="df")
         w = F.col("idf")
-    return j.select(key, "term", "tf", (F.col("tf") * w).alias("tfidf"))
+    extra = [c for c in tc.columns if c not in (key, "term", "tf")]
+    return j.select(key, *extra, "term", "tf", (F.col("tf") * w).alias("tfidf"))

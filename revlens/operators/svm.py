@@ -71,9 +71,12 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
     n_rows = lab.count()
     par = spark.sparkContext.defaultParallelism
     n_part = max(par, min(4 * par, math.ceil(n_rows / DOCS_PER_PARTITION)))
-    x = checkpoint_partitioned(
-        features.select(key, "term", F.col(value).cast("double").alias("x")).join(lab, key), key,
-        n_part)
+    if "label" in features.columns:  # the label rides along: no join back by document
+        src = features.select(key, "term", F.col(value).cast("double").alias("x"),
+                              (F.col("label") * 2 - 1).cast("double").alias("ys"))
+    else:
+        src = features.select(key, "term", F.col(value).cast("double").alias("x")).join(lab, key)
+    x = checkpoint_partitioned(src, key, n_part)
     hot = None
     if hashing.bound is None:
         hot = hot_keys(x.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "term", "_df")

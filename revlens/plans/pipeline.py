@@ -56,9 +56,12 @@ def experiment(spark: SparkSession, sf_dir: str, policy: str = "binary_drop4",
                      "document").checkpoint(eager=True)
     train = rows.filter(F.col("split") == "train").select("doc_id", "label")
     test = rows.filter(F.col("split") == "test").select("doc_id", "label")
-    tc = feat.term_counts(rows.select("doc_id", "words"), hashing=hashing)
+    # label and split ride along with the term counts, so train/test selection below is a
+    # filter on the checkpointed table, not a join back by document
+    tc = feat.term_counts(rows.select("doc_id", "label", "split", "words"), hashing=hashing,
+                          carry=["label", "split"])
     fit_docs = train if fit_on == "train" else rows.select("doc_id")
-    fit_tc = tc.join(fit_docs.select("doc_id"), "doc_id", "left_semi")
+    fit_tc = tc.filter(F.col("split") == "train") if fit_on == "train" else tc
     idf_t = feat.idf(fit_tc, fit_docs)
     x = feat.tfidf(tc, idf_t, hashing, fit_docs=fit_docs).checkpoint(eager=True)
     classes = sorted({p.positive_label, *((0,) if p.binary else p.negatives)})
@@ -66,24 +69,28 @@ def experiment(spark: SparkSession, sf_dir: str, policy: str = "binary_drop4",
     return Experiment(sp, train, test, tc, idf_t, x, classes, hashing)
 
 
+def _rows_of(e: Experiment, split: str, with_label: bool) -> DataFrame:
+    cols = ["doc_id", "label", "term", "tfidf"] if with_label else ["doc_id", "term", "tfidf"]
+    return e.tfidf.filter(F.col("split") == split).select(*cols)
+
+
 def fit_naive_bayes(e: Experiment, smoothing: float = 1.0) -> NaiveBayesModel:
-    train_x = e.tfidf.join(e.train.select("doc_id"), "doc_id", "left_semi")
-    return nb_fit(train_x, e.train, e.classes, smoothing=smoothing, hashing=e.hashing)
+    return nb_fit(_rows_of(e, "train", True), e.train, e.classes, smoothing=smoothing,
+                  hashing=e.hashing)
 
 
 def predict_test(e: Experiment, model: NaiveBayesModel) -> DataFrame:
-    test_x = e.tfidf.join(e.test.select("doc_id"), "doc_id", "left_semi")
-    return nb_predict(model, test_x, e.test)
+    return nb_predict(model, _rows_of(e, "test", False), e.test)
 
 
 def fit_svm(e: Experiment, iterations: int = ITERATIONS) -> SVMModel:
-    train_x = e.tfidf.join(e.train.select("doc_id"), "doc_id", "left_semi")
-    return svm_fit(train_x, e.train, iterations=iterations, hashing=e.hashing)
+    return svm_fit(_rows_of(e, "train", True), e.train, iterations=iterations,
+                   hashing=e.hashing)
 
 
 def svm_predict_test(e: Experiment, model: SVMModel) -> DataFrame:
-    test_x = e.tfidf.join(e.test.select("doc_id"), "doc_id", "left_semi")
-    return svm_predict(model, test_x, e.test).select("doc_id", "label", "prediction")
+    return svm_predict(model, _rows_of(e, "test", False), e.test).select("doc_id", "label",
+                                                                         "prediction")
 
 
 def score_texts(e: Experiment, model: NaiveBayesModel, texts: DataFrame, key: str,
