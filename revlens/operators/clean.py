@@ -3,7 +3,7 @@
 Two readings of "a line with exactly two tab fields" exist in the reference:
 
 * ``jvm``    -- Java/Scala ``split`` drops trailing empty fields, so trailing tabs are stripped
-               first; the header line (rating field ``Rating``) is dropped; a rating parses
+               first (``rtrim``); the header line (rating field ``Rating``) is dropped; a rating parses
                only when it is an optionally signed run of digits (no blanks).
 * ``python`` -- Python ``split`` keeps trailing empty fields; the header is not special;
                ``int()`` accepts surrounding blanks.
@@ -32,12 +32,23 @@ def _rating(rating_txt: Column, reading: str, strict: bool) -> Column:
 def split_fields(line: Column, reading: str = "jvm") -> Column:
     """Tab fields of a line under one of the two readings."""
     if reading == "jvm":
-        line = F.regexp_replace(line, r"\t+$", "")
+        line = F.rtrim(line, F.lit("\t"))
     elif reading != "python":
         raise ValueError(f"unknown reading {reading!r}")
     return F.split(line, "\t", -1)
 
 
+def with_once(df: DataFrame, keep: list[str], expr: Column, name: str) -> DataFrame:
+    """``keep`` columns plus ``expr`` as ``name``, evaluated once per row.
+
+    A filter on an alias is pushed below the projection with the alias replaced by its
+    expression, so an expensive expression (splitting a whole review line) would run once
+    in the filter and again in the projection. Produced by a one-element generator it is
+    computed once; the generator stays inside the same code-generated stage.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(expr.alias(name)))))
+
+
 def parse_lines(lines: DataFrame, reading: str = "jvm", strict: bool = False,
                 drop_header: bool | None = None, line_col: str = "line") -> DataFrame:
     """Keep lines with exactly two tab fields; add ``rating_txt``, ``rating``, ``document``.
@@ -49,7 +60,7 @@ def parse_lines(lines: DataFrame, reading: str = "jvm", strict: bool = False,
         drop_header = reading == "jvm"
     parts = split_fields(F.col(line_col), reading)
     keep = [c for c in lines.columns if c != line_col]
-    df = lines.select(*keep, parts.alias("_f")).filter(F.size("_f") == 2)
+    df = with_once(lines, keep, parts, "_f").filter(F.size("_f") == 2)
     if drop_header:
         df = df.filter(F.col("_f")[0] != HEADER_RATING)
     rating_txt = F.col("_f")[0]
@@ -89,8 +100,8 @@ def extract_reviews(raw: DataFrame, rating_field: int = 2, review_field: int = 1
         rating = F.get(fields, F.lit(rating_field))
         review = F.get(fields, F.lit(review_field))
     line = F.concat(rating, F.lit("\t"), review)
-    fields2 = split_fields(line, "jvm")
-    return (raw.select(*keep, line.alias("line"), fields2.alias("_f"))
+    staged = with_once(raw, keep, line, "line")
+    return (with_once(staged, keep + ["line"], split_fields(F.col("line"), "jvm"), "_f")
             .filter(F.col("line").isNotNull() & (F.size("_f") == 2)
                     & (F.col("_f")[0] != HEADER_RATING))
             .select(*keep, "line"))
