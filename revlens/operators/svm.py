@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -76,7 +77,9 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
                               (F.col("label") * 2 - 1).cast("double").alias("ys"))
     else:
         src = features.select(key, "term", F.col(value).cast("double").alias("x")).join(lab, key)
-    x = checkpoint_partitioned(src, key, n_part)
+    # checkpoint for reliability (cut lineage, survives lost executors), then cache for the
+    # iterations: a lost cached block is re-read from the checkpoint, not recomputed
+    x = checkpoint_partitioned(src, key, n_part).persist(StorageLevel.MEMORY_AND_DISK)
     hot = None
     if hashing.bound is None:
         hot = hot_keys(x.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "term", "_df")
@@ -98,6 +101,7 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
     finally:
         for k, v in saved.items():
             conf.set(k, v)
+        x.unpersist()
     return SVMModel(w, run, hashing)
 
 
