@@ -96,8 +96,9 @@ def svm_predict_test(e: Experiment, model: SVMModel) -> DataFrame:
 def score_texts(e: Experiment, model: NaiveBayesModel, texts: DataFrame, key: str,
                 text_col: str = "text") -> DataFrame:
     """Score new texts with a fitted model and the experiment's IDF: words -> buckets ->
-    TF-IDF (fit on the training rows) -> prediction. ``texts`` may have any size."""
+    TF-IDF (fit on the training rows) -> prediction. ``texts`` may have any size; its
+    other columns are passed through to the result."""
     docs = texts.select(key, words(text_col).alias("words"))
     tc = feat.term_counts(docs, key=key, hashing=e.hashing)
     x = feat.tfidf(tc, e.idf, e.hashing, key=key, fit_docs=e.train)
-    return nb_predict(model, x, texts.select(key), key=key)
+    return nb_predict(model, x, texts.drop(text_col), key=key)

@@ -197,9 +197,8 @@ def q_score_new_reviews(spark, sf_dir):
     model = fit_naive_bayes(e)
     conv = table(spark, sf_dir, "conversations").select(
         F.concat_ws(":", "conv_id", "turn").alias("rid"), "conv_id", "turn", "text")
-    pred = score_texts(e, model, conv.select("rid", "text"), key="rid")
-    return conv.select("rid", "conv_id", "turn").join(pred, "rid").select("conv_id", "turn",
-                                                                         "prediction")
+    pred = score_texts(e, model, conv, key="rid")
+    return pred.select("conv_id", "turn", "prediction")
 
 
 def q_ml_pipeline_predictions(spark, sf_dir):
