@@ -27,7 +27,7 @@ MODEL_HASHING = feat.MD5_16
 
 @dataclass
 class Experiment:
-    split: DataFrame      # (doc_id, label, document, split)
+    split: DataFrame      # (doc_id, label, split)
     train: DataFrame      # (doc_id, label)
     test: DataFrame       # (doc_id, label)
     counts: DataFrame     # (doc_id, term, tf) for train and test rows
@@ -52,8 +52,8 @@ def experiment(spark: SparkSession, sf_dir: str, policy: str = "binary_drop4",
     # The balanced, split rows and their words are read by every later step: write them
     # once to the checkpoint folder (cuts the lineage, survives lost executors).
     ensure_checkpoint_dir(spark)
-    rows = sp.select("doc_id", "label", "split", words("document").alias("words"),
-                     "document").checkpoint(eager=True)
+    rows = sp.select("doc_id", "label", "split",
+                     words("document").alias("words")).checkpoint(eager=True)
     train = rows.filter(F.col("split") == "train").select("doc_id", "label")
     test = rows.filter(F.col("split") == "test").select("doc_id", "label")
     # label and split ride along with the term counts, so train/test selection below is a
@@ -65,7 +65,7 @@ def experiment(spark: SparkSession, sf_dir: str, policy: str = "binary_drop4",
     idf_t = feat.idf(fit_tc, fit_docs)
     x = feat.tfidf(tc, idf_t, hashing, fit_docs=fit_docs).checkpoint(eager=True)
     classes = sorted({p.positive_label, *((0,) if p.binary else p.negatives)})
-    sp = rows.select("doc_id", "label", "document", "split")
+    sp = rows.select("doc_id", "label", "split")
     return Experiment(sp, train, test, tc, idf_t, x, classes, hashing)
 
 

@@ -204,9 +204,9 @@ def q_score_new_reviews(spark, sf_dir):
 def q_ml_pipeline_predictions(spark, sf_dir):
     """Spark ML PipelineModel fitted on the training rows, applied to the test rows."""
     from revlens.operators.ml import fit_review_model, score
-    e = experiment(spark, sf_dir, "binary_drop4")
-    train = e.split.filter(F.col("split") == "train").select("document", "label")
-    test = e.split.filter(F.col("split") == "test").select("doc_id", "document", "label")
+    sp = hash_split(balanced(spark, sf_dir, "binary_drop4"))
+    train = sp.filter(F.col("split") == "train").select("document", "label")
+    test = sp.filter(F.col("split") == "test").select("doc_id", "document", "label")
     out = score(fit_review_model(train), test)
     return out.select("doc_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
