@@ -257,6 +257,11 @@ def q_segment_search(spark, sf_dir):
                        lexicon_bound=LEXICON_SIZE)
 
 
+def q_segment_mmseg(spark, sf_dir):
+    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "mmseg",
+                       lexicon_bound=LEXICON_SIZE)
+
+
 def q_latin_second_split(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(
         "doc_id", F.explode(F.split(F.lower("text"), r"\s+", -1)).alias("token"))
@@ -304,5 +309,6 @@ QUERIES: dict[str, Query] = {
     "segment_full": q_segment_full,
     "segment_max_match": q_segment_max_match,
     "segment_search": q_segment_search,
+    "segment_mmseg": q_segment_mmseg,
     "latin_second_split": q_latin_second_split,
 }

@@ -55,3 +55,22 @@ def test_max_match_and_search(spark):
                     if tok[o:o + k] in LEX:
                         want.add((i, idx, o, tok[o:o + k]))
     assert s == want
+
+
+def test_mmseg_chunk_rules(spark):
+    from revlens.operators.segment import _mmseg_tokens, mmseg
+    lex = {"研究", "研究生", "生命", "起源", "主要", "要是", "因为", "是因"}
+    # rule 3 (smallest variance) prefers 研究/生命/起源 over 研究生/命/起源
+    assert _mmseg_tokens("研究生命起源", lex, 7, 2) == ["研究", "生命", "起源"]
+    # rule 1 (longest chunk) and unknown characters
+    assert _mmseg_tokens("x研究生", lex, 7, 2) == ["x", "研究生"]
+    assert _mmseg_tokens("", lex, 7, 2) == []
+    t = spark.createDataFrame([(0, "研究生命起源"), (1, "主要是因为")], "doc_id long, text string")
+    l = spark.createDataFrame([(w,) for w in sorted(lex)], "word string")
+    got = {}
+    for r in mmseg(t, l, len(lex)).collect():
+        got.setdefault(r.doc_id, []).append((r.idx, r.word))
+    assert [w for _, w in sorted(got[0])] == ["研究", "生命", "起源"]
+    # 是因/为 and 是/因为 tie on rules 1-3 (rule 4, character frequency, is not applied):
+    # the longest first word is kept
+    assert [w for _, w in sorted(got[1])] == ["主要", "是因", "为"]
