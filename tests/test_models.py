@@ -1,7 +1,6 @@
 """Cross-checks: relational Naive Bayes vs Spark ML NaiveBayes, relational SVM vs MLlib
 SVMWithSGD, accuracy vs MulticlassClassificationEvaluator."""
 
-import math
 import random
 
 import pytest

@@ -2,7 +2,6 @@
 values with doubles rounded to 6 digits). The SVM queries run 100 iterations and are
 checked at sf0.01 by tools/check_oracle.py; here they run with the same SQL once."""
 
-import math
 import os
 
 import duckdb
