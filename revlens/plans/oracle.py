@@ -92,7 +92,7 @@ SPLIT_EXPR = (f"CASE WHEN substr(md5('split:{REFERENCE_SEED}:' || CAST(doc_id AS
 MD5_TERM = "('0x' || substr(md5(w), 1, 4))::INTEGER"
 
 
-def experiment_ctes(policy: str) -> str:
+def experiment_ctes(policy: str, fit_on: str = "train") -> str:
     """CTEs of one training run: split, term counts (md5 buckets), IDF on train, TF-IDF,
     NB sums, priors; classes from the policy."""
     p = POLICIES[policy]
@@ -104,10 +104,11 @@ train AS (SELECT doc_id, label FROM sp WHERE split = 'train'),
 test AS (SELECT doc_id, label FROM sp WHERE split = 'test'),
 tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(document), '{WORD}', 0)) AS w FROM sp),
 tc AS (SELECT doc_id, {MD5_TERM} AS term, count(*) AS tf FROM tok GROUP BY 1, 2),
-m AS (SELECT count(*) AS m FROM train),
+m AS (SELECT count(*) AS m FROM {"train" if fit_on == "train" else "sp"}),
 idf AS (SELECT term, count(*) AS df,
                ln(((SELECT m FROM m) + 1.0) / (count(*) + 1.0)) AS idf
-        FROM tc WHERE doc_id IN (SELECT doc_id FROM train) GROUP BY term),
+        FROM tc WHERE doc_id IN (SELECT doc_id FROM {"train" if fit_on == "train" else "sp"})
+        GROUP BY term),
 x AS (SELECT tc.doc_id, tc.term, tc.tf * coalesce(idf.idf, ln((SELECT m FROM m) + 1.0)) AS v
       FROM tc LEFT JOIN idf ON tc.term = idf.term),
 sums AS (SELECT t.label, x.term, sum(x.v) AS s FROM x JOIN train t ON x.doc_id = t.doc_id
@@ -292,6 +293,7 @@ SELECT label, n_docs::BIGINT AS n_docs, round(pi::DOUBLE, 6) AS pi,
     + "\nSELECT doc_id, label, prediction FROM pred",
     "nb_accuracy": "WITH " + experiment_ctes("binary_drop4") + ACCURACY,
     "nb_accuracy_4neg": "WITH " + experiment_ctes("binary_4neg") + ACCURACY,
+    "nb_accuracy_idf_all": "WITH " + experiment_ctes("binary_drop4", fit_on="all") + ACCURACY,
     "nb_multiclass_accuracy": "WITH " + experiment_ctes("multi") + ACCURACY,
     "score_new_reviews": "WITH " + experiment_ctes("binary_drop4") + f""",
 cv AS (SELECT conv_id, turn, text FROM conversations),

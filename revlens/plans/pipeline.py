@@ -35,6 +35,7 @@ class Experiment:
     tfidf: DataFrame      # (doc_id, term, tf, tfidf)
     classes: list[int]
     hashing: feat.Hashing
+    fit_docs: DataFrame   # (doc_id, ...) rows the IDF was fitted on
 
 
 def balanced(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
@@ -66,7 +67,7 @@ def experiment(spark: SparkSession, sf_dir: str, policy: str = "binary_drop4",
     x = feat.tfidf(tc, idf_t, hashing, fit_docs=fit_docs).checkpoint(eager=True)
     classes = sorted({p.positive_label, *((0,) if p.binary else p.negatives)})
     sp = rows.select("doc_id", "label", "split")
-    return Experiment(sp, train, test, tc, idf_t, x, classes, hashing)
+    return Experiment(sp, train, test, tc, idf_t, x, classes, hashing, fit_docs)
 
 
 def _rows_of(e: Experiment, split: str, with_label: bool) -> DataFrame:
@@ -100,5 +101,5 @@ def score_texts(e: Experiment, model: NaiveBayesModel, texts: DataFrame, key: st
     other columns are passed through to the result."""
     docs = texts.select(key, words(text_col).alias("words"))
     tc = feat.term_counts(docs, key=key, hashing=e.hashing)
-    x = feat.tfidf(tc, e.idf, e.hashing, key=key, fit_docs=e.train)
+    x = feat.tfidf(tc, e.idf, e.hashing, key=key, fit_docs=e.fit_docs)
     return nb_predict(model, x, texts.drop(text_col), key=key)
