@@ -41,13 +41,14 @@ class NaiveBayesModel:
         return (self.weights.groupBy("term")
                 .agg(F.sum("docs").alias("docs"), *aggs))
 
-    def prior_row(self) -> DataFrame:
-        """One row: pi_<i> and log_norm_<i> for each class position i."""
-        aggs = []
-        for i, c in enumerate(self.classes):
-            aggs.append(F.max(F.when(F.col("label") == c, F.col("pi"))).alias(f"pi_{i}"))
-            aggs.append(F.max(F.when(F.col("label") == c, F.col("log_norm"))).alias(f"ln_{i}"))
-        return self.priors.agg(*aggs)
+    def prior_values(self) -> list[tuple[F.Column, F.Column]]:
+        """(pi, log_norm) of each class position as scalar subqueries (null for a class
+        without training rows, which then never wins)."""
+        out = []
+        for c in self.classes:
+            row = self.priors.filter(F.col("label") == c)
+            out.append((row.agg(F.max("pi")).scalar(), row.agg(F.max("log_norm")).scalar()))
+        return out
 
 
 def nb_fit(features: DataFrame, labels: DataFrame, classes: list[int], smoothing: float = 1.0,
@@ -69,17 +70,16 @@ def nb_fit(features: DataFrame, labels: DataFrame, classes: list[int], smoothing
             .groupBy("label", "term")
             .agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("docs")))
     if hashing.bound is not None:
-        vocab = sums.sparkSession.range(1).select(F.lit(hashing.bound).cast("long").alias("_v"))
+        vocab = F.lit(hashing.bound).cast("long")
     else:
-        vocab = sums.select("term").distinct().agg(F.count(F.lit(1)).alias("_v"))
+        vocab = sums.select("term").distinct().agg(F.count(F.lit(1))).scalar()
     per_class = sums.groupBy("label").agg(F.sum("s").alias("_S"))
     counts = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
-    total = counts.agg(F.sum("n_docs").alias("_N"))
+    total = counts.agg(F.sum("n_docs")).scalar()
     priors = (counts.join(per_class, "label", "left")
-              .crossJoin(F.broadcast(total)).crossJoin(F.broadcast(vocab))
               .select("label", "n_docs",
-                      F.log((F.col("n_docs") + lam) / (F.col("_N") + k * lam)).alias("pi"),
-                      F.log(F.coalesce(F.col("_S"), F.lit(0.0)) + F.col("_v") * lam)
+                      F.log((F.col("n_docs") + lam) / (total + k * lam)).alias("pi"),
+                      F.log(F.coalesce(F.col("_S"), F.lit(0.0)) + vocab * lam)
                       .alias("log_norm")))
     weights = (sums.join(F.broadcast(priors.select("label", "log_norm")), "label")
                .select("label", "term", "s", "docs",
@@ -104,10 +104,10 @@ def nb_scores(model: NaiveBayesModel, features: DataFrame, docs: DataFrame,
         *[F.sum(F.col(value) * F.coalesce(F.col(f"w_{i}"), F.lit(0.0))).alias(f"_sw_{i}")
           for i in range(k)])
     log_lam = math.log(model.smoothing)
-    base = (docs.join(sums, key, "left").crossJoin(F.broadcast(model.prior_row())))
+    base = docs.join(sums, key, "left")
     x = F.coalesce(F.col("_X"), F.lit(0.0))
-    scores = [(F.col(f"pi_{i}") + x * (F.lit(log_lam) - F.col(f"ln_{i}"))
-               + F.coalesce(F.col(f"_sw_{i}"), F.lit(0.0))).alias(f"score_{i}") for i in range(k)]
+    scores = [(pi + x * (F.lit(log_lam) - ln) + F.coalesce(F.col(f"_sw_{i}"), F.lit(0.0)))
+              .alias(f"score_{i}") for i, (pi, ln) in enumerate(model.prior_values())]
     scored = base.select(*docs.columns, *scores)
     best = F.greatest(*[F.col(f"score_{i}") for i in range(k)]) if k > 1 else F.col("score_0")
     pred = F.lit(None).cast("int")

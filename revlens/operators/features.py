@@ -81,14 +81,12 @@ def idf(tc: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``(term, df, idf)`` with ``idf = ln((m + 1) / (df + 1))``, m = rows of ``docs``.
 
     ``tc`` holds each (document, term) once, so df is a plain count per term (partial
-    aggregation absorbs frequent terms map-side). m is a one-row aggregate joined by
-    broadcast, so the plan stays lazy.
+    aggregation absorbs frequent terms map-side). m is a scalar subquery (a one-row
+    aggregate run once), so the plan stays lazy.
     """
-    m = docs.agg(F.count(F.lit(1)).alias("_m"))
+    m = docs.agg(F.count(F.lit(1)).alias("_m")).scalar()
     df_t = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return (df_t.crossJoin(F.broadcast(m))
-            .select("term", "df",
-                    F.log((F.col("_m") + 1) / (F.col("df") + 1)).alias("idf")))
+    return df_t.select("term", "df", F.log((m + 1) / (F.col("df") + 1)).alias("idf"))
 
 
 def join_by_term(big: DataFrame, table: DataFrame, hashing: Hashing, weight: str | None = None,
@@ -117,10 +115,9 @@ def tfidf(tc: DataFrame, idf_table: DataFrame, hashing: Hashing = EXACT,
     the fitted vocabulary drop out, as they have no feature index.
     """
     if hashing.bound is not None and fit_docs is not None:
-        m = fit_docs.agg(F.count(F.lit(1)).alias("_m"))
-        j = (join_by_term(tc, idf_table, hashing, weight="df", how="left")
-             .crossJoin(F.broadcast(m)))
-        w = F.coalesce(F.col("idf"), F.log(F.col("_m") + F.lit(1.0)))
+        m = fit_docs.agg(F.count(F.lit(1)).alias("_m")).scalar()
+        j = join_by_term(tc, idf_table, hashing, weight="df", how="left")
+        w = F.coalesce(F.col("idf"), F.log(m + F.lit(1.0)))
     else:
         j = join_by_term(tc, idf_table, hashing, weight="df")
         w = F.col("idf")

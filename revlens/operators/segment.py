@@ -130,7 +130,7 @@ def max_match(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id", text_co
 
     One ``regexp_extract_all`` per text, JVM-side. With a bounded lexicon (at most
     ``MAX_TRIE_WORDS``) the pattern is a trie built from its rows; otherwise it is a flat
-    alternation aggregated from the lexicon table and broadcast as one row.
+    alternation aggregated from the lexicon table (a scalar subquery, run once).
     """
     if lexicon_bound is not None and lexicon_bound <= MAX_TRIE_WORDS:
         rows = lexicon.select("word").limit(lexicon_bound + 1).collect()
@@ -139,9 +139,8 @@ def max_match(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id", text_co
         pattern = F.lit(trie_pattern([r.word for r in rows if r.word], keep_unknown))
         toks = texts.select(key, F.regexp_extract_all(F.col(text_col), pattern, 0).alias("_t"))
     else:
-        pat = F.broadcast(lexicon_pattern(lexicon, keep_unknown))
-        toks = texts.crossJoin(pat).select(
-            key, F.regexp_extract_all(F.col(text_col), F.col("_pattern"), 0).alias("_t"))
+        pat = lexicon_pattern(lexicon, keep_unknown).scalar()
+        toks = texts.select(key, F.regexp_extract_all(F.col(text_col), pat, 0).alias("_t"))
     out = (toks.select(key, *explode_elements("_t", "word", with_pos=True, pos_name="idx"))
            .filter(F.col("word").isNotNull()))
     if clear_stop_words:
