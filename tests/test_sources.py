@@ -34,3 +34,18 @@ def test_line_files_and_word_counts(spark, tmp_dir):
     p2 = os.path.join(tmp_dir, "lines")
     write_lines(spark.createDataFrame([("5\ta",)], "line string"), p2)
     assert [r.value for r in read_lines(spark, p2).collect()] == ["5\ta"]
+
+
+def test_gbk_lines_survive_file_splits(spark, tmp_dir):
+    rows = [f"{i},x,{1 + i % 5},c,c,c,c,c,c,c,第{i}条评论：价格实惠，表情|符号\\也行" for i in range(300)]
+    path = os.path.join(tmp_dir, "big.csv")
+    with open(path, "wb") as f:
+        f.write(("\n".join(rows) + "\n").encode("gbk"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        lines = read_gbk_lines(spark, path)
+        assert lines.rdd.getNumPartitions() > 5
+        assert sorted(r.value for r in lines.collect()) == sorted(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
