@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.functions.hashing import row_hash
+from revlens.operators.clean import with_once
 
 # The reference's split is 60 % / 40 % with seed 1234 (Scala, Java) or 0 (Python).
 TRAIN_FRACTION = 0.6
@@ -35,10 +36,10 @@ def balance(labelled: DataFrame, positive_label: int = 1, key: str = "doc_id",
        window over that bucket's rows alone.
     """
     is_pos = F.col(label_col) == positive_label
-    h = row_hash(salt, F.col(key))
-    tagged = labelled.select(*labelled.columns,
-                             F.when(is_pos, h).alias("_h"),
-                             F.when(is_pos, F.substring(h, 1, bucket_digits)).alias("_b"))
+    # the hash is computed once per row (a one-element generator) and then cut to a bucket
+    hashed = with_once(labelled, labelled.columns,
+                       F.when(is_pos, row_hash(salt, F.col(key))), "_h")
+    tagged = hashed.withColumn("_b", F.substring("_h", 1, bucket_digits))
     stats = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
     # one pass over the <= 16**digits + 1 stat rows gives both n (the negatives' group,
     # _b null) and the running count of positives over the buckets in hash order
