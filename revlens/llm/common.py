@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.session import ensure_checkpoint_dir
@@ -16,6 +19,21 @@ from revlens.session import ensure_checkpoint_dir
 SLICE_ROWS = 256
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once an application, so that they need no
+    installed copy of it."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        top, name = os.path.split(package)
+        sc.addPyFile(shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="revlens-"), name), "zip", top, name))
+        _SHIPPED.add(sc.applicationId)
+
+
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet in the shared folder named by ``spark.checkpoint.dir`` and read
     it back: lineage is cut, and a lost executor loses nothing that was finished."""

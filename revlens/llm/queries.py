@@ -7,25 +7,53 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revlens.llm import packing, wavelet
+from revlens.llm import byte_bpe, language, licenses, packing, token_trie, wavelet
+from revlens.llm.common import ship_package
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return _table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path(WORD_BPE))
 
 
+def op4_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_trie.count_tokens(_docs(spark, sf_dir), public_tokenizers.path(PIECES))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(_docs(spark, sf_dir), public_tokenizers.path(WORD_BPE))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summarize(licenses.scan(_docs(spark, sf_dir)))
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_trie_token_counts": op4_trie_token_counts,
+    "op5_language_id": op5_language_id,
     "op6_wavelet_shards": op6_wavelet_shards,
+    "op7_license_scan": op7_license_scan,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE: dict[str, str] = {}
