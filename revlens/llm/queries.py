@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revlens.llm import byte_bpe, language, licenses, packing, token_trie, wavelet
+from revlens.llm import byte_bpe, fingerprints, language, licenses, packing, token_trie, wavelet
 from revlens.llm.common import ship_package
 
 WORD_BPE = "word_bpe_49k.json"
@@ -28,6 +28,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path(WORD_BPE))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(_docs(spark, sf_dir))
+
+
 def op4_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_trie.count_tokens(_docs(spark, sf_dir), public_tokenizers.path(PIECES))
 
@@ -50,6 +54,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op4_trie_token_counts": op4_trie_token_counts,
     "op5_language_id": op5_language_id,
     "op6_wavelet_shards": op6_wavelet_shards,
