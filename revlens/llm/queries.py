@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import ann, byte_bpe, fingerprints, language, licenses, packing, token_trie, wavelet
+from revlens.llm import ann, byte_bpe, fingerprints, language, licenses, neardup, packing, token_trie, wavelet
 from revlens.llm.common import ship_package
 
 WORD_BPE = "word_bpe_49k.json"
@@ -49,6 +49,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summarize(licenses.scan(_docs(spark, sf_dir)))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.group_near_duplicates(_docs(spark, sf_dir))
+
+
 def op9_cross_polytope_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_wavelet_shards": op6_wavelet_shards,
     "op7_license_scan": op7_license_scan,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_cross_polytope_neighbours": op9_cross_polytope_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
 }
