@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import ann, byte_bpe, fingerprints, language, licenses, neardup, packing, token_trie, wavelet
+from revlens.llm import ann, byte_bpe, fingerprints, language, licenses, neardup, packing, suffix_dedup, token_trie, wavelet
 from revlens.llm.common import ship_package
 
 WORD_BPE = "word_bpe_49k.json"
@@ -29,6 +29,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), public_tokenizers.path(WORD_BPE))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_docs(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(_docs(spark, sf_dir))
 
@@ -63,6 +68,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_trie_token_counts": op4_trie_token_counts,
     "op5_language_id": op5_language_id,
