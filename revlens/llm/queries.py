@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_cross_polytope_neighbours": op9_cross_polytope_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {}

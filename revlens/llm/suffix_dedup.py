@@ -374,44 +374,45 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, cell: int = CELL) ->
         split.where("times = 1").join(common, "digest").drop("digest", "times"))
 
 
-def marked(docs: DataFrame) -> DataFrame:
-    """doc_id, text (null as empty) and mark: 16 bits of the text's hash."""
+def marked(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text (null as empty), mark (16 bits of the text's hash) and carried columns."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.xxhash64(text).bitwiseAND(65535).cast("int").alias("mark"))
+                       F.xxhash64(text).bitwiseAND(65535).cast("int").alias("mark"), *carried)
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, mark and the text's bytes compressed for the way through a shuffle."""
+def packed_texts(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, mark, the text's bytes compressed for the way through a shuffle, carried columns."""
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("mark", T.IntegerType()),
-                           T.StructField("packed", T.BinaryType())])
+                           T.StructField("packed", T.BinaryType()), *(docs.schema[c] for c in carried)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1),
-                 pa.array([pack(t.encode()) for t in batch.column(2).to_pylist()], pa.binary())], names=schema.names)
+                 pa.array([pack(t.encode()) for t in batch.column(2).to_pylist()], pa.binary()),
+                 *batch.columns[3:]], names=schema.names)
 
-    return docs.select(*_KEY, "text").mapInArrow(run, schema)
+    return docs.select(*_KEY, "text", *carried).mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary: the
-    remaining bytes in order) of every whole text as UTF-8.
+def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (binary: the remaining
+    bytes in order) of every whole text as UTF-8, and the columns named in ``carried``.
 
     Every byte covered by ``length`` bytes that also start anywhere else goes, in all of their
     copies. Null and empty texts keep nothing and lose nothing. A repeated row is a copy of the
     other; rows that share an id but not their text are told apart by 16 bits of its hash.
     """
-    rows = marked(docs)
+    rows = marked(docs, carried)
     windows = repeated_windows(rows, length)
     spans = windows.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.struct(
         "first", (F.col("last") + length).alias("end")).alias("span")).groupBy("_id", "_mark").agg(
         F.collect_list("span").alias("spans"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
-                           T.StructField("kept", T.BinaryType())])
+                           T.StructField("kept", T.BinaryType()), *(docs.schema[c] for c in carried)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -440,8 +441,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 kept.append(b"".join(raw[x:y] for x, y in zip(left.tolist(), right.tolist())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in (sizes, gone, runs)),
-                 pa.array(kept, pa.binary())], names=schema.names)
+                 pa.array(kept, pa.binary()), *batch.columns[3:]], names=schema.names)
 
-    return packed_texts(rows).join(
+    return packed_texts(rows, carried).join(
         spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left").select(
-        "doc_id", "packed", "spans").mapInArrow(run, schema)
+        "doc_id", "packed", "spans", *carried).mapInArrow(run, schema)
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text without its repeats, n_chars of it, and the carried columns. A cut inside a
+    character takes the rest of the character too; a text may become empty."""
+    text = F.arrow_udf(lambda kept: pa.array([k.decode(errors="ignore") for k in kept.to_pylist()], pa.string()), "string")
+    rows = remove_repeats(docs, length, carried).select("doc_id", text("kept").alias("text"), *carried)
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
