@@ -5,6 +5,8 @@ import re
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
+from revlens.plans.queries import QUERIES
+
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -25,7 +27,7 @@ def test_scan_prunes_columns_and_top_k_is_bounded(spark):
 
 
 def test_no_python_in_registered_queries(spark):
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         if name.startswith("svm_") or name in ("ml_pipeline_predictions", "segment_mmseg"):
             continue  # model fits while the plan is built; mmseg is the one Python step
         p = plan_of(q(spark, SF_SMALL))
