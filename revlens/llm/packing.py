@@ -105,7 +105,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, length_col: str = "length",
     """
     items = items.drop("sequence_id", "offset")
     names = items.columns
-    payload = T.StructType([*items.schema.fields, T.StructField("offset", T.LongType())])
+    payload = T.StructType([T.StructField(f.name, f.dataType) for f in items.schema] +
+                           [T.StructField("offset", T.LongType())])
     carried = T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField("fill", T.LongType()),
                             T.StructField("members", T.ArrayType(payload)), T.StructField("closed", T.BooleanType())])
 
