@@ -47,6 +47,17 @@ def explode_elements(arr: str | Column, name: str, with_pos: bool = False,
     return [F.explode_outer(a).alias(name)]
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row: a lambda over a one-element array
+    binds it, so the optimizer cannot copy the expression to every place that uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def code_points(text: str | Column) -> Column:
+    """The characters of a text, one element per code point, line breaks included."""
+    return F.filter(F.split(_col(text), ""), lambda c: c != "")
+
+
 def flatten_breaks(text: str | Column) -> Column:
     """Replace every run of line breaks and tabs by one blank (keeps a review on one line)."""
     return F.regexp_replace(_col(text), LINE_BREAKS, " ")
@@ -110,7 +121,7 @@ def cn_numeral_to_arabic(token: str | Column) -> Column:
 
     A fold over the characters keeps (total, section, digit): a digit is remembered, a small
     unit adds digit*unit to the section (a bare 十 counts as 一十), a large unit closes the
-    section. Tokens without units (二零二三) read digit by digit.
+    section. Tokens without units (二零二三) read digit by digit. A value beyond 64 bits is null.
     """
     t = _col(token)
     all_chars = "".join(list(CN_DIGITS) + list(CN_SMALL_UNITS) + list(CN_LARGE_UNITS))
@@ -134,20 +145,24 @@ def cn_numeral_to_arabic(token: str | Column) -> Column:
         d, s = digit_of(ch), small_of(ch)
         wan = ch == "万"
         yi = ch == "亿"
-        new_total = (F.when(wan, total + (section + digit) * 10_000)
-                     .when(yi, (total + section + digit) * 100_000_000)
+        new_total = (F.when(wan, F.try_add(total, F.try_multiply(F.try_add(section, digit), big(10_000))))
+                     .when(yi, F.try_multiply(F.try_add(F.try_add(total, section), digit), big(100_000_000)))
                      .otherwise(total))
-        new_section = (F.when(s.isNotNull(),
-                              section + F.when(digit == 0, F.lit(1)).otherwise(digit) * s)
+        new_section = (F.when(s.isNotNull(), F.try_add(
+            section, F.try_multiply(F.when(digit == 0, big(1)).otherwise(digit), s)))
                        .when(wan | yi, F.lit(0).cast("long"))
                        .otherwise(section))
         new_digit = F.when(d.isNotNull(), d).otherwise(F.lit(0).cast("long"))
         return F.struct(new_total.alias("total"), new_section.alias("section"),
                         new_digit.alias("digit"))
 
+    def big(n: int) -> Column:
+        return F.lit(n).cast("long")
+
     zero = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("section"),
                     F.lit(0).cast("long").alias("digit"))
     chars = F.split(t, "")
-    folded = F.aggregate(chars, zero, step, lambda a: a["total"] + a["section"] + a["digit"])
-    digitwise = F.aggregate(chars, F.lit(0).cast("long"), lambda acc, ch: acc * 10 + digit_of(ch))
+    folded = F.aggregate(chars, zero, step, lambda a: F.try_add(F.try_add(a["total"], a["section"]), a["digit"]))
+    digitwise = F.aggregate(chars, F.lit(0).cast("long"), lambda acc, ch: F.try_add(
+        F.try_multiply(acc, big(10)), digit_of(ch)))
     return F.when(is_numeral & has_unit, folded).when(is_numeral, digitwise)

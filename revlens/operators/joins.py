@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest table broadcast after a row-count check (rows, not bytes: the tables broadcast
-# here are narrow -- a key and one or two numbers).
+# Largest table broadcast on a proven row bound (rows, not bytes: the tables broadcast here
+# are narrow -- a key and one or two numbers).
 DEFAULT_BROADCAST_ROWS = 2_000_000
-# Number of heaviest keys treated as hot when a table keyed by a skewed key is joined.
-DEFAULT_HOT_KEYS = 10_000
-# Ways a hot key's rows are spread over reducers by salted_join.
-DEFAULT_SALTS = 64
+# Rows of one key that a reducer gets in a salted join.
+ROWS_PER_SALT = 1_000_000
 
 
 def broadcast_if_bounded(small: DataFrame, bound: int | None,
@@ -27,32 +25,26 @@ def broadcast_if_bounded(small: DataFrame, bound: int | None,
     return small
 
 
-def hot_keys(table: DataFrame, key: str, weight: str, n: int = DEFAULT_HOT_KEYS) -> DataFrame:
-    """The ``n`` keys with the largest ``weight`` (e.g. document frequency): at most n rows."""
-    return table.orderBy(F.desc(weight), F.asc(key)).limit(n).select(key)
+def salted_join(big: DataFrame, small: DataFrame, key: str, weights: DataFrame, weight: str,
+                how: str = "inner", rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Shuffled join of ``big`` to ``small`` (one row per key) in one pass over ``big``, with
+    each key spread over as many reducers as its ``weight`` asks for.
 
-
-def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame,
-                how: str = "inner", salts: int = DEFAULT_SALTS) -> DataFrame:
-    """Shuffled join of ``big`` to ``small`` (one row per key) in one pass over ``big``,
-    with hot keys spread over ``salts`` reducers.
-
-    ``hot`` (at most n keys, broadcast) tags the rows of hot keys; such a row of ``big``
-    gets a salt from a hash of the whole row, and the matching row of ``small`` is copied
-    once per salt (n x salts extra rows at most). Other keys keep salt 0. The join on
-    (key, salt) then gives every pair exactly once, for inner and left joins alike.
+    ``weights (key, weight)`` tells about how many rows of ``big`` a key has (its document
+    frequency, say). A key above ``rows_per_salt`` gets ``weight / rows_per_salt`` salts: a row
+    of ``big`` takes one by a hash of the whole row, and the row of ``small`` is copied once per
+    salt. There are at most total weight / rows_per_salt such keys and copies. Other keys keep
+    salt 0, so every pair comes out exactly once, for inner and left joins alike.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    tag = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
-    b = (big.join(tag, key, "left")
-         .withColumn("_salt", F.when(F.col("_hot"),
-                                     F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
-                                            F.lit(salts)).cast("int"))
-                     .otherwise(F.lit(0)))
-         .drop("_hot"))
-    s = (small.join(tag, key, "left")
-         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                        .otherwise(F.array(F.lit(0)))))
-         .drop("_hot"))
+    hot = weights.filter(F.col(weight) > rows_per_salt).select(
+        key, F.ceil(F.col(weight) / rows_per_salt).cast("int").alias("_salts"))
+    b = (big.join(hot, key, "left")
+         .withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(
+             F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_salts")).cast("int")).otherwise(F.lit(0)))
+         .drop("_salts"))
+    s = (small.join(hot, key, "left")
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+         .drop("_salts"))
     return b.join(s, [key, "_salt"], how).drop("_salt")

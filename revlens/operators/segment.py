@@ -1,45 +1,63 @@
 """Dictionary segmentation of unsegmented text, given a lexicon table.
 
-Four modes; the first three are JVM-side (no Python per row):
-
-* ``full``      every lexicon word occurring in the text, overlapping: all k-grams
-                (k = min_len .. max_len) from look-ahead matches, joined with the lexicon.
-* ``max_match`` forward maximum matching: at each position the longest lexicon word,
-                else one character (``keep_unknown``). One ``regexp_extract_all`` whose
-                pattern is the lexicon as a trie (bounded lexicons) or as a flat
-                alternation, longest words first, aggregated from the lexicon table.
-* ``search``    ``max_match`` tokens plus every shorter lexicon word inside a token, each
-                with its offset in the token.
-* ``mmseg``     the segmenter's "complex" mode: MMSEG chunk rules 1-3, one small Python
-                step per document inside ``mapInPandas`` (the rules are sequential).
-
-The lexicon itself can be a Spark job: ``frequent_lexicon`` keeps the most frequent corpus
-words, so its size is bounded by construction and it may be broadcast.
+One path for every mode and any lexicon, without Python:
+
+* each text becomes one row per code point with the window of the next ``max_len`` characters;
+* windows meet the lexicon's prefixes first, only hits are widened to candidate words, and
+  those meet the lexicon: ``(key, pos, word)``, every dictionary word at every position;
+* ``full`` returns these; ``max_match`` folds the longest word per position from left to right,
+  ``mmseg`` the first word of the best three-word chunk; ``search`` adds to the ``max_match``
+  tokens every shorter dictionary word inside them.
+
+The lexicon is cleaned (no blanks, no repeats, ``min_len``..``max_len`` characters), written
+once and counted; it is broadcast only if it has at most ``BROADCAST_WORDS`` rows and joined by
+a salted shuffle otherwise, with the same result. ``lexicon_by_count`` makes one from a corpus.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions.text import STOP_WORDS, despace, explode_elements
-from revlens.operators.joins import broadcast_if_bounded
-from revlens.operators.metrics import top_words, word_counts
+from revlens.functions.text import STOP_WORDS, bind, code_points, despace
+from revlens.operators.joins import salted_join
+from revlens.operators.metrics import word_counts
+from revlens.session import materialize
 
 # Segmenter settings of the reference -- longest word 7 characters, stop words
-# kept, unknown characters kept as words, and these marks kept inside tokens: @ # % . & +
+# kept, unknown characters kept as words, and these marks kept: @ # % . & +
 MAX_LEN = 7
 CLEAR_STOP_WORDS = False
 KEEP_UNKNOWN = True
-KEEP_PUNCTUATION = "@#%.&+"
+KEEP_MARKS = "@#%.&+"
 MIN_LEN = 2
+#: Most lexicon rows that are broadcast (a word and a few numbers each).
+BROADCAST_WORDS = 500_000
+
 
+@dataclass(frozen=True)
+class Settings:
+    """Segmenter settings, taken by every mode.
+
+    ``keep_unknown``: a character that starts no dictionary word is a token of its own (in
+    ``full`` mode too, if no dictionary word covers it); without it only characters in
+    ``keep_marks`` are. ``clear_stop_words`` drops the tokens in ``STOP_WORDS``.
+    """
 
-def frequent_lexicon(docs: DataFrame, size: int, words_col: str = "words",
+    max_len: int = MAX_LEN
+    min_len: int = MIN_LEN
+    keep_unknown: bool = KEEP_UNKNOWN
+    clear_stop_words: bool = CLEAR_STOP_WORDS
+    keep_marks: str = KEEP_MARKS
+
+
+def lexicon_by_count(docs: DataFrame, min_count: int, words_col: str = "words",
                      min_len: int = MIN_LEN, max_len: int = MAX_LEN) -> DataFrame:
-    """``(word, n)``: the ``size`` most frequent words of length min_len..max_len."""
-    counts = word_counts(docs, words_col).filter(F.length("word").between(min_len, max_len))
-    return top_words(counts, size)
+    """``(word, n)``: all words of min_len..max_len characters that occur at least ``min_count`` times."""
+    return word_counts(docs, words_col).filter(
+        F.length("word").between(min_len, max_len) & (F.col("n") >= min_count))
 
 
 def unsegmented(texts: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -47,250 +65,176 @@ def unsegmented(texts: DataFrame, key: str = "doc_id", text_col: str = "text") -
     return texts.select(key, despace(text_col).alias("text"))
 
 
-def _lexicon_side(lexicon: DataFrame, bound: int | None) -> DataFrame:
-    return broadcast_if_bounded(lexicon.select("word"), bound)
-
-
-def full_matches(texts: DataFrame, lexicon: DataFrame, lexicon_bound: int | None,
-                 key: str = "doc_id", text_col: str = "text",
-                 min_len: int = MIN_LEN, max_len: int = MAX_LEN) -> DataFrame:
-    """``(key, pos, word)``: every lexicon word at every position (0-based), overlapping.
-
-    For each k one look-ahead ``(?=(.{k}))`` yields the k-gram starting at every position
-    and ``posexplode`` gives its position; no row carries the whole text and no substring
-    walks the text from its start. Candidates (characters x lengths) stream into a
-    broadcast hash join with the lexicon; nothing is grouped or shuffled.
-    """
-    t = F.col(text_col)
-    cands = None
-    for k in range(min_len, max_len + 1):
-        grams = (texts.select(key, *explode_elements(
-            F.regexp_extract_all(t, F.lit(f"(?=(.{{{k}}}))"), 1), "word", with_pos=True))
-            .filter(F.col("word").isNotNull()))
-        cands = grams if cands is None else cands.unionByName(grams)
-    return (cands.join(_lexicon_side(lexicon, lexicon_bound), "word")
-            .select(key, "pos", "word"))
-
-
-def lexicon_pattern(lexicon: DataFrame, keep_unknown: bool = KEEP_UNKNOWN) -> DataFrame:
-    """One row ``_pattern``: lexicon words as an alternation, longest first, then ``.``.
-
-    Regex alternation takes the first alternative that matches at the leftmost position,
-    so longest-first order makes each match the longest lexicon word starting there.
-    Words are quoted with \\Q..\\E so any character is literal.
-    """
-    ordered = F.array_sort(
-        F.collect_list(F.struct((-F.length("word")).alias("neg_len"), F.col("word").alias("w"))))
-    alts = F.concat_ws("|", F.transform(ordered, lambda s: F.concat(F.lit("\\Q"), s["w"],
-                                                                    F.lit("\\E"))))
-    tail = "|." if keep_unknown else ""
-    return lexicon.agg(F.concat(alts, F.lit(tail)).alias("_pattern"))
-
-
-# Largest lexicon turned into a trie pattern on the driver (its rows are collected behind
-# this row-count check); larger lexicons use the aggregated flat pattern.
-MAX_TRIE_WORDS = 50_000
-
-
-def _escape(ch: str) -> str:
-    return ch if ch.isalnum() else "\\" + ch
-
-
-def trie_pattern(words: list[str], keep_unknown: bool = KEEP_UNKNOWN) -> str:
-    """The lexicon as a trie-shaped regex: at each node the longer continuations are tried
-    first (greedy optional groups), so a match is the longest word starting at a position,
-    exactly as the flat longest-first alternation, with a few attempts per character
-    instead of one per word."""
-    trie: dict = {}
-    for w in set(words):
-        node = trie
-        for ch in w:
-            node = node.setdefault(ch, {})
-        node[""] = {}
-
-    def emit(node: dict) -> str:
-        kids = sorted(k for k in node if k)
-        alts = [_escape(k) + emit(node[k]) for k in kids]
-        if not alts:
-            return ""
-        body = alts[0] if len(alts) == 1 and len(kids[0]) == 1 and not emit(node[kids[0]]) \
-            else "(?:" + "|".join(alts) + ")"
-        return body + ("?" if "" in node else "")
-
-    root = emit(trie)
-    if root.endswith("?"):
-        root = root[:-1]
-    return root + ("|." if keep_unknown else "") if root else ("." if keep_unknown else "(?!)")
-
-
-def max_match(texts: DataFrame, lexicon: DataFrame, key: str = "doc_id", text_col: str = "text",
-              keep_unknown: bool = KEEP_UNKNOWN, clear_stop_words: bool = CLEAR_STOP_WORDS,
-              lexicon_bound: int | None = None) -> DataFrame:
-    """``(key, idx, word)``: forward-maximum-matching tokens in order (idx from 0).
-
-    One ``regexp_extract_all`` per text, JVM-side. With a bounded lexicon (at most
-    ``MAX_TRIE_WORDS``) the pattern is a trie built from its rows; otherwise it is a flat
-    alternation aggregated from the lexicon table (a scalar subquery, run once).
-    """
-    if lexicon_bound is not None and lexicon_bound <= MAX_TRIE_WORDS:
-        rows = lexicon.select("word").limit(lexicon_bound + 1).collect()
-        if len(rows) > lexicon_bound:
-            raise ValueError(f"lexicon has more than {lexicon_bound} rows")
-        pattern = F.lit(trie_pattern([r.word for r in rows if r.word], keep_unknown))
-        toks = texts.select(key, F.regexp_extract_all(F.col(text_col), pattern, 0).alias("_t"))
-    else:
-        pat = lexicon_pattern(lexicon, keep_unknown).scalar()
-        toks = texts.select(key, F.regexp_extract_all(F.col(text_col), pat, 0).alias("_t"))
-    out = (toks.select(key, *explode_elements("_t", "word", with_pos=True, pos_name="idx"))
-           .filter(F.col("word").isNotNull()))
-    if clear_stop_words:
-        out = out.filter(~F.col("word").isin(STOP_WORDS))
-    return out
-
-
-def search_tokens(tokens: DataFrame, lexicon: DataFrame, lexicon_bound: int | None,
-                  key: str = "doc_id", min_len: int = MIN_LEN, max_len: int = MAX_LEN
-                  ) -> DataFrame:
-    """``(key, idx, off, word)``: each max-match token (off = 0, the token itself) plus the
-    shorter lexicon words inside it (off = their start in the token).
-
-    One pass over the tokens. A token is at most ``max_len`` characters long, so its inner
-    k-grams are written out per token length as a fixed array of substrings (at most 20
-    for length 7), chosen by a CASE on the length: plain generated code, no lambdas.
-    Tokens of length <= min_len explode to themselves only. One left join with the
-    broadcast lexicon keeps each token and its inner k-grams that are words.
-    """
-    w = F.col("word")
-    n = F.length(w)
-
-    def cand(off, word, tok):
-        return F.struct(F.lit(off).alias("off"), word.alias("word"), F.lit(tok).alias("tok"))
-
-    itself = cand(0, w, True)
-    both = None
-    for L in range(min_len + 1, max_len + 1):
-        arr = F.array(itself, *[cand(o, F.substring(w, o + 1, k), False)
-                                for k in range(min_len, L) for o in range(0, L - k + 1)])
-        both = F.when(n == L, arr) if both is None else both.when(n == L, arr)
-    both = both.otherwise(F.array(itself))
-    cands = tokens.select(key, "idx", F.explode(both).alias("_c"))
-    lex = _lexicon_side(lexicon, lexicon_bound).withColumn("_in", F.lit(True))
-    return (cands.select(key, "idx", F.col("_c.off").alias("off"), F.col("_c.word").alias("word"),
-                         F.col("_c.tok").alias("_tok"))
-            .join(lex, "word", "left")
-            .filter(F.col("_tok") | F.col("_in").isNotNull())
-            .select(key, "idx", "off", "word"))
-
-
-def _mmseg_tokens(text: str, lex: set, max_len: int, min_len: int) -> list[str]:
-    """MMSEG "complex" segmentation of one text (C.-H. Tsai, 1996), rules 1-3.
-
-    At each position every three-word chunk (words from the lexicon or single characters)
-    is scored by (1) total length, (2) mean word length, (3) smallest variance of word
-    lengths; the first word of the best chunk is emitted. Rule 4 (frequency of single
-    characters) needs a character-frequency table and is not applied; remaining ties keep
-    the longest first word.
+class Lexicon:
+    """A cleaned lexicon, written once: ``words (word, n)`` and whether it may be broadcast."""
+
+    def __init__(self, lexicon: DataFrame, settings: Settings):
+        weight = F.col("n").cast("long") if "n" in lexicon.columns else F.lit(0).cast("long")
+        words = (lexicon.select("word", weight.alias("n"))
+                 .filter((F.trim("word") != "") & F.length("word").between(settings.min_len, settings.max_len))
+                 .groupBy("word").agg(F.max("n").alias("n")))
+        self.words = materialize(words, "lexicon")
+        self.small = self.words.count() <= BROADCAST_WORDS
+
+    def join(self, candidates: DataFrame) -> DataFrame:
+        """The candidate rows whose ``word`` is in the lexicon."""
+        words = self.words.select("word")
+        if self.small:
+            return candidates.join(F.broadcast(words), "word", "left_semi")
+        return salted_join(candidates, words, "word", self.words.select("word", "n"), "n")
+
+    def prefixes(self, size: int) -> DataFrame:
+        """``(prefix, sizes)``: word lengths behind each prefix of ``size`` characters."""
+        out = self.words.groupBy(F.substring("word", 1, size).alias("prefix")).agg(
+            F.collect_set(F.length("word")).alias("sizes"))
+        return F.broadcast(out) if self.small else out
+
+
+def _hits(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
+    """``(key, n, pos, word)``: every lexicon word at every position (0-based code points);
+    n is the text's length."""
+    windows = bind(code_points(text_col), lambda cs: F.transform(
+        cs, lambda c, i: F.array_join(F.slice(cs, i + 1, s.max_len), "")))
+    rows = texts.select(key, windows.alias("_w")).select(
+        key, F.size("_w").alias("n"), F.posexplode_outer("_w").alias("pos", "_window")).filter(
+        F.col("_window").isNotNull())
+    rows = rows.withColumn("prefix", F.substring("_window", 1, s.min_len)).join(
+        lexicon.prefixes(s.min_len), "prefix")
+    rows = rows.withColumn("_k", F.explode("sizes")).filter(F.col("_k") <= F.length("_window"))
+    return lexicon.join(rows.select(key, "n", "pos", F.expr("substring(_window, 1, _k)").alias("word")))
+
+
+def _fold(hits: DataFrame, texts: DataFrame, s: Settings, key: str, text_col: str) -> DataFrame:
+    """Tokens ``(key, idx, word)`` from one chosen length per position (key, pos, len): from the
+    left, the next chosen word that starts at or after the end of the last one; what lies
+    between is single characters."""
+    chosen = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("pos", "len"))),
+        F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<pos:int,len:int>>").alias("got")),
+        lambda state, h: F.when(h["pos"] >= state["next"], F.struct(
+            (h["pos"] + h["len"]).alias("next"), F.concat(state["got"], F.array(h)).alias("got"))).otherwise(state))
+    words = hits.groupBy(key).agg(chosen["got"].alias("_got"))
+    none = F.array().cast("array<struct<pos:int,len:int>>")
+
+    def unknown(chars: Column) -> Column:
+        return F.transform(chars, lambda c: F.struct(c.alias("word"), F.lit(False).alias("known")))
+
+    def tokens(cs: Column) -> Column:
+        def end(i):
+            h = F.get(F.col("_got"), i)
+            return F.coalesce(h["pos"] + h["len"], F.lit(0))
+
+        known = F.flatten(F.transform("_got", lambda h, i: F.concat(
+            unknown(F.slice(cs, end(i - 1) + 1, h["pos"] - end(i - 1))),
+            F.array(F.struct(F.array_join(F.slice(cs, h["pos"] + 1, h["len"]), "").alias("word"),
+                             F.lit(True).alias("known"))))))
+        last = end(F.size("_got") - 1)
+        return F.concat(known, unknown(F.slice(cs, last + 1, F.size(cs) - last)))
+
+    both = texts.join(words, key, "left").withColumn("_got", F.coalesce("_got", none))
+    all_tokens = bind(code_points(text_col), tokens)
+    if not s.keep_unknown:
+        all_tokens = F.filter(all_tokens, lambda t: t["known"] | t["word"].isin(list(s.keep_marks)))
+    out = both.select(key, F.posexplode_outer(all_tokens).alias("idx", "_t")).filter(
+        F.col("_t").isNotNull()).select(key, "idx", F.col("_t.word").alias("word"))
+    return _without_stop_words(out, s)
+
+
+def _without_stop_words(tokens: DataFrame, s: Settings) -> DataFrame:
+    return tokens.filter(~F.col("word").isin(STOP_WORDS)) if s.clear_stop_words else tokens
+
+
+def _dealt(texts: DataFrame, key: str, text_col: str) -> DataFrame:
+    """Texts dealt by key, so that their hits are gathered where they arise."""
+    return texts.select(key, F.col(text_col)).repartition(key)
+
+
+def full_matches(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
+    """``(key, pos, word)``: every lexicon word at every position, overlapping. Nothing is
+    grouped, and only a lexicon too large to broadcast makes a shuffle."""
+    return _without_stop_words(_hits(texts, lexicon, s, key, text_col).select(key, "pos", "word"), s)
+
+
+def max_match(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
+    """``(key, idx, word)``: forward maximum matching, the longest lexicon word at each place."""
+    texts = _dealt(texts, key, text_col)
+    longest = _hits(texts, lexicon, s, key, text_col).groupBy(key, "pos").agg(
+        F.max(F.length("word")).alias("len"))
+    return _fold(longest, texts, s, key, text_col)
+
+
+def mmseg(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
+    """``(key, idx, word)``: the "complex" mode, MMSEG chunk rules 1-3 (C.-H. Tsai, 1996).
+
+    From each position all chunks of three words (dictionary words or single characters) are
+    scored by total length, then fewer words (a larger mean), then the smaller sum of squared
+    lengths (at equal total and number, the smaller variance); ties keep the longest first word.
+    Rule 4 needs a character-frequency table and is not applied.
     """
-    n = len(text)
-    cache: dict[int, list[int]] = {}
-
-    def cands(i: int) -> list[int]:
-        c = cache.get(i)
-        if c is None:
-            c = [k for k in range(min(max_len, n - i), min_len - 1, -1) if text[i:i + k] in lex]
-            c.append(1)
-            cache[i] = c
-        return c
-
-    out, i = [], 0
-    while i < n:
-        first = cands(i)
-        if len(first) == 1:
-            out.append(text[i])
-            i += 1
-            continue
-        best, best_len = None, 1
-        for a in first:
-            j = i + a
-            for b in (cands(j) if j < n else [0]):
-                m = j + b
-                for c in (cands(m) if b and m < n else [0]):
-                    lens = [x for x in (a, b, c) if x]
-                    total = sum(lens)
-                    mean = total / len(lens)
-                    var = sum((x - mean) ** 2 for x in lens) / len(lens)
-                    score = (total, mean, -var)
-                    if best is None or score > best:
-                        best, best_len = score, a
-        out.append(text[i:i + best_len])
-        i += best_len
-    return out
-
-
-def mmseg(texts: DataFrame, lexicon: DataFrame, lexicon_bound: int, key: str = "doc_id",
-          text_col: str = "text", keep_unknown: bool = KEEP_UNKNOWN,
-          min_len: int = MIN_LEN, max_len: int = MAX_LEN) -> DataFrame:
-    """``(key, idx, word)``: MMSEG ("complex" mode) tokens in order.
-
-    The chunk rules pick each word by looking three words ahead, a sequential choice no
-    column expression can make, so this is the one per-document Python step: Spark
-    partitions the texts, each task segments its Arrow batches with the lexicon (bounded,
-    size-checked, shipped once per task), and the tokens come back as rows.
+    texts = _dealt(texts, key, text_col)
+    at = _hits(texts, lexicon, s, key, text_col).groupBy(key, "n", "pos").agg(
+        F.array_union(F.collect_set(F.length("word")), F.array(F.lit(1))).alias("sizes"))
+    at = materialize(at, "word-lengths")
+
+    def widen(rows: DataFrame, name: str) -> DataFrame:
+        """Rows with ``end`` to rows with one more word of the chunk (0: the text is over)."""
+        more = at.select(key, F.col("pos").alias("end"), F.col("sizes").alias("_next"))
+        one = F.when(F.col("end") < F.col("n"), F.array(F.lit(1))).otherwise(F.array(F.lit(0)))
+        return (rows.join(more, [key, "end"], "left")
+                .withColumn(name, F.explode(F.coalesce("_next", one))).drop("_next")
+                .withColumn("end", F.col("end") + F.col(name)))
+
+    chunks = at.select(key, "n", "pos", F.explode("sizes").alias("a")).withColumn("end", F.col("pos") + F.col("a"))
+    chunks = widen(widen(chunks, "b"), "c")
+    sizes = [F.col(c) for c in "abc"]
+    score = F.struct(
+        (F.col("end") - F.col("pos")).alias("total"),
+        (-sum((x > 0).cast("int") for x in sizes)).alias("fewer"),
+        (-sum(x * x for x in sizes)).alias("even"), F.col("a"))
+    best = chunks.groupBy(key, "pos").agg(F.max(score)["a"].alias("len"))
+    return _fold(best.filter("len > 1"), texts, s, key, text_col)
+
+
+def search_tokens(tokens: DataFrame, lexicon: Lexicon, s: Settings, key: str) -> DataFrame:
+    """``(key, idx, off, word)``: each token (off 0, the token itself) and every shorter lexicon
+    word inside it (off: where it starts in the token), whatever the token's length."""
+    n = F.length("word")
+    inner = F.flatten(F.transform(F.sequence(F.lit(0), n - s.min_len), lambda o: F.transform(
+        F.sequence(F.lit(s.min_len), F.least(n - o, n - 1)), lambda k: F.struct(
+            o.alias("off"), F.col("word").substr(o + 1, k).alias("word")))))
+    long = tokens.filter(n > s.min_len).select(key, "idx", F.explode(
+        F.filter(inner, lambda x: F.length(x["word"]) >= s.min_len)).alias("_c"))
+    found = lexicon.join(long.select(key, "idx", F.col("_c.off").alias("off"), F.col("_c.word").alias("word")))
+    return _without_stop_words(
+        tokens.select(key, "idx", F.lit(0).alias("off"), "word").unionByName(found.select(key, "idx", "off", "word")), s)
+
+
+def segment(texts: DataFrame, lexicon: DataFrame, mode: str = "max_match", key: str = "doc_id",
+            text_col: str = "text", **settings) -> DataFrame:
+    """Segment ``texts`` by ``mode`` (full, max_match, mmseg, search) under ``Settings``.
+
+    Positions count code points, so line breaks and characters beyond the first plane count
+    one. Null and empty texts have no tokens; blank and repeated lexicon rows count once or not
+    at all, an empty lexicon leaves single characters (nothing in ``full``). ``key`` names one
+    text: rows that share it are not told apart.
     """
-    import pandas as pd
-    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
-
-    rows = lexicon.select("word").limit(lexicon_bound + 1).collect()
-    if len(rows) > lexicon_bound:
-        raise ValueError(f"lexicon has more than {lexicon_bound} rows")
-    words = sorted({r.word for r in rows if r.word})
-    schema = StructType([texts.schema[key], StructField("idx", IntegerType(), False),
-                         StructField("word", StringType(), False)])
-
-    def run(batches):
-        lex = set(words)
-        for pdf in batches:
-            ks, idx, ws = [], [], []
-            for k, t in zip(pdf[key], pdf[text_col]):
-                toks = _mmseg_tokens(t or "", lex, max_len, min_len)
-                if not keep_unknown:
-                    toks = [w for w in toks if len(w) > 1 or w in lex]
-                ks.extend([k] * len(toks))
-                idx.extend(range(len(toks)))
-                ws.extend(toks)
-            yield pd.DataFrame({key: ks, "idx": pd.Series(idx, dtype="int32"), "word": ws})
-
-    src = texts.select(key, text_col)
-    par = src.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() < par:
-        # CPU-bound Python per document: spread few large input splits over all cores
-        src = src.repartition(2 * par, key)
-    return src.mapInPandas(run, schema)
-
-
-def segment(texts: DataFrame, lexicon: DataFrame, mode: str = "max_match",
-            lexicon_bound: int | None = None, key: str = "doc_id",
-            text_col: str = "text", **kw) -> DataFrame:
-    """Dispatch on ``mode`` (full, max_match, search)."""
+    s = Settings(**settings)
+    words = Lexicon(lexicon, s)
     if mode == "full":
-        return full_matches(texts, lexicon, lexicon_bound, key, text_col, **kw)
+        return full_matches(texts, words, s, key, text_col)
     if mode == "max_match":
-        return max_match(texts, lexicon, key, text_col, lexicon_bound=lexicon_bound, **kw)
+        return max_match(texts, words, s, key, text_col)
     if mode == "mmseg":
-        if lexicon_bound is None:
-            raise ValueError("mmseg needs a bounded lexicon")
-        return mmseg(texts, lexicon, lexicon_bound, key, text_col, **kw)
+        return mmseg(texts, words, s, key, text_col)
     if mode == "search":
-        return search_tokens(max_match(texts, lexicon, key, text_col,
-                                       lexicon_bound=lexicon_bound, **kw),
-                             lexicon, lexicon_bound, key)
+        # the tokens feed two branches: written once
+        kept = Settings(**{**settings, "clear_stop_words": False})
+        return search_tokens(materialize(max_match(texts, words, kept, key, text_col), "tokens"), words, s, key)
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def words_per_document(tokens: DataFrame, key: str = "doc_id", order: Column | None = None
-                       ) -> DataFrame:
-    """Tokens back to one word array per document, in token order."""
-    order = order if order is not None else F.col("idx")
+def words_per_document(tokens: DataFrame, key: str = "doc_id", order: str = "idx") -> DataFrame:
+    """Tokens back to one word array per document, in token order (``order``: a column)."""
     return (tokens.groupBy(key)
-            .agg(F.sort_array(F.collect_list(F.struct(order.alias("_o"), F.col("word")))).alias("_a"))
+            .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), F.col("word")))).alias("_a"))
             .select(key, F.col("_a.word").alias("words")))

@@ -1,76 +1,141 @@
-"""Segmentation modes against brute force on a small lexicon."""
+"""Segmentation modes against brute force on small lexicons."""
 
-from revlens.operators.segment import full_matches, max_match, search_tokens
+import pytest
 
-LEX = ["好吃", "好吃的", "吃的", "价位", "这个", "口味", "说不上", "特别"]
-TEXTS = ["这个价位这个口味就那样说不上特别好吃的", "好吃的好吃", "xyz", ""]
+from revlens.operators import segment as seg
+from revlens.plans.pipeline import segmented
 
+LEX = ["好吃", "好吃的", "吃的", "价位", "这个", "口味", "说不上", "特别", "好吃", " ", "", None]
+TEXTS = ["这个价位这个口味就那样说不上特别好吃的", "好吃的好吃", "xyz", "", None, "ab\n好吃", "😀好吃😀的", "好\t吃@的."]
+WORDS = {w for w in LEX if w and w.strip()}
 
-def _frames(spark):
-    t = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
-    lex = spark.createDataFrame([(w,) for w in LEX], "word string")
-    return t, lex
 
+def _frames(spark, texts=TEXTS, words=LEX):
+    t = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return t, spark.createDataFrame([(w,) for w in words], "word string")
 
-def _brute_full(text):
-    return {(p, text[p:p + k]) for p in range(len(text)) for k in range(2, 8)
-            if p + k <= len(text) and text[p:p + k] in LEX}
 
+def _full(text, words=WORDS, longest=7):
+    return {(p, text[p:p + k]) for p in range(len(text)) for k in range(2, longest + 1)
+            if p + k <= len(text) and text[p:p + k] in words}
+
+
+def _max(text, words=WORDS, longest=7):
+    out, i = [], 0
+    while i < len(text):
+        k = next((k for k in range(longest, 1, -1) if text[i:i + k] in words and i + k <= len(text)), 1)
+        out.append(text[i:i + k])
+        i += k
+    return out
+
+
+def _mmseg(text, words, longest=7):
+    def sizes(i):
+        return [k for k in range(min(longest, len(text) - i), 1, -1) if text[i:i + k] in words] + [1]
 
-def _brute_max(text):
     out, i = [], 0
     while i < len(text):
-        for k in range(7, 0, -1):
-            if k == 1 or text[i:i + k] in LEX:
-                out.append(text[i:i + k])
-                i += k
-                break
+        best = None
+        for a in sizes(i):
+            for b in (sizes(i + a) if i + a < len(text) else [0]):
+                for c in (sizes(i + a + b) if b and i + a + b < len(text) else [0]):
+                    got = [x for x in (a, b, c) if x]
+                    mean = sum(got) / len(got)
+                    score = (sum(got), mean, -round(sum((x - mean) ** 2 for x in got) / len(got), 9), a)
+                    best = max(best or score, score)
+        out.append(text[i:i + best[3]])
+        i += best[3]
     return out
 
 
-def test_full(spark):
-    t, lex = _frames(spark)
+def _by_doc(rows, *fields):
     got = {}
-    for r in full_matches(t, lex, len(LEX)).collect():
-        got.setdefault(r.doc_id, set()).add((r.pos, r.word))
-    for i, text in enumerate(TEXTS):
-        assert got.get(i, set()) == _brute_full(text)
+    for r in sorted(rows, key=lambda r: (r.doc_id, r[fields[0]])):
+        got.setdefault(r.doc_id, []).append(r.word)
+    return got
 
 
-def test_max_match_and_search(spark):
-    t, lex = _frames(spark)
-    mm = max_match(t, lex)
+def test_full_positions_are_code_points(spark):
     got = {}
-    for r in mm.collect():
-        got.setdefault(r.doc_id, []).append((r.idx, r.word))
+    for r in seg.segment(*_frames(spark), "full").collect():
+        got.setdefault(r.doc_id, []).append((r.pos, r.word))
     for i, text in enumerate(TEXTS):
-        assert [w for _, w in sorted(got.get(i, []))] == _brute_max(text)
-    s = {(r.doc_id, r.idx, r.off, r.word) for r in search_tokens(mm, lex, len(LEX)).collect()}
+        assert sorted(got.get(i, [])) == sorted(_full(text or ""))  # lists: no repeated match either
+
+
+def test_max_match_and_search(spark):
+    got = _by_doc(seg.segment(*_frames(spark), "max_match").collect(), "idx")
     want = set()
     for i, text in enumerate(TEXTS):
-        for idx, tok in enumerate(_brute_max(text)):
+        assert got.get(i, []) == _max(text or "")
+        for idx, tok in enumerate(_max(text or "")):
             want.add((i, idx, 0, tok))
-            for k in range(2, len(tok)):
-                for o in range(0, len(tok) - k + 1):
-                    if tok[o:o + k] in LEX:
-                        want.add((i, idx, o, tok[o:o + k]))
-    assert s == want
+            want |= {(i, idx, p, w) for p, w in _full(tok) if w != tok}
+    rows = [(r.doc_id, r.idx, r.off, r.word) for r in seg.segment(*_frames(spark), "search").collect()]
+    assert sorted(rows) == sorted(want)
+
+
+@pytest.mark.parametrize("mode", ["full", "max_match", "search", "mmseg"])
+def test_every_mode_takes_every_setting(spark, mode):
+    t, lex = _frames(spark, ["的好吃@x", ""], ["好吃", "吃@", "的好"])
+    order = "pos" if mode == "full" else "idx"
+    rows = seg.segment(t, lex, mode, max_len=8, min_len=2, keep_unknown=False, clear_stop_words=True,
+                       keep_marks="@").collect()
+    assert [r.word for r in sorted(rows, key=lambda r: r[order])] == {
+        "full": ["的好", "好吃", "吃@"], "max_match": ["的好", "吃@"], "search": ["的好", "吃@"], "mmseg": ["的好", "吃@"]}[mode]
+
+
+def test_kept_marks_and_stop_words(spark):
+    t, lex = _frames(spark, ["的a@b，好吃"], ["好吃"])
+    words = lambda **s: [r.word for r in sorted(seg.segment(t, lex, **s).collect(), key=lambda r: r.idx)]
+    assert words() == ["的", "a", "@", "b", "，", "好吃"]
+    assert words(clear_stop_words=True) == ["a", "@", "b", "好吃"]
+    assert words(keep_unknown=False) == ["@", "好吃"]
+
+
+def test_long_words_and_inner_words_of_any_length(spark):
+    t, lex = _frames(spark, ["abcdefgh", "abcdefg"], ["abcdefgh", "cde", "abcdefg"])
+    got = {(r.doc_id, r.off, r.word) for r in seg.segment(t, lex, "search", max_len=8).collect()}
+    assert got == {(0, 0, "abcdefgh"), (0, 0, "abcdefg"), (0, 2, "cde"), (1, 0, "abcdefg"), (1, 2, "cde")}
+    long = "x" * 15 + "y" * 15
+    t, lex = _frames(spark, [long + "z"], [long])
+    assert [r.word for r in seg.segment(t, lex, max_len=40).collect()] == [long, "z"]
+
+
+@pytest.mark.parametrize("mode", ["max_match", "search", "mmseg"])
+def test_empty_lexicon_leaves_characters(spark, mode):
+    t, lex = _frames(spark, ["a b", None], [])
+    assert sorted((r.idx, r.word) for r in seg.segment(t, lex, mode).collect()) == [(0, "a"), (1, " "), (2, "b")]
+    assert seg.segment(t, lex, "full").collect() == []
+
+
+def test_large_lexicons_give_the_same_rows(spark, monkeypatch):
+    small = {m: sorted(map(tuple, seg.segment(*_frames(spark), m).collect())) for m in ("full", "search", "mmseg")}
+    monkeypatch.setattr(seg, "BROADCAST_WORDS", 0)
+    monkeypatch.setattr("revlens.operators.joins.ROWS_PER_SALT", 1)
+    for mode, rows in small.items():
+        assert sorted(map(tuple, seg.segment(*_frames(spark), mode).collect())) == rows
 
 
 def test_mmseg_chunk_rules(spark):
-    from revlens.operators.segment import _mmseg_tokens, mmseg
-    lex = {"研究", "研究生", "生命", "起源", "主要", "要是", "因为", "是因"}
-    # rule 3 (smallest variance) prefers 研究/生命/起源 over 研究生/命/起源
-    assert _mmseg_tokens("研究生命起源", lex, 7, 2) == ["研究", "生命", "起源"]
-    # rule 1 (longest chunk) and unknown characters
-    assert _mmseg_tokens("x研究生", lex, 7, 2) == ["x", "研究生"]
-    assert _mmseg_tokens("", lex, 7, 2) == []
-    t = spark.createDataFrame([(0, "研究生命起源"), (1, "主要是因为")], "doc_id long, text string")
-    l = spark.createDataFrame([(w,) for w in sorted(lex)], "word string")
-    got = {}
-    for r in mmseg(t, l, len(lex)).collect():
-        got.setdefault(r.doc_id, []).append((r.idx, r.word))
-    assert [w for _, w in sorted(got[0])] == ["研究", "生命", "起源"]
-    # 是因/为 and 是/因为 tie on rules 1-3 (rule 4, character frequency, is not applied):
-    # the longest first word is kept
-    assert [w for _, w in sorted(got[1])] == ["主要", "是因", "为"]
+    words = ["研究", "研究生", "生命", "起源", "主要", "要是", "因为", "是因"]
+    texts = ["研究生命起源", "主要是因为", "x研究生", "", "研究研究生命生命起", "是因为主要是"]
+    got = _by_doc(seg.segment(*_frames(spark, texts, words), "mmseg").collect(), "idx")
+    # rule 3 prefers 研究/生命/起源 over 研究生/命/起源; ties keep the longest first word
+    assert got[0] == ["研究", "生命", "起源"] and got[1] == ["主要", "是因", "为"] and got[2] == ["x", "研究生"]
+    for i, text in enumerate(texts):
+        assert got.get(i, []) == _mmseg(text, set(words))
+
+
+def test_lexicon_by_count(spark):
+    docs = spark.createDataFrame([(["aa", "aa", "b", "cc"],), (["aa", "cc", "dddddddd"],)], "words array<string>")
+    assert sorted(map(tuple, seg.lexicon_by_count(docs, 2).collect())) == [("aa", 3), ("cc", 2)]
+
+
+def test_tokenizer_for_the_models(spark):
+    docs = spark.createDataFrame([(1, "好 吃 的 r2d2"), (2, "")], "doc_id long, document string")
+    lex = spark.createDataFrame([("好吃",), ("r2d2",)], "word string")
+    got = {r.doc_id: r.words for r in segmented("max_match", lex, despaced=True, stop_words=True)(docs).collect()}
+    assert got == {1: ["好吃", "r2d2"], 2: []}
+    parts = segmented("max_match", spark.createDataFrame([("ab12",)], "word string"), latin_parts=True)
+    assert parts(spark.createDataFrame([(1, "ab12")], "doc_id long, document string")).first().words == ["ab12", "ab", "12"]
