@@ -62,6 +62,8 @@ def nb_fit(features: DataFrame, labels: DataFrame, classes: list[int], smoothing
     features (Spark ML counts every bucket) and the observed vocabulary for exact terms.
     """
     lam = float(smoothing)
+    if lam <= 0:
+        raise ValueError("smoothing must be positive: an unseen term would have no probability")
     k = len(classes)
     # features may already carry the label (no join back by document then)
     labelled = (features if "label" in features.columns

@@ -72,10 +72,15 @@ def parse_lines(lines: DataFrame, reading: str = "jvm", strict: bool = False,
 def distinct_lines(lines: DataFrame, key: str = "doc_id", line_col: str = "line") -> DataFrame:
     """One row per distinct line, keyed by the smallest key among its copies.
 
-    A hash aggregate with map-side partial aggregation: a line repeated millions of times
-    leaves each map task as one row, so a hot duplicate cannot flood one reducer.
+    Lines are compared by their SHA-256, so only (digest, key) is shuffled, with map-side
+    partial aggregation: a line repeated millions of times leaves each map task as one row.
+    The surplus copies' keys are then anti-joined away; ``key`` must be unique.
     """
-    return lines.groupBy(line_col).agg(F.min(key).alias(key)).select(key, line_col)
+    digests = lines.select(key, F.sha2(F.col(line_col), 256).alias("_d"))
+    first = digests.groupBy("_d").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    repeated = first.filter(F.col("_n") > 1).select("_d", "_first")
+    surplus = digests.join(repeated, "_d").filter(F.col(key) != F.col("_first")).select(key)
+    return lines.join(surplus, key, "left_anti").select(key, line_col)
 
 
 def extract_reviews(raw: DataFrame, rating_field: int = 2, review_field: int = 10,
@@ -93,7 +98,7 @@ def extract_reviews(raw: DataFrame, rating_field: int = 2, review_field: int = 1
     if quotes:
         n = max(rating_field, review_field) + 1
         schema = ", ".join(f"c{i} string" for i in range(n))
-        rec = F.from_csv(v, schema, {"mode": "PERMISSIVE"})
+        rec = F.from_csv(v, schema, {"mode": "PERMISSIVE", "escape": "\""})
         rating, review = rec[f"c{rating_field}"], rec[f"c{review_field}"]
     else:
         fields = F.split(v, ",", -1)

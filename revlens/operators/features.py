@@ -18,9 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions.text import explode_elements
+from revlens.functions.text import bind
 from revlens.functions.hashing import REFERENCE_NUM_FEATURES, md5_bucket, md5_num_features, murmur_bucket
-from revlens.operators.joins import broadcast_if_bounded, hot_keys, salted_join
+from revlens.operators.joins import broadcast_if_bounded, salted_join
 
 
 @dataclass(frozen=True)
@@ -60,21 +60,32 @@ class Hashing:
 EXACT = Hashing()
 MURMUR = Hashing("murmur", REFERENCE_NUM_FEATURES)
 MD5_16 = Hashing("md5", md5_num_features(4))
+MD5_20 = Hashing("md5", md5_num_features(5))
 
 
 def term_counts(docs: DataFrame, key: str = "doc_id", words_col: str = "words",
                 hashing: Hashing = EXACT, carry: list[str] | None = None) -> DataFrame:
     """``(key, [carry...], term, tf)``: how often each term occurs in each document.
 
-    explode -> hash aggregate on (key, term) with map-side partial counts. ``carry`` names
-    columns that are functions of the key (a label, a split): they ride along as grouping
-    keys, so later steps filter on them instead of joining back by document.
+    A document is one row, so its terms are counted inside the row: sorted, cut at the ends of
+    equal runs, the counts being the differences of neighbouring ends; only then exploded.
+    Nothing is shuffled. ``carry`` names columns to keep (a label, a split), so later steps
+    filter on them instead of joining back by document. Rows that share a key are counted
+    each; null words do not count.
     """
     carry = list(carry or [])
-    return (docs.select(key, *carry, *explode_elements(words_col, "_w"))
-            .filter(F.col("_w").isNotNull())
-            .groupBy(key, *carry, hashing.term(F.col("_w")).alias("term"))
-            .agg(F.count(F.lit(1)).alias("tf")))
+
+    def counted(terms: Column) -> Column:
+        ends = F.filter(F.transform(terms, lambda t, i: F.struct(t.alias("term"), (i + 1).alias("end"))),
+                        lambda x: ~x["term"].eqNullSafe(F.get(terms, x["end"])))
+        return bind(ends, lambda runs: F.transform(runs, lambda x, i: F.struct(
+            x["term"].alias("term"),
+            (x["end"] - F.coalesce(F.get(runs, i - 1)["end"], F.lit(0))).cast("long").alias("tf"))))
+
+    terms = F.array_sort(F.transform(F.filter(words_col, lambda w: w.isNotNull()), hashing.term))
+    rows = docs.select(key, *carry, F.explode_outer(bind(terms, counted)).alias("_t"))
+    return rows.filter(F.col("_t").isNotNull()).select(
+        key, *carry, F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf"))
 
 
 def idf(tc: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -103,19 +114,19 @@ def join_by_term(big: DataFrame, table: DataFrame, hashing: Hashing, weight: str
         return big.join(broadcast_if_bounded(table, bound * rows_per_term), key, how)
     if weight is None:
         return big.join(table, key, how)
-    return salted_join(big, table, key, hot_keys(table, key, weight), how)
+    return salted_join(big, table, key, table.select(key, weight), weight, how)
 
 
 def tfidf(tc: DataFrame, idf_table: DataFrame, hashing: Hashing = EXACT,
-          key: str = "doc_id", fit_docs: DataFrame | None = None) -> DataFrame:
+          key: str = "doc_id", fit_docs: DataFrame | None = None, n_docs: int | None = None) -> DataFrame:
     """``(key, term, tf, tfidf)`` with ``tfidf = tf * idf``.
 
     Hashed features cover every bucket, so a bucket the IDF fit never saw keeps the weight
-    Spark ML gives it, ``ln(m + 1)`` (df = 0; ``fit_docs`` supplies m). Exact terms outside
+    Spark ML gives it, ``ln(m + 1)`` (df = 0; ``fit_docs`` or ``n_docs`` supplies m). Exact terms outside
     the fitted vocabulary drop out, as they have no feature index.
     """
-    if hashing.bound is not None and fit_docs is not None:
-        m = fit_docs.agg(F.count(F.lit(1)).alias("_m")).scalar()
+    if hashing.bound is not None and (fit_docs is not None or n_docs is not None):
+        m = F.lit(n_docs) if n_docs is not None else fit_docs.agg(F.count(F.lit(1)).alias("_m")).scalar()
         j = join_by_term(tc, idf_table, hashing, weight="df", how="left")
         w = F.coalesce(F.col("idf"), F.log(m + F.lit(1.0)))
     else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.text import explode_elements
@@ -25,14 +25,16 @@ def top_words(counts: DataFrame, n: int = 100) -> DataFrame:
     return counts.orderBy(F.desc("n"), F.asc("word")).limit(n)
 
 
-def word_cloud_weights(top: DataFrame, lo: float = 20.0, hi: float = 100.0) -> DataFrame:
-    """``(word, n, size)``: counts scaled linearly onto ``[lo, hi]`` (``lo`` when all equal).
+def words_by_count(counts: DataFrame) -> DataFrame:
+    """All words, most frequent first, ties by word: a range-partitioned sort."""
+    return counts.orderBy(F.desc("n"), F.asc("word"))
 
-    ``top`` is a top-n table (n rows, bounded), so its min and max come from a window over
-    the whole table without a partition key; nothing unbounded meets in one task.
-    """
-    w = Window.partitionBy()
-    lo_n, hi_n = F.min("n").over(w), F.max("n").over(w)
+
+def word_cloud_weights(counts: DataFrame, lo: float = 20.0, hi: float = 100.0) -> DataFrame:
+    """``(word, n, size)``: the counts of all words scaled linearly onto ``[lo, hi]`` (``lo``
+    when all are equal). The smallest and largest count are scalar subqueries."""
+    lo_n, hi_n = counts.agg(F.min("n")).scalar(), counts.agg(F.max("n")).scalar()
+    top = counts
     span = hi_n - lo_n
     size = F.when(span == 0, F.lit(lo)).otherwise(F.lit(lo) + F.lit(hi - lo) * (F.col("n") - lo_n) / span)
     return top.select("word", "n", size.cast("double").alias("size"))
@@ -40,14 +42,25 @@ def word_cloud_weights(top: DataFrame, lo: float = 20.0, hi: float = 100.0) -> D
 
 def accuracy(predictions: DataFrame, label: str = "label",
              prediction: str = "prediction") -> DataFrame:
-    """One row ``(n_test, n_correct, accuracy)`` in one pass."""
+    """One row ``(n_test, n_correct, accuracy)`` in one pass; a missing prediction is wrong."""
     hit = (F.col(label).cast("double") == F.col(prediction).cast("double")).cast("long")
     return predictions.agg(F.count(F.lit(1)).alias("n_test"),
                            F.coalesce(F.sum(hit), F.lit(0)).cast("long").alias("n_correct"),
-                           F.avg(hit.cast("double")).alias("accuracy"))
+                           (F.coalesce(F.sum(hit), F.lit(0)) / F.nullif(F.count(F.lit(1)), F.lit(0)))
+                           .cast("double").alias("accuracy"))
 
 
 def correct_predictions(predictions: DataFrame, label: str = "label",
                         prediction: str = "prediction") -> DataFrame:
     """Rows whose prediction equals the label."""
     return predictions.filter(F.col(label).cast("double") == F.col(prediction).cast("double"))
+
+
+def evaluate_accuracy(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
+    """Accuracy by Spark ML's evaluator; rows without a label or prediction are left out, as it
+    does not take them."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    rows = predictions.select(F.col(label).cast("double").alias("label"),
+                              F.col(prediction).cast("double").alias("prediction")).na.drop()
+    return MulticlassClassificationEvaluator(
+        labelCol="label", predictionCol="prediction", metricName="accuracy").evaluate(rows)

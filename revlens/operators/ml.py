@@ -1,37 +1,40 @@
 """The Spark ML route: the same chain as a ``Pipeline`` that can be saved, loaded and
 applied to any table (or stream) of reviews.
 
-RegexTokenizer (the word pattern) -> HashingTF (2**18 buckets) -> IDF -> NaiveBayes.
-Spark ML's HashingTF numbers buckets differently from SQL ``hash``; the relational route in
-``features`` reproduces the reference's bucket numbers, this one is for model reuse.
+StringIndexer (any label values) -> RegexTokenizer (the word pattern) -> md5 buckets as strings
+-> CountVectorizer -> IDF -> NaiveBayes -> IndexToString (``predicted``: a label value again).
+The vocabulary that CountVectorizer gathers has at most as many entries as there are buckets,
+and the buckets are portable, so other engines can recompute the model.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import (IDF, CountVectorizer, IndexToString, RegexTokenizer, SQLTransformer,
+                                StringIndexer)
+from pyspark.sql import DataFrame, SparkSession
 
-from revlens.functions.hashing import REFERENCE_NUM_FEATURES
+from revlens.functions.hashing import md5_num_features
 from revlens.functions.text import WORD_PATTERN
 
-
-def review_pipeline(num_features: int = REFERENCE_NUM_FEATURES, smoothing: float = 1.0,
-                    text_col: str = "document", label_col: str = "label") -> Pipeline:
-    tok = RegexTokenizer(inputCol=text_col, outputCol="words", pattern=WORD_PATTERN,
-                         gaps=False, toLowercase=True)
-    tf = HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features)
-    idf = IDF(inputCol="rawFeatures", outputCol="features")
-    nb = NaiveBayes(featuresCol="features", labelCol=label_col, smoothing=smoothing,
-                    modelType="multinomial")
-    return Pipeline(stages=[tok, tf, idf, nb])
+HEX_DIGITS = 5
 
 
-def fit_review_model(train: DataFrame, **kw) -> PipelineModel:
-    """Fit on ``(document, label)``; labels are cast to double as Spark ML expects."""
-    from pyspark.sql import functions as F
-    return review_pipeline(**kw).fit(train.withColumn("label", F.col("label").cast("double")))
+def fit_review_model(train: DataFrame, hex_digits: int = HEX_DIGITS, smoothing: float = 1.0,
+                     text_col: str = "document", label_col: str = "label") -> PipelineModel:
+    """Fit on ``(document, label)``; the labels may be any values."""
+    index = StringIndexer(inputCol=label_col, outputCol="label_index").fit(train)
+    tokens = RegexTokenizer(inputCol=text_col, outputCol="words", pattern=WORD_PATTERN,
+                            gaps=False, toLowercase=True)
+    buckets = SQLTransformer(statement="SELECT *, transform(words, w -> conv(substr(md5(w), 1, "
+                                       f"{hex_digits}), 16, 10)) AS buckets FROM __THIS__")
+    counts = CountVectorizer(inputCol="buckets", outputCol="rawFeatures", vocabSize=md5_num_features(hex_digits))
+    idf = IDF(inputCol="rawFeatures", outputCol="features")
+    bayes = NaiveBayes(featuresCol="features", labelCol="label_index", smoothing=smoothing,
+                       modelType="multinomial")
+    back = IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels)
+    return Pipeline(stages=[index, tokens, buckets, counts, idf, bayes, back]).fit(train)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -55,6 +58,5 @@ def dense_features(df: DataFrame, col: str = "features", out: str = "dense") ->
 
 def score_one(model: PipelineModel, text: str) -> DataFrame:
     """Score one new review: a one-row table through the same fitted pipeline."""
-    from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     return model.transform(spark.createDataFrame([(text,)], "document string"))

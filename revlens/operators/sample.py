@@ -24,23 +24,22 @@ def balance(labelled: DataFrame, positive_label: int = 1, key: str = "doc_id",
 
     The kept positives are the first n (= number of other rows) in the order of
     ``(md5(salt || key), key)``; when there are fewer than n positives all are kept, as
-    ``take(n)`` does. Nothing reaches the driver and there is no global sort:
+    ``take(n)`` does. Nothing reaches the driver, there is no global sort, and no review text
+    is shuffled:
 
     1. positives are bucketed by the first ``bucket_digits`` hex digits of their hash
-       (16**digits buckets, uniform whatever the keys look like);
-    2. one narrow aggregate counts the rows per bucket, negatives as one extra group;
-       the bucket counts (<= 16**digits rows) get a running sum -- the only
-       single-partition step, bounded by the bucket count;
-    3. one broadcast join against that bounded table keeps negatives and every bucket
-       that ends at or below n whole; only the one boundary bucket is ranked, by a
-       window over that bucket's rows alone.
+       (16**digits buckets, uniform whatever the keys look like); one narrow aggregate counts
+       the rows per bucket, negatives as one extra group; the bucket counts (<= 16**digits
+       rows) get a running sum -- the only single-partition step, bounded by the bucket count;
+    2. only the one boundary bucket is ranked, on (hash, key) alone, which gives the last kept
+       (hash, key);
+    3. buckets and that last pair are one scalar subquery, and keeping is a filter.
     """
     is_pos = F.col(label_col) == positive_label
     # the hash is computed once per row (a one-element generator) and then cut to a bucket
-    hashed = with_once(labelled, labelled.columns,
-                       F.when(is_pos, row_hash(salt, F.col(key))), "_h")
-    tagged = hashed.withColumn("_b", F.substring("_h", 1, bucket_digits))
-    stats = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    narrow = with_once(labelled.select(key, label_col), [key], F.when(is_pos, row_hash(salt, F.col(key))), "_h")
+    narrow = narrow.withColumn("_b", F.substring("_h", 1, bucket_digits))
+    stats = narrow.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
     # one pass over the <= 16**digits + 1 stat rows gives both n (the negatives' group,
     # _b null) and the running count of positives over the buckets in hash order
     everything = Window.partitionBy()
@@ -56,14 +55,20 @@ def balance(labelled: DataFrame, positive_label: int = 1, key: str = "doc_id",
                     F.least(F.col("_c"),
                             F.greatest(F.col("_n") - (F.col("_cum") - F.col("_c")),
                                        F.lit(0))).alias("_take")))
-    joined = tagged.join(F.broadcast(plan), "_b", "left")
-    cols = labelled.columns
-    direct = joined.filter(F.col("_b").isNull() | (F.col("_take") == F.col("_c")))
-    in_bucket = Window.partitionBy("_b").orderBy("_h", key)
-    boundary = (joined.filter((F.col("_take") > 0) & (F.col("_take") < F.col("_c")))
-                .withColumn("_rn", F.row_number().over(in_bucket))
-                .filter(F.col("_rn") <= F.col("_take")))
-    return direct.select(*cols).unionByName(boundary.select(*cols))
+    partial = plan.filter((F.col("_take") > 0) & (F.col("_take") < F.col("_c"))).select("_b", "_take")
+    last = (narrow.join(F.broadcast(partial), "_b")
+            .withColumn("_rn", F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
+            .filter(F.col("_rn") == F.col("_take")).select("_b", F.struct("_h", key).alias("_last")))
+    whole = plan.filter(F.col("_take") == F.col("_c"))
+    cut = (whole.select(F.col("_b").alias("_whole"), F.lit(None).cast("string").alias("_b"),
+                        F.lit(None).cast(last.schema["_last"].dataType).alias("_last"))
+           .unionByName(last.withColumn("_whole", F.lit(None).cast("string"))))
+    cut = cut.agg(F.struct(F.max("_whole").alias("whole"), F.max("_b").alias("b"), F.max("_last").alias("last"))).scalar()
+    hashed = with_once(labelled, labelled.columns, F.when(is_pos, row_hash(salt, F.col(key))), "_h")
+    bucket = F.substring("_h", 1, bucket_digits)
+    in_whole = F.coalesce(bucket <= cut["whole"], F.lit(False))
+    in_last = F.coalesce((bucket == cut["b"]) & (F.struct("_h", key) <= cut["last"]), F.lit(False))
+    return hashed.filter(F.col("_h").isNull() | in_whole | in_last).select(*labelled.columns)
 
 
 def hash_split(df: DataFrame, key: str = "doc_id", train_fraction: float = TRAIN_FRACTION,

@@ -11,13 +11,13 @@ tolerance 0.001, weights starting at zero. Iteration t (from 1):
 
 Prediction: 1 if w.x > 0 else 0.
 
-Plan per iteration: the training matrix ``(doc, term, x, ys)`` is hash-partitioned by
-document and checkpointed once, so margins (group by document) and the active-row semi
+Plan per iteration: the training matrix ``(doc, term, x, ys)`` is written once, then
+hash-partitioned by document and cached, so margins (group by document) and the active-row semi
 join need no shuffle; the weights join is a broadcast when the feature space is hashed
 (bounded) and a salted shuffled join for hot terms otherwise; the gradient is a partial-then-final aggregate
-by term. The new weights are checkpointed to the shared checkpoint folder every
-iteration (one job, with the convergence norms observed in it), which cuts the lineage
-and survives lost executors.
+by term. The new weights are written to the shared checkpoint folder every iteration (one
+job, with the convergence norms observed in it), which cuts the lineage and survives lost
+executors; the weights before them are deleted.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from revlens.operators.features import EXACT, Hashing, join_by_term
-from revlens.operators.joins import hot_keys, salted_join
-from revlens.session import checkpoint_partitioned, ensure_checkpoint_dir, materialize
+from revlens.operators.joins import salted_join
+from revlens.session import drop_table, ensure_checkpoint_dir, materialize, reopen
 
 # Defaults of the reference's SVM training call.
 ITERATIONS = 100
@@ -41,7 +41,7 @@ REG_PARAM = 0.01
 CONVERGENCE_TOL = 0.001
 
 # Partitions of the training matrix: about this many documents each, at least the cluster's
-# default parallelism and at most 4 x that. The loop runs with adaptive execution paused, so the
+# default parallelism. The loop runs in a session of its own with adaptive execution off, so the
 # partition count comes from the data, not from spark.sql.shuffle.partitions.
 DOCS_PER_PARTITION = 10_000
 
@@ -54,11 +54,11 @@ class SVMModel:
     threshold: float = 0.0
 
 
-def _weights_join(x: DataFrame, w: DataFrame, hashing: Hashing, hot: DataFrame | None,
+def _weights_join(x: DataFrame, w: DataFrame, hashing: Hashing, df: DataFrame | None,
                   how: str = "left") -> DataFrame:
-    if hashing.bound is not None or hot is None:
+    if hashing.bound is not None or df is None:
         return join_by_term(x, w, hashing, how=how)
-    return salted_join(x, w, "term", hot, how)
+    return salted_join(x, w, "term", df, "_df", how)
 
 
 def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS,
@@ -66,52 +66,47 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
             convergence_tol: float = CONVERGENCE_TOL, hashing: Hashing = EXACT,
             key: str = "doc_id", value: str = "tfidf") -> SVMModel:
     """Fit on long-form features ``(key, term, value)`` and ``labels (key, label in {0,1})``."""
-    spark = features.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(features.sparkSession)
     lab = labels.select(key, (F.col("label") * 2 - 1).cast("double").alias("ys"))
     n_rows = lab.count()
-    par = spark.sparkContext.defaultParallelism
-    n_part = max(par, min(4 * par, math.ceil(n_rows / DOCS_PER_PARTITION)))
+    par = features.sparkSession.sparkContext.defaultParallelism
+    n_part = max(par, math.ceil(n_rows / DOCS_PER_PARTITION))
     if "label" in features.columns:  # the label rides along: no join back by document
         src = features.select(key, "term", F.col(value).cast("double").alias("x"),
                               (F.col("label") * 2 - 1).cast("double").alias("ys"))
     else:
         src = features.select(key, "term", F.col(value).cast("double").alias("x")).join(lab, key)
-    # checkpoint for reliability (cut lineage, survives lost executors), then cache for the
-    # iterations: a lost cached block is re-read from the checkpoint, not recomputed
-    x = checkpoint_partitioned(src, key, n_part).persist(StorageLevel.MEMORY_AND_DISK)
-    hot = None
+    src = materialize(src, "svm-matrix")
+    # Every iteration has the same fixed plan (partition-aligned joins on the document, the
+    # weights broadcast when they are bounded), so runtime re-planning would only add a
+    # scheduling round per stage. The loop has a session of its own for these settings;
+    # the caller's session stays as it is.
+    loop = features.sparkSession.newSession()
+    loop.conf.set("spark.sql.adaptive.enabled", "false")
+    loop.conf.set("spark.sql.shuffle.partitions", str(n_part))
+    # cached for the iterations; a lost block is read again from the written matrix
+    x = reopen(src, loop).repartition(n_part, key).persist(StorageLevel.MEMORY_AND_DISK)
+    df = None
     if hashing.bound is None:
-        hot = hot_keys(x.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "term", "_df")
-        hot = materialize(hot, "svm-hot-terms")
+        df = materialize(x.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "svm-term-weights")
     schema = StructType([StructField("term", x.schema["term"].dataType, False),
                          StructField("w", DoubleType(), False)])
-    w = spark.createDataFrame([], schema)
-    run = 0
-    # Every iteration has the same fixed plan (partition-aligned joins on the document,
-    # bounded broadcast of the weights), so runtime re-planning only adds a scheduling
-    # round per stage; it is paused for the loop and restored after.
-    conf = spark.conf
-    saved = {k: conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
-    conf.set("spark.sql.adaptive.enabled", "false")
-    conf.set("spark.sql.shuffle.partitions", str(n_part))
-    try:
-        w, run = _iterate(x, w, hashing, hot, key, n_rows, iterations, step, reg_param,
-                          convergence_tol)
-    finally:
-        for k, v in saved.items():
-            conf.set(k, v)
-        x.unpersist()
-    return SVMModel(w, run, hashing)
-
-
-def _iterate(x: DataFrame, w: DataFrame, hashing: Hashing, hot: DataFrame | None, key: str,
+    w, run = _iterate(x, loop.createDataFrame([], schema), hashing, df, key, n_rows, iterations, step,
+                      reg_param, convergence_tol)
+    x.unpersist()
+    for table in (src, df):
+        if table is not None:
+            drop_table(table)
+    return SVMModel(reopen(w, features.sparkSession) if run else w, run, hashing)
+
+
+def _iterate(x: DataFrame, w: DataFrame, hashing: Hashing, df: DataFrame | None, key: str,
              n_rows: int, iterations: int, step: float, reg_param: float,
              convergence_tol: float) -> tuple[DataFrame, int]:
     run = 0
     for t in range(1, iterations + 1):
         s = step / math.sqrt(t)
-        margins = (_weights_join(x, w, hashing, hot)
+        margins = (_weights_join(x, w, hashing, df)
                    .groupBy(key, "ys")
                    .agg(F.sum(F.col("x") * F.coalesce(F.col("w"), F.lit(0.0))).alias("_m")))
         active = margins.filter(F.col("ys") * F.col("_m") < 1).select(key)
@@ -125,10 +120,11 @@ def _iterate(x: DataFrame, w: DataFrame, hashing: Hashing, hot: DataFrame | None
         # the norms for the convergence test are observed while the weights are written:
         # one job per iteration
         obs = Observation(f"svm_{t}")
-        new_w = (upd.observe(obs, F.sum((F.col("w") - F.col("_old")) ** 2).alias("d2"),
-                             F.sum(F.col("w") ** 2).alias("n2"))
-                 .select("term", "w")
-                 .checkpoint(eager=True))
+        new_w = materialize(
+            upd.observe(obs, F.sum((F.col("w") - F.col("_old")) ** 2).alias("d2"),
+                        F.sum(F.col("w") ** 2).alias("n2")).select("term", "w"), "svm-weights")
+        if t > 1:
+            drop_table(w)  # superseded
         w = new_w
         run = t
         if t >= 2:

@@ -7,12 +7,28 @@ The SQL is an independent restatement over the same parquet views (``documents``
 
 from __future__ import annotations
 
-from revlens.operators.label import POLICIES
-from revlens.operators.sample import REFERENCE_SEED, TRAIN_FRACTION, _hex_threshold
+from typing import NamedTuple
 
+
+class _Policy(NamedTuple):
+    negatives: tuple[int, ...]
+    positives: tuple[int, ...]
+    binary: bool
+    distinct: bool
+    reading: str
+
+
+# Fixed values, restated here rather than taken from the package under test.
+POLICIES = {
+    "multi": _Policy((1, 2, 3), (5,), False, False, "jvm"),
+    "multi_distinct": _Policy((1, 2, 3), (5,), False, True, "python"),
+    "binary_drop4": _Policy((1, 2, 3), (5,), True, False, "jvm"),
+    "binary_4neg": _Policy((1, 2, 3, 4), (5,), True, True, "python"),
+}
 WORD = r"\p{L}+|\p{N}+"
 WORD_MARK = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]"
 WORD_KEEP = r"[\p{L}\p{N}]+(?:[@#%.&+]+[\p{L}\p{N}]+)*"
+# The stop words, in natural order.
 STOP = ("['', ' ', '，', '的', '。', '了', '！', '是', '就', '吧', '?', '…', '、', '～', '~', "
         "'很', '都', '也', '还']")
 
@@ -55,7 +71,7 @@ def _with(*parts: str) -> str:
 def label_ctes(policy: str) -> str:
     """CTEs ending in ``lab(doc_id, label, document)``."""
     p = POLICIES[policy]
-    ratings = ", ".join(str(r) for r in p.ratings)
+    ratings = ", ".join(str(r) for r in p.negatives + p.positives)
     lab = "CASE WHEN rating > 4 THEN 1 ELSE 0 END" if p.binary else "rating"
     if p.reading == "jvm":
         parsed = [REVIEW_LINES, PARSE_JVM]
@@ -76,7 +92,7 @@ lab AS (SELECT doc_id, CAST({lab} AS INTEGER) AS label, document FROM {src}
 
 def balanced_ctes(policy: str) -> str:
     """CTEs ending in ``bal(doc_id, label, document)``: first n positives by md5 order."""
-    pos = POLICIES[policy].positive_label
+    pos = 1 if POLICIES[policy].binary else POLICIES[policy].positives[0]
     return label_ctes(policy) + f""",
 neg AS (SELECT doc_id, label, document FROM lab WHERE label <> {pos}),
 pos AS (SELECT doc_id, label, document,
@@ -87,36 +103,42 @@ bal AS (SELECT * FROM neg
         SELECT doc_id, label, document FROM pos WHERE rn <= (SELECT count(*) FROM neg))"""
 
 
-SPLIT_EXPR = (f"CASE WHEN substr(md5('split:{REFERENCE_SEED}:' || CAST(doc_id AS VARCHAR)), 1, 8) "
-              f"< '{_hex_threshold(TRAIN_FRACTION)}' THEN 'train' ELSE 'test' END")
+# 60 % of the hash space: 0.6 * 16**8 = 2576980377 = 0x99999999; seed 1234.
+SPLIT_EXPR = ("CASE WHEN substr(md5('split:1234:' || CAST(doc_id AS VARCHAR)), 1, 8) "
+              "< '99999999' THEN 'train' ELSE 'test' END")
 MD5_TERM = "('0x' || substr(md5(w), 1, 4))::INTEGER"
+MODEL_TERM = "('0x' || substr(md5(w), 1, 5))::INTEGER"
+MODEL_BUCKETS = 1048576
+PATTERN_TOKENS = f"SELECT doc_id, unnest(regexp_extract_all(lower(document), '{WORD}', 0)) AS w FROM sp"
 
 
-def experiment_ctes(policy: str, fit_on: str = "train") -> str:
-    """CTEs of one training run: split, term counts (md5 buckets), IDF on train, TF-IDF,
-    NB sums, priors; classes from the policy."""
+def experiment_ctes(policy: str, fit_on: str = "train", tokens: str = PATTERN_TOKENS, before: str = "",
+                    seen_only: bool = False) -> str:
+    """CTEs of one training run: split, term counts (md5 buckets), IDF, TF-IDF, NB sums, priors;
+    classes from the policy. ``before`` holds CTEs over ``sp`` that ``tokens`` reads.
+    ``seen_only``: the vocabulary is what the training rows hold, other terms drop out."""
     p = POLICIES[policy]
-    classes = sorted({p.positive_label, *((0,) if p.binary else p.negatives)})
-    k = len(classes)
+    k = 2 if p.binary else len(p.negatives) + 1
+    vocabulary = "(SELECT count(*) FROM idf)" if seen_only else MODEL_BUCKETS
     return balanced_ctes(policy) + f""",
-sp AS (SELECT doc_id, label, document, {SPLIT_EXPR} AS split FROM bal),
+sp AS (SELECT doc_id, label, document, {SPLIT_EXPR} AS split FROM bal),{before}
 train AS (SELECT doc_id, label FROM sp WHERE split = 'train'),
 test AS (SELECT doc_id, label FROM sp WHERE split = 'test'),
-tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(document), '{WORD}', 0)) AS w FROM sp),
-tc AS (SELECT doc_id, {MD5_TERM} AS term, count(*) AS tf FROM tok GROUP BY 1, 2),
+tok AS ({tokens}),
+tc AS (SELECT doc_id, {MODEL_TERM} AS term, count(*) AS tf FROM tok GROUP BY 1, 2),
 m AS (SELECT count(*) AS m FROM {"train" if fit_on == "train" else "sp"}),
 idf AS (SELECT term, count(*) AS df,
                ln(((SELECT m FROM m) + 1.0) / (count(*) + 1.0)) AS idf
         FROM tc WHERE doc_id IN (SELECT doc_id FROM {"train" if fit_on == "train" else "sp"})
         GROUP BY term),
 x AS (SELECT tc.doc_id, tc.term, tc.tf * coalesce(idf.idf, ln((SELECT m FROM m) + 1.0)) AS v
-      FROM tc LEFT JOIN idf ON tc.term = idf.term),
+      FROM tc {"" if seen_only else "LEFT "}JOIN idf ON tc.term = idf.term),
 sums AS (SELECT t.label, x.term, sum(x.v) AS s FROM x JOIN train t ON x.doc_id = t.doc_id
          GROUP BY 1, 2),
 cls AS (SELECT label, count(*) AS n FROM train GROUP BY label),
 pri AS (SELECT c.label, c.n AS n_docs,
                ln((c.n + 1.0) / ((SELECT sum(n) FROM cls) + {k} * 1.0)) AS pi,
-               ln(coalesce((SELECT sum(s) FROM sums WHERE sums.label = c.label), 0) + 65536 * 1.0)
+               ln(coalesce((SELECT sum(s) FROM sums WHERE sums.label = c.label), 0) + {vocabulary} * 1.0)
                  AS log_norm
         FROM cls c),
 xs AS (SELECT doc_id, sum(v) AS xsum FROM x GROUP BY doc_id),
@@ -133,11 +155,11 @@ pred AS (SELECT doc_id, label, cls AS prediction FROM (
 
 
 def svm_ctes(policy: str = "binary_drop4", iterations: int = 100, step: float = 1.0,
-             reg: float = 0.01, tol: float = 0.001) -> str:
+             reg: float = 0.01, tol: float = 0.001, **experiment) -> str:
     """The SVM iterations unrolled: one group of materialized CTEs per iteration, ending in
     ``wf(term, w)`` (final weights) and ``spred(doc_id, label, prediction)``."""
     import math
-    parts = [experiment_ctes(policy) + """,
+    parts = [experiment_ctes(policy, **experiment) + """,
 xtr AS MATERIALIZED (SELECT x.doc_id, x.term, x.v, (2 * t.label - 1)::DOUBLE AS ys
                      FROM x JOIN train t ON x.doc_id = t.doc_id),
 ntr AS (SELECT count(*)::DOUBLE AS n FROM train),
@@ -180,24 +202,92 @@ WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '{WORD}', 0)) AS word F
 c AS (SELECT word, count(*)::BIGINT AS n FROM w GROUP BY word),
 t AS (SELECT word, n FROM c ORDER BY n DESC, word LIMIT 100)"""
 
-LEXICON = f"""
-WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '{WORD}', 0)) AS word FROM documents),
-c AS (SELECT word, count(*) AS n FROM w WHERE length(word) BETWEEN 2 AND 7 GROUP BY word),
-lex AS (SELECT word FROM c ORDER BY n DESC, word LIMIT 200),
-t AS (SELECT doc_id, regexp_replace(lower(text), '\\s+', '', 'g') AS t FROM documents),
-mm AS (SELECT doc_id, unnest(toks) AS word, (generate_subscripts(toks, 1) - 1)::INTEGER AS idx
-       FROM (SELECT doc_id, regexp_extract_all(
-               t, (SELECT string_agg(word, '|' ORDER BY length(word) DESC, word) FROM lex) || '|.', 0)
-               AS toks FROM t))"""
+LEX = f"""
+lw AS (SELECT unnest(regexp_extract_all(lower(text), '{WORD}', 0)) AS word FROM documents),
+lex AS (SELECT word FROM lw WHERE length(word) BETWEEN 2 AND 7 GROUP BY word HAVING count(*) >= 25)"""
+
+HITS = """
+ch AS (SELECT doc_id, unnest(cs) AS c, (generate_subscripts(cs, 1) - 1) AS p
+       FROM (SELECT doc_id, string_split(t, '') AS cs FROM t WHERE length(t) > 0)),
+ld AS (SELECT doc_id, p, c AS c0, lead(c, 1) OVER w AS c1, lead(c, 2) OVER w AS c2, lead(c, 3) OVER w AS c3,
+              lead(c, 4) OVER w AS c4, lead(c, 5) OVER w AS c5, lead(c, 6) OVER w AS c6
+       FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+g AS (SELECT doc_id, p, c0||c1 AS word FROM ld WHERE c1 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2 AS word FROM ld WHERE c2 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2||c3 AS word FROM ld WHERE c3 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2||c3||c4 AS word FROM ld WHERE c4 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2||c3||c4||c5 AS word FROM ld WHERE c5 IS NOT NULL
+      UNION ALL SELECT doc_id, p, c0||c1||c2||c3||c4||c5||c6 AS word FROM ld WHERE c6 IS NOT NULL),
+hits AS (SELECT g.doc_id, g.p, g.word, length(g.word) AS l FROM g JOIN lex ON g.word = lex.word)"""
+
+LONGEST = """
+best AS (SELECT doc_id, p, max(l) AS l, arg_max(word, l) AS word FROM hits GROUP BY 1, 2)"""
+
+CHUNKS = """
+sz AS (SELECT DISTINCT doc_id, p, l FROM hits UNION SELECT DISTINCT doc_id, p, 1 FROM hits),
+nn AS (SELECT doc_id, length(t) AS n FROM t),
+k2 AS (SELECT a.doc_id, a.p, n.n, a.l AS a, coalesce(b.l, CASE WHEN a.p + a.l < n.n THEN 1 ELSE 0 END) AS b
+       FROM sz a JOIN nn n ON n.doc_id = a.doc_id LEFT JOIN sz b ON b.doc_id = a.doc_id AND b.p = a.p + a.l),
+k3 AS (SELECT k.doc_id, k.p, k.a, k.b, coalesce(c.l, CASE WHEN k.p + k.a + k.b < k.n THEN 1 ELSE 0 END) AS c
+       FROM k2 k LEFT JOIN sz c ON c.doc_id = k.doc_id AND c.p = k.p + k.a + k.b),
+pick AS (SELECT doc_id, p, a AS l FROM (
+           SELECT doc_id, p, a, row_number() OVER (PARTITION BY doc_id, p ORDER BY a + b + c DESC,
+                    (b > 0)::INT + (c > 0)::INT, a * a + b * b + c * c, a DESC) AS rn FROM k3)
+         WHERE rn = 1 AND a > 1),
+best AS (SELECT k.doc_id, k.p, k.l, h.word FROM pick k JOIN hits h ON h.doc_id = k.doc_id AND h.p = k.p AND h.l = k.l)"""
+
+FOLD = """
+fold AS (SELECT doc_id, list_reduce(
+           list_prepend({'p': -1::BIGINT, 'e': 0::BIGINT, 'got': []::BIGINT[]},
+                        list({'p': p::BIGINT, 'e': (p + l)::BIGINT, 'got': []::BIGINT[]} ORDER BY p)),
+           lambda a, x: CASE WHEN x.p >= a.e THEN {'p': x.p, 'e': x.e, 'got': list_append(a.got, x.p)} ELSE a END).got AS got
+         FROM best GROUP BY doc_id),
+chosen AS (SELECT b.doc_id, b.p, b.l, b.word FROM (SELECT doc_id, unnest(got) AS p FROM fold) f
+           JOIN best b ON b.doc_id = f.doc_id AND b.p = f.p),
+cover AS (SELECT ch.doc_id, ch.p, coalesce(k.word, ch.c) AS word, k.l,
+                 max(k.p + k.l) OVER (PARTITION BY ch.doc_id ORDER BY ch.p) AS reach
+          FROM ch LEFT JOIN chosen k ON k.doc_id = ch.doc_id AND k.p = ch.p),
+mm AS (SELECT doc_id, word, (row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1)::INTEGER AS idx
+       FROM cover WHERE l IS NOT NULL OR coalesce(reach, 0) <= p)"""
+
+INNER_WORDS = """
+subs AS (SELECT m.doc_id, m.idx, o.o AS off, substr(m.word, o.o + 1, k.k) AS word
+         FROM mm m CROSS JOIN (SELECT unnest(range(0, 7)) AS o) o
+                   CROSS JOIN (SELECT unnest(range(2, 7)) AS k) k
+         WHERE length(m.word) > 2 AND k.k < length(m.word) AND o.o + k.k <= length(m.word)),
+inside AS (SELECT s.doc_id, s.idx, s.off::INTEGER AS off, s.word FROM subs s JOIN lex ON s.word = lex.word)"""
+
+UNSPACED_DOCS = r"""
+t AS (SELECT doc_id, regexp_replace(lower(text), '\s+', '', 'g') AS t FROM documents)"""
+UNSPACED_REVIEWS = r"""
+t AS (SELECT doc_id, regexp_replace(lower(document), '\s+', '', 'g') AS t FROM sp)"""
+
+SEGMENT = "WITH " + ",".join([LEX, UNSPACED_DOCS, HITS])
+
+
+def chain_ctes(policy: str, mode: str) -> dict:
+    """Arguments of ``experiment_ctes`` for a chain that segments the reviews."""
+    parts = [LEX, UNSPACED_REVIEWS, HITS]
+    if mode == "full":
+        tokens = f"SELECT doc_id, word AS w FROM hits WHERE NOT list_contains({STOP}, word)"
+    else:
+        parts += [LONGEST, FOLD]
+        tokens = "SELECT doc_id, word AS w FROM mm"
+        if mode == "search":
+            parts.append(INNER_WORDS)
+            tokens += " UNION ALL SELECT doc_id, word AS w FROM inside"
+    return {"policy": policy, "fit_on": "all", "before": ",".join(parts) + ",", "tokens": tokens}
+
 
 ORACLE: dict[str, str] = {
     "top_words": TOP_WORDS + "\nSELECT word, n FROM t",
+    "words_by_count": TOP_WORDS + "\nSELECT word, n FROM c",
     "word_cloud_weights": TOP_WORDS + """
 SELECT word, n,
        round(CASE WHEN max(n) OVER () = min(n) OVER () THEN 20.0
              ELSE 20.0 + 80.0 * (n - min(n) OVER ()) / (max(n) OVER () - min(n) OVER ()) END::DOUBLE, 6)
        AS size
-FROM t""",
+FROM c""",
     "extract_reviews": r"""
 WITH rv AS (
   SELECT d.doc_id,
@@ -240,7 +330,7 @@ UNION ALL SELECT doc_id, rating, document FROM pj WHERE rating = 3""",
     + "\nSELECT doc_id, label, document FROM bal",
     "balanced_multi": "WITH " + balanced_ctes("multi") + "\nSELECT doc_id, label, document FROM bal",
     "first_rows": _with(REVIEW_LINES, PARSE_JVM)
-    + "\nSELECT doc_id, rating_txt, document FROM pj ORDER BY doc_id LIMIT 1000",
+    + "\nSELECT doc_id, rating_txt, document FROM pj ORDER BY doc_id LIMIT 100",
     "train_test_split": "WITH " + balanced_ctes("binary_drop4")
     + f"\nSELECT doc_id, label, {SPLIT_EXPR} AS split FROM bal",
     "zip_labels_features": "WITH " + balanced_ctes("binary_drop4") + f"""
@@ -298,7 +388,7 @@ SELECT label, n_docs::BIGINT AS n_docs, round(pi::DOUBLE, 6) AS pi,
     "score_new_reviews": "WITH " + experiment_ctes("binary_drop4") + f""",
 cv AS (SELECT conv_id, turn, text FROM conversations),
 ctok AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '{WORD}', 0)) AS w FROM cv),
-ctc AS (SELECT conv_id, turn, {MD5_TERM} AS term, count(*) AS tf FROM ctok GROUP BY 1, 2, 3),
+ctc AS (SELECT conv_id, turn, {MODEL_TERM} AS term, count(*) AS tf FROM ctok GROUP BY 1, 2, 3),
 cx AS (SELECT c.conv_id, c.turn, c.term,
               c.tf * coalesce(idf.idf, ln((SELECT m FROM m) + 1.0)) AS v
        FROM ctc c LEFT JOIN idf ON c.term = idf.term),
@@ -313,30 +403,24 @@ csc AS (SELECT c.conv_id, c.turn, p.label AS cls,
 SELECT conv_id, turn, cls AS prediction FROM (
   SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY score DESC, cls) AS rn
   FROM csc) WHERE rn = 1""",
+    "ml_pipeline_predictions": "WITH " + experiment_ctes("binary_drop4", seen_only=True)
+    + "\nSELECT doc_id, label, prediction FROM pred",
     "svm_weights": "WITH " + svm_ctes() + "\nSELECT term, round(w::DOUBLE, 6) AS w FROM wf",
     "svm_predict": "WITH " + svm_ctes() + "\nSELECT doc_id, label, prediction::INTEGER AS prediction FROM spred",
     "svm_accuracy": "WITH " + svm_ctes() + ACCURACY.replace("FROM pred", "FROM spred"),
-    "segment_full": LEXICON + """,
-ch AS (SELECT doc_id, unnest(cs) AS c, (generate_subscripts(cs, 1) - 1) AS p
-       FROM (SELECT doc_id, string_split(t, '') AS cs FROM t WHERE length(t) > 0)),
-ld AS (SELECT doc_id, p, c AS c0, lead(c, 1) OVER w AS c1, lead(c, 2) OVER w AS c2, lead(c, 3) OVER w AS c3, lead(c, 4) OVER w AS c4, lead(c, 5) OVER w AS c5, lead(c, 6) OVER w AS c6
-       FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
-g AS (SELECT doc_id, p, c0||c1 AS word FROM ld WHERE c1 IS NOT NULL
-      UNION ALL SELECT doc_id, p, c0||c1||c2 AS word FROM ld WHERE c2 IS NOT NULL
-      UNION ALL SELECT doc_id, p, c0||c1||c2||c3 AS word FROM ld WHERE c3 IS NOT NULL
-      UNION ALL SELECT doc_id, p, c0||c1||c2||c3||c4 AS word FROM ld WHERE c4 IS NOT NULL
-      UNION ALL SELECT doc_id, p, c0||c1||c2||c3||c4||c5 AS word FROM ld WHERE c5 IS NOT NULL
-      UNION ALL SELECT doc_id, p, c0||c1||c2||c3||c4||c5||c6 AS word FROM ld WHERE c6 IS NOT NULL)
-SELECT g.doc_id, g.p::INTEGER AS pos, g.word FROM g JOIN lex ON g.word = lex.word""",
-    "segment_max_match": LEXICON + "\nSELECT doc_id, idx, word FROM mm",
-    "segment_search": LEXICON + """,
-subs AS (SELECT m.doc_id, m.idx, o.o AS off, substr(m.word, o.o + 1, k.k) AS word
-         FROM mm m CROSS JOIN (SELECT unnest(range(0, 7)) AS o) o
-                   CROSS JOIN (SELECT unnest(range(2, 7)) AS k) k
-         WHERE length(m.word) > 2 AND k.k < length(m.word) AND o.o + k.k <= length(m.word))
+    "segment_full": SEGMENT + "\nSELECT doc_id, p::INTEGER AS pos, word FROM hits",
+    "segment_max_match": ",".join([SEGMENT, LONGEST, FOLD]) + "\nSELECT doc_id, idx, word FROM mm",
+    "segment_mmseg": ",".join([SEGMENT, CHUNKS, FOLD]) + "\nSELECT doc_id, idx, word FROM mm",
+    "segment_search": ",".join([SEGMENT, LONGEST, FOLD, INNER_WORDS]) + """
 SELECT doc_id, idx, 0::INTEGER AS off, word FROM mm
-UNION ALL
-SELECT s.doc_id, s.idx, s.off::INTEGER, s.word FROM subs s JOIN lex ON s.word = lex.word""",
+UNION ALL SELECT doc_id, idx, off, word FROM inside""",
+    "chain_multi_search_nb": "WITH " + experiment_ctes(**chain_ctes("multi_distinct", "search")) + ACCURACY,
+    "chain_binary_max_match_nb": "WITH " + experiment_ctes(**chain_ctes("binary_drop4", "max_match")) + ACCURACY,
+    "chain_4neg_full_svm": "WITH " + svm_ctes(**chain_ctes("binary_4neg", "full"))
+    + ACCURACY.replace("FROM pred", "FROM spred"),
+    "chinese_numerals": """
+SELECT doc_id, translate(CAST(n_chars AS VARCHAR), '0123456789', '零一二三四五六七八九') AS numeral,
+       n_chars AS value, (n_chars % 9 + 1) * 1000000 AS millions FROM documents""",
     "latin_second_split": """
 WITH d AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\\s+')) AS token FROM documents)
 SELECT doc_id, token, unnest(regexp_extract_all(token, '[a-z]{2,}|[0-9]{2,}', 0)) AS part

@@ -1,28 +1,67 @@
-"""The training chain shared by the model queries, as one lazily built set of plans.
+"""The training chain shared by the model queries.
 
 review lines -> labelled reviews (policy) -> balanced classes -> train/test split
-  -> words -> term counts -> IDF fitted on the training rows -> TF-IDF -> model
+  -> words (any tokenizer, stop words optional) -> term counts -> IDF -> TF-IDF -> model
+
+A tokenizer is a function ``(documents (key, document)) -> (key, words)``. ``WORDS`` cuts
+spaced text by the word pattern; ``segmented(mode, lexicon)`` makes one from the dictionary
+segmenter. A fitted model with its IDF can be saved as parquet and loaded again, and scoring
+reads those tables only.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.functions.text import words
+from revlens.functions import text as T
 from revlens.operators import features as feat
+from revlens.operators import segment as seg
 from revlens.operators.bayes import NaiveBayesModel, nb_fit, nb_predict
-from revlens.operators.label import POLICIES, labelled_reviews
+from revlens.operators.label import POLICIES, Policy, labelled_reviews
 from revlens.operators.sample import balance, hash_split
 from revlens.operators.svm import ITERATIONS, SVMModel, svm_fit, svm_predict
-from revlens.session import ensure_checkpoint_dir
+from revlens.session import materialize
 from revlens.sources.tables import review_lines
 
-# Features of the model queries: md5 buckets (2**16), so the vocabulary tables have a
-# proven size bound and any SQL engine can recompute the buckets.
-MODEL_HASHING = feat.MD5_16
+# Features of the model queries: md5 buckets (2**20, the reference's larger size), so the
+# vocabulary tables have a proven size bound and any SQL engine can recompute the buckets.
+MODEL_HASHING = feat.MD5_20
+
+Tokenizer = Callable[[DataFrame], DataFrame]
+
+
+def by_pattern(words: Callable = T.words) -> Tokenizer:
+    """Tokens of spaced text: ``words`` is one of the word-array expressions."""
+    return lambda docs: docs.select(docs.columns[0], words("document").alias("words"))
+
+
+WORDS = by_pattern()
+
+
+def segmented(mode: str, lexicon: DataFrame, despaced: bool = False, stop_words: bool = False,
+              latin_parts: bool = False, **settings) -> Tokenizer:
+    """Tokens of unsegmented text by the dictionary segmenter. ``despaced`` removes the blanks
+    first (for spaced text standing in for unsegmented), ``stop_words`` drops the stop words,
+    ``latin_parts`` appends the second split of mixed Latin tokens."""
+    def run(docs: DataFrame) -> DataFrame:
+        key = docs.columns[0]
+        texts = docs.select(key, T.despace("document").alias("document")) if despaced else docs
+        tokens = seg.segment(texts, lexicon, mode, key, "document", **settings)
+        order = "pos" if mode == "full" else "idx"
+        words = docs.select(key).join(seg.words_per_document(tokens, key, order), key, "left")
+        words = words.withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
+        if stop_words:
+            words = words.withColumn("words", T.remove_stop_words("words"))
+        if latin_parts:
+            words = words.withColumn("words", T.with_latin_parts("words"))
+        return words
+
+    return run
 
 
 @dataclass
@@ -30,44 +69,42 @@ class Experiment:
     split: DataFrame      # (doc_id, label, split)
     train: DataFrame      # (doc_id, label)
     test: DataFrame       # (doc_id, label)
-    counts: DataFrame     # (doc_id, term, tf) for train and test rows
-    idf: DataFrame        # (term, df, idf) fitted on train rows
-    tfidf: DataFrame      # (doc_id, term, tf, tfidf)
+    idf: DataFrame        # (term, df, idf)
+    tfidf: DataFrame      # (doc_id, label, split, term, tf, tfidf), written
     classes: list[int]
     hashing: feat.Hashing
     fit_docs: DataFrame   # (doc_id, ...) rows the IDF was fitted on
 
 
-def balanced(spark: SparkSession, sf_dir: str, policy: str) -> DataFrame:
-    p = POLICIES[policy]
+def balanced(spark: SparkSession, sf_dir: str, policy: str | Policy) -> DataFrame:
+    p = POLICIES[policy] if isinstance(policy, str) else policy
     return balance(labelled_reviews(review_lines(spark, sf_dir), p),
                    positive_label=p.positive_label)
 
 
-def experiment(spark: SparkSession, sf_dir: str, policy: str = "binary_drop4",
-               hashing: feat.Hashing = MODEL_HASHING, fit_on: str = "train") -> Experiment:
-    """Build the plans of one training run. ``fit_on="all"`` fits the IDF on train and test
-    rows together, as the reference did."""
-    p = POLICIES[policy]
-    sp = hash_split(balanced(spark, sf_dir, policy))
-    # The balanced, split rows and their words are read by every later step: write them
-    # once to the checkpoint folder (cuts the lineage, survives lost executors).
-    ensure_checkpoint_dir(spark)
-    rows = sp.select("doc_id", "label", "split",
-                     words("document").alias("words")).checkpoint(eager=True)
-    train = rows.filter(F.col("split") == "train").select("doc_id", "label")
-    test = rows.filter(F.col("split") == "test").select("doc_id", "label")
+def experiment(spark: SparkSession, sf_dir: str, policy: str | Policy = "binary_drop4",
+               hashing: feat.Hashing = MODEL_HASHING, fit_on: str = "train",
+               tokenizer: Tokenizer = WORDS) -> Experiment:
+    """Run the chain up to TF-IDF; words, IDF and TF-IDF are written to the checkpoint folder.
+    ``fit_on="all"`` fits the IDF on train and test rows together, as the reference did."""
+    p = POLICIES[policy] if isinstance(policy, str) else policy
+    docs = materialize(hash_split(balanced(spark, sf_dir, p)), "balanced")
+    words = tokenizer(docs.select("doc_id", "document"))
+    rows = materialize(docs.select("doc_id", "label", "split").join(words, "doc_id")
+                       if tokenizer is not WORDS else
+                       docs.select("doc_id", "label", "split", T.words("document").alias("words")), "words")
+    sp = rows.select("doc_id", "label", "split")
+    train = sp.filter(F.col("split") == "train").select("doc_id", "label")
+    test = sp.filter(F.col("split") == "test").select("doc_id", "label")
     # label and split ride along with the term counts, so train/test selection below is a
-    # filter on the checkpointed table, not a join back by document
-    tc = feat.term_counts(rows.select("doc_id", "label", "split", "words"), hashing=hashing,
-                          carry=["label", "split"])
-    fit_docs = train if fit_on == "train" else rows.select("doc_id")
+    # filter on the written table, not a join back by document
+    tc = materialize(feat.term_counts(rows, hashing=hashing, carry=["label", "split"]), "term-counts")
+    fit_docs = train if fit_on == "train" else sp.select("doc_id")
     fit_tc = tc.filter(F.col("split") == "train") if fit_on == "train" else tc
-    idf_t = feat.idf(fit_tc, fit_docs)
-    x = feat.tfidf(tc, idf_t, hashing, fit_docs=fit_docs).checkpoint(eager=True)
+    idf_t = materialize(feat.idf(fit_tc, fit_docs), "idf")
+    x = materialize(feat.tfidf(tc, idf_t, hashing, fit_docs=fit_docs), "tfidf")
     classes = sorted({p.positive_label, *((0,) if p.binary else p.negatives)})
-    sp = rows.select("doc_id", "label", "split")
-    return Experiment(sp, train, test, tc, idf_t, x, classes, hashing, fit_docs)
+    return Experiment(sp, train, test, idf_t, x, classes, hashing, fit_docs)
 
 
 def _rows_of(e: Experiment, split: str, with_label: bool) -> DataFrame:
@@ -94,12 +131,59 @@ def svm_predict_test(e: Experiment, model: SVMModel) -> DataFrame:
                                                                          "prediction")
 
 
-def score_texts(e: Experiment, model: NaiveBayesModel, texts: DataFrame, key: str,
-                text_col: str = "text") -> DataFrame:
-    """Score new texts with a fitted model and the experiment's IDF: words -> buckets ->
-    TF-IDF (fit on the training rows) -> prediction. ``texts`` may have any size; its
-    other columns are passed through to the result."""
-    docs = texts.select(key, words(text_col).alias("words"))
-    tc = feat.term_counts(docs, key=key, hashing=e.hashing)
-    x = feat.tfidf(tc, e.idf, e.hashing, key=key, fit_docs=e.fit_docs)
-    return nb_predict(model, x, texts.drop(text_col), key=key)
+# -- saved models ---------------------------------------------------------------------------
+
+@dataclass
+class Scorer:
+    """A fitted model with the IDF it needs: all that scoring reads."""
+    model: NaiveBayesModel | SVMModel
+    idf: DataFrame
+    n_docs: int           # documents the IDF was fitted on
+
+    def save(self, path: str) -> None:
+        """Write the tables and a one-row table of parameters under ``path``."""
+        m = self.model
+        spark = self.idf.sparkSession
+        about = {"n_docs": self.n_docs, "hashing": [m.hashing.kind, m.hashing.num_features]}
+        if isinstance(m, NaiveBayesModel):
+            about |= {"kind": "bayes", "classes": m.classes, "smoothing": m.smoothing}
+            m.priors.write.mode("overwrite").parquet(f"{path}/priors")
+        else:
+            about |= {"kind": "svm", "iterations": m.iterations, "threshold": m.threshold}
+        m.weights.write.mode("overwrite").parquet(f"{path}/weights")
+        self.idf.write.mode("overwrite").parquet(f"{path}/idf")
+        spark.createDataFrame([(json.dumps(about),)], "about string").write.mode("overwrite").parquet(f"{path}/about")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Scorer:
+        about = json.loads(spark.read.parquet(f"{path}/about").first()[0])
+        hashing = feat.Hashing(*about["hashing"])
+        weights = spark.read.parquet(f"{path}/weights")
+        if about["kind"] == "bayes":
+            model = NaiveBayesModel(about["classes"], spark.read.parquet(f"{path}/priors"), weights,
+                                    about["smoothing"], hashing)
+        else:
+            model = SVMModel(weights, about["iterations"], hashing, about["threshold"])
+        return cls(model, spark.read.parquet(f"{path}/idf"), about["n_docs"])
+
+
+def scorer(e: Experiment, model: NaiveBayesModel | SVMModel) -> Scorer:
+    return Scorer(model, e.idf, e.fit_docs.count())
+
+
+def score_texts(s: Scorer, texts: DataFrame, key: str, text_col: str = "text",
+                tokenizer: Tokenizer = WORDS) -> DataFrame:
+    """Score new texts: words -> buckets -> TF-IDF with the fitted IDF -> prediction. ``texts``
+    may have any size; its other columns are passed through to the result."""
+    words = tokenizer(texts.select(key, F.col(text_col).alias("document")))
+    tc = feat.term_counts(words, key=key, hashing=s.model.hashing)
+    x = feat.tfidf(tc, s.idf, s.model.hashing, key=key, n_docs=s.n_docs)
+    docs = texts.drop(text_col)
+    if isinstance(s.model, NaiveBayesModel):
+        return nb_predict(s.model, x, docs, key=key)
+    return svm_predict(s.model, x, docs, key=key).select(*docs.columns, "prediction")
+
+
+def with_distinct_lines(policy: str) -> Policy:
+    """A policy on distinct lines, in the Python reading."""
+    return replace(POLICIES[policy], distinct=True, reading="python")

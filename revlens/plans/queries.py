@@ -1,12 +1,15 @@
 """Registered queries: ``name -> f(spark, sf_dir) -> DataFrame``.
 
-Every query reads the driver tables (whole tables, whole texts) and returns a lazy plan.
+Every query reads the driver tables (whole tables, whole texts). The plain queries return a
+lazy plan; segmentation, models and chains write their shared tables (lexicon, words, TF-IDF,
+weights) while the plan is built.
 Doubles are rounded to 6 digits so another engine's sums compare equal; counts are bigint.
 The matching DuckDB SQL lives in ``revlens.plans.oracle`` under the same names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +19,18 @@ from revlens.functions import text as T
 from revlens.operators import features as feat
 from revlens.operators.clean import distinct_lines, extract_reviews, parse_lines
 from revlens.operators.label import POLICIES, labelled_reviews, negatives_isin, negatives_union
-from revlens.operators.metrics import accuracy, rating_histogram, top_words, word_cloud_weights, word_counts
+from revlens.operators.metrics import (accuracy, rating_histogram, top_words, word_cloud_weights, word_counts,
+                                        words_by_count)
 from revlens.operators.sample import first_rows, hash_split, zip_by_key
 from revlens.operators import segment as seg
-from revlens.plans.pipeline import (balanced, experiment, fit_naive_bayes, fit_svm, predict_test,
-                                    score_texts, svm_predict_test)
+from revlens.plans.pipeline import (Scorer, balanced, experiment, fit_naive_bayes, fit_svm, predict_test, scorer,
+                                    score_texts, segmented, svm_predict_test, with_distinct_lines)
+from revlens.session import ensure_checkpoint_dir, materialize
 from revlens.sources.tables import review_csv_rows, review_lines, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 6
+FIRST_ROWS = 100  # rows of the preview extract
 
 
 def _r(c) -> F.Column:
@@ -41,8 +47,12 @@ def q_top_words(spark, sf_dir):
     return top_words(word_counts(_doc_words(spark, sf_dir)), 100)
 
 
+def q_words_by_count(spark, sf_dir):
+    return words_by_count(word_counts(_doc_words(spark, sf_dir)))
+
+
 def q_word_cloud_weights(spark, sf_dir):
-    w = word_cloud_weights(top_words(word_counts(_doc_words(spark, sf_dir)), 100))
+    w = word_cloud_weights(materialize(word_counts(_doc_words(spark, sf_dir)), "word-counts"))
     return w.select("word", "n", _r("size").alias("size"))
 
 
@@ -70,7 +80,8 @@ def q_distinct_reviews(spark, sf_dir):
 
 
 def q_negatives_union(spark, sf_dir):
-    r = parse_lines(review_lines(spark, sf_dir), reading="jvm")
+    # one scan of the text: the filters of the union read the written parse
+    r = materialize(parse_lines(review_lines(spark, sf_dir), reading="jvm"), "parsed")
     return negatives_union(r).select("doc_id", "rating", "document")
 
 
@@ -95,7 +106,7 @@ def _balanced_query(policy: str) -> Query:
 
 def q_first_rows(spark, sf_dir):
     r = parse_lines(review_lines(spark, sf_dir), reading="jvm")
-    return first_rows(r.select("doc_id", "rating_txt", "document"), 1000, "doc_id")
+    return first_rows(r.select("doc_id", "rating_txt", "document"), FIRST_ROWS, "doc_id")
 
 
 def q_train_test_split(spark, sf_dir):
@@ -103,9 +114,9 @@ def q_train_test_split(spark, sf_dir):
 
 
 def q_zip_labels_features(spark, sf_dir):
-    b = balanced(spark, sf_dir, "binary_drop4")
-    lab = b.select("doc_id", "label")
-    n_words = b.select("doc_id", F.size(T.words("document")).cast("long").alias("n_words"))
+    b = materialize(balanced(spark, sf_dir, "binary_drop4").select(
+        "doc_id", "label", F.size(T.words("document")).cast("long").alias("n_words")), "balanced")
+    lab, n_words = b.select("doc_id", "label"), b.select("doc_id", "n_words")
     return zip_by_key(lab, n_words, "doc_id")
 
 
@@ -151,8 +162,8 @@ def q_idf(spark, sf_dir):
 
 def q_tfidf(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id")
-    tc = feat.term_counts(_doc_words(spark, sf_dir))
-    x = feat.tfidf(tc, feat.idf(tc, docs))
+    tc = materialize(feat.term_counts(_doc_words(spark, sf_dir)), "term-counts")
+    x = feat.tfidf(tc, materialize(feat.idf(tc, docs), "idf"))
     return x.select("doc_id", "term", "tf", _r("tfidf").alias("tfidf"))
 
 
@@ -201,21 +212,22 @@ def q_nb_multiclass_accuracy(spark, sf_dir):
 
 def q_score_new_reviews(spark, sf_dir):
     e = experiment(spark, sf_dir, "binary_drop4")
-    model = fit_naive_bayes(e)
+    path = f"{ensure_checkpoint_dir(spark)}/revlens-model-{uuid.uuid4().hex}"
+    scorer(e, fit_naive_bayes(e)).save(path)
     conv = table(spark, sf_dir, "conversations").select(
         F.concat_ws(":", "conv_id", "turn").alias("rid"), "conv_id", "turn", "text")
-    pred = score_texts(e, model, conv, key="rid")
+    pred = score_texts(Scorer.load(spark, path), conv, key="rid")
     return pred.select("conv_id", "turn", "prediction")
 
 
 def q_ml_pipeline_predictions(spark, sf_dir):
     """Spark ML PipelineModel fitted on the training rows, applied to the test rows."""
     from revlens.operators.ml import fit_review_model, score
-    sp = hash_split(balanced(spark, sf_dir, "binary_drop4"))
+    sp = materialize(hash_split(balanced(spark, sf_dir, "binary_drop4")), "balanced")
     train = sp.filter(F.col("split") == "train").select("document", "label")
     test = sp.filter(F.col("split") == "test").select("doc_id", "document", "label")
     out = score(fit_review_model(train), test)
-    return out.select("doc_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    return out.select("doc_id", "label", F.col("predicted").cast("int").alias("prediction"))
 
 
 # -- linear SVM ---------------------------------------------------------------------------
@@ -238,11 +250,11 @@ def q_svm_accuracy(spark, sf_dir):
 
 # -- segmentation -------------------------------------------------------------------------
 
-LEXICON_SIZE = 200  # lexicon of the segmentation queries: the 200 most frequent words
+LEXICON_MIN_COUNT = 25  # lexicon of the segmentation queries: words seen so often
 
 
 def _lexicon(spark, sf_dir):
-    return seg.frequent_lexicon(_doc_words(spark, sf_dir), LEXICON_SIZE)
+    return seg.lexicon_by_count(_doc_words(spark, sf_dir), LEXICON_MIN_COUNT)
 
 
 def _unsegmented(spark, sf_dir):
@@ -250,23 +262,58 @@ def _unsegmented(spark, sf_dir):
 
 
 def q_segment_full(spark, sf_dir):
-    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "full",
-                       lexicon_bound=LEXICON_SIZE)
+    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "full")
 
 
 def q_segment_max_match(spark, sf_dir):
-    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "max_match",
-                       lexicon_bound=LEXICON_SIZE)
+    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "max_match")
 
 
 def q_segment_search(spark, sf_dir):
-    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "search",
-                       lexicon_bound=LEXICON_SIZE)
+    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "search")
 
 
 def q_segment_mmseg(spark, sf_dir):
-    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "mmseg",
-                       lexicon_bound=LEXICON_SIZE)
+    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "mmseg")
+
+
+# -- the reference's chains, end to end -----------------------------------------------------
+
+def _chain_accuracy(predictions):
+    a = accuracy(predictions)
+    return a.select("n_test", "n_correct", _r("accuracy").alias("accuracy"))
+
+
+def q_chain_multi_search_nb(spark, sf_dir):
+    """Distinct lines -> rating classes -> search-mode words -> 2**20 buckets -> Naive Bayes."""
+    tok = segmented("search", _lexicon(spark, sf_dir), despaced=True)
+    e = experiment(spark, sf_dir, with_distinct_lines("multi"), fit_on="all", tokenizer=tok)
+    return _chain_accuracy(predict_test(e, fit_naive_bayes(e)))
+
+
+def q_chain_binary_max_match_nb(spark, sf_dir):
+    """Binary labels -> longest dictionary words -> TF-IDF -> Naive Bayes -> accuracy."""
+    tok = segmented("max_match", _lexicon(spark, sf_dir), despaced=True)
+    e = experiment(spark, sf_dir, "binary_drop4", fit_on="all", tokenizer=tok)
+    return _chain_accuracy(predict_test(e, fit_naive_bayes(e)))
+
+
+def q_chain_4neg_full_svm(spark, sf_dir):
+    """Distinct lines -> 4 stars negative -> every dictionary word, no stop words -> 2**20
+    buckets -> IDF on all rows -> linear SVM -> accuracy."""
+    tok = segmented("full", _lexicon(spark, sf_dir), despaced=True, stop_words=True)
+    e = experiment(spark, sf_dir, "binary_4neg", fit_on="all", tokenizer=tok)
+    return _chain_accuracy(svm_predict_test(e, fit_svm(e)))
+
+
+def q_chinese_numerals(spark, sf_dir):
+    """``n_chars`` written as a Chinese numeral (digits, then 万 for four more) and read back."""
+    digits = "零一二三四五六七八九"
+    by_digit = F.translate(F.col("n_chars").cast("string"), "0123456789", digits)
+    hundreds = F.concat(F.translate((F.col("n_chars") % 9 + 1).cast("string"), "0123456789", digits), F.lit("百万"))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", by_digit.alias("numeral"), T.cn_numeral_to_arabic(by_digit).alias("value"),
+        T.cn_numeral_to_arabic(hundreds).alias("millions"))
 
 
 def q_latin_second_split(spark, sf_dir):
@@ -278,6 +325,7 @@ def q_latin_second_split(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "top_words": q_top_words,
+    "words_by_count": q_words_by_count,
     "word_cloud_weights": q_word_cloud_weights,
     "extract_reviews": q_extract_reviews,
     "parse_reviews_jvm": q_parse_reviews_jvm,
@@ -318,5 +366,9 @@ QUERIES: dict[str, Query] = {
     "segment_max_match": q_segment_max_match,
     "segment_search": q_segment_search,
     "segment_mmseg": q_segment_mmseg,
+    "chain_multi_search_nb": q_chain_multi_search_nb,
+    "chain_binary_max_match_nb": q_chain_binary_max_match_nb,
+    "chain_4neg_full_svm": q_chain_4neg_full_svm,
+    "chinese_numerals": q_chinese_numerals,
     "latin_second_split": q_latin_second_split,
 }

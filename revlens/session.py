@@ -74,24 +74,22 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/revlens-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpoint_partitioned(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Hash-partition by ``key`` and checkpoint, keeping the partitioning visible to the
-    planner, so later aggregates and joins on ``key`` need no exchange.
+def _folders(df: DataFrame) -> set[str]:
+    return {f.rpartition("/")[0] for f in df.inputFiles()}
 
-    Adaptive execution is paused for this one job because an adaptive plan reports its
-    output partitioning as unknown.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    conf = spark.conf
-    before = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        n = partitions or int(conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(n, key).checkpoint(eager=True)
-    finally:
-        conf.set("spark.sql.adaptive.enabled", before)
 
+def reopen(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """The table that ``materialize`` wrote, read in another session of the application."""
+    return spark.read.schema(df.schema).parquet(*sorted(_folders(df)))
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in _folders(df):
+        if "/revlens-" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,9 +1,9 @@
 """Scoring a stream of new reviews with a fitted model.
 
 Each micro-batch is a static DataFrame, so ``foreachBatch`` runs the same batch plan
-(words -> buckets -> TF-IDF with the fitted IDF -> Naive Bayes) on it and appends the
-predictions to a table. Progress lives in the query's checkpoint location, so a restarted
-query continues where it stopped and re-runs an unfinished batch.
+(words -> buckets -> TF-IDF with the fitted IDF -> model) on it and writes the predictions to a
+folder of the batch's own, overwriting it: a restarted query re-runs an unfinished batch and
+leaves no row twice. Scoring reads a saved model, so no batch fits anything again.
 """
 
 from __future__ import annotations
@@ -11,18 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from revlens.operators.bayes import NaiveBayesModel
-from revlens.plans.pipeline import Experiment, score_texts
+from revlens.plans.pipeline import WORDS, Scorer, Tokenizer, score_texts
 
 
-def score_stream(reviews: DataFrame, e: Experiment, model: NaiveBayesModel, key: str,
+def score_stream(reviews: DataFrame, model_path: str, key: str,
                  out_path: str, checkpoint_location: str, text_col: str = "text",
-                 available_now: bool = True) -> StreamingQuery:
-    """Start a query appending ``(key, prediction)`` rows for every review that arrives."""
+                 available_now: bool = True, tokenizer: Tokenizer = WORDS) -> StreamingQuery:
+    """Start a query writing ``(key, prediction)`` rows for every review that arrives, under
+    ``out_path/batch=<id>``, by the model saved at ``model_path``."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        pred = score_texts(e, model, batch.select(key, text_col), key=key, text_col=text_col)
-        pred.write.mode("append").parquet(out_path)
+        scorer = Scorer.load(batch.sparkSession, model_path)
+        pred = score_texts(scorer, batch.select(key, text_col), key=key, text_col=text_col, tokenizer=tokenizer)
+        pred.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     writer = (reviews.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_location))

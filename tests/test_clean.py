@@ -70,3 +70,9 @@ def test_extract_reviews_reference_and_csv(spark):
     q = {r.doc_id: r.line for r in extract_reviews(_csv(spark, rows), quotes=True,
                                                    keep=["doc_id"]).collect()}
     assert q[2] == "4\tgood, cheap" and q[1] == "5\ttasty" and 0 not in q and 3 not in q
+
+
+def test_quoted_rows_keep_doubled_quotes(spark):
+    rows = ['1,x,5,d,e,f,g,h,i,j,"good ""very"" nice, cheap"']
+    got = extract_reviews(_csv(spark, rows), quotes=True, keep=["doc_id"]).collect()
+    assert [r.line for r in got] == ['5\tgood "very" nice, cheap']

@@ -1,14 +1,13 @@
 """Goldens G1-G3: the reference's printed hashed term counts and TF-IDF values."""
 
-import math
+from revlens.functions.hashing import RDD_DEFAULT_NUM_FEATURES, murmur_bucket
+from revlens.operators.features import MURMUR, Hashing, idf, term_counts, tfidf
 
-from pyspark.sql import functions as F
-
-from revlens.functions.hashing import murmur_bucket
-
-G1 = "这个 价位 ， 这个 口味 就 那样 ， 说不上 特别 好吃".split()
+# Two segmented reviews, their printed hashed counts, and printed TF-IDF values.
+G1 = ["这个", "价位", "，", "这个", "口味", "就", "那样", "，", "说不上", "特别", "好吃"]
 G1_VEC = {12231: 1, 17078: 1, 37436: 1, 54992: 1, 67849: 1, 85364: 2, 112276: 1, 153025: 2, 154679: 1}
-G2 = "吃完 会 感觉 很 舒服 的 地方 ， 这个 季节 最爱 炖汤 和 滋补 的 菜式 ， 朋友 来 广州 首推 的 地方 。".split()
+G2 = ["吃完", "会", "感觉", "很", "舒服", "的", "地方", "，", "这个", "季节", "最爱", "炖汤", "和", "滋补", "的",
+      "菜式", "，", "朋友", "来", "广州", "首推", "的", "地方", "。"]
 G2_IDX = [5224, 12859, 13599, 26081, 30776, 37083, 45248, 52547, 85364, 101376, 132859, 137444,
           140763, 145803, 153025, 167900, 177554, 186651, 217856, 238030]
 G2_CNT = [1, 1, 1, 1, 1, 1, 1, 1, 2, 1, 1, 1, 2, 1, 1, 1, 1, 1, 1, 3]
@@ -32,7 +31,25 @@ def test_g2_term_counts(spark):
     assert _vector(spark, G2) == dict(zip(G2_IDX, G2_CNT))
 
 
-def test_g3_tfidf_formula():
-    for b, df in G3_DF.items():
-        got = G1_VEC[b] * math.log((508 + 1) / (df + 1))
-        assert abs(got - G3_TFIDF[b]) < 1e-12
+def test_g1_g2_through_term_counts(spark):
+    docs = spark.createDataFrame([(1, G1), (2, G2), (3, []), (4, None), (5, [None, "a", "a"])], "doc_id long, words array<string>")
+    got = {}
+    for r in term_counts(docs, hashing=MURMUR).collect():
+        got.setdefault(r.doc_id, {})[r.term] = r.tf
+    assert got[1] == G1_VEC and got[2] == dict(zip(G2_IDX, G2_CNT)) and 3 not in got and 4 not in got
+    assert list(got[5].values()) == [2]
+    wide = {r.term: r.tf for r in term_counts(docs.filter("doc_id = 1"), hashing=Hashing("murmur", RDD_DEFAULT_NUM_FEATURES)).collect()}
+    assert sum(wide.values()) == len(G1) and len(wide) == 9 and all(0 <= t < 1 << 20 for t in wide)
+
+
+def test_g3_through_idf_and_tfidf(spark):
+    """508 documents whose document frequencies are the printed ones."""
+    docs = spark.createDataFrame([(1, G1)], "doc_id long, words array<string>")
+    first = term_counts(docs, hashing=MURMUR)
+    others = spark.createDataFrame([(d, b, 1) for b, df in G3_DF.items() for d in range(2, df + 1)],
+                                   "doc_id long, term int, tf long")
+    counts = first.unionByName(others)
+    everyone = spark.range(1, 509).withColumnRenamed("id", "doc_id")
+    x = tfidf(counts, idf(counts, everyone), MURMUR, fit_docs=everyone)
+    got = {r.term: r.tfidf for r in x.filter("doc_id = 1").collect()}
+    assert got.keys() == G3_TFIDF.keys() and all(abs(got[b] - v) < 1e-12 for b, v in G3_TFIDF.items())

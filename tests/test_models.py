@@ -99,13 +99,78 @@ def test_ml_pipeline_save_load_and_score_one(spark, tmp_dir):
     train = spark.createDataFrame(
         [("great tasty food", 1), ("awful cold food", 0), ("tasty great service", 1),
          ("cold awful service", 0)] * 5, "document string, label int")
-    model = fit_review_model(train, num_features=1 << 10)
+    model = fit_review_model(train)
     path = os.path.join(tmp_dir, "model")
     save_model(model, path)
     again = load_model(path)
-    a = [r.prediction for r in score(model, train).collect()]
-    b = [r.prediction for r in score(again, train).collect()]
-    assert a == b == [float(l) for l in [1, 0, 1, 0] * 5]
-    assert score_one(again, "great tasty").first().prediction == 1.0
-    d = dense_features(score(again, train)).first().dense
-    assert len(d) == 1 << 10
+    a = [r.predicted for r in score(model, train).collect()]
+    b = [r.predicted for r in score(again, train).collect()]
+    assert a == b == [str(x) for x in [1, 0, 1, 0] * 5]
+    assert score_one(again, "great tasty").first().predicted == "1"
+    assert len(dense_features(score(again, train)).first().dense) == 6
+
+
+def test_ml_pipeline_takes_any_labels(spark):
+    from revlens.operators.ml import fit_review_model, score
+    rows = [(f"word{c} other{c} word{c}", c) for c in (1, 2, 3, 5) for _ in range(6)]
+    train = spark.createDataFrame(rows, "document string, label int")
+    assert [int(r.predicted) for r in score(fit_review_model(train), train).collect()] == [c for _, c in rows]
+
+
+def test_missing_predictions_count_as_wrong(spark):
+    df = spark.createDataFrame([(1, 1), (0, None)], "label int, prediction int")
+    a = accuracy(df).first()
+    assert (a.n_test, a.n_correct, a.accuracy) == (2, 1, 0.5)
+    assert accuracy(df.limit(0)).first().accuracy is None
+
+
+def test_evaluator_and_correct_rows(spark):
+    from revlens.operators.metrics import correct_predictions, evaluate_accuracy
+    df = spark.createDataFrame([(1, 1), (0, 1), (3, 3), (5, None)], "label int, prediction int")
+    assert abs(evaluate_accuracy(df) - 2 / 3) < 1e-12
+    assert sorted(r.label for r in correct_predictions(df).collect()) == [1, 3]
+
+
+def test_svm_early_stop_matches_mllib(spark):
+    """Few separable rows: the weights settle long before the last iteration."""
+    from pyspark.mllib.classification import SVMWithSGD
+    from pyspark.mllib.linalg import Vectors
+    from pyspark.mllib.regression import LabeledPoint
+    rows = [(d, d % 2, [1.0 + d % 3, 0.5] if d % 2 else [-1.0 - d % 3, 0.25]) for d in range(8)]
+    ref = SVMWithSGD.train(spark.sparkContext.parallelize([LabeledPoint(y, Vectors.dense(v)) for _, y, v in rows], 2),
+                           iterations=400)
+    x = spark.createDataFrame([(d, j, v[j]) for d, _, v in rows for j in (0, 1)], "doc_id long, term int, tfidf double")
+    y = spark.createDataFrame([(d, c) for d, c, _ in rows], "doc_id long, label int")
+    conf = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    m = svm_fit(x, y, iterations=400)
+    assert m.iterations < 400
+    w = {r.term: r.w for r in m.weights.collect()}
+    assert all(abs(w[j] - ref.weights[j]) < 1e-9 for j in (0, 1))
+    assert conf == {k: spark.conf.get(k) for k in conf}
+
+
+def test_smoothing_must_be_positive(spark):
+    with pytest.raises(ValueError, match="positive"):
+        nb_fit(_long(_docs(spark)), _docs(spark).select("doc_id", "label"), [0, 1], 0.0)
+
+
+@pytest.mark.parametrize("kind", ["bayes", "svm"])
+def test_saved_models_score_alike(spark, tmp_dir, kind):
+    import os
+    from conftest import SF_SMALL
+    from revlens.plans.pipeline import Scorer, experiment, fit_naive_bayes, fit_svm, score_texts, scorer
+    e = experiment(spark, SF_SMALL)
+    s = scorer(e, fit_naive_bayes(e) if kind == "bayes" else fit_svm(e, iterations=5))
+    path = os.path.join(tmp_dir, kind)
+    s.save(path)
+    texts = spark.read.parquet(os.path.join(SF_SMALL, "documents.parquet")).select("doc_id", "text", "source")
+    rows = [sorted(map(tuple, score_texts(x, texts, "doc_id").collect())) for x in (s, Scorer.load(spark, path))]
+    assert rows[0] == rows[1] and len(rows[0]) == texts.count()
+
+
+def test_distinct_multi_policy(spark):
+    from revlens.operators.label import labelled_reviews
+    from revlens.plans.pipeline import with_distinct_lines
+    lines = spark.createDataFrame([(1, "5\ta"), (2, "5\ta"), (3, "2\tb"), (4, "4\tc")], "doc_id long, line string")
+    got = labelled_reviews(lines, with_distinct_lines("multi")).collect()
+    assert sorted((r.doc_id, r.label) for r in got) == [(1, 5), (3, 2)]

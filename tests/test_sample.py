@@ -69,9 +69,41 @@ def test_salted_join_equals_plain_join(spark, how):
                                 + [(999, "missing", 0.0)], "doc_id long, term string, x double")
     small = spark.createDataFrame([("hot", 1.5)] + [(f"k{i}", float(i)) for i in range(7)],
                                   "term string, idf double")
-    hot = spark.createDataFrame([("hot",), ("k1",)], "term string")
-    got = sorted(tuple(r) for r in salted_join(big, small, "term", hot, how, salts=8)
+    weights = big.groupBy("term").count()
+    got = sorted(tuple(r) for r in salted_join(big, small, "term", weights, "count", how, rows_per_salt=20)
                  .select("doc_id", "term", "x", "idf").collect())
     want = sorted(tuple(r) for r in big.join(small, "term", how)
                   .select("doc_id", "term", "x", "idf").collect())
     assert got == want
+
+
+def test_first_rows_below_the_row_count(spark):
+    from revlens.operators.sample import first_rows
+    df = spark.range(50).select((49 - F.col("id")).alias("doc_id")).repartition(5)
+    assert [r.doc_id for r in first_rows(df, 7).collect()] == list(range(7))
+
+
+@pytest.mark.parametrize("n_neg,n_pos", [(0, 9), (40, 100), (100, 40), (99, 100), (0, 0)])
+def test_balance_cuts_where_the_order_says(spark, n_neg, n_pos):
+    import hashlib
+    rows = [(i, 0, "n") for i in range(n_neg)] + [(1000 + i, 1, "p") for i in range(n_pos)]
+    df = spark.createDataFrame(rows, "doc_id long, label int, document string")
+    order = sorted(range(1000, 1000 + n_pos), key=lambda k: (hashlib.md5(f"balance{k}".encode()).hexdigest(), k))
+    want = sorted([*range(n_neg), *order[:n_neg]])
+    for digits in (1, 4):
+        assert sorted(r.doc_id for r in balance(df, bucket_digits=digits).collect()) == want
+
+
+def test_binary_4neg_with_a_real_cut(spark):
+    from revlens.operators.label import labelled_reviews
+    lines = [(i, f"{1 + i % 4}\tbad {i}") for i in range(10)] + [(100 + i, f"5\tgood {i}") for i in range(30)]
+    lines += [(200, "5\tgood 0"), (201, "1\tbad 0")]
+    lab = labelled_reviews(spark.createDataFrame(lines, "doc_id long, line string"), "binary_4neg")
+    kept = balance(lab).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in kept} == {0: 10, 1: 10}
+
+
+def test_random_split_shares(spark):
+    from revlens.operators.sample import random_split
+    a, b = random_split(spark.range(5000), seed=1)
+    assert a.count() + b.count() == 5000 and abs(a.count() / 5000 - 0.6) < 0.05

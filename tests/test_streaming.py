@@ -5,23 +5,32 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from revlens.plans.pipeline import experiment, fit_naive_bayes, score_texts
+from revlens.plans.pipeline import Scorer, experiment, fit_naive_bayes, score_texts, scorer
 from revlens.streaming.score import score_stream
 
 
 def test_stream_scoring_equals_batch(spark, tmp_dir):
     e = experiment(spark, SF_SMALL, "binary_drop4")
-    model = fit_naive_bayes(e)
+    model = os.path.join(tmp_dir, "model")
+    scorer(e, fit_naive_bayes(e)).save(model)
     conv = spark.read.parquet(os.path.join(SF_SMALL, "conversations.parquet"))
     schema = conv.schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet")
               .parquet(SF_SMALL)
               .select(F.concat_ws(":", "conv_id", "turn").alias("rid"), "text"))
     out = os.path.join(tmp_dir, "pred")
-    q = score_stream(stream, e, model, "rid", out, os.path.join(tmp_dir, "ckpt"))
+    q = score_stream(stream, model, "rid", out, os.path.join(tmp_dir, "ckpt"))
     q.awaitTermination(300)
     got = {(r.rid, r.prediction) for r in spark.read.parquet(out).collect()}
-    batch = score_texts(e, model, conv.select(F.concat_ws(":", "conv_id", "turn").alias("rid"),
+    batch = score_texts(Scorer.load(spark, model), conv.select(F.concat_ws(":", "conv_id", "turn").alias("rid"),
                                               "text"), key="rid")
     want = {(r.rid, r.prediction) for r in batch.collect()}
     assert got == want and len(got) == conv.count()
+    # a batch that runs again replaces its rows
+    import shutil
+    commits = os.path.join(tmp_dir, "ckpt", "commits")
+    for name in os.listdir(commits):
+        os.remove(os.path.join(commits, name))
+    score_stream(stream, model, "rid", out, os.path.join(tmp_dir, "ckpt")).awaitTermination(300)
+    assert spark.read.parquet(out).count() == conv.count()
+    shutil.rmtree(tmp_dir, ignore_errors=True)

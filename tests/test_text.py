@@ -39,3 +39,9 @@ def test_cn_numerals(spark):
 def test_words_keep_marks(spark):
     got = one(spark, T.words_keep_marks, "Pi is 3.14, mail a@b.com. C++ & R&D!")
     assert got == ["pi", "is", "3.14", "mail", "a@b.com", "c", "r&d"]
+
+
+def test_cn_numerals_beyond_64_bits_are_null(spark):
+    for token in ("九" * 20, "一亿亿亿", "九千亿亿"):
+        assert one(spark, T.cn_numeral_to_arabic, token) is None, token
+    assert one(spark, T.cn_numeral_to_arabic, "九" * 18) == int("9" * 18)
