@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from revlens.llm import ann, byte_bpe, fingerprints, language, licenses, neardup, packing, suffix_dedup, token_trie, wavelet
 from revlens.llm.common import ship_package
+from revlens.llm.oracle import ORACLE  # noqa: F401
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -80,4 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {}
