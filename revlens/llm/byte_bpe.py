@@ -14,7 +14,6 @@ import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import slices
+from revlens.llm.common import slices, worker_state
 
 #: Pre-tokens whose ids one Python worker keeps.
 CACHE_ENTRIES = 500_000
@@ -179,10 +178,9 @@ def _over_latin1(pattern: str) -> str:
     return "".join(out)
 
 
-@lru_cache(maxsize=2)
 def byte_bpe(path: str, pattern: str) -> ByteBPE:
     """One codec for each Python worker: its caches live on from task to task."""
-    return ByteBPE.load(path, pattern)
+    return worker_state(("bytes", path, pattern), lambda: ByteBPE.load(path, pattern))
 
 
 def encode_documents(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

@@ -20,6 +20,16 @@ SLICE_ROWS = 256
 
 
 _SHIPPED: set[str] = set()
+_STATE: dict = {}
+
+
+def worker_state(key: tuple, make):
+    """``make()`` once for a Python worker and kept from task to task. A worker holds one such
+    state at a time, so the caches of several operators never add up."""
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
 
 
 def ship_package(spark: SparkSession) -> None:

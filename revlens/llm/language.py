@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import slices, write_scratch
+from revlens.llm.common import slices, worker_state, write_scratch
 
 #: Documents a language in the fitting sample (about; a hash picks them).
 SAMPLE_DOCS = 2000
@@ -45,12 +45,13 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass
 class LanguageModel:
-    """Log frequencies by language: ``words`` and ``grams[n]`` map a key to a row of scores."""
+    """Log frequencies by language: ``words`` and ``grams[n]`` give the row of ``table`` of a key."""
 
     languages: list[str]
     prior: np.ndarray
-    words: dict[str, np.ndarray]
-    grams: dict[int, dict[str, np.ndarray]]
+    words: dict[str, int]
+    grams: dict[int, dict[str, int]]
+    table: np.ndarray
     _index: dict[str, int] = field(default_factory=dict, repr=False)
     _rows: np.ndarray | None = field(default=None, repr=False)
 
@@ -61,15 +62,14 @@ class LanguageModel:
         """Log scores of one word; None if not even a character of it is known."""
         known = self.words.get(word)
         if known is not None:
-            return known
+            return self.table[known]
         padded = f"^{word}$"
         for n in range(MAX_N, 0, -1):
-            table = self.grams.get(n, {})
-            rows = [r for i in range(len(padded) - n + 1) if (r := table.get(padded[i:i + n])) is not None]
-            if n == 1:
-                rows = [r for c in word if (r := table.get(c)) is not None]
+            text = padded if n > 1 else word
+            get = self.grams.get(n, {}).get
+            rows = [r for i in range(len(text) - n + 1) if (r := get(text[i:i + n])) is not None]
             if rows:
-                return np.mean(rows, axis=0)
+                return self.table[rows].mean(axis=0)
         return None
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -142,16 +142,27 @@ def _model(docs: dict[str, int], counts: pa.Table) -> LanguageModel:
     """Smoothed log frequencies from the counted entries (lang, size, key, n); size 0: words."""
     languages = sorted(docs)
     at = {lang: i for i, lang in enumerate(languages)}
-    raw: dict[int, dict[str, np.ndarray]] = {}
-    for lang, size, key, n in zip(*(counts.column(c).to_pylist() for c in ("lang", "size", "key", "n"))):
-        raw.setdefault(size, {}).setdefault(key, np.zeros(len(languages)))[at[lang]] = n
-    scores: dict[int, dict[str, np.ndarray]] = {}
-    for size, rows in raw.items():
-        totals = sum(rows.values()) + SMOOTHING * len(rows)
-        scores[size] = {k: np.log((v + SMOOTHING) / totals) for k, v in rows.items()}
+    places: dict[int, dict[str, int]] = {}
+    keys = counts.select(["size", "key"]).to_pydict()
+    rows = []
+    for size, key in zip(keys["size"], keys["key"]):
+        known = places.setdefault(size, {})
+        rows.append(known.setdefault(key, len(known)))
+    sizes, rows = np.array(keys["size"], np.int64), np.array(rows, np.int64)
+    lang = np.array([at[x] for x in counts.column("lang").to_pylist()], np.int64)
+    tables, start, total = [], {}, 0
+    for size, known in places.items():
+        mine = sizes == size
+        table = np.full((len(known), len(languages)), SMOOTHING)
+        np.add.at(table, (rows[mine], lang[mine]), counts.column("n").to_numpy()[mine])
+        tables.append(np.log(table / table.sum(axis=0)))
+        start[size] = total
+        total += len(known)
+    placed = {size: {k: v + start[size] for k, v in known.items()} for size, known in places.items()}
     seen = np.array([docs[x] for x in languages], float)
     prior = np.log(seen / seen.sum()) if languages else np.zeros(0)
-    return LanguageModel(languages, prior, scores.pop(0, {}), scores)
+    return LanguageModel(languages, prior, placed.pop(0, {}), placed,
+                         np.concatenate(tables) if tables else np.zeros((0, len(languages))))
 
 
 PREDICTED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -169,7 +180,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     text_at = kept.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = shared.value.predict
+        predict = worker_state(("language", id(shared.value)), lambda: shared.value).predict
         for batch in slices(batches):
             found = [predict(t) for t in batch.column(text_at).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -195,4 +195,4 @@ def pack(items: DataFrame, capacity: int = CAPACITY, length_col: str = "length",
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
     """Every document tokenized, cut and packed: one row for each piece with its sequence."""
-    return pack(token_pieces(docs, tokenizer, end_id, capacity), capacity)
+    return pack(write_scratch(token_pieces(docs, tokenizer, end_id, capacity), "pieces"), capacity)

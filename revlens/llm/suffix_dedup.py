@@ -397,9 +397,11 @@ def packed_texts(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     return docs.select(*_KEY, "text", *carried).mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = (),
+                   decoded: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (binary: the remaining
     bytes in order) of every whole text as UTF-8, and the columns named in ``carried``.
+    ``decoded``: kept is a string, and a cut inside a character takes the rest of it too.
 
     Every byte covered by ``length`` bytes that also start anywhere else goes, in all of their
     copies. Null and empty texts keep nothing and lose nothing. A repeated row is a copy of the
@@ -412,7 +414,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
         F.collect_list("span").alias("spans"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
-                           T.StructField("kept", T.BinaryType()), *(docs.schema[c] for c in carried)])
+                           T.StructField("kept", T.StringType() if decoded else T.BinaryType()), *(docs.schema[c] for c in carried)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -439,9 +441,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
                 gone.append(int((stops - starts).sum()))
                 runs.append(len(starts))
                 kept.append(b"".join(raw[x:y] for x, y in zip(left.tolist(), right.tolist())))
+            left_over = pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if decoded else pa.array(kept, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in (sizes, gone, runs)),
-                 pa.array(kept, pa.binary()), *batch.columns[3:]], names=schema.names)
+                 left_over, *batch.columns[3:]], names=schema.names)
 
     return packed_texts(rows, carried).join(
         spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left").select(
@@ -451,6 +454,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
 def without_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text without its repeats, n_chars of it, and the carried columns. A cut inside a
     character takes the rest of the character too; a text may become empty."""
-    text = F.arrow_udf(lambda kept: pa.array([k.decode(errors="ignore") for k in kept.to_pylist()], pa.string()), "string")
-    rows = remove_repeats(docs, length, carried).select("doc_id", text("kept").alias("text"), *carried)
+    rows = remove_repeats(docs, length, carried, decoded=True).select("doc_id", F.col("kept").alias("text"), *carried)
     return rows.withColumn("n_chars", F.length("text").cast("long"))

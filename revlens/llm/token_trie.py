@@ -13,14 +13,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import slices
+from revlens.llm.common import slices, worker_state
 
 #: Log score of one fallback byte; below that of any vocabulary piece.
 BYTE_SCORE = -24.0
@@ -104,10 +103,9 @@ class TokenTrie:
         return n
 
 
-@lru_cache(maxsize=2)
 def token_trie(path: str) -> TokenTrie:
     """One trie for each Python worker, kept from task to task."""
-    return TokenTrie.load(path)
+    return worker_state(("trie", path), lambda: TokenTrie.load(path))
 
 
 def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 import regex
 
+from revlens.llm.common import worker_state
+
 #: The pre-token pattern of the word vocabulary file.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 #: Entries held by each of the two caches of one Python worker (about 200 bytes an entry).
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 #: Longer chunks are encoded without being kept.
 CACHE_CHARS = 64
 #: str.split() splits at these, the library's pattern does not.
@@ -81,7 +82,6 @@ class WordEncoder:
         return b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(written))
 
 
-@lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     """One encoder for each Python worker: its caches live on from task to task."""
-    return WordEncoder(path)
+    return worker_state(("words", path), lambda: WordEncoder(path))
