@@ -93,8 +93,8 @@ class Lexicon:
 def _hits(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
     """``(key, n, pos, word)``: every lexicon word at every position (0-based code points);
     n is the text's length."""
-    windows = bind(code_points(text_col), lambda cs: F.transform(
-        cs, lambda c, i: F.array_join(F.slice(cs, i + 1, s.max_len), "")))
+    # one match per code point, line breaks included; the look-ahead takes the window after it
+    windows = F.regexp_extract_all(F.col(text_col), F.lit(f"(?s)(?=(.{{1,{s.max_len}}}))."), 1)
     rows = texts.select(key, windows.alias("_w")).select(
         key, F.size("_w").alias("n"), F.posexplode_outer("_w").alias("pos", "_window")).filter(
         F.col("_window").isNotNull())
