@@ -491,6 +491,27 @@ def test_neighbours_blocks_and_equal_vectors(spark, monkeypatch):
     assert [got[0, i] for i in range(1, 6)] == [3, 6, 9, 12, 15] and [got[300 - 300, i] for i in (1, 2)] == [3, 6]
 
 
+@pytest.mark.parametrize("parts", [2, 3])
+def test_neighbours_recall_with_several_rotations(spark, parts, monkeypatch):
+    """The hash of larger tables: as many probes as the buckets of several rotations need."""
+    monkeypatch.setattr(ann, "BUCKET_ROWS", 2000 / 128 ** parts)
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.toPandas()
+    x, ids = np.array(rows.embedding.tolist(), float), rows.vec_id.to_numpy()
+    assert len(ids) == 2000
+    got = ann.nearest(df, F.col("vec_id") % 100 == 0).collect()
+    found = defaultdict(set)
+    for r in got:
+        found[r.query_id].add(r.vec_id)
+    hit = n = 0
+    for i in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        d[i] = np.inf
+        hit += len(found[ids[i]] & set(ids[np.lexsort((ids, d))[:10]].tolist()))
+        n += 10
+    assert len(got) == n and hit / n >= 0.9
+
+
 # -- 10 byte BPE --------------------------------------------------------------------------
 
 def test_byte_bpe_equals_library(edge_docs, empty_docs, docs, texts):
