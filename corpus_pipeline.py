@@ -14,6 +14,8 @@ from revlens.llm import language, neardup, packing, suffix_dedup
 from revlens.llm.common import ship_package, write_scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Words of a shingle in the near-duplicate stage.
+SHINGLE = 5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates: the one with the smallest doc_id.
     An id names one document, so of rows that share it one stays; rows without an id all stay."""
     ship_package(spark)
-    kept = neardup.group_near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(
+    kept = neardup.group_near_duplicates(docs, SHINGLE).where("kept AND doc_id IS NOT NULL").select(
         F.col("doc_id").alias("_id")).distinct()
     docs = docs.select(*COLUMNS)
     first = docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])

@@ -27,6 +27,7 @@ from revlens.llm.common import drop_scratch, slices, write_scratch
 from revlens.llm.graph import components
 from revlens.llm.shingles import make_seeds, mix, shingle_sets, signature
 
+#: Words of a shingle in op8's contract; the pipeline's stage has a size of its own.
 SHINGLE = 4
 PERCENT = 80
 CHUNKS = 8

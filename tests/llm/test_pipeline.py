@@ -31,6 +31,30 @@ def test_pipeline_equals_brute_force(spark):
     check_packing(got, [(k, word_ids(t)) for k, t in left])
 
 
+def test_near_dedup_takes_five_words(spark):
+    """Five edits in 200 words: a likeness of 0.816 on four words, of 0.774 on five."""
+    words = [f"w{i}" for i in range(200)]
+    edited = [f"e{i}" if i % 40 == 20 else w for i, w in enumerate(words)]
+    less = [f"e{i}" if i % 50 == 20 else w for i, w in enumerate(words)]  # four edits: 0.815 on five
+    rows = [(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(w + "x" for w in words)), (4, " ".join(w + "x" for w in less))]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t), 0) for k, t in rows], SCHEMA)
+    assert sorted(r.doc_id for r in stage("near_dedup")(spark, docs, SF).collect()) == [1, 2, 3]
+
+
+def test_near_dedup_of_a_table_by_five_words(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted((r.doc_id, (r.text or "").encode().lower().split()) for r in docs.collect())
+    sets = [frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset() for _, w in rows]
+    root = list(range(len(rows)))
+    for a, one in enumerate(sets):
+        for b in range(a):
+            if one and sets[b] and 100 * (n := len(one & sets[b])) >= 80 * (len(one) + len(sets[b]) - n):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    got = stage("near_dedup")(spark, docs, SF)
+    assert sorted(r.doc_id for r in got.collect()) == [k for i, (k, _) in enumerate(rows) if root[i] == i]
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_stages_on_edge_rows(spark, empty):
     rows = [] if empty else [
