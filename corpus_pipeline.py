@@ -20,10 +20,12 @@ SHINGLE = 5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language: null texts and texts without any letter. The model is
-    fitted on the labelled documents that came in and are not held out. Documents that have a
-    language keep all their columns as they were."""
+    fitted on the labelled documents that came in and are not held out; without any, only the
+    letters decide. Documents that have a language keep all their columns as they were."""
     ship_package(spark)
     model = language.fit(language.fitting_rows(docs))
+    if not model.languages:
+        return language.with_letters(docs.select(*COLUMNS))
     found = language.identify(docs.select(*COLUMNS), model)
     return found.where(F.col("lang_pred") != language.UNDETERMINED).select(*COLUMNS)
 

@@ -43,6 +43,25 @@ UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _words(text: str | None) -> list[str]:
+    return _WORD.findall((text or "").lower())
+
+
+def has_letter(words: list[str]) -> bool:
+    return any(c.isalpha() for w in words for c in w)
+
+
+def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a letter, by the rule that a fitted model calls others ``und``."""
+    text_at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array([has_letter(_words(t)) for t in batch.column(text_at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 @dataclass
 class LanguageModel:
     """Log frequencies by language: ``words`` and ``grams[n]`` give the row of ``table`` of a key."""
@@ -74,8 +93,8 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, posterior); ``und`` with 0.0 for null, letterless texts or an empty model."""
-        words = _WORD.findall((text or "").lower())
-        if not any(c.isalpha() for w in words for c in w) or not self.languages:
+        words = _words(text)
+        if not has_letter(words) or not self.languages:
             return UNDETERMINED, 0.0
         counts = Counter(words)
         total = self.prior.copy()

@@ -31,6 +31,14 @@ def test_pipeline_equals_brute_force(spark):
     check_packing(got, [(k, word_ids(t)) for k, t in left])
 
 
+def test_language_id_without_fitting_rows(spark):
+    rows = [(1, None), (2, ""), (3, "123 !!"), (4, "plain words stand here"), (5, "漢字"), (None, "no id")]
+    docs = spark.createDataFrame([(k, t, None, "s", 1, 0) for k, t in rows], SCHEMA)
+    out = stage("language_id")(spark, docs, SF)
+    assert out.columns == corpus_pipeline.COLUMNS
+    assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 4, 5]
+
+
 def test_near_dedup_takes_five_words(spark):
     """Five edits in 200 words: a likeness of 0.816 on four words, of 0.774 on five."""
     words = [f"w{i}" for i in range(200)]
