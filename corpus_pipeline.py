@@ -31,14 +31,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates: the one with the smallest doc_id.
-    An id names one document, so of rows that share it one stays; rows without an id all stay."""
+    """Keep one document of each group of near-duplicates: the one with the smallest doc_id, then
+    the smallest hash of its text. Rows that share an id but not their text are documents of their
+    own; of rows with the same id and text one stays, rows without an id all stay."""
     ship_package(spark)
-    kept = neardup.group_near_duplicates(docs, SHINGLE).where("kept AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_id")).distinct()
-    docs = docs.select(*COLUMNS)
-    first = docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id IS NULL"))
+    docs = docs.select(*COLUMNS, F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("_text"))
+    kept = neardup.kept_rows(docs, "_text", SHINGLE).withColumnsRenamed({"doc_id": "_id", "_text": "_kept"})
+    first = docs.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_kept")), "left_semi")
+    others = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    first = first.groupBy("doc_id", "_text").agg(F.max("text").alias("text"), F.min(F.struct(*others)).alias("_others"))
+    return first.select("doc_id", "text", "_others.*").select(*COLUMNS).unionByName(
+        docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ FAR_SLOTS = 20
 BLOCK_ROWS = 2000
 BLOCK_SHINGLES = 2_000_000
 
-_SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
+_SIGNED_FIELDS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
                         T.StructField("set_id", T.BinaryType()), T.StructField("signature", T.BinaryType())])
 
 
@@ -48,8 +48,11 @@ def _bytes_of(text: str | None) -> bytes:
     return (text or "").encode().lower()
 
 
-def sign(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, set_id (digest of the shingle set; null for no shingles), signature."""
+def sign(docs: DataFrame, shingle: int = SHINGLE, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, set_id (digest of the shingle set; null for no shingles), signature, and
+    the columns named in ``carried``."""
+    schema = T.StructType([*_SIGNED_FIELDS.fields, *(docs.schema[c] for c in carried)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = make_seeds(SLOTS)
         for batch in slices(batches):
@@ -57,10 +60,10 @@ def sign(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(len, sets), pa.int64()),
                  pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                 pa.array([signature(s, seeds).tobytes() if len(s) else None for s in sets], pa.binary())],
-                names=_SIGNED.names)
+                 pa.array([signature(s, seeds).tobytes() if len(s) else None for s in sets], pa.binary()),
+                 *batch.columns[2:]], names=schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SIGNED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carried).mapInArrow(run, schema)
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -209,7 +212,23 @@ def group_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int
     wordless texts have no shingles and are linked with nothing. Rows with equal doc_ids are
     rows of their own; a component of null ids only has a null component_id and is kept.
     """
-    signed = write_scratch(sign(docs, shingle), "signed")
+    return _grouped(docs, shingle, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def kept_rows(docs: DataFrame, row_key: str, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, ``row_key``) of one row of each component that has an id: the one with the smallest
+    doc_id, then the smallest ``row_key``, which tells apart the texts that share an id. Texts
+    without shingles are components of their own."""
+    kept = _grouped(docs, shingle, percent, (row_key,)).where("kept AND doc_id IS NOT NULL")
+    own = F.when(F.col("at").isNull(), F.col(row_key))
+    return kept.groupBy("doc_id", "at", own.alias("_own")).agg(F.min(row_key).alias(row_key)).select(
+        "doc_id", row_key).distinct()
+
+
+def _grouped(docs: DataFrame, shingle: int, percent: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``group_near_duplicates``, ``at`` (the component; null without shingles) and
+    the columns named in ``carried``."""
+    signed = write_scratch(sign(docs, shingle, carried), "signed")
     sets = signed.where("set_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"),
         F.first("n_shingles").alias("n_shingles"))
@@ -260,10 +279,10 @@ def group_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int
         "set_id", "doc_id", F.coalesce("component", "at").alias("at"))
     last = write_scratch(last, "last")
     smallest = last.groupBy("at").agg(F.min("doc_id").alias("component_id"))
-    by_set = last.select("set_id", "at").join(smallest, "at").select("set_id", "component_id")
+    by_set = last.select("set_id", "at").join(smallest, "at").select("set_id", "at", "component_id")
     for table in (shared, shingles, links, first, active, more, joined):
         drop_scratch(table)
-    out = signed.select("doc_id", "n_shingles", "set_id").join(by_set, "set_id", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(
+    out = signed.select("doc_id", "n_shingles", "set_id", *carried).join(by_set, "set_id", "left").select(
+        "doc_id", "n_shingles", "at", *carried, F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(
             F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

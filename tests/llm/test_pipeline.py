@@ -63,6 +63,18 @@ def test_near_dedup_of_a_table_by_five_words(spark):
     assert sorted(r.doc_id for r in got.collect()) == [k for i, (k, _) in enumerate(rows) if root[i] == i]
 
 
+def test_near_dedup_tells_texts_of_one_id_apart(spark):
+    """Id 5 holds a near copy of 1, a text of its own in two equal rows, and one more; 7 two near copies."""
+    texts = [" ".join(f"{c}{i}" for i in range(100)) for c in "abcd"]
+    rows = [(1, texts[0]), (5, texts[0] + " tail"), (5, texts[1]), (5, texts[1]), (5, texts[2]),
+            (7, texts[3]), (7, texts[3] + " tail")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(k, t, "en", "s", len(t), 0) for k, t in order], SCHEMA).repartition(3)
+        out = sorted((r.doc_id, r.text) for r in stage("near_dedup")(spark, docs, SF).collect())
+        assert out[:3] == [(1, texts[0]), (5, texts[1]), (5, texts[2])]
+        assert [k for k, _ in out[3:]] == [7] and out[3][1].startswith(texts[3])
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_stages_on_edge_rows(spark, empty):
     rows = [] if empty else [
