@@ -34,6 +34,22 @@ comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM d JOIN comp c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
 
+RANKED_SEARCH = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT item_id, row_number() OVER () AS q, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS n, sum(len(w))::BIGINT AS l FROM d),
+m AS (SELECT r, doc_id, 100 - 90 + (90 * len(w) * s.n) // s.l AS m FROM d CROSS JOIN s WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+wt AS (SELECT term, floor(1000 * ln((2 * max(s.n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf CROSS JOIN s GROUP BY term),
+qt AS (SELECT DISTINCT q, item_id, term FROM (SELECT q, item_id, unnest(w) AS term FROM q)),
+sc AS (SELECT qt.q, qt.item_id, m.r, m.doc_id, sum(wt.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m)))::BIGINT AS score
+       FROM qt JOIN tf ON tf.term = qt.term JOIN wt ON wt.term = qt.term JOIN m ON m.r = tf.r GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INTEGER AS rank FROM sc WHERE score > 0)
+WHERE rank <= 10"""
+
 
 def manifest_sql(levels: int = 6, source_levels: int = 4) -> str:
     """The Merkle manifest with its levels unrolled: 16 ** levels documents a source and
@@ -89,6 +105,7 @@ FROM w{levels + source_levels} w JOIN n{levels} t ON t.g = w.s CROSS JOIN m{sour
 
 
 ORACLE = {
+    "op12_block_max_search": RANKED_SEARCH,
     "op13_merkle_manifest": manifest_sql(),
     "op2_suffix_array_dedup": REMOVAL,
     "op8_minhash_near_dedup": NEAR_DUPLICATES,
