@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import (ann, byte_bpe, fingerprints, language, lexical, licenses, merkle, neardup, packing,
-                         suffix_dedup, token_trie, wavelet)
+                         simhash, suffix_dedup, token_trie, wavelet)
 from revlens.llm.common import ship_package
 from revlens.llm.oracle import ORACLE  # noqa: F401
 
@@ -69,6 +69,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_docs(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op11_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.group_near_duplicates(_docs(spark, sf_dir))
+
+
 def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(_docs(spark, sf_dir), _table(spark, sf_dir, "benchmark"), k=10)
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_cross_polytope_neighbours": op9_cross_polytope_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_simhash_pigeonring": op11_simhash_pigeonring,
     "op12_block_max_search": op12_block_max_search,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
