@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,5 +94,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_simhash_pigeonring": op11_simhash_pigeonring,
     "op12_block_max_search": op12_block_max_search,
     "op13_merkle_manifest": op13_merkle_manifest,
-    "pipeline": corpus_pipeline.run,
 }

@@ -24,7 +24,7 @@ def test_stages_are_in_order():
 def test_pipeline_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
-    firsts = [(k, t) for (k, t), (_, _, c) in zip(rows, brute_groups(rows)) if k == c]
+    firsts = [(k, t) for (k, t), (_, _, c) in zip(rows, brute_groups(rows, 5)) if k == c]
     left = [(k, kept.decode(errors="ignore")) for (k, _), (_, _, _, kept) in zip(firsts, brute_removal([t for _, t in firsts]))]
     left = [(k, t) for k, t in left if t]
     got = corpus_pipeline.run(spark, SF).collect()
