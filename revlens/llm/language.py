@@ -2,8 +2,8 @@
 
 Fitting counts words and their character n-grams by language with Spark aggregations over a
 bounded sample of labelled documents (``SAMPLE_DOCS`` a language, picked by a hash of the id, so
-the same rows at every run) and keeps the commonest entries a language (``MAX_WORDS``,
-``MAX_NGRAMS``): the model's size is bounded by these parameters and the number of languages.
+the same rows at every run; all of their text) and keeps the commonest entries a language
+(``MAX_WORDS``, ``MAX_NGRAMS`` of each length; rarer words are scored by their n-grams): the model's size is bounded by these parameters and the number of languages.
 Scoring reads every word of every text. A word that the model knows adds its log frequency in
 each language; one that it does not know adds the mean log frequency of its longest n-grams
 that are known, from ``MAX_N`` characters down to one.
@@ -18,11 +18,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import slices, worker_state, write_scratch
+from revlens.llm.common import drop_scratch, let, slices, worker_state, write_scratch
 
 #: Documents a language in the fitting sample (about; a hash picks them).
 SAMPLE_DOCS = 2000
@@ -36,7 +36,7 @@ SMOOTHING = 0.5
 CACHE_ENTRIES = 200_000
 #: Longer words are read n-gram by n-gram without being kept.
 CACHE_CHARS = 64
-#: Characters of a fitting word that count; longer ones are not natural words.
+#: Longer runs of letters are no entries of the word table; their n-grams count like all others.
 FIT_CHARS = 64
 
 UNDETERMINED = "und"
@@ -140,23 +140,30 @@ def fit(rows: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WO
     words = picked.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("key")).where(
         "key <> ''").groupBy("lang", "key").agg(F.count("*").alias("n"))
     words = write_scratch(words, "words")
-    fitting = words.where(F.length("key") <= FIT_CHARS)
-    padded = F.concat(F.lit("^"), F.col("key"), F.lit("$"))
-    grams = fitting.select("lang", "n", F.explode(F.concat(
-        F.filter(F.split("key", ""), lambda c: c != ""),
-        *(F.when(F.length(padded) >= k, F.transform(
-            F.sequence(F.lit(1), F.length(padded) - (k - 1)), lambda i, k=k: F.substring(padded, i, k)))
-          .otherwise(F.array().cast("array<string>")) for k in range(2, MAX_N + 1)))).alias("key"))
+    edged = F.concat(F.array(F.lit("^")), F.filter(F.split("key", ""), lambda c: c != ""), F.array(F.lit("$")))
+    grams = words.select("lang", "n", F.explode(let(edged, _ngrams)).alias("key"))
     grams = grams.groupBy("lang", "key").agg(F.sum("n").alias("n")).withColumn("size", F.length("key"))
-    table = fitting.withColumn("size", F.lit(0)).select("lang", "size", "key", "n").unionByName(
+    table = words.where(F.length("key") <= FIT_CHARS).withColumn("size", F.lit(0)).select("lang", "size", "key", "n").unionByName(
         grams.select("lang", "size", "key", "n"))
     ranked = table.withColumn("rank", F.row_number().over(
         Window.partitionBy("lang", "size").orderBy(F.desc("n"), "key"))).where(
         F.col("rank") <= F.when(F.col("size") == 0, max_words).otherwise(max_ngrams)).drop("rank").toArrow()
+    drop_scratch(words)
     docs = {r["lang"]: r["n"] for r in sizes.collect()}
     return _model(docs, ranked)
 
 
+def _ngrams(chars: Column) -> Column:
+    """The n-grams of 1..``MAX_N`` characters of a word (an array of its characters between two
+    border marks), every one as often as it stands there; a border alone is none."""
+    def of(k: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(chars) - (k - 1), F.lit(1)))
+        whole = F.transform(starts, lambda i: F.array_join(F.slice(chars, i, k), ""))
+        return F.when(F.size(chars) >= k, whole).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(F.slice(chars, F.lit(2), F.size(chars) - 2), *(of(k) for k in range(2, MAX_N + 1)))
+
+
 def _model(docs: dict[str, int], counts: pa.Table) -> LanguageModel:
     """Smoothed log frequencies from the counted entries (lang, size, key, n); size 0: words."""
     languages = sorted(docs)
