@@ -14,10 +14,11 @@ suffix of a corpus in one task is out of the question, so the corpus is cut by c
    bytes after it. Cells with the same core meet in one task; their strings are joined, sorted
    by the linear grouping construction (``suffix_array``), and neighbours in that order that
    agree over ``CELL`` symbols are equal windows.
-3. A core with more than ``HOT_CELLS`` cells is split over tasks; each task's groups of equal
-   windows then meet by a digest, one row a group.
+3. A core with more than ``HOT_CELLS`` cells is split by a salt; the groups of equal windows of
+   each salt, sorted one after the other, then meet by a digest, one row a group.
 
-All matches are judged on the texts as they come in.
+All matches are judged on the texts as they come in. Every row has a number of its own, given when
+its text is written, compressed, at the start; so rows that share an id are never mixed up.
 """
 
 from __future__ import annotations
@@ -81,11 +82,10 @@ def stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nd
     return hashes[place[first]], place[first], first, last
 
 
-# A stretch's place is its document (id and 16 bits of its text's hash, for rows that share an
-# id) and one long: first window << 32 | (anchor - first) << 24 | (last - first) << 16 | text hash.
-_KEY = ["doc_id", "mark"]
+# A stretch's place is its row and one long: first window << 32 | (anchor - first) << 24 |
+# (last - first) << 16.
 _STRETCH = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("whole", T.LongType()),
-                         T.StructField("doc_id", T.LongType()), T.StructField("at", T.LongType()),
+                         T.StructField("row", T.LongType()), T.StructField("at", T.LongType()),
                          T.StructField("copies", T.ByteType())])
 # copies: 1 seen once so far, 2 seen more often, 3 known to be repeated (only passed on)
 
@@ -95,9 +95,9 @@ def _cut(length: int):
         held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> pa.RecordBatch:
-            anchor, whole, at, doc, null = (np.concatenate(c) for c in zip(*held))
+            anchor, whole, at, owner = (np.concatenate(c) for c in zip(*held))
             order = np.lexsort((whole, anchor))
-            anchor, whole, at, doc, null = (c[order] for c in (anchor, whole, at, doc, null))
+            anchor, whole, at, owner = (c[order] for c in (anchor, whole, at, owner))
             new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1])])
             begins = np.flatnonzero(new)
             many = np.repeat(np.diff(np.append(begins, len(new))) > 1, np.diff(np.append(begins, len(new))))
@@ -107,24 +107,24 @@ def _cut(length: int):
             one = np.flatnonzero(new)
             rows = np.concatenate([one, known])
             state = np.concatenate([copies[one], np.full(len(known), 3, np.int8)])
-            spread = mix(at[known].view(np.uint64) + doc[known].view(np.uint64))  # any task will do
+            spread = mix(at[known].view(np.uint64) + owner[known].view(np.uint64))  # any task will do
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([anchor[one], spread]).view(np.int64)),
-                 pa.array(whole[rows].view(np.int64)), pa.array(doc[rows], mask=null[rows]),
+                 pa.array(whole[rows].view(np.int64)), pa.array(owner[rows]),
                  pa.array(at[rows]), pa.array(state)], names=_STRETCH.names)
 
         n = 0
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in slices(batches):
-            for key, mark, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                raw = (text or "").encode()
+            for key, packed in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                raw = unpack(packed)
                 anchor, place, first, last = stretches(np.frombuffer(raw, np.uint8), length)
                 if not len(anchor):
                     continue
                 off, run_len = place - first, last - first
                 whole = np.array([xxhash.xxh3_64_intdigest(raw[a:b], seed=s) for a, b, s in zip(
                     first.tolist(), (last + length).tolist(), off.tolist())], np.uint64)
-                held.append((anchor, whole, first << 32 | off << 24 | run_len << 16 | mark,
-                             np.full(len(anchor), key or 0), np.full(len(anchor), key is None)))
+                held.append((anchor, whole, first << 32 | off << 24 | run_len << 16, np.full(len(anchor), key)))
                 n += len(anchor)
                 if n >= HELD_ROWS:
                     yield flush()
@@ -135,7 +135,7 @@ def _cut(length: int):
     return run
 
 
-_JUDGED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("at", T.LongType()),
+_JUDGED = T.StructType([T.StructField("row", T.LongType()), T.StructField("at", T.LongType()),
                         T.StructField("kind", T.ByteType())])
 # kind: 0 repeated as a whole, 1 to be compared window by window, 2 repeated and a partner for those
 
@@ -170,7 +170,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take = np.concatenate([pick, partner])
         kinds = np.concatenate([kind[pick], np.full(len(partner), 2, np.int8)])
         out = pa.RecordBatch.from_arrays(
-            [*(rows.column(c).combine_chunks().take(pa.array(take)) for c in ("doc_id", "at")), pa.array(kinds)],
+            [*(rows.column(c).combine_chunks().take(pa.array(take)) for c in ("row", "at")), pa.array(kinds)],
             names=_JUDGED.names)
         if final:
             return out, None, False
@@ -188,16 +188,15 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 tail = pa.concat_tables([tail.slice(0, 2).drop_columns("copies").append_column(
                     "copies", pa.array([2, 3], pa.int8()))]).select(_STRETCH.names)
                 yield pa.RecordBatch.from_arrays(
-                    [*(known.column(c).combine_chunks() for c in ("doc_id", "at")), kinds], names=_JUDGED.names)
+                    [*(known.column(c).combine_chunks() for c in ("row", "at")), kinds], names=_JUDGED.names)
             yield out
     if tail is not None and tail.num_rows:
         yield decide(tail, True)[0]
 
 
 _CELL = T.StructType([T.StructField("core", T.LongType()), T.StructField("left", T.BinaryType()),
-                      T.StructField("right", T.BinaryType()), T.StructField("doc_id", T.LongType()),
-                      T.StructField("base", T.LongType()), T.StructField("mark", T.IntegerType()),
-                      T.StructField("known", T.BooleanType())])
+                      T.StructField("right", T.BinaryType()), T.StructField("row", T.LongType()),
+                      T.StructField("base", T.LongType()), T.StructField("known", T.BooleanType())])
 
 
 def _cells(length: int, cell: int):
@@ -205,11 +204,11 @@ def _cells(length: int, cell: int):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in slices(batches, 64):
             out: list[tuple] = []
-            for doc_id, packed, rows in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for key, packed, rows in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 raw = unpack(packed)
                 for row in rows:
                     at = row["at"]
-                    first, off, run_len, mark = at >> 32, at >> 24 & 255, at >> 16 & 255, at & 65535
+                    first, off, run_len = at >> 32, at >> 24 & 255, at >> 16 & 255
                     place = first + off
                     near, far = off - run_len, off  # windows start `near`..`far` bytes before the anchor
                     for j in range(near // cell, far // cell + 1):
@@ -218,16 +217,16 @@ def _cells(length: int, cell: int):
                         stop = base + length - cell + 1
                         core = xxhash.xxh3_64_intdigest(raw[base:stop], seed=j & 0xFFFF)
                         out.append((core - (1 << 63), raw[base - a1:base], raw[stop:stop + cell - 1 - a0],
-                                    doc_id, base, mark, row["kind"] == 2))
+                                    key, base, row["kind"] == 2))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(list(zip(*out)) if out else [[]] * 7, (
-                    pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()))],
+                [pa.array(c, t) for c, t in zip(list(zip(*out)) if out else [[]] * 6, (
+                    pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()))],
                 names=_CELL.names)
 
     return run
 
 
-_WINDOWS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("mark", T.IntegerType()),
+_WINDOWS = T.StructType([T.StructField("row", T.LongType()),
                          T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
                          T.StructField("digest", T.BinaryType()), T.StructField("times", T.LongType())])
 
@@ -277,7 +276,7 @@ def _sort_cells(length: int, cell: int):
                 by_core.setdefault(row[0], {}).setdefault((row[1], row[2]), []).append(i)
             kept, members = [], []
             for core, strings in by_core.items():
-                hot = rows[next(iter(strings.values()))[0]][7]
+                hot = rows[next(iter(strings.values()))[0]][6]
                 if len(strings) == 1 and not hot:
                     (who,) = strings.values()
                     if len(who) > 1:  # one string, several times: all its windows are repeated
@@ -289,8 +288,8 @@ def _sort_cells(length: int, cell: int):
             if kept:
                 good: dict[int, list[int]] = {}
                 for group in _equal_windows(kept, cell):
-                    times = sum(2 if rows[i][6] else 1 for k, _ in group for i in members[k])
-                    hot = rows[members[group[0][0]][0]][7]
+                    times = sum(2 if rows[i][5] else 1 for k, _ in group for i in members[k])
+                    hot = rows[members[group[0][0]][0]][6]
                     for k, a in group:
                         if times > 1:
                             good.setdefault(k, []).append(a)
@@ -300,7 +299,7 @@ def _sort_cells(length: int, cell: int):
                         digest = hashlib.blake2b(b"%d,%d," % (core, a) + left[len(left) - a:] + right[:cell - 1 - a],
                                                  digest_size=16).digest()
                         row = rows[members[k][0]]
-                        out.append((row[3], row[5], row[4] - a, row[4] - a, digest, times))
+                        out.append((row[3], row[4] - a, row[4] - a, digest, times))
                 for k, lefts in good.items():
                     for first, last in _ranges(lefts):
                         out += [_span(rows[i], (first, last), cell) for i in members[k]]
@@ -310,7 +309,7 @@ def _sort_cells(length: int, cell: int):
         symbols = 0
         for batch in slices(batches, 4096):
             for row in zip(*(batch.column(i).to_pylist() for i in range(8))):
-                if symbols >= BLOCK_SYMBOLS and row[0] != held[-1][0]:
+                if symbols >= BLOCK_SYMBOLS and (row[0], row[7]) != (held[-1][0], held[-1][7]):
                     yield _window_rows(solve(held))
                     held, symbols = [], 0
                 held.append(row)
@@ -324,7 +323,7 @@ def _sort_cells(length: int, cell: int):
 def _span(row: tuple, lefts: tuple[int, int] | None, cell: int) -> tuple:
     """The windows of a cell with ``lefts`` (smallest, largest) left bytes; None: all of them."""
     small, large = lefts or (cell - 1 - len(row[2]), len(row[1]))
-    return row[3], row[5], row[4] - large, row[4] - small, None, 0
+    return row[3], row[4] - large, row[4] - small, None, 0
 
 
 def _ranges(values: list[int]) -> list[tuple[int, int]]:
@@ -338,63 +337,57 @@ def _ranges(values: list[int]) -> list[tuple[int, int]]:
 
 
 def _window_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(list(zip(*rows)) if rows else [[]] * 6, kinds)], names=_WINDOWS.names)
+        [pa.array(c, t) for c, t in zip(list(zip(*rows)) if rows else [[]] * 5, kinds)], names=_WINDOWS.names)
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, cell: int = CELL) -> DataFrame:
-    """(doc_id, mark, first, last): runs of places of ``docs`` (doc_id, mark, text) from which
-    ``length`` bytes also start elsewhere. Runs of a document may overlap or repeat."""
-    cut = docs.select(*_KEY, "text").mapInArrow(_cut(length), _STRETCH)
+def repeated_windows(rows: DataFrame, length: int = LENGTH, cell: int = CELL) -> DataFrame:
+    """(row, first, last): runs of places of ``rows`` (row, packed) from which ``length`` bytes also
+    start elsewhere. Runs of a row may overlap or repeat."""
+    cut = rows.select("row", "packed").mapInArrow(_cut(length), _STRETCH)
     judged = write_scratch(cut.repartition("anchor").sortWithinPartitions("anchor", "whole").mapInArrow(
         _judge, _JUDGED), "judged")
-    mark = F.col("at").bitwiseAND(65535).cast("int")
     whole = judged.where("kind = 0").select(
-        "doc_id", mark.alias("mark"), F.shiftright("at", 32).alias("first"),
+        "row", F.shiftright("at", 32).alias("first"),
         (F.shiftright("at", 32) + F.shiftright("at", 16).bitwiseAND(255)).alias("last"))
-    borders = judged.where("kind > 0").select(
-        F.col("doc_id").alias("_id"), mark.alias("_mark"), F.struct("at", "kind").alias("row")).groupBy("_id", "_mark").agg(
-        F.collect_list("row").alias("rows"))
-    cells = packed_texts(docs).join(
-        borders, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select(
-        "doc_id", "packed", "rows").mapInArrow(_cells(length, cell), _CELL)
+    borders = judged.where("kind > 0").select("row", F.struct("at", "kind").alias("place")).groupBy("row").agg(
+        F.collect_list("place").alias("places"))
+    cells = rows.select("row", "packed").join(borders, "row").select("row", "packed", "places").mapInArrow(
+        _cells(length, cell), _CELL)
     cells = write_scratch(cells, "cells")
     hot = cells.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") > HOT_CELLS)
     salted = cells.join(hot, "core", "left").withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "base"), F.coalesce(F.ceil(F.col("n") / HOT_CELLS), F.lit(1))))
+        "salt", F.pmod(F.xxhash64("row", "base"), F.coalesce(F.ceil(F.col("n") / HOT_CELLS), F.lit(1))))
     found = salted.select(*_CELL.names, F.col("n").isNotNull().alias("hot"), "salt").repartition(
-        "core", "salt").sortWithinPartitions("core", "salt").drop("salt").mapInArrow(_sort_cells(length, cell), _WINDOWS)
+        "core", "salt").sortWithinPartitions("core", "salt").mapInArrow(_sort_cells(length, cell), _WINDOWS)
     found = write_scratch(found, "windows")
     drop_scratch(cells)
-    # equal windows of a split core that lie in different tasks
+    # equal windows of a split core that lie under different salts
     split = found.where("digest IS NOT NULL")
     common = split.groupBy("digest").agg(F.sum("times").alias("all")).where(F.col("all") > 1).select("digest")
     return whole.unionByName(found.where("digest IS NULL").drop("digest", "times")).unionByName(
         split.where("times = 1").join(common, "digest").drop("digest", "times"))
 
 
-def marked(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text (null as empty), mark (16 bits of the text's hash) and carried columns."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.xxhash64(text).bitwiseAND(65535).cast("int").alias("mark"), *carried)
-
-
-def packed_texts(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, mark, the text's bytes compressed for the way through a shuffle, carried columns."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("mark", T.IntegerType()),
-                           T.StructField("packed", T.BinaryType()), *(docs.schema[c] for c in carried)])
+def packed_rows(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """row (a number of its own), doc_id, packed (the text's UTF-8 bytes compressed; null as empty)
+    and carried columns, written to the shared folder."""
+    fields = [T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
+              T.StructField("packed", T.BinaryType())]
+    schema = T.StructType([*fields, *(docs.schema[c] for c in carried)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1),
-                 pa.array([pack(t.encode()) for t in batch.column(2).to_pylist()], pa.binary()),
+                 pa.array([pack((t or "").encode()) for t in batch.column(2).to_pylist()], pa.binary()),
                  *batch.columns[3:]], names=schema.names)
 
-    return docs.select(*_KEY, "text", *carried).mapInArrow(run, schema)
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                           "text", *carried)
+    return write_scratch(numbered.mapInArrow(run, schema), "packed")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = (),
@@ -404,13 +397,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
     ``decoded``: kept is a string, and a cut inside a character takes the rest of it too.
 
     Every byte covered by ``length`` bytes that also start anywhere else goes, in all of their
-    copies. Null and empty texts keep nothing and lose nothing. A repeated row is a copy of the
-    other; rows that share an id but not their text are told apart by 16 bits of its hash.
+    copies. Null and empty texts keep nothing and lose nothing. Every row is a text of its own,
+    also with an id that others have or with none; a repeated row is a copy of the other. Columns
+    that are not carried are passed over, an empty table has no rows.
     """
-    rows = marked(docs, carried)
+    rows = packed_rows(docs, carried)
     windows = repeated_windows(rows, length)
-    spans = windows.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.struct(
-        "first", (F.col("last") + length).alias("end")).alias("span")).groupBy("_id", "_mark").agg(
+    spans = windows.select("row", F.struct("first", (F.col("last") + length).alias("end")).alias("span")).groupBy("row").agg(
         F.collect_list("span").alias("spans"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
@@ -446,9 +439,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ..
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in (sizes, gone, runs)),
                  left_over, *batch.columns[3:]], names=schema.names)
 
-    return packed_texts(rows, carried).join(
-        spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left").select(
-        "doc_id", "packed", "spans", *carried).mapInArrow(run, schema)
+    return rows.join(spans, "row", "left").select("doc_id", "packed", "spans", *carried).mapInArrow(run, schema)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, carried: tuple[str, ...] = ()) -> DataFrame:
