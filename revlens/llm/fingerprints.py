@@ -3,7 +3,9 @@
 A document's sketch is every hash of its word shingles that lies below a fixed fraction of the
 hash space. Sketches of any two documents use the same threshold, so they merge by union, and
 the share of one sketch found in another estimates containment however unequal the documents.
-A document whose shingles all lie above the threshold is told by its smallest hash alone.
+A document whose shingles all lie above the threshold has an empty sketch: in its place stands
+its smallest hash, which lies above the threshold, tells equal texts from others, drops out of a
+merge with a sketch that holds hashes, and is no ground for an estimate of containment.
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ MAX_BUCKETS = 100_000
 _LOWEST = -(1 << 63)
 
 
+def _limit(scale: int) -> Column:
+    return F.lit(_LOWEST + (1 << 64) // scale)
+
+
 def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
     """Sorted distinct shingle hashes below the threshold (array of long) of a text.
 
@@ -32,7 +38,7 @@ def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
     words than a shingle has one shingle of all its words; null and wordless texts have the
     shingle of no words, so their sketches are equal.
     """
-    limit = F.lit(_LOWEST + (1 << 64) // scale)
+    limit = _limit(scale)
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
 
     def shingles(hashes: Column) -> Column:
@@ -55,14 +61,18 @@ def jaccard(a: Column, b: Column) -> Column:
     return let(shared, lambda n: n / (F.size(a) + F.size(b) - n))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Share of the hashes of sketch ``a`` that sketch ``b`` holds (0 to 1)."""
-    return F.size(F.array_intersect(a, b)) / F.size(a)
+def containment(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """Share of the hashes of sketch ``a`` that sketch ``b`` holds (0 to 1); null if ``a`` has
+    none below the threshold, unless the sketches are equal."""
+    shared = F.size(F.array_intersect(a, b)) / F.size(a)
+    return F.when((F.get(a, F.lit(0)) < _limit(scale)) | (a == b), shared)
 
 
-def merge(a: Column, b: Column) -> Column:
-    """Sketch of two texts taken together, but for shingles across their border."""
-    return F.array_sort(F.array_union(a, b))
+def merge(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """The sketch of the union of two documents' shingles."""
+    both = F.array_sort(F.array_union(a, b))
+    return let(both, lambda u: F.when(F.get(u, F.lit(0)) < _limit(scale), F.filter(u, lambda h: h < _limit(scale)))
+               .otherwise(F.slice(u, 1, 1)))
 
 
 def as_text(sketched: Column) -> Column:
@@ -106,7 +116,8 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     replaced by the first as many of the next document's) and that of the next document.
 
     Null texts count as empty, also as neighbours. Rows with the same doc_id follow each other
-    by a hash of their text; a single row is its own next one.
+    by a hash of their text; a single row is its own next one. Texts of any length are read whole,
+    other columns are passed over, an empty table has no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("_tie"), "text", sketch(F.col("text")).alias("print"))
