@@ -30,12 +30,15 @@ from revlens.llm.shingles import make_seeds, mix, shingle_sets, signature
 #: Words of a shingle in op8's contract; the pipeline's stage has a size of its own.
 SHINGLE = 4
 PERCENT = 80
-CHUNKS = 8
+#: A pair of likeness 0.8 shares no key with a chance of 0.263 ** CHUNKS, one in nine million.
+CHUNKS = 12
 CHUNK_SLOTS = 5
 SLOTS = CHUNKS * CHUNK_SLOTS
-#: Pairs whose signatures differ in more slots are not measured (at a likeness of 0.8 the
-#: mean is 8 of 40 and 20 is 4.7 standard deviations beyond it).
-FAR_SLOTS = 20
+#: Pairs whose signatures differ in more slots are not measured: at a likeness of 0.8 or more the
+#: chance of that is below 1e-10.
+FAR_SLOTS = 36
+#: Rows of a task that compares the members of buckets.
+TASK_ROWS = 5000
 #: A block of a bucket holds about this many members, and this many shingles.
 BLOCK_ROWS = 2000
 BLOCK_SHINGLES = 2_000_000
@@ -210,7 +213,8 @@ def group_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int
 
     Two documents are linked when 100 * shared >= percent * all of their shingles. Null and
     wordless texts have no shingles and are linked with nothing. Rows with equal doc_ids are
-    rows of their own; a component of null ids only has a null component_id and is kept.
+    rows of their own; a component of null ids only has a null component_id and is kept. Other
+    columns are passed over, an empty table has no rows.
     """
     return _grouped(docs, shingle, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -261,13 +265,16 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, carried: tuple[str, ..
     mixed = placed.join(nodes.select("node", "n_shingles"), "node").groupBy("kind", "key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
         F.sum("n_shingles").alias("size")).where("low <> high").select(
-        "kind", "key", F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    rows = placed.join(mixed, ["kind", "key"]).join(slots, "node").withColumn(
+        "kind", "key", "n", F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    mixed = write_scratch(mixed, "mixed")
+    # the work goes by rows, which adaptive execution cannot see in their bytes
+    tasks = -(-(mixed.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 1) // TASK_ROWS)
+    rows = placed.join(mixed.drop("n"), ["kind", "key"]).join(slots, "node").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "kind", "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
         "node", "component", "block", "signature")
-    active = write_scratch(rows.groupBy(*_GROUP).applyInArrow(
+    active = write_scratch(rows.repartition(tasks, *_GROUP).groupBy(*_GROUP).applyInArrow(
         _to_measure, "kind int, key long, one int, two int, node long, component long, block int, signature binary"), "active")
     more = write_scratch(active.join(shingles.select("node", "shingles"), "node").groupBy(*_GROUP).applyInArrow(
         _links(percent), "a long, b long"), "more")
@@ -280,7 +287,7 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, carried: tuple[str, ..
     last = write_scratch(last, "last")
     smallest = last.groupBy("at").agg(F.min("doc_id").alias("component_id"))
     by_set = last.select("set_id", "at").join(smallest, "at").select("set_id", "at", "component_id")
-    for table in (shared, shingles, links, first, active, more, joined):
+    for table in (shared, shingles, links, first, mixed, active, more, joined):
         drop_scratch(table)
     out = signed.select("doc_id", "n_shingles", "set_id", *carried).join(by_set, "set_id", "left").select(
         "doc_id", "n_shingles", "at", *carried, F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(
