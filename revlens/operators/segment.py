@@ -1,30 +1,38 @@
 """Dictionary segmentation of unsegmented text, given a lexicon table.
 
-One path for every mode and any lexicon, without Python:
-
-* each text becomes one row per code point with the window of the next ``max_len`` characters;
-* windows meet the lexicon's prefixes first, only hits are widened to candidate words, and
-  those meet the lexicon: ``(key, pos, word)``, every dictionary word at every position;
-* ``full`` returns these; ``max_match`` folds the longest word per position from left to right,
-  ``mmseg`` the first word of the best three-word chunk; ``search`` adds to the ``max_match``
-  tokens every shorter dictionary word inside them.
-
-The lexicon is cleaned (no blanks, no repeats, ``min_len``..``max_len`` characters), written
-once and counted; it is broadcast only if it has at most ``BROADCAST_WORDS`` rows and joined by
-a salted shuffle otherwise, with the same result. ``lexicon_by_count`` makes one from a corpus.
+Two steps: which lexicon words stand where, then which of them are the tokens.
+
+* Words: a lexicon of at most ``BROADCAST_WORDS`` rows is compiled once into a flat trie (sorted
+  integer arrays), broadcast, and walked from all places of a batch of texts at the same time, one
+  character deeper at each step; no row is shuffled. For a larger lexicon every place becomes a row
+  with its window of ``max_len`` characters, windows meet the lexicon's prefixes, hits are widened
+  to candidate words, and those meet the lexicon in a salted join; a text's words are then gathered.
+* Tokens, the same for both: ``full`` takes every word; ``max_match`` the longest word at each
+  place from the left; ``mmseg`` the first word of the best three-word chunk; ``best_path`` the
+  path of largest weight through all words; ``search`` adds to the ``max_match`` tokens every
+  shorter lexicon word inside them. All take time in proportion to a text's length.
+
+The lexicon is cleaned (no blanks, no repeats, ``min_len``..``max_len`` characters), written once
+and counted; both ways give the same rows. ``lexicon_by_count`` makes a lexicon from a corpus,
+``char_counts`` the character frequencies of MMSEG's fourth rule.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from revlens.functions.text import STOP_WORDS, bind, code_points, despace
+from revlens.functions.text import STOP_WORDS, code_points, despace
 from revlens.operators.joins import salted_join
 from revlens.operators.metrics import word_counts
-from revlens.session import materialize
+from revlens.session import materialize, ship_package
 
 # Segmenter settings of the reference -- longest word 7 characters, stop words
 # kept, unknown characters kept as words, and these marks kept: @ # % . & +
@@ -35,6 +43,12 @@ KEEP_MARKS = "@#%.&+"
 MIN_LEN = 2
 #: Most lexicon rows that are broadcast (a word and a few numbers each).
 BROADCAST_WORDS = 500_000
+#: Characters of the texts that one step of a task holds (one longer text is a step of its own),
+#: and token rows handed on at a time.
+STEP_CHARS = 1_000_000
+OUT_ROWS = 200_000
+#: Logarithms of counts are compared as whole numbers of this part of one, so that sums are exact.
+LOG_SCALE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -60,6 +74,12 @@ def lexicon_by_count(docs: DataFrame, min_count: int, words_col: str = "words",
         F.length("word").between(min_len, max_len) & (F.col("n") >= min_count))
 
 
+def char_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(char, n)``: how often each character stands in the texts (at most one row for each code
+    point there is, so the table may always be broadcast)."""
+    return texts.select(F.explode(code_points(text_col)).alias("char")).groupBy("char").agg(F.count("*").alias("n"))
+
+
 def unsegmented(texts: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(key, text)`` lower-cased with blanks removed: a stand-in for unsegmented writing."""
     return texts.select(key, despace(text_col).alias("text"))
@@ -77,160 +97,360 @@ class Lexicon:
         self.small = self.words.count() <= BROADCAST_WORDS
 
     def join(self, candidates: DataFrame) -> DataFrame:
-        """The candidate rows whose ``word`` is in the lexicon."""
-        words = self.words.select("word")
-        if self.small:
-            return candidates.join(F.broadcast(words), "word", "left_semi")
-        return salted_join(candidates, words, "word", self.words.select("word", "n"), "n")
+        """The candidate rows whose ``word`` is in the lexicon, with its count ``n``."""
+        return salted_join(candidates, self.words, "word", self.words, "n")
 
     def prefixes(self, size: int) -> DataFrame:
         """``(prefix, sizes)``: word lengths behind each prefix of ``size`` characters."""
-        out = self.words.groupBy(F.substring("word", 1, size).alias("prefix")).agg(
+        return self.words.groupBy(F.substring("word", 1, size).alias("prefix")).agg(
             F.collect_set(F.length("word")).alias("sizes"))
-        return F.broadcast(out) if self.small else out
 
 
 def _hits(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
-    """``(key, n, pos, word)``: every lexicon word at every position (0-based code points);
-    n is the text's length."""
+    """``(key, pos, word, n)``: every lexicon word at every position (0-based code points)."""
     # one match per code point, line breaks included; the look-ahead takes the window after it
     windows = F.regexp_extract_all(F.col(text_col), F.lit(f"(?s)(?=(.{{1,{s.max_len}}}))."), 1)
-    rows = texts.select(key, windows.alias("_w")).select(
-        key, F.size("_w").alias("n"), F.posexplode_outer("_w").alias("pos", "_window")).filter(
-        F.col("_window").isNotNull())
+    rows = texts.select(key, F.posexplode_outer(windows).alias("pos", "_window")).filter(F.col("_window").isNotNull())
     rows = rows.withColumn("prefix", F.substring("_window", 1, s.min_len)).join(
         lexicon.prefixes(s.min_len), "prefix")
     rows = rows.withColumn("_k", F.explode("sizes")).filter(F.col("_k") <= F.length("_window"))
-    return lexicon.join(rows.select(key, "n", "pos", F.expr("substring(_window, 1, _k)").alias("word")))
-
-
-def _fold(hits: DataFrame, texts: DataFrame, s: Settings, key: str, text_col: str) -> DataFrame:
-    """Tokens ``(key, idx, word)`` from one chosen length per position (key, pos, len): from the
-    left, the next chosen word that starts at or after the end of the last one; what lies
-    between is single characters."""
-    chosen = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("pos", "len"))),
-        F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<pos:int,len:int>>").alias("got")),
-        lambda state, h: F.when(h["pos"] >= state["next"], F.struct(
-            (h["pos"] + h["len"]).alias("next"), F.concat(state["got"], F.array(h)).alias("got"))).otherwise(state))
-    words = hits.groupBy(key).agg(chosen["got"].alias("_got"))
-    none = F.array().cast("array<struct<pos:int,len:int>>")
-
-    def unknown(chars: Column) -> Column:
-        return F.transform(chars, lambda c: F.struct(c.alias("word"), F.lit(False).alias("known")))
-
-    def tokens(cs: Column) -> Column:
-        def end(i):
-            h = F.get(F.col("_got"), i)
-            return F.coalesce(h["pos"] + h["len"], F.lit(0))
-
-        known = F.flatten(F.transform("_got", lambda h, i: F.concat(
-            unknown(F.slice(cs, end(i - 1) + 1, h["pos"] - end(i - 1))),
-            F.array(F.struct(F.array_join(F.slice(cs, h["pos"] + 1, h["len"]), "").alias("word"),
-                             F.lit(True).alias("known"))))))
-        last = end(F.size("_got") - 1)
-        return F.concat(known, unknown(F.slice(cs, last + 1, F.size(cs) - last)))
-
-    both = texts.join(words, key, "left").withColumn("_got", F.coalesce("_got", none))
-    all_tokens = bind(code_points(text_col), tokens)
+    return lexicon.join(rows.select(key, "pos", F.expr("substring(_window, 1, _k)").alias("word")))
+
+
+# -- the trie -------------------------------------------------------------------------------
+
+class Trie:
+    """The lexicon as sorted arrays. A state is a prefix; ``keys`` holds state * letters + letter of
+    every step from one state to another, ``to`` where it leads, ``word`` a state's word or -1."""
+
+    def __init__(self, words: list[str], weights: np.ndarray):
+        chars = [np.frombuffer(w.encode("utf-32-le"), np.uint32) for w in words]
+        sizes = np.array([len(c) for c in chars], np.int64)
+        self.longest = int(sizes.max(initial=0))
+        self.letters, flat = np.unique(np.concatenate([*chars, np.zeros(0, np.uint32)]), return_inverse=True)
+        table = np.full((len(words), self.longest), -1, np.int64)
+        table[np.arange(self.longest)[None, :] < sizes[:, None]] = flat
+        order = np.lexsort(table.T[::-1]) if self.longest else np.zeros(0, np.int64)
+        table, sizes = table[order], sizes[order]
+        self.words = pa.array([words[i] for i in order], pa.string())
+        self.weights = weights[order]
+        state, known = np.zeros(len(words), np.int64), 1
+        new = np.zeros(len(words), bool)
+        new[:1] = True
+        keys, to, ends = [], [], []
+        for k in range(self.longest):
+            new[1:] |= table[1:, k] != table[:-1, k]
+            alive = sizes > k
+            first = new & alive
+            keys.append(state[first] * len(self.letters) + table[first, k])
+            number = known - 1 + np.cumsum(first)
+            to.append(number[first])
+            state = np.where(alive, number, state)
+            known += int(first.sum())
+            done = np.flatnonzero(sizes == k + 1)
+            ends.append((state[done], done))
+        self.word = np.full(known, -1, np.int64)
+        for at, which in ends:
+            self.word[at] = which
+        self.keys = np.concatenate([*keys, np.zeros(0, np.int64)])
+        by_key = np.argsort(self.keys)
+        self.keys, self.to = self.keys[by_key], np.concatenate([*to, np.zeros(0, np.int64)])[by_key]
+
+    def find(self, chars: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, size, word) of every lexicon word in ``chars``, by place, then size. ``ends``
+        gives for each place where its text ends."""
+        none = np.zeros(0, np.int64)
+        if not len(self.keys) or not len(chars):
+            return none, none, none
+        letter = np.minimum(np.searchsorted(self.letters, chars), len(self.letters) - 1)
+        letter[self.letters[letter] != chars] = -1
+        at, state, found = np.arange(len(chars)), np.zeros(len(chars), np.int64), []
+        for k in range(self.longest):
+            inside = at + k < ends[at]
+            at, state = at[inside], state[inside]
+            step = letter[at + k]
+            key = state * len(self.letters) + step
+            i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            good = (self.keys[i] == key) & (step >= 0)
+            at, state = at[good], self.to[i[good]]
+            word = self.word[state]
+            hit = word >= 0
+            found.append((at[hit], np.full(int(hit.sum()), k + 1), word[hit]))
+        place, size, word = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(place, kind="stable")
+        return place[order], size[order], word[order]
+
+
+# -- from words to tokens -------------------------------------------------------------------
+
+@dataclass
+class _Texts:
+    """A step's texts, one after the other, and the lexicon words in them."""
+
+    chars: np.ndarray       # code points
+    begins: np.ndarray      # first place of each text, and the end of the last one
+    place: np.ndarray       # of every lexicon word: place, size, number; by place, then size
+    size: np.ndarray
+    word: np.ndarray
+    words: pa.Array
+    weights: np.ndarray     # of each word: its count
+
+    @property
+    def ends(self) -> np.ndarray:
+        return np.repeat(self.begins[1:], np.diff(self.begins))
+
+    def sizes(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size, places, word numbers) of the words of each size."""
+        for k in np.unique(self.size).tolist():
+            pick = self.size == k
+            yield k, self.place[pick], self.word[pick]
+
+
+def _longest(t: _Texts) -> np.ndarray:
+    """The size of the longest word at each place, 1 where there is none."""
+    out = np.ones(len(t.chars), np.int64)
+    for k, place, _ in t.sizes():
+        out[place] = k
+    return out
+
+
+def _chunks(t: _Texts, free: np.ndarray) -> np.ndarray:
+    """The size of the first word of the best chunk of three words from each place. Given the first
+    two words the third is the longest there, and given the first the other two are the best pair,
+    so two rounds over the word sizes find it. ``free``: weight of each place's character."""
+    n, ends = len(t.chars), t.ends
+    least = np.iinfo(np.int64).min
+    last = np.zeros(n + 1, np.int64)
+    last[:n] = _longest(t)
+    # rules 1 to 3 as one number: larger total, fewer words, smaller sum of squares; rule 4 beside it
+    score, tie = np.where(last > 0, (4 * last - 1 << 20) - last * last, 0), np.where(last == 1, np.append(free, 0), 0)
+    # only words of one character may start where no lexicon word does
+    options = [(1, np.arange(n)), *((k, place) for k, place, _ in t.sizes() if k > 1)]
+    for _ in range(2):
+        best, best_tie, first = np.full(n + 1, least), np.zeros(n + 1, np.int64), np.ones(n + 1, np.int64)
+        for k, place in options:
+            after = place + k
+            over = after >= ends[place]  # the text is over: no further word
+            total = (4 * k - 1 << 20) - k * k + np.where(over, 0, score[np.minimum(after, n)])
+            beside = np.where(over, 0, tie[np.minimum(after, n)]) + (free[place] if k == 1 else 0)
+            better = (total > best[place]) | (total == best[place]) & (beside >= best_tie[place])
+            at = place[better]
+            best[at], best_tie[at], first[at] = total[better], beside[better], k
+        best[n] = 0
+        score, tie = best, best_tie
+    # a place where no word of two or more characters starts is not weighed
+    return np.where(last[:n] > 1, first[:n], 1)
+
+
+def _path(t: _Texts, total: int) -> np.ndarray:
+    """The size of the first word of the heaviest path from each place to its text's end: words
+    weigh the logarithm of their share of ``total``, other characters that of a count of 1; of
+    equal paths the one with the longer first word."""
+    one = -_log(max(total, 1))
+    n = len(t.chars)
+    heads = np.searchsorted(t.place, np.arange(n + 1)).tolist()
+    sizes, known = t.size.tolist(), (np.array([_log(max(int(x), 1)) for x in t.weights], np.int64)[t.word] + one).tolist()
+    first, last = np.ones(n, np.int64).tolist(), set(t.begins[1:].tolist())
+    value = [0] * (n + 1)
+    for p in range(n - 1, -1, -1):
+        ahead = 0 if p + 1 in last else value[p + 1]
+        best, size = one + ahead, 1
+        for i in range(heads[p], heads[p + 1]):
+            k = sizes[i]
+            here = known[i] + (0 if p + k in last else value[p + k])
+            if here >= best or k == 1:
+                best, size = here, k
+        value[p], first[p] = best, size
+    return np.array(first, np.int64)
+
+
+def _log(count: int) -> int:
+    return math.floor(LOG_SCALE * math.log(count))
+
+
+def _walk(size: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The places where tokens start, from the first size at each place."""
+    out, sizes = [], size.tolist()
+    for at, end in zip(begins[:-1].tolist(), begins[1:].tolist()):
+        while at < end:
+            out.append(at)
+            at += sizes[at]
+    return np.array(out, np.int64)
+
+
+def _tokens(t: _Texts, mode: str, s: Settings, free: dict[str, int], total: int) -> tuple[np.ndarray, ...]:
+    """(text, idx, off, place, size, word number or -1) of every token. In ``full`` mode idx is the
+    place in the text."""
+    owner = np.repeat(np.arange(len(t.begins) - 1), np.diff(t.begins))
+    if mode == "full":
+        who = owner[t.place]
+        return who, t.place - t.begins[who], np.zeros(len(who), np.int64), t.place, t.size, t.word
+    if mode == "mmseg":
+        letters, back = np.unique(t.chars, return_inverse=True)
+        size = _chunks(t, np.array([free.get(chr(c), 0) for c in letters.tolist()], np.int64)[back])
+    else:
+        size = _path(t, total) if mode == "best_path" else _longest(t)
+    start = _walk(size, t.begins)
+    size = size[start]
+    wide = int(t.size.max(initial=0)) + 1
+    keys = t.place * wide + t.size
+    i = np.minimum(np.searchsorted(keys, start * wide + size), max(len(keys) - 1, 0))
+    word = np.where(keys[i] == start * wide + size, t.word[i], -1) if len(keys) else np.full(len(start), -1)
     if not s.keep_unknown:
-        all_tokens = F.filter(all_tokens, lambda t: t["known"] | t["word"].isin(list(s.keep_marks)))
-    out = both.select(key, F.posexplode_outer(all_tokens).alias("idx", "_t")).filter(
-        F.col("_t").isNotNull()).select(key, "idx", F.col("_t.word").alias("word"))
-    return _without_stop_words(out, s)
+        kept = (word >= 0) | np.isin(t.chars[start], [ord(c) for c in s.keep_marks])
+        start, size, word = start[kept], size[kept], word[kept]
+    who = owner[start]
+    first = np.searchsorted(who, np.arange(len(t.begins) - 1))
+    idx = np.arange(len(who)) - first[who]
+    if mode != "search":
+        return who, idx, np.zeros(len(who), np.int64), start, size, word
+    # the shorter words inside the tokens
+    i = np.searchsorted(start, t.place, side="right") - 1
+    inner = (i >= 0) & (t.place + t.size <= start[i] + size[i]) & (t.size < size[i]) if len(start) else np.zeros(0, bool)
+    i, place = i[inner], t.place[inner]
+    parts = [(who, who[i]), (idx, idx[i]), (np.zeros(len(who), np.int64), place - start[i]), (start, place),
+             (size, t.size[inner]), (word, t.word[inner])]
+    return tuple(np.concatenate(x) for x in parts)
+
+
+def _spelled(t: _Texts, place: np.ndarray, word: np.ndarray) -> pa.Array:
+    """The tokens' text: lexicon words by number, others as the character at their place."""
+    other = word < 0
+    letters, back = np.unique(t.chars[place[other]], return_inverse=True)
+    single = pa.array([chr(c) for c in letters.tolist()], pa.string()).take(pa.array(back))
+    where = np.empty(len(word), np.int64)
+    where[~other] = np.arange(int((~other).sum()))
+    where[other] = np.arange(int((~other).sum()), len(word))
+    return pa.concat_arrays([t.words.take(pa.array(word[~other])), single]).take(pa.array(where))
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of rows (key, text, ..) of about ``STEP_CHARS`` characters, with the texts' code points
+    and where each text begins. Null texts are empty."""
+    for batch in batches:
+        sizes = np.fromiter((len(x) if x else 0 for x in batch.column(1).to_pylist()), np.int64, batch.num_rows)
+        step = np.cumsum(sizes) // STEP_CHARS
+        for k in np.unique(step).tolist():
+            at, end = np.searchsorted(step, [k, k + 1]).tolist()
+            rows = batch.slice(at, end - at)
+            whole = "".join(x for x in rows.column(1).to_pylist() if x)
+            yield rows, np.frombuffer(whole.encode("utf-32-le"), np.uint32), np.concatenate([[0], np.cumsum(sizes[at:end])])
+
+
+def _segmenter(mode: str, s: Settings, trie, total: int, free: dict[str, int], lists: bool, names: list[str]):
+    """Batches of (key, text) or, without a trie, (key, text, words found) to token rows, or to
+    one row a text with the list of its tokens."""
+    def given(rows: pa.RecordBatch, begins: np.ndarray) -> tuple:
+        found = rows.column(2)
+        edges = found.offsets.to_numpy()
+        who = np.repeat(np.arange(rows.num_rows), np.diff(edges))
+        hits = found.values.slice(int(edges[0]), int(edges[-1] - edges[0]))
+        place, size, n = (hits.field(c).to_numpy().astype(np.int64) for c in ("pos", "size", "n"))
+        coded = hits.field("word").dictionary_encode()
+        word = coded.indices.to_numpy().astype(np.int64)
+        order = np.lexsort((size, place + begins[who]))
+        counts = np.zeros(len(coded.dictionary), np.int64)
+        counts[word] = n
+        return (place + begins[who])[order], size[order], word[order], coded.dictionary, counts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = trie.value if trie is not None else None
+        for rows, chars, begins in _steps(batches):
+            if known is None:
+                t = _Texts(chars, begins, *given(rows, begins))
+            else:
+                ends = np.repeat(begins[1:], np.diff(begins))
+                t = _Texts(chars, begins, *known.find(chars, ends), known.words, known.weights)
+            who, idx, off, place, _, word = _tokens(t, mode, s, free, total)
+            if lists:
+                order = np.argsort(who, kind="stable")
+                edges = np.searchsorted(who[order], np.arange(rows.num_rows + 1))
+                text = _spelled(t, place[order], word[order])
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), text)], names=names)
+                continue
+            for at in range(0, len(who), OUT_ROWS):
+                part = slice(at, at + OUT_ROWS)
+                out = {"idx": idx, "pos": idx, "off": off}
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0).take(pa.array(who[part])), *(pa.array(out[c][part], pa.int32()) for c in names[1:-1]),
+                     _spelled(t, place[part], word[part])], names=names)
+
+    return run
+
+
+def _given_words(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
+    """``(key, text, found)``: each text with the lexicon words in it, found by joins. Texts are
+    numbered first, so that texts of one key stay apart."""
+    rows = materialize(texts.select(F.monotonically_increasing_id().alias("_row"), key, text_col), "texts")
+    hits = _hits(rows, lexicon, s, "_row", text_col)
+    found = hits.groupBy("_row").agg(F.collect_list(F.struct("pos", F.length("word").alias("size"), "n", "word")).alias("found"))
+    none = F.array().cast("array<struct<pos:int,size:int,n:bigint,word:string>>")
+    return rows.join(found, "_row", "left").select(key, text_col, F.coalesce("found", none).alias("found"))
+
+
+MODES = {"full": ["pos"], "max_match": ["idx"], "mmseg": ["idx"], "best_path": ["idx"], "search": ["idx", "off"]}
+
+
+def _segmented(texts: DataFrame, lexicon: DataFrame, mode: str, key: str, text_col: str, lists: bool,
+               chars: DataFrame | None, s: Settings) -> DataFrame:
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}")
+    words, spark = Lexicon(lexicon, s), texts.sparkSession
+    ship_package(spark)
+    free = {r["char"]: _log(r["n"]) for r in chars.collect()} if chars is not None else {}
+    total = (words.words.agg(F.sum("n")).first()[0] or 0) if mode == "best_path" else 0
+    trie = None
+    if words.small:
+        rows = words.words.toArrow()
+        trie = spark.sparkContext.broadcast(Trie(rows.column("word").to_pylist(), rows.column("n").to_numpy()))
+        texts = texts.select(key, text_col)
+    else:
+        texts = _given_words(texts, words, s, key, text_col)
+    kind = texts.schema[key]
+    columns = [T.StructField("words", T.ArrayType(T.StringType()))] if lists else [
+        *(T.StructField(c, T.IntegerType()) for c in MODES[mode]), T.StructField("word", T.StringType())]
+    schema = T.StructType([kind, *columns])
+    return texts.mapInArrow(_segmenter(mode, s, trie, total, free, lists, schema.names), schema)
 
 
 def _without_stop_words(tokens: DataFrame, s: Settings) -> DataFrame:
     return tokens.filter(~F.col("word").isin(STOP_WORDS)) if s.clear_stop_words else tokens
 
 
-def _dealt(texts: DataFrame, key: str, text_col: str) -> DataFrame:
-    """Texts dealt by key, so that their hits are gathered where they arise."""
-    return texts.select(key, F.col(text_col)).repartition(key)
-
-
-def full_matches(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
-    """``(key, pos, word)``: every lexicon word at every position, overlapping. Nothing is
-    grouped, and only a lexicon too large to broadcast makes a shuffle."""
-    return _without_stop_words(_hits(texts, lexicon, s, key, text_col).select(key, "pos", "word"), s)
-
-
-def max_match(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
-    """``(key, idx, word)``: forward maximum matching, the longest lexicon word at each place."""
-    texts = _dealt(texts, key, text_col)
-    longest = _hits(texts, lexicon, s, key, text_col).groupBy(key, "pos").agg(
-        F.max(F.length("word")).alias("len"))
-    return _fold(longest, texts, s, key, text_col)
-
-
-def mmseg(texts: DataFrame, lexicon: Lexicon, s: Settings, key: str, text_col: str) -> DataFrame:
-    """``(key, idx, word)``: the "complex" mode, MMSEG chunk rules 1-3 (C.-H. Tsai, 1996).
+def segment(texts: DataFrame, lexicon: DataFrame, mode: str = "max_match", key: str = "doc_id",
+            text_col: str = "text", chars: DataFrame | None = None, **settings) -> DataFrame:
+    """Segment ``texts`` by ``mode`` (full, max_match, mmseg, best_path, search) under ``Settings``.
 
-    From each position all chunks of three words (dictionary words or single characters) are
-    scored by total length, then fewer words (a larger mean), then the smaller sum of squared
-    lengths (at equal total and number, the smaller variance); ties keep the longest first word.
-    Rule 4 needs a character-frequency table and is not applied.
-    """
-    texts = _dealt(texts, key, text_col)
-    at = _hits(texts, lexicon, s, key, text_col).groupBy(key, "n", "pos").agg(
-        F.array_union(F.collect_set(F.length("word")), F.array(F.lit(1))).alias("sizes"))
-    at = materialize(at, "word-lengths")
-
-    def widen(rows: DataFrame, name: str) -> DataFrame:
-        """Rows with ``end`` to rows with one more word of the chunk (0: the text is over)."""
-        more = at.select(key, F.col("pos").alias("end"), F.col("sizes").alias("_next"))
-        one = F.when(F.col("end") < F.col("n"), F.array(F.lit(1))).otherwise(F.array(F.lit(0)))
-        return (rows.join(more, [key, "end"], "left")
-                .withColumn(name, F.explode(F.coalesce("_next", one))).drop("_next")
-                .withColumn("end", F.col("end") + F.col(name)))
-
-    chunks = at.select(key, "n", "pos", F.explode("sizes").alias("a")).withColumn("end", F.col("pos") + F.col("a"))
-    chunks = widen(widen(chunks, "b"), "c")
-    sizes = [F.col(c) for c in "abc"]
-    score = F.struct(
-        (F.col("end") - F.col("pos")).alias("total"),
-        (-sum((x > 0).cast("int") for x in sizes)).alias("fewer"),
-        (-sum(x * x for x in sizes)).alias("even"), F.col("a"))
-    best = chunks.groupBy(key, "pos").agg(F.max(score)["a"].alias("len"))
-    return _fold(best.filter("len > 1"), texts, s, key, text_col)
-
-
-def search_tokens(tokens: DataFrame, lexicon: Lexicon, s: Settings, key: str) -> DataFrame:
-    """``(key, idx, off, word)``: each token (off 0, the token itself) and every shorter lexicon
-    word inside it (off: where it starts in the token), whatever the token's length."""
-    n = F.length("word")
-    inner = F.flatten(F.transform(F.sequence(F.lit(0), n - s.min_len), lambda o: F.transform(
-        F.sequence(F.lit(s.min_len), F.least(n - o, n - 1)), lambda k: F.struct(
-            o.alias("off"), F.col("word").substr(o + 1, k).alias("word")))))
-    long = tokens.filter(n > s.min_len).select(key, "idx", F.explode(
-        F.filter(inner, lambda x: F.length(x["word"]) >= s.min_len)).alias("_c"))
-    found = lexicon.join(long.select(key, "idx", F.col("_c.off").alias("off"), F.col("_c.word").alias("word")))
-    return _without_stop_words(
-        tokens.select(key, "idx", F.lit(0).alias("off"), "word").unionByName(found.select(key, "idx", "off", "word")), s)
+    ``full``: (key, pos, word), every lexicon word at every position. ``max_match``, ``mmseg``,
+    ``best_path``: (key, idx, word). ``search``: (key, idx, off, word), each token (off 0) and every
+    shorter lexicon word inside it (off: where it starts in the token).
 
-
-def segment(texts: DataFrame, lexicon: DataFrame, mode: str = "max_match", key: str = "doc_id",
-            text_col: str = "text", **settings) -> DataFrame:
-    """Segment ``texts`` by ``mode`` (full, max_match, mmseg, search) under ``Settings``.
+    ``mmseg`` is MMSEG (C.-H. Tsai, 1996): chunks of three words (lexicon words or single
+    characters) by total length, then fewer words (a larger mean), then the smaller sum of squared
+    lengths (at equal total and number, the smaller variance), then, if ``chars`` (char, n) is
+    given, the larger sum of the log counts of its one-character words; ties keep the longest first
+    word. ``best_path`` takes the path whose words have the largest product of shares of the
+    lexicon's counts ``n``, characters outside the lexicon counting once.
 
     Positions count code points, so line breaks and characters beyond the first plane count
     one. Null and empty texts have no tokens; blank and repeated lexicon rows count once or not
-    at all, an empty lexicon leaves single characters (nothing in ``full``). ``key`` names one
-    text: rows that share it are not told apart.
+    at all, an empty lexicon leaves single characters (nothing in ``full``). Every row is a text of
+    its own; ``key`` is handed on.
     """
     s = Settings(**settings)
-    words = Lexicon(lexicon, s)
-    if mode == "full":
-        return full_matches(texts, words, s, key, text_col)
-    if mode == "max_match":
-        return max_match(texts, words, s, key, text_col)
-    if mode == "mmseg":
-        return mmseg(texts, words, s, key, text_col)
-    if mode == "search":
-        # the tokens feed two branches: written once
-        kept = Settings(**{**settings, "clear_stop_words": False})
-        return search_tokens(materialize(max_match(texts, words, kept, key, text_col), "tokens"), words, s, key)
-    raise ValueError(f"unknown mode {mode!r}")
+    return _without_stop_words(_segmented(texts, lexicon, mode, key, text_col, False, chars, s), s)
+
+
+def segment_lists(texts: DataFrame, lexicon: DataFrame, mode: str = "max_match", key: str = "doc_id",
+                  text_col: str = "text", chars: DataFrame | None = None, **settings) -> DataFrame:
+    """``(key, words)``: the tokens of ``segment`` as one list a text, which needs no shuffle. Texts
+    without tokens have an empty list."""
+    s = Settings(**settings)
+    out = _segmented(texts, lexicon, mode, key, text_col, True, chars, s)
+    if s.clear_stop_words:
+        out = out.withColumn("words", F.filter("words", lambda w: ~w.isin(STOP_WORDS)))
+    return out
 
 
 def words_per_document(tokens: DataFrame, key: str = "doc_id", order: str = "idx") -> DataFrame:

@@ -224,15 +224,19 @@ LONGEST = """
 best AS (SELECT doc_id, p, max(l) AS l, arg_max(word, l) AS word FROM hits GROUP BY 1, 2)"""
 
 CHUNKS = """
-sz AS (SELECT DISTINCT doc_id, p, l FROM hits UNION SELECT DISTINCT doc_id, p, 1 FROM hits),
-nn AS (SELECT doc_id, length(t) AS n FROM t),
-k2 AS (SELECT a.doc_id, a.p, n.n, a.l AS a, coalesce(b.l, CASE WHEN a.p + a.l < n.n THEN 1 ELSE 0 END) AS b
-       FROM sz a JOIN nn n ON n.doc_id = a.doc_id LEFT JOIN sz b ON b.doc_id = a.doc_id AND b.p = a.p + a.l),
-k3 AS (SELECT k.doc_id, k.p, k.a, k.b, coalesce(c.l, CASE WHEN k.p + k.a + k.b < k.n THEN 1 ELSE 0 END) AS c
-       FROM k2 k LEFT JOIN sz c ON c.doc_id = k.doc_id AND c.p = k.p + k.a + k.b),
+fr AS (SELECT c, floor(1000000 * ln(count(*)))::BIGINT AS f FROM ch GROUP BY c),
+fc AS (SELECT ch.doc_id, ch.p, fr.f FROM ch JOIN fr ON fr.c = ch.c),
+sz AS (SELECT s.doc_id, s.p, s.l, CASE WHEN s.l = 1 THEN fc.f ELSE 0 END AS f
+       FROM (SELECT DISTINCT doc_id, p, l FROM hits UNION SELECT doc_id, p, 1 FROM ch) s
+       JOIN fc ON fc.doc_id = s.doc_id AND fc.p = s.p),
+k2 AS (SELECT a.doc_id, a.p, a.l AS a, coalesce(b.l, 0) AS b, a.f + coalesce(b.f, 0) AS f
+       FROM sz a SEMI JOIN hits h ON h.doc_id = a.doc_id AND h.p = a.p
+       LEFT JOIN sz b ON b.doc_id = a.doc_id AND b.p = a.p + a.l),
+k3 AS (SELECT k.doc_id, k.p, k.a, k.b, coalesce(c.l, 0) AS c, k.f + coalesce(c.f, 0) AS f
+       FROM k2 k LEFT JOIN sz c ON k.b > 0 AND c.doc_id = k.doc_id AND c.p = k.p + k.a + k.b),
 pick AS (SELECT doc_id, p, a AS l FROM (
            SELECT doc_id, p, a, row_number() OVER (PARTITION BY doc_id, p ORDER BY a + b + c DESC,
-                    (b > 0)::INT + (c > 0)::INT, a * a + b * b + c * c, a DESC) AS rn FROM k3)
+                    (b > 0)::INT + (c > 0)::INT, a * a + b * b + c * c, f DESC, a DESC) AS rn FROM k3)
          WHERE rn = 1 AND a > 1),
 best AS (SELECT k.doc_id, k.p, k.l, h.word FROM pick k JOIN hits h ON h.doc_id = k.doc_id AND h.p = k.p AND h.l = k.l)"""
 

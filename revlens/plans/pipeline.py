@@ -51,10 +51,7 @@ def segmented(mode: str, lexicon: DataFrame, despaced: bool = False, stop_words:
     def run(docs: DataFrame) -> DataFrame:
         key = docs.columns[0]
         texts = docs.select(key, T.despace("document").alias("document")) if despaced else docs
-        tokens = seg.segment(texts, lexicon, mode, key, "document", **settings)
-        order = "pos" if mode == "full" else "idx"
-        words = docs.select(key).join(seg.words_per_document(tokens, key, order), key, "left")
-        words = words.withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
+        words = seg.segment_lists(texts, lexicon, mode, key, "document", **settings)
         if stop_words:
             words = words.withColumn("words", T.remove_stop_words("words"))
         if latin_parts:

@@ -274,7 +274,13 @@ def q_segment_search(spark, sf_dir):
 
 
 def q_segment_mmseg(spark, sf_dir):
-    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "mmseg")
+    """All four chunk rules; the characters' frequencies are those of the texts."""
+    texts = _unsegmented(spark, sf_dir)
+    return seg.segment(texts, _lexicon(spark, sf_dir), "mmseg", chars=seg.char_counts(texts))
+
+
+def q_segment_best_path(spark, sf_dir):
+    return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "best_path")
 
 
 # -- the reference's chains, end to end -----------------------------------------------------
@@ -366,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "segment_max_match": q_segment_max_match,
     "segment_search": q_segment_search,
     "segment_mmseg": q_segment_mmseg,
+    "segment_best_path": q_segment_best_path,
     "chain_multi_search_nb": q_chain_multi_search_nb,
     "chain_binary_max_match_nb": q_chain_binary_max_match_nb,
     "chain_4neg_full_svm": q_chain_4neg_full_svm,

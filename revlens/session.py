@@ -7,6 +7,7 @@ the bench and local runs, and finds the shared checkpoint folder.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -63,6 +64,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once an application, so that they need no
+    installed copy of it."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        top, name = os.path.split(package)
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="revlens-"), name), "zip", top, name))
+        _SHIPPED.add(sc.applicationId)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 

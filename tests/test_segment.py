@@ -1,5 +1,12 @@
 """Segmentation modes against brute force on small lexicons."""
 
+import itertools
+import math
+import random
+import time
+from collections import Counter
+
+import numpy as np
 import pytest
 
 from revlens.operators import segment as seg
@@ -29,7 +36,7 @@ def _max(text, words=WORDS, longest=7):
     return out
 
 
-def _mmseg(text, words, longest=7):
+def _mmseg(text, words, longest=7, counts=None):
     def sizes(i):
         return [k for k in range(min(longest, len(text) - i), 1, -1) if text[i:i + k] in words] + [1]
 
@@ -41,10 +48,12 @@ def _mmseg(text, words, longest=7):
                 for c in (sizes(i + a + b) if b and i + a + b < len(text) else [0]):
                     got = [x for x in (a, b, c) if x]
                     mean = sum(got) / len(got)
-                    score = (sum(got), mean, -round(sum((x - mean) ** 2 for x in got) / len(got), 9), a)
+                    at = [i, i + a, i + a + b]
+                    free = sum(math.floor(1e6 * math.log(counts[text[p]])) for p, x in zip(at, (a, b, c)) if x == 1) if counts else 0
+                    score = (sum(got), mean, -round(sum((x - mean) ** 2 for x in got) / len(got), 9), free, a)
                     best = max(best or score, score)
-        out.append(text[i:i + best[3]])
-        i += best[3]
+        out.append(text[i:i + best[4]])
+        i += best[4]
     return out
 
 
@@ -110,7 +119,7 @@ def test_empty_lexicon_leaves_characters(spark, mode):
 
 
 def test_large_lexicons_give_the_same_rows(spark, monkeypatch):
-    small = {m: sorted(map(tuple, seg.segment(*_frames(spark), m).collect())) for m in ("full", "search", "mmseg")}
+    small = {m: sorted(map(tuple, seg.segment(*_frames(spark), m).collect())) for m in seg.MODES}
     monkeypatch.setattr(seg, "BROADCAST_WORDS", 0)
     monkeypatch.setattr("revlens.operators.joins.ROWS_PER_SALT", 1)
     for mode, rows in small.items():
@@ -127,6 +136,129 @@ def test_mmseg_chunk_rules(spark):
         assert got.get(i, []) == _mmseg(text, set(words))
 
 
+def test_mmseg_rule_4_decides_what_rules_1_to_3_leave(spark):
+    """Two chunks of the same lengths, one with 'a' as a word of its own, one with 'd'."""
+    words, texts = ["bc", "ab", "cd"], ["abcd", "dabcd", "d d d"]
+    t, lex = _frames(spark, texts, words)
+    # "abc" alone: ab/c and a/bc are alike to rules 1-3
+    t2, lex2 = _frames(spark, ["abc"], ["ab", "bc"])
+    def tokens(counts):
+        chars = spark.createDataFrame(list(counts.items()), "char string, n long")
+        return [r.word for r in sorted(seg.segment(t2, lex2, "mmseg", chars=chars).collect(), key=lambda r: r.idx)]
+    assert tokens({"a": 9, "c": 2}) == ["a", "bc"] and tokens({"a": 2, "c": 9}) == ["ab", "c"]
+    assert tokens({"a": 2, "c": 2}) == ["ab", "c"]  # still equal: the longest first word
+    counts = Counter("".join(texts))
+    got = _by_doc(seg.segment(t, lex, "mmseg", chars=seg.char_counts(t)).collect(), "idx")
+    for i, text in enumerate(texts):
+        assert got[i] == _mmseg(text, set(words), counts=counts)
+
+
+def _random_texts(draw, n, letters, longest):
+    words = {"".join(draw.choices(letters, k=draw.randint(2, 4))): draw.randint(1, 500) for _ in range(25)}
+    return ["".join(draw.choices(letters + "é😀\n", k=draw.randint(0, longest))) for _ in range(n)], words
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_random_texts_in_every_mode(spark, monkeypatch, large):
+    draw = random.Random(5)
+    texts, words = _random_texts(draw, 40, "abc", 30)
+    monkeypatch.setattr(seg, "STEP_CHARS", 70)
+    if large:
+        monkeypatch.setattr(seg, "BROADCAST_WORDS", 0)
+    t = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lex = spark.createDataFrame(list(words.items()), "word string, n long")
+    counts = Counter("".join(texts))
+    for mode, brute in (("max_match", lambda x: _max(x, words)), ("mmseg", lambda x: _mmseg(x, words, counts=counts))):
+        got = _by_doc(seg.segment(t, lex, mode, chars=seg.char_counts(t)).collect(), "idx")
+        assert [got.get(i, []) for i in range(len(texts))] == [brute(x) for x in texts], mode
+    got = {}
+    for r in seg.segment(t, lex, "full").collect():
+        got.setdefault(r.doc_id, []).append((r.pos, r.word))
+    assert [sorted(got.get(i, [])) for i in range(len(texts))] == [sorted(_full(x, words)) for x in texts]
+
+
+def _weight(path, words):
+    total = sum(words.values())
+    return sum(math.floor(1e6 * math.log(words.get(w, 1))) - math.floor(1e6 * math.log(total)) for w in path)
+
+
+def _paths(text, words):
+    if not text:
+        yield []
+    for k in range(1, min(7, len(text)) + 1):
+        if k == 1 or text[:k] in words:
+            for rest in _paths(text[k:], words):
+                yield [text[:k], *rest]
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_best_path_among_all_paths(spark, monkeypatch, large):
+    if large:
+        monkeypatch.setattr(seg, "BROADCAST_WORDS", 0)
+    draw = random.Random(7)
+    texts, words = _random_texts(draw, 60, "abcd", 12)
+    t = spark.createDataFrame([*enumerate(texts), (100, None)], "doc_id long, text string")
+    lex = spark.createDataFrame(list(words.items()), "word string, n long")
+    got = _by_doc(seg.segment(t, lex, "best_path").collect(), "idx")
+    for i, text in enumerate(texts):
+        best = max(_weight(p, words) for p in _paths(text, words))
+        equal = [p for p in _paths(text, words) if _weight(p, words) == best]
+        assert got.get(i, []) == max(equal, key=lambda p: [len(w) for w in p]), text
+    # frequent short words win over a rare long one
+    lex = spark.createDataFrame([("ab", 1000), ("cd", 1000), ("abcd", 1)], "word string, n long")
+    t = spark.createDataFrame([(0, "abcd")], "doc_id long, text string")
+    assert _by_doc(seg.segment(t, lex, "best_path").collect(), "idx")[0] == ["ab", "cd"]
+    assert _by_doc(seg.segment(t, lex, "max_match").collect(), "idx")[0] == ["abcd"]
+
+
+def test_rows_that_share_a_key_are_texts_of_their_own(spark, monkeypatch):
+    t, lex = _frames(spark, ["x"], ["ab", "bc"])
+    t = spark.createDataFrame([(1, "abc"), (1, "bcab"), (None, "ab"), (None, "zab")], "doc_id long, text string")
+    want = Counter([(1, 0, "ab"), (1, 1, "c"), (1, 0, "bc"), (1, 1, "ab"), (None, 0, "ab"), (None, 0, "z"), (None, 1, "ab")])
+    assert Counter(map(tuple, seg.segment(t, lex).collect())) == want
+    lists = Counter((r.doc_id, tuple(r.words)) for r in seg.segment_lists(t, lex).collect())
+    assert lists == Counter([(1, ("ab", "c")), (1, ("bc", "ab")), (None, ("ab",)), (None, ("z", "ab"))])
+    monkeypatch.setattr(seg, "BROADCAST_WORDS", 0)
+    assert Counter(map(tuple, seg.segment(t, lex).collect())) == want
+
+
+def test_lists_equal_tokens(spark):
+    for mode in seg.MODES:
+        rows = seg.segment(*_frames(spark), mode, clear_stop_words=True).collect()
+        want = {i: Counter() for i in range(len(TEXTS))}
+        for r in rows:
+            want[r.doc_id][r.word] += 1
+        got = {r.doc_id: Counter(r.words) for r in seg.segment_lists(*_frames(spark), mode, clear_stop_words=True).collect()}
+        assert got == want, mode
+
+
+def test_long_texts_take_linear_time():
+    """Ten times the text, about ten times the seconds, in every mode."""
+    trie = seg.Trie(["ab", "abc", "bca", "cab", "aa"], np.array([5, 4, 3, 2, 1]))
+    seconds = {}
+    for n in (100_000, 1_000_000):
+        chars = np.frombuffer(("abcabdaabca" * (n // 11)).encode("utf-32-le"), np.uint32)
+        begins = np.array([0, len(chars)])
+        for mode in seg.MODES:
+            t0 = time.perf_counter()
+            t = seg._Texts(chars, begins, *trie.find(chars, np.full(len(chars), len(chars))), trie.words, trie.weights)
+            seg._tokens(t, mode, seg.Settings(), {}, 15)
+            seconds[mode, n] = time.perf_counter() - t0
+    assert all(seconds[m, 1_000_000] < 40 * seconds[m, 100_000] + 1 for m in seg.MODES)
+
+
+def test_trie_holds_any_words():
+    draw = random.Random(1)
+    words = sorted({"".join(draw.choices("ab漢😀", k=draw.randint(1, 6))) for _ in range(300)})
+    trie = seg.Trie(words, np.arange(len(words)))
+    text = "".join(draw.choices("ab漢😀z", k=500))
+    chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    got = list(zip(*(x.tolist() for x in trie.find(chars, np.full(500, 500)))))
+    want = [(p, k, text[p:p + k]) for p, k in itertools.product(range(500), range(1, 7)) if p + k <= 500 and text[p:p + k] in words]
+    assert [(p, k, trie.words[w].as_py()) for p, k, w in got] == want
+    assert all(words[int(trie.weights[w])] == trie.words[w].as_py() for _, _, w in got)
+
+
 def test_lexicon_by_count(spark):
     docs = spark.createDataFrame([(["aa", "aa", "b", "cc"],), (["aa", "cc", "dddddddd"],)], "words array<string>")
     assert sorted(map(tuple, seg.lexicon_by_count(docs, 2).collect())) == [("aa", 3), ("cc", 2)]
