@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from revlens.functions.text import STOP_WORDS, code_points, despace
 from revlens.operators.joins import salted_join
 from revlens.operators.metrics import word_counts
-from revlens.session import materialize, ship_package
+from revlens.session import materialize, ship_package, spread
 
 # Segmenter settings of the reference -- longest word 7 characters, stop words
 # kept, unknown characters kept as words, and these marks kept: @ # % . & +
@@ -404,7 +404,7 @@ def _segmented(texts: DataFrame, lexicon: DataFrame, mode: str, key: str, text_c
     if words.small:
         rows = words.words.toArrow()
         trie = spark.sparkContext.broadcast(Trie(rows.column("word").to_pylist(), rows.column("n").to_numpy()))
-        texts = texts.select(key, text_col)
+        texts = spread(texts.select(key, text_col))
     else:
         texts = _given_words(texts, words, s, key, text_col)
     kind = texts.schema[key]

@@ -78,6 +78,15 @@ def ship_package(spark: SparkSession) -> None:
         _SHIPPED.add(sc.applicationId)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores if it is a plain scan of fewer partitions than the cluster has
+    cores (a small table in one file); larger scans stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
