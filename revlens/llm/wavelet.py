@@ -52,10 +52,10 @@ class WaveletMatrix:
         now = ids.astype("<u2" if bits <= 16 else "<u4")
         zeros, planes, counts = [], [], []
         for shift in range(bits - 1, -1, -1):
-            one = ((now >> shift) & 1).astype(bool)
-            low, high = now[~one], now[one]
-            now = np.concatenate([low, high])
+            one = (now & now.dtype.type(1 << shift)).astype(bool)
             packed = np.packbits(one, bitorder="little")
+            low = np.compress(~one, now)
+            now = np.concatenate([low, np.compress(one, now)])
             zeros.append(len(low))
             planes.append(packed)
             counts.append(cls._ones_before(packed))
@@ -181,10 +181,10 @@ class WaveletMatrix:
         """All ids in order, from the last plane up."""
         now = np.zeros(self.n, "<u2" if self.bits <= 16 else "<u4")
         for k in range(self.bits - 1, -1, -1):
-            one = np.unpackbits(self._plane(k), count=self.n, bitorder="little").astype(bool)
+            one = np.unpackbits(self._plane(k), count=self.n, bitorder="little").view(bool)
             above = np.empty_like(now)
-            above[~one] = now[:self.zeros[k]]
-            above[one] = now[self.zeros[k]:] | now.dtype.type(1 << (self.bits - 1 - k))
+            above[np.flatnonzero(~one)] = now[:self.zeros[k]]
+            above[np.flatnonzero(one)] = now[self.zeros[k]:] | now.dtype.type(1 << (self.bits - 1 - k))
             now = above
         return now.astype("<u4")
 
@@ -200,8 +200,10 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, shard_tokens: int
     """Encode ``docs`` (doc_id, text) and lay the ids out in wavelet shards.
 
     Documents are dealt by ranges of doc_id and sorted (null first, equal doc_ids by a hash of
-    their text), so (part, shard) order is ascending doc_id order. A null text is empty and
-    has the end id alone. A document never spans shards; a longer one makes a larger shard.
+    their text, which also deals them out), so (part, shard) order is ascending doc_id order. A
+    repeated row is written as often as it stands there, other columns are passed over, and an
+    empty table has no shards. A null text is empty and has the end id alone. A document never
+    spans shards; a longer one makes a larger shard.
     """
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(tokenizer).encode
@@ -230,9 +232,9 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, shard_tokens: int
         if keys:
             yield close()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
-    rows = rows.sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return rows.mapInArrow(shards, SHARDS)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("_tie", F.xxhash64("text"))
+    rows = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
+    return rows.select("doc_id", "text").mapInArrow(shards, SHARDS)
 
 
 DOC_ROWS = T.StructType([
