@@ -2,7 +2,8 @@
 applied to any table (or stream) of reviews.
 
 StringIndexer (any label values) -> RegexTokenizer (the word pattern) -> md5 buckets as strings
--> CountVectorizer -> IDF -> NaiveBayes -> IndexToString (``predicted``: a label value again).
+-> CountVectorizer -> IDF -> NaiveBayes or LinearSVC -> IndexToString (``predicted``: a label value
+again).
 The vocabulary that CountVectorizer gathers has at most as many entries as there are buckets,
 and the buckets are portable, so other engines can recompute the model.
 """
@@ -10,7 +11,7 @@ and the buckets are portable, so other engines can recompute the model.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.classification import LinearSVC, NaiveBayes
 from pyspark.ml.feature import (IDF, CountVectorizer, IndexToString, RegexTokenizer, SQLTransformer,
                                 StringIndexer)
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,13 @@ HEX_DIGITS = 5
 
 
 def fit_review_model(train: DataFrame, hex_digits: int = HEX_DIGITS, smoothing: float = 1.0,
-                     text_col: str = "document", label_col: str = "label") -> PipelineModel:
-    """Fit on ``(document, label)``; the labels may be any values."""
+                     text_col: str = "document", label_col: str = "label", classifier: str = "bayes",
+                     iterations: int = 100, reg_param: float = 0.01) -> PipelineModel:
+    """Fit on ``(document, label)``; the labels may be any values, two of them for ``svm``.
+
+    ``classifier``: ``bayes`` (multinomial, ``smoothing``) or ``svm`` (linear, hinge loss, no
+    intercept, ``iterations`` steps of a quasi-Newton search at most, ``reg_param``).
+    """
     index = StringIndexer(inputCol=label_col, outputCol="label_index").fit(train)
     tokens = RegexTokenizer(inputCol=text_col, outputCol="words", pattern=WORD_PATTERN,
                             gaps=False, toLowercase=True)
@@ -31,10 +37,15 @@ def fit_review_model(train: DataFrame, hex_digits: int = HEX_DIGITS, smoothing:
                                        f"{hex_digits}), 16, 10)) AS buckets FROM __THIS__")
     counts = CountVectorizer(inputCol="buckets", outputCol="rawFeatures", vocabSize=md5_num_features(hex_digits))
     idf = IDF(inputCol="rawFeatures", outputCol="features")
-    bayes = NaiveBayes(featuresCol="features", labelCol="label_index", smoothing=smoothing,
-                       modelType="multinomial")
+    if classifier == "bayes":
+        model = NaiveBayes(featuresCol="features", labelCol="label_index", smoothing=smoothing, modelType="multinomial")
+    elif classifier == "svm":
+        model = LinearSVC(featuresCol="features", labelCol="label_index", maxIter=iterations, regParam=reg_param,
+                          fitIntercept=False, standardization=False)
+    else:
+        raise ValueError(f"unknown classifier {classifier!r}")
     back = IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels)
-    return Pipeline(stages=[index, tokens, buckets, counts, idf, bayes, back]).fit(train)
+    return Pipeline(stages=[index, tokens, buckets, counts, idf, model, back]).fit(train)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -11,28 +11,35 @@ tolerance 0.001, weights starting at zero. Iteration t (from 1):
 
 Prediction: 1 if w.x > 0 else 0.
 
-Plan per iteration: the training matrix ``(doc, term, x, ys)`` is written once, then
-hash-partitioned by document and cached, so margins (group by document) and the active-row semi
-join need no shuffle; the weights join is a broadcast when the feature space is hashed
-(bounded) and a salted shuffled join for hot terms otherwise; the gradient is a partial-then-final aggregate
-by term. The new weights are written to the shared checkpoint folder every iteration (one
-job, with the convergence norms observed in it), which cuts the lineage and survives lost
-executors; the weights before them are deleted.
+Hashed features (a proven bound on the terms, at most ``DENSE_TERMS``): the training matrix is
+written once as sparse row blocks and cached. The weights are one array that the driver holds and
+broadcasts; in an iteration every task adds up its blocks' sub-gradients, one shuffle adds up the
+tasks', and the driver, which reads at most one number a term, takes the step and tests for
+convergence: one job an iteration.
+
+Other features: the matrix stays in long form ``(doc, term, x, ys)``, hash-partitioned by document,
+so margins (group by document) and the active-row semi join need no shuffle; the weights are a table
+that a salted shuffled join brings to hot terms. The new weights are written to the shared checkpoint
+folder every iteration (one job, with the convergence norms observed in it), which cuts the lineage
+and survives lost executors; the weights before them are deleted.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from revlens.operators.features import EXACT, Hashing, join_by_term
 from revlens.operators.joins import salted_join
-from revlens.session import drop_table, ensure_checkpoint_dir, materialize, reopen
+from revlens.session import drop_table, ensure_checkpoint_dir, materialize, reopen, ship_package
 
 # Defaults of the reference's SVM training call.
 ITERATIONS = 100
@@ -44,6 +51,10 @@ CONVERGENCE_TOL = 0.001
 # default parallelism. The loop runs in a session of its own with adaptive execution off, so the
 # partition count comes from the data, not from spark.sql.shuffle.partitions.
 DOCS_PER_PARTITION = 10_000
+#: Most terms whose weights the driver holds as one array (8 bytes each).
+DENSE_TERMS = 1 << 22
+#: Entries after which a row block is closed, at the end of a document.
+BLOCK_ENTRIES = 1_000_000
 
 
 @dataclass
@@ -84,6 +95,14 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
     loop = features.sparkSession.newSession()
     loop.conf.set("spark.sql.adaptive.enabled", "false")
     loop.conf.set("spark.sql.shuffle.partitions", str(n_part))
+    if hashing.bound is not None and hashing.bound <= DENSE_TERMS:
+        # a block's step takes milliseconds, so few documents need no more tasks than one
+        parts = max(1, math.ceil(n_rows / DOCS_PER_PARTITION))
+        loop.conf.set("spark.sql.shuffle.partitions", str(parts))
+        w, run = _descend(reopen(src, loop), loop, hashing.bound, key, n_rows, parts, iterations, step, reg_param,
+                          convergence_tol)
+        drop_table(src)
+        return SVMModel(reopen(w, features.sparkSession), run, hashing)
     # cached for the iterations; a lost block is read again from the written matrix
     x = reopen(src, loop).repartition(n_part, key).persist(StorageLevel.MEMORY_AND_DISK)
     df = None
@@ -100,6 +119,94 @@ def svm_fit(features: DataFrame, labels: DataFrame, iterations: int = ITERATIONS
     return SVMModel(reopen(w, features.sparkSession) if run else w, run, hashing)
 
 
+_BLOCK = StructType([StructField(c, BinaryType(), False) for c in ("begins", "terms", "values", "signs")])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, term, x, ys) that lie document by document to row blocks."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size, document, last = 0, 0, None
+
+    def block() -> pa.RecordBatch:
+        doc, term, x, ys = (np.concatenate(c) for c in zip(*held))
+        begins = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        cells = begins.astype("<i8"), term.astype("<i4"), x.astype("<f8"), ys[begins].astype("<f8")
+        return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cells], names=_BLOCK.names)
+
+    for batch in batches:
+        keys = batch.column(0).dictionary_encode()
+        if not batch.num_rows:
+            continue
+        codes = keys.indices.to_numpy()
+        first = keys.dictionary[int(codes[0])].as_py()
+        new = np.concatenate([[held == [] or first != last], codes[1:] != codes[:-1]])
+        doc = document + np.cumsum(new)
+        document, last = int(doc[-1]), keys.dictionary[int(codes[-1])].as_py()
+        term, x, ys = (batch.column(i).to_numpy() for i in (1, 2, 3))
+        at = 0
+        for cut in np.flatnonzero(new).tolist():
+            if size + cut - at >= BLOCK_ENTRIES and size + cut > at:
+                if cut > at:
+                    held.append((doc[at:cut], term[at:cut], x[at:cut], ys[at:cut]))
+                yield block()
+                held, size, at = [], 0, cut
+        held.append((doc[at:], term[at:], x[at:], ys[at:]))
+        size += len(doc) - at
+    if held:
+        yield block()
+
+
+def _gradient(weights, bound: int):
+    """Row blocks to (term, g): the summed sub-gradients of a task's active rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, total, touched = np.zeros(bound), np.zeros(bound), np.zeros(bound, bool)
+        known, values = weights.value
+        w[known] = values
+        for batch in batches:
+            for cells in zip(*(c.to_pylist() for c in batch.columns)):
+                begins, term, x, ys = (np.frombuffer(c, t) for c, t in zip(cells, ("<i8", "<i4", "<f8", "<f8")))
+                margin = np.add.reduceat(x * w[term], begins)
+                pull = np.where(ys * margin < 1, -ys, 0.0)
+                pull = np.repeat(pull, np.diff(np.append(begins, len(term))))
+                total += np.bincount(term, pull * x, minlength=bound)
+                touched[term[pull != 0]] = True
+        at = np.flatnonzero(touched)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["term", "g"])
+
+    return run
+
+
+def _descend(src: DataFrame, loop, bound: int, key: str, n_rows: int, n_part: int, iterations: int, step: float,
+             reg_param: float, convergence_tol: float) -> tuple[DataFrame, int]:
+    """The iterations over row blocks: (written weights (term, w), iterations run)."""
+    ship_package(loop)
+    sc = loop.sparkContext
+    rows = src.select(key, F.col("term").cast("int"), "x", "ys").repartition(n_part, key).sortWithinPartitions(key)
+    written = materialize(rows.mapInArrow(_pack, _BLOCK), "svm-blocks")
+    # cached for the iterations; a lost block is read again from the written blocks
+    blocks = written.persist(StorageLevel.MEMORY_AND_DISK)
+    w, touched, run = np.zeros(bound), np.zeros(bound, bool), 0
+    for t in range(1, iterations + 1):
+        known = np.flatnonzero(w)
+        shared = sc.broadcast((known, w[known]))
+        g = (blocks.mapInArrow(_gradient(shared, bound), "term int, g double").groupBy("term")
+             .agg(F.sum("g").alias("g")).toArrow())
+        shared.destroy()
+        at = g.column("term").to_numpy()
+        touched[at] = True
+        s = step / math.sqrt(t)
+        new = w * (1.0 - s * reg_param)
+        new[at] -= s * (g.column("g").to_numpy() / float(n_rows))
+        gap, w, run = float(np.linalg.norm(new - w)), new, t
+        if t >= 2 and gap < convergence_tol * max(float(np.linalg.norm(w)), 1.0):
+            break
+    blocks.unpersist()
+    drop_table(written)
+    at = np.flatnonzero(touched)
+    table = pa.table({"term": pa.array(at, pa.int32()), "w": pa.array(w[at])})
+    return materialize(loop.createDataFrame(table), "svm-weights"), run
+
+
 def _iterate(x: DataFrame, w: DataFrame, hashing: Hashing, df: DataFrame | None, key: str,
              n_rows: int, iterations: int, step: float, reg_param: float,
              convergence_tol: float) -> tuple[DataFrame, int]:

@@ -220,16 +220,25 @@ def q_score_new_reviews(spark, sf_dir):
     return pred.select("conv_id", "turn", "prediction")
 
 
-def q_ml_pipeline_predictions(spark, sf_dir):
-    """Spark ML PipelineModel fitted on the training rows, applied to the test rows."""
+def _ml_predictions(spark, sf_dir, classifier):
     from revlens.operators.ml import fit_review_model, score
     sp = materialize(hash_split(balanced(spark, sf_dir, "binary_drop4")), "balanced")
     train = sp.filter(F.col("split") == "train").select("document", "label")
     test = sp.filter(F.col("split") == "test").select("doc_id", "document", "label")
-    out = score(fit_review_model(train), test)
+    out = score(fit_review_model(train, classifier=classifier), test)
     return out.select("doc_id", "label", F.col("predicted").cast("int").alias("prediction"))
 
 
+def q_ml_pipeline_predictions(spark, sf_dir):
+    """Spark ML PipelineModel fitted on the training rows, applied to the test rows."""
+    return _ml_predictions(spark, sf_dir, "bayes")
+
+
+def q_linear_svc_predictions(spark, sf_dir):
+    """The same pipeline with a linear SVM: the scalable route beside ``svm_predict``."""
+    return _ml_predictions(spark, sf_dir, "svm")
+
+
 # -- linear SVM ---------------------------------------------------------------------------
 
 def q_svm_weights(spark, sf_dir):
@@ -365,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "nb_multiclass_accuracy": q_nb_multiclass_accuracy,
     "score_new_reviews": q_score_new_reviews,
     "ml_pipeline_predictions": q_ml_pipeline_predictions,
+    "linear_svc_predictions": q_linear_svc_predictions,
     "svm_weights": q_svm_weights,
     "svm_predict": q_svm_predict,
     "svm_accuracy": q_svm_accuracy,

@@ -131,6 +131,56 @@ def test_evaluator_and_correct_rows(spark):
     assert sorted(r.label for r in correct_predictions(df).collect()) == [1, 3]
 
 
+@pytest.mark.parametrize("entries", [1_000_000, 7])
+def test_svm_on_row_blocks_equals_the_relational_loop(spark, monkeypatch, entries):
+    """Hashed features run on row blocks; with a smaller bound on the driver's array they run as tables."""
+    from revlens.operators import svm
+    from revlens.operators.features import Hashing
+    rnd = random.Random(11)
+    rows = [(d, d % 2, {j: rnd.random() * (3 if (j % 2) == d % 2 else 1) for j in rnd.sample(range(200), rnd.randint(1, 9))})
+            for d in range(90)]
+    x = spark.createDataFrame([(d, j, v) for d, _, f in rows for j, v in f.items()], "doc_id long, term int, tfidf double")
+    y = spark.createDataFrame([*((d, c) for d, c, _ in rows), (900, 1)], "doc_id long, label int")  # a document without features
+    monkeypatch.setattr(svm, "BLOCK_ENTRIES", entries)
+    packed = svm_fit(x, y, iterations=15, hashing=Hashing("md5", 256))
+    monkeypatch.setattr(svm, "DENSE_TERMS", 0)
+    plain = svm_fit(x, y, iterations=15, hashing=Hashing("md5", 256))
+    got, want = ({r.term: r.w for r in m.weights.collect()} for m in (packed, plain))
+    assert packed.iterations == plain.iterations and set(got) == set(want)
+    assert max(abs(got[t] - want[t]) for t in want) < 1e-9
+    assert packed.weights.schema["term"].dataType == plain.weights.schema["term"].dataType
+
+
+def test_row_blocks_keep_documents_whole(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from revlens.operators import svm
+    monkeypatch.setattr(svm, "BLOCK_ENTRIES", 10)
+    keys = np.repeat([5, 7, 9, 11, 13], [3, 12, 1, 9, 2])
+    table = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.arange(27), pa.int32()), pa.array(np.arange(27.0)),
+                                        pa.array(np.where(keys % 3, 1.0, -1.0))], names=["k", "term", "x", "ys"])
+    batches = [table.slice(0, 2), table.slice(2, 9), table.slice(11, 0), table.slice(11, 16)]
+    docs = []
+    for block in svm._pack(iter(batches)):
+        begins, terms, values, signs = (np.frombuffer(c[0].as_py(), t) for c, t in zip(block.columns, ("<i8", "<i4", "<f8", "<f8")))
+        assert (terms == values).all() and len(signs) == len(begins)
+        docs += [p.tolist() for p in np.split(terms, begins[1:])]
+    assert docs == [np.flatnonzero(keys == k).tolist() for k in (5, 7, 9, 11, 13)]
+
+
+def test_linear_svc_agrees_with_the_parity_loop(spark):
+    from conftest import SF_MID
+    from revlens.plans.queries import QUERIES
+    svc = {r.doc_id: r for r in QUERIES["linear_svc_predictions"](spark, SF_MID).collect()}
+    sgd = {r.doc_id: r for r in QUERIES["svm_predict"](spark, SF_MID).collect()}
+    assert set(svc) == set(sgd) and all(svc[k].label == sgd[k].label for k in sgd)
+    right = [sum(r.label == r.prediction for r in rows.values()) for rows in (svc, sgd)]
+    assert abs(right[0] - right[1]) <= max(3, len(sgd) // 5)
+    from revlens.operators.ml import fit_review_model
+    with pytest.raises(ValueError, match="classifier"):
+        fit_review_model(spark.createDataFrame([("a", 1)], "document string, label int"), classifier="x")
+
+
 def test_svm_early_stop_matches_mllib(spark):
     """Few separable rows: the weights settle long before the last iteration."""
     from pyspark.mllib.classification import SVMWithSGD
