@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 HEADER_RATING = "Rating"  # fixed value: header text of the rating column
 
 
-def _rating(rating_txt: Column, reading: str, strict: bool) -> Column:
+def rating_of(rating_txt: Column, reading: str = "jvm", strict: bool = False) -> Column:
+    """A rating field as a number; null for a bad one, unless ``strict``."""
     if strict:
         return rating_txt.cast("int")
     if reading == "jvm":
@@ -65,7 +66,7 @@ def parse_lines(lines: DataFrame, reading: str = "jvm", strict: bool = False,
         df = df.filter(F.col("_f")[0] != HEADER_RATING)
     rating_txt = F.col("_f")[0]
     return df.select(*keep, rating_txt.alias("rating_txt"),
-                     _rating(rating_txt, reading, strict).alias("rating"),
+                     rating_of(rating_txt, reading, strict).alias("rating"),
                      F.col("_f")[1].alias("document"))
 
 

@@ -283,6 +283,32 @@ def chain_ctes(policy: str, mode: str) -> dict:
     return {"policy": policy, "fit_on": "all", "before": ",".join(parts) + ",", "tokens": tokens}
 
 
+# Words of despaced text: windows of 9 characters (one before, 7 and one after), the runs of 1..7
+# with their neighbours, cohesion over all cuts. chr(10) is the edge of a text.
+FOUND_WORDS = r"""
+WITH ch AS (SELECT doc_id, unnest(c) AS ch, generate_subscripts(c, 1) AS i FROM (
+              SELECT doc_id, string_split(regexp_replace(lower(text), '\s+', '', 'g'), '') AS c
+              FROM documents WHERE regexp_replace(lower(text), '\s+', '', 'g') <> '')),
+win AS (SELECT coalesce(lag(ch) OVER o, chr(10)) || rpad(string_agg(ch, '') OVER (
+                 PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING), 8, chr(10)) AS w
+        FROM ch WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+seen AS (SELECT w, count(*) AS n FROM win GROUP BY w),
+run AS (SELECT substr(w, 2, k) AS word, substr(w, 1, 1) AS l, substr(w, k + 2, 1) AS r, n
+        FROM (SELECT w, n, unnest(range(1, 8)) AS k FROM seen)
+        WHERE position(chr(10) IN substr(w, 2, k)) = 0),
+lefts AS (SELECT word, sum(n)::BIGINT AS n, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS e
+          FROM (SELECT word, l, sum(n)::DOUBLE AS n FROM run GROUP BY 1, 2) GROUP BY word HAVING sum(n) >= 25),
+rights AS (SELECT word, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS e
+           FROM (SELECT word, r, sum(n)::DOUBLE AS n FROM run GROUP BY 1, 2) GROUP BY word HAVING sum(n) >= 25),
+total AS (SELECT sum(n)::DOUBLE AS total FROM lefts WHERE length(word) = 1),
+cut AS (SELECT word, n, unnest(range(1, length(word))) AS k FROM lefts),
+coh AS (SELECT c.word, min(c.n::DOUBLE * (SELECT total FROM total) / (a.n::DOUBLE * b.n)) AS cohesion
+        FROM cut c JOIN lefts a ON a.word = substr(c.word, 1, c.k) JOIN lefts b ON b.word = substr(c.word, c.k + 1)
+        GROUP BY c.word),
+found AS (SELECT word, lefts.n, cohesion, lefts.e AS left_entropy, rights.e AS right_entropy
+          FROM coh JOIN lefts USING (word) JOIN rights USING (word)
+          WHERE cohesion >= 1 AND lefts.e >= 2 AND rights.e >= 2)"""
+
 ORACLE: dict[str, str] = {
     "top_words": TOP_WORDS + "\nSELECT word, n FROM t",
     "words_by_count": TOP_WORDS + "\nSELECT word, n FROM c",
@@ -335,6 +361,17 @@ UNION ALL SELECT doc_id, rating, document FROM pj WHERE rating = 3""",
     "balanced_multi": "WITH " + balanced_ctes("multi") + "\nSELECT doc_id, label, document FROM bal",
     "first_rows": _with(REVIEW_LINES, PARSE_JVM)
     + "\nSELECT doc_id, rating_txt, document FROM pj ORDER BY doc_id LIMIT 100",
+    "rejected_reviews": "WITH " + REVIEW_LINES + r""",
+pf AS (SELECT doc_id, line, string_split(regexp_replace(line, '\t+$', ''), chr(9)) AS f FROM rl),
+pr AS (SELECT doc_id, line, CASE WHEN line IS NULL THEN 'null line' WHEN len(f) <> 2 THEN 'not two fields'
+         WHEN f[1] = 'Rating' THEN 'header' WHEN NOT regexp_full_match(f[1], '[+-]?[0-9]+')
+         OR TRY_CAST(f[1] AS INTEGER) IS NULL THEN 'rating is no number' END AS reason FROM pf)
+SELECT doc_id, reason, line FROM pr WHERE reason IS NOT NULL""",
+    "first_rows_of_files": """
+SELECT CAST(rn - 1 AS BIGINT) AS position, doc_id, n_chars
+FROM (SELECT doc_id, n_chars, row_number() OVER () AS rn FROM documents) WHERE rn <= 100""",
+    "zip_file_order": """
+SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS position, doc_id, length(text) AS size FROM documents""",
     "train_test_split": "WITH " + balanced_ctes("binary_drop4")
     + f"\nSELECT doc_id, label, {SPLIT_EXPR} AS split FROM bal",
     "zip_labels_features": "WITH " + balanced_ctes("binary_drop4") + f"""
@@ -418,6 +455,18 @@ SELECT conv_id, turn, cls AS prediction FROM (
     "segment_search": ",".join([SEGMENT, LONGEST, FOLD, INNER_WORDS]) + """
 SELECT doc_id, idx, 0::INTEGER AS off, word FROM mm
 UNION ALL SELECT doc_id, idx, off, word FROM inside""",
+    "lexicon_from_text": FOUND_WORDS + """
+SELECT word, n, round(cohesion, 6) AS cohesion, round(left_entropy, 6) AS left_entropy,
+       round(right_entropy, 6) AS right_entropy FROM found""",
+    "lexicon_from_text_quality": FOUND_WORDS + f""",
+known AS (SELECT w AS word, count(*) AS n FROM (
+            SELECT unnest(regexp_extract_all(lower(text), '{WORD}', 0)) AS w FROM documents) GROUP BY 1),
+wanted AS (SELECT word FROM known WHERE n >= 25 AND length(word) BETWEEN 2 AND 7),
+sizes AS (SELECT (SELECT count(*) FROM found) AS n_found,
+                 (SELECT count(*) FROM found WHERE word IN (SELECT word FROM known)) AS n_right,
+                 (SELECT count(*) FROM wanted) AS n_wanted,
+                 (SELECT count(*) FROM wanted WHERE word IN (SELECT word FROM found)) AS n_both)
+SELECT *, round(n_right / n_found, 6) AS precision, round(n_both / n_wanted, 6) AS recall FROM sizes""",
     "chain_multi_search_nb": "WITH " + experiment_ctes(**chain_ctes("multi_distinct", "search")) + ACCURACY,
     "chain_binary_max_match_nb": "WITH " + experiment_ctes(**chain_ctes("binary_drop4", "max_match")) + ACCURACY,
     "chain_4neg_full_svm": "WITH " + svm_ctes(**chain_ctes("binary_4neg", "full"))

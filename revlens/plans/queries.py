@@ -23,9 +23,12 @@ from revlens.operators.metrics import (accuracy, rating_histogram, top_words, wo
                                         words_by_count)
 from revlens.operators.sample import first_rows, hash_split, zip_by_key
 from revlens.operators import segment as seg
+from revlens.operators.wordfind import find_words
 from revlens.plans.pipeline import (Scorer, balanced, experiment, fit_naive_bayes, fit_svm, predict_test, scorer,
                                     score_texts, segmented, svm_predict_test, with_distinct_lines)
 from revlens.session import ensure_checkpoint_dir, materialize
+from revlens.sources.checked import checked_lines
+from revlens.sources.position import first_rows_of_files, with_position, zip_by_position
 from revlens.sources.tables import review_csv_rows, review_lines, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +112,25 @@ def q_first_rows(spark, sf_dir):
     return first_rows(r.select("doc_id", "rating_txt", "document"), FIRST_ROWS, "doc_id")
 
 
+def q_rejected_reviews(spark, sf_dir):
+    """The review lines that the checked reading puts aside, with the reason."""
+    lines = checked_lines(review_lines(spark, sf_dir), reading="jvm")
+    return lines.filter(F.col("reason").isNotNull()).select("doc_id", "reason", "line")
+
+
+def q_first_rows_of_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return first_rows_of_files(docs, FIRST_ROWS)
+
+
+def q_zip_file_order(spark, sf_dir):
+    """Ids and text lengths, read apart and zipped by their place in the files."""
+    docs = table(spark, sf_dir, "documents")
+    ids = with_position(docs.select("doc_id"))
+    sizes = with_position(docs.select(F.length("text").cast("long").alias("size")))
+    return zip_by_position(ids, sizes)
+
+
 def q_train_test_split(spark, sf_dir):
     return hash_split(balanced(spark, sf_dir, "binary_drop4")).select("doc_id", "label", "split")
 
@@ -292,6 +314,35 @@ def q_segment_best_path(spark, sf_dir):
     return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "best_path")
 
 
+# An alphabet has few letters, so its words hold together little more than chance has it; the
+# letters beside them decide. (The defaults are for scripts of thousands of characters.)
+FOUND_COHESION, FOUND_ENTROPY = 1.0, 2.0
+
+
+def _found_words(spark, sf_dir):
+    found = find_words(_unsegmented(spark, sf_dir), min_count=LEXICON_MIN_COUNT, min_cohesion=FOUND_COHESION,
+                       min_entropy=FOUND_ENTROPY)
+    return found.select("word", "n", *(_r(c).alias(c) for c in ("cohesion", "left_entropy", "right_entropy")))
+
+
+def q_lexicon_from_text(spark, sf_dir):
+    """Words of the despaced documents, found without their spaces."""
+    return _found_words(spark, sf_dir)
+
+
+def q_lexicon_from_text_quality(spark, sf_dir):
+    """The same words against the spaced documents: the share of them that are words there
+    (precision), and the share of the words seen as often that were found (recall)."""
+    found, known = _found_words(spark, sf_dir).select("word"), word_counts(_doc_words(spark, sf_dir))
+    wanted = (F.col("n") >= LEXICON_MIN_COUNT) & F.length("word").between(seg.MIN_LEN, seg.MAX_LEN)
+    j = found.withColumn("found", F.lit(True)).join(known, "word", "full")
+    is_found, is_word = F.col("found").isNotNull(), F.col("n").isNotNull()
+    a = j.agg(F.count_if(is_found).alias("n_found"), F.count_if(is_found & is_word).alias("n_right"),
+              F.count_if(wanted).alias("n_wanted"), F.count_if(is_found & wanted).alias("n_both"))
+    return a.select("n_found", "n_right", "n_wanted", "n_both", _r(F.try_divide("n_right", "n_found")).alias("precision"),
+                    _r(F.try_divide("n_both", "n_wanted")).alias("recall"))
+
+
 # -- the reference's chains, end to end -----------------------------------------------------
 
 def _chain_accuracy(predictions):
@@ -356,6 +407,9 @@ QUERIES: dict[str, Query] = {
     "balanced_binary_4neg": _balanced_query("binary_4neg"),
     "balanced_multi": _balanced_query("multi"),
     "first_rows": q_first_rows,
+    "first_rows_of_files": q_first_rows_of_files,
+    "zip_file_order": q_zip_file_order,
+    "rejected_reviews": q_rejected_reviews,
     "train_test_split": q_train_test_split,
     "zip_labels_features": q_zip_labels_features,
     "stop_words_removed": q_stop_words_removed,
@@ -383,6 +437,8 @@ QUERIES: dict[str, Query] = {
     "segment_search": q_segment_search,
     "segment_mmseg": q_segment_mmseg,
     "segment_best_path": q_segment_best_path,
+    "lexicon_from_text": q_lexicon_from_text,
+    "lexicon_from_text_quality": q_lexicon_from_text_quality,
     "chain_multi_search_nb": q_chain_multi_search_nb,
     "chain_binary_max_match_nb": q_chain_binary_max_match_nb,
     "chain_4neg_full_svm": q_chain_4neg_full_svm,

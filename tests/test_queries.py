@@ -12,7 +12,9 @@ from conftest import SF_SMALL
 from revlens.plans.queries import QUERIES
 
 TABLES = "documents labels conversations".split()
-NAMES = sorted(QUERIES)
+#: Held against all paths of short texts (test_segment) and against the parity loop (test_models).
+NO_SQL = {"segment_best_path", "linear_svc_predictions"}
+NAMES = sorted(set(QUERIES) - NO_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +39,7 @@ def _rows(cols, recs):
 
 
 def test_every_query_has_oracle_or_is_documented():
-    assert set(QUERIES) <= set(E.oracle_sql())
+    assert set(QUERIES) - set(E.oracle_sql()) == NO_SQL
 
 
 @pytest.mark.parametrize("name", NAMES)
