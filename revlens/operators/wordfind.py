@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.joins import salted_join
-from revlens.session import materialize
+from revlens.session import materialize, spread
 
 MAX_LEN = 7
 MIN_COUNT = 25
@@ -84,8 +84,8 @@ def find_words(texts: DataFrame, text_col: str = "text", max_len: int = MAX_LEN,
     columns are passed over. The total is that of the characters that occur ``min_count`` times or
     more. The counted windows and runs are written once under the shared folder.
     """
-    seen = materialize(windows(texts, text_col, max_len), "windows")
-    counted = materialize(runs(seen, max_len, min_count), "runs")
+    seen = materialize(windows(spread(texts.select(text_col)), text_col, max_len), "windows")
+    counted = materialize(runs(spread(seen), max_len, min_count), "runs")
     return with_cohesion(counted).filter(
         (F.col("cohesion") >= min_cohesion) & (F.col("left_entropy") >= min_entropy)
         & (F.col("right_entropy") >= min_entropy)).select("word", "n", "cohesion", "left_entropy", "right_entropy")
