@@ -166,3 +166,20 @@ def cn_numeral_to_arabic(token: str | Column) -> Column:
     digitwise = F.aggregate(chars, F.lit(0).cast("long"), lambda acc, ch: F.try_add(
         F.try_multiply(acc, big(10)), digit_of(ch)))
     return F.when(is_numeral & has_unit, folded).when(is_numeral, digitwise)
+
+
+def cn_numerals_in_text(text: str | Column) -> Column:
+    """Running text with its Chinese numerals written as Arabic ones (花了三百二十元 -> 花了320元).
+
+    A numeral is a run of two numeral characters or more with a digit in it, or one that begins with
+    十. Single characters stay (一起, 十分), so do units alone (千万) and runs beyond 64 bits.
+    Null stays null.
+    """
+    digits, units = "".join(CN_DIGITS), "".join([*CN_SMALL_UNITS, *CN_LARGE_UNITS])
+    runs = F.regexp_extract_all(_col(text), F.lit(f"[{digits}{units}]+|[^{digits}{units}]+"), 0)
+
+    def read(run: Column) -> Column:
+        numeral = run.rlike(f"^[{digits}{units}]{{2,}}$") & run.rlike(f"[{digits}]|^十")
+        return F.when(numeral, F.coalesce(cn_numeral_to_arabic(run).cast("string"), run)).otherwise(run)
+
+    return F.array_join(F.transform(runs, read), "")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.functions.text import STOP_WORDS, code_points, despace
+from revlens.functions.text import STOP_WORDS, cn_numerals_in_text, code_points, despace
 from revlens.operators.joins import salted_join
 from revlens.operators.metrics import word_counts
 from revlens.session import materialize, ship_package, spread
@@ -57,7 +57,9 @@ class Settings:
 
     ``keep_unknown``: a character that starts no dictionary word is a token of its own (in
     ``full`` mode too, if no dictionary word covers it); without it only characters in
-    ``keep_marks`` are. ``clear_stop_words`` drops the tokens in ``STOP_WORDS``.
+    ``keep_marks`` are. ``clear_stop_words`` drops the tokens in ``STOP_WORDS``. ``numerals`` writes
+    Chinese numerals in the text as Arabic ones first (``cn_numerals_in_text``); positions are then
+    those of the text so written.
     """
 
     max_len: int = MAX_LEN
@@ -65,6 +67,7 @@ class Settings:
     keep_unknown: bool = KEEP_UNKNOWN
     clear_stop_words: bool = CLEAR_STOP_WORDS
     keep_marks: str = KEEP_MARKS
+    numerals: bool = False
 
 
 def lexicon_by_count(docs: DataFrame, min_count: int, words_col: str = "words",
@@ -398,6 +401,8 @@ def _segmented(texts: DataFrame, lexicon: DataFrame, mode: str, key: str, text_c
         raise ValueError(f"unknown mode {mode!r}")
     words, spark = Lexicon(lexicon, s), texts.sparkSession
     ship_package(spark)
+    if s.numerals:
+        texts = texts.withColumn(text_col, cn_numerals_in_text(text_col))
     free = {r["char"]: _log(r["n"]) for r in chars.collect()} if chars is not None else {}
     total = (words.words.agg(F.sum("n")).first()[0] or 0) if mode == "best_path" else 0
     trie = None

@@ -263,6 +263,12 @@ inside AS (SELECT s.doc_id, s.idx, s.off::INTEGER AS off, s.word FROM subs s JOI
 
 UNSPACED_DOCS = r"""
 t AS (SELECT doc_id, regexp_replace(lower(text), '\s+', '', 'g') AS t FROM documents)"""
+NUMERAL_DOCS = r"""
+u AS (SELECT doc_id, regexp_replace(lower(text), '\s+', '', 'g') AS u FROM documents),
+t AS (SELECT doc_id, array_to_string([
+        CASE WHEN regexp_full_match(x, '[0-9]{2,}') AND TRY_CAST(x AS BIGINT) IS NOT NULL
+             THEN CAST(TRY_CAST(x AS BIGINT) AS VARCHAR) ELSE translate(x, '0123456789', '零一二三四五六七八九') END
+        FOR x IN regexp_extract_all(u, '[0-9]+|[^0-9]+', 0)], '') AS t FROM u)"""
 UNSPACED_REVIEWS = r"""
 t AS (SELECT doc_id, regexp_replace(lower(document), '\s+', '', 'g') AS t FROM sp)"""
 
@@ -383,6 +389,14 @@ k AS (SELECT doc_id, t, list_filter(t, lambda w: NOT list_contains({STOP}, w)) A
 SELECT doc_id, len(t)::BIGINT AS n_before, len(kept)::BIGINT AS n_after,
        array_to_string(kept, ' ') AS kept
 FROM k""",
+    "stop_words_by_table": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}', 0) AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+stop AS (SELECT word FROM w GROUP BY word HAVING count(*) = 1 OR count(*) >= 500),
+k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS kept FROM w
+      WHERE word NOT IN (SELECT word FROM stop) GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_before, coalesce(k.n, 0) AS n_after, coalesce(kept, '') AS kept
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "slash_rejoin": f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD_MARK}', 0) AS t FROM documents)
 SELECT doc_id, len(t)::BIGINT AS n_before,
@@ -451,6 +465,8 @@ SELECT conv_id, turn, cls AS prediction FROM (
     "svm_accuracy": "WITH " + svm_ctes() + ACCURACY.replace("FROM pred", "FROM spred"),
     "segment_full": SEGMENT + "\nSELECT doc_id, p::INTEGER AS pos, word FROM hits",
     "segment_max_match": ",".join([SEGMENT, LONGEST, FOLD]) + "\nSELECT doc_id, idx, word FROM mm",
+    "segment_numerals": "WITH " + ",".join([LEX, NUMERAL_DOCS, HITS, LONGEST, FOLD]) + """
+SELECT doc_id, idx, word FROM mm""",
     "segment_mmseg": ",".join([SEGMENT, CHUNKS, FOLD]) + "\nSELECT doc_id, idx, word FROM mm",
     "segment_search": ",".join([SEGMENT, LONGEST, FOLD, INNER_WORDS]) + """
 SELECT doc_id, idx, 0::INTEGER AS off, word FROM mm

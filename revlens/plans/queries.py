@@ -23,6 +23,7 @@ from revlens.operators.metrics import (accuracy, rating_histogram, top_words, wo
                                         words_by_count)
 from revlens.operators.sample import first_rows, hash_split, zip_by_key
 from revlens.operators import segment as seg
+from revlens.operators import stopwords
 from revlens.operators.wordfind import find_words
 from revlens.plans.pipeline import (Scorer, balanced, experiment, fit_naive_bayes, fit_svm, predict_test, scorer,
                                     score_texts, segmented, svm_predict_test, with_distinct_lines)
@@ -152,6 +153,17 @@ def q_stop_words_removed(spark, sf_dir):
                     F.array_join(kept, " ").alias("kept"))
 
 
+COMMON_WORDS = 500  # the stop list of the next query: words seen so often, and words seen once
+
+
+def q_stop_words_by_table(spark, sf_dir):
+    docs = _doc_words(spark, sf_dir)
+    stop = word_counts(docs).filter((F.col("n") == 1) | (F.col("n") >= COMMON_WORDS)).select("word")
+    kept = stopwords.remove_stop_words(docs.withColumn("n_before", F.size("words").cast("long")), stop)
+    return kept.select("doc_id", "n_before", F.size("words").cast("long").alias("n_after"),
+                       F.array_join("words", " ").alias("kept"))
+
+
 def q_tokens_keep_marks(spark, sf_dir):
     """Tokens that hold one of the kept marks, counted per document."""
     d = _doc_words(spark, sf_dir, T.words_keep_marks)
@@ -310,6 +322,15 @@ def q_segment_mmseg(spark, sf_dir):
     return seg.segment(texts, _lexicon(spark, sf_dir), "mmseg", chars=seg.char_counts(texts))
 
 
+CN_DIGITS = "零一二三四五六七八九"
+
+
+def q_segment_numerals(spark, sf_dir):
+    """The documents' numbers written in Chinese, read back as numerals while segmenting."""
+    texts = _unsegmented(spark, sf_dir).withColumn("text", F.translate("text", "0123456789", CN_DIGITS))
+    return seg.segment(texts, _lexicon(spark, sf_dir), "max_match", numerals=True)
+
+
 def q_segment_best_path(spark, sf_dir):
     return seg.segment(_unsegmented(spark, sf_dir), _lexicon(spark, sf_dir), "best_path")
 
@@ -374,9 +395,8 @@ def q_chain_4neg_full_svm(spark, sf_dir):
 
 def q_chinese_numerals(spark, sf_dir):
     """``n_chars`` written as a Chinese numeral (digits, then 万 for four more) and read back."""
-    digits = "零一二三四五六七八九"
-    by_digit = F.translate(F.col("n_chars").cast("string"), "0123456789", digits)
-    hundreds = F.concat(F.translate((F.col("n_chars") % 9 + 1).cast("string"), "0123456789", digits), F.lit("百万"))
+    by_digit = F.translate(F.col("n_chars").cast("string"), "0123456789", CN_DIGITS)
+    hundreds = F.concat(F.translate((F.col("n_chars") % 9 + 1).cast("string"), "0123456789", CN_DIGITS), F.lit("百万"))
     return table(spark, sf_dir, "documents").select(
         "doc_id", by_digit.alias("numeral"), T.cn_numeral_to_arabic(by_digit).alias("value"),
         T.cn_numeral_to_arabic(hundreds).alias("millions"))
@@ -413,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "train_test_split": q_train_test_split,
     "zip_labels_features": q_zip_labels_features,
     "stop_words_removed": q_stop_words_removed,
+    "stop_words_by_table": q_stop_words_by_table,
     "slash_rejoin": q_slash_rejoin,
     "tokens_keep_marks": q_tokens_keep_marks,
     "term_counts": q_term_counts,
@@ -436,6 +457,7 @@ QUERIES: dict[str, Query] = {
     "segment_max_match": q_segment_max_match,
     "segment_search": q_segment_search,
     "segment_mmseg": q_segment_mmseg,
+    "segment_numerals": q_segment_numerals,
     "segment_best_path": q_segment_best_path,
     "lexicon_from_text": q_lexicon_from_text,
     "lexicon_from_text_quality": q_lexicon_from_text_quality,

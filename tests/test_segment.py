@@ -271,3 +271,13 @@ def test_tokenizer_for_the_models(spark):
     assert got == {1: ["好吃", "r2d2"], 2: []}
     parts = segmented("max_match", spark.createDataFrame([("ab12",)], "word string"), latin_parts=True)
     assert parts(spark.createDataFrame([(1, "ab12")], "doc_id long, document string")).first().words == ["ab12", "ab", "12"]
+
+
+def test_numerals_are_read_while_segmenting(spark):
+    texts, lexicon = _frames(spark, ["这个价位三百二十", "一二三好吃的", None], [*LEX, "320"])
+    for mode in ("max_match", "mmseg", "best_path", "search"):
+        rows = seg.segment_lists(texts, lexicon, mode, numerals=True).collect()
+        got = {r.doc_id: r.words for r in rows}
+        assert got[0][:3] == ["这个", "价位", "320"] and got[1][:3] == ["1", "2", "3"] and got[2] == []
+    hits = {(r.doc_id, r.pos, r.word) for r in seg.segment(texts, lexicon, "full", numerals=True).collect()}
+    assert (0, 4, "320") in hits and (1, 3, "好吃的") in hits

@@ -45,3 +45,11 @@ def test_cn_numerals_beyond_64_bits_are_null(spark):
     for token in ("九" * 20, "一亿亿亿", "九千亿亿"):
         assert one(spark, T.cn_numeral_to_arabic, token) is None, token
     assert one(spark, T.cn_numeral_to_arabic, "九" * 18) == int("9" * 18)
+
+
+def test_numerals_in_running_text(spark):
+    rows = {"花了三百二十元": "花了320元", "二零二三年十二月一起去": "2023年12月一起去", "十分好": "十分好", "千万别来": "千万别来",
+            "两千万\n三十": "20000000\n30", "": "", "abc 12": "abc 12", "九" * 30: "九" * 30, "三万零五百六": "30506"}
+    df = spark.createDataFrame([*enumerate(rows), (99, None)], "i int, t string")
+    got = {r.t: r.v for r in df.select("t", T.cn_numerals_in_text("t").alias("v")).collect()}
+    assert got == {**rows, None: None}
