@@ -10,6 +10,8 @@ merge with a sketch that holds hashes, and is no ground for an estimate of conta
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,10 +21,11 @@ from revlens.llm.common import let
 SHINGLE = 5
 #: One in SCALE hashes is kept.
 SCALE = 8
-#: Documents in one bucket of neighbouring ids, and the most buckets (their boundary rows are
-#: broadcast: at most MAX_BUCKETS rows of three numbers).
+#: Documents in one bucket of neighbouring ids, and about the most buckets there are (their boundary
+#: rows, three numbers each, are broadcast); ids sampled for each cut between buckets.
 BUCKET_DOCS = 32
 MAX_BUCKETS = 100_000
+CUT_ROWS = 16
 
 _LOWEST = -(1 << 63)
 
@@ -80,27 +83,68 @@ def as_text(sketched: Column) -> Column:
     return F.array_join(F.transform(sketched, lambda h: F.lower(F.hex(h))), ",")
 
 
-def with_next(docs: DataFrame, carried: list[str], key: str = "doc_id", tie: str = "_tie") -> DataFrame:
-    """``docs`` (key, tie, carried columns) with ``next_<column>`` of the next row in descending
-    ``key`` order (null last, equal keys by ``tie``); the last row's next is the first.
+def _numbers(values: list[int]) -> Column:
+    """A constant array of longs; one string of text is folded far faster than as many literals."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
 
-    Rows are dealt to buckets of neighbouring keys, at most ``MAX_BUCKETS`` of them. The first
-    row of each bucket goes to the bucket before it as well, as its closing row, so each bucket
-    finds its successors alone.
+def neighbours(ids: DataFrame, key: str, tie: str) -> Column:
+    """The bucket of a row of ``ids`` (key: long, tie: hash): rows in order of (key, falling tie),
+    null keys first, cut into runs of some ``BUCKET_DOCS`` rows, at most about ``MAX_BUCKETS``.
+
+    The cuts are quantiles of a sample of the keys, so far-off keys crowd nothing; a key that holds
+    several quantiles, or null, is cut at even steps of the tie. Cuts decide where rows meet, not
+    what is found.
     """
-    ids = docs.select(key)
-    size, low, high = ids.agg(F.count("*"), F.min(key), F.max(key)).first()
-    low, high = low or 0, high or 0
+    size, known = ids.agg(F.count("*"), F.count(key)).first()
     buckets = max(1, min(MAX_BUCKETS, size // BUCKET_DOCS))
-    width = max(1, -(-(high - low + 1) // buckets))
-    bucket = F.coalesce(F.floor((F.col(key) - low) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
+    share = min(1.0, CUT_ROWS * buckets / max(size, 1))
+    cuts = ids.where(F.col(key).isNotNull()).sample(share, seed=3).agg(
+        F.filter(F.sort_array(F.collect_list(key)), lambda _, i: i % CUT_ROWS == CUT_ROWS - 1)).first()[0]
+    runs = {_LOWEST: 1}  # first key of a run of keys, and the buckets it is cut into
+    for cut in cuts:
+        runs[cut] = runs.get(cut, 0) + 1
+    for cut, parts in list(runs.items()):
+        if parts > 1 and cut < -_LOWEST - 1:
+            runs.setdefault(cut + 1, 1)  # the keys after a hot one
+    firsts = sorted(runs)
+    nulls = max(1, (size - known) * buckets // max(size, 1))
+    begins = [0, *accumulate([nulls, *(runs[k] for k in firsts)])]  # the null keys' run comes before all
+    table, offsets = _numbers(firsts), _numbers(begins)
+
+    def halve(at: Column, step: Column) -> Column:
+        return F.when(F.get(table, (at + step).cast("int")) <= F.col(key), at + step).otherwise(at)
+
+    steps = _numbers([1 << k for k in reversed(range(len(firsts).bit_length()))])
+    run = F.when(F.col(key).isNull(), F.lit(0).cast("long")).otherwise(
+        F.aggregate(steps, F.lit(0).cast("long"), halve) + 1)
+
+    def place(at: Column) -> Column:
+        begin, end = F.get(offsets, at.cast("int")), F.get(offsets, (at + 1).cast("int"))
+        top = F.shiftrightunsigned(F.col(tie).bitwiseXOR(F.lit(-1 - _LOWEST)), 33)  # the larger the smaller the tie
+        return begin + F.shiftright(top * (end - begin), 31)
+
+    return let(run, place)
+
+
+def with_next(docs: DataFrame, carried: list[str], key: str = "doc_id", tie: str = "_tie") -> DataFrame:
+    """``docs`` (key: long, tie: hash, carried columns) with ``next_<column>`` of the next row in
+    descending ``key`` order (null last, equal keys by ``tie``); the last row's next is the first.
+
+    Rows are dealt to buckets of neighbours. The first row of each bucket goes to the bucket before
+    it as well, as its closing row, so each bucket finds its successors alone. Rows equal in key and
+    tie stay together.
+    """
+    ids = docs.select(key, tie)
+    bucket = neighbours(ids, key, tie)
     # the first row of each bucket, and the next higher bucket that has rows (the lowest bucket for the highest)
-    heads = ids.groupBy(bucket.alias("bucket")).agg(F.max(key).alias("head")).collect()
-    order = sorted((r["bucket"], r["head"]) for r in heads)
-    above = [(order[(i + 1) % len(order)][0], head) for i, (_, head) in enumerate(order)]
-    edges = docs.sparkSession.createDataFrame(above, "also long, head long")
+    first = F.max(F.struct(F.col(key), F.bitwise_not(tie).alias("tie")))
+    heads = ids.groupBy(bucket.alias("bucket")).agg(first.alias("head")).collect()
+    order = sorted((r["bucket"], r["head"][0], ~r["head"]["tie"]) for r in heads)
+    above = [(order[(i + 1) % len(order)][0], *head) for i, (_, *head) in enumerate(order)]
+    edges = docs.sparkSession.createDataFrame(above, "also long, head long, head_tie long")
     rows = docs.withColumn("_bucket", bucket).join(
-        F.broadcast(edges), F.col(key).eqNullSafe(F.col("head")), "left").drop("head")
+        F.broadcast(edges), F.col(key).eqNullSafe(F.col("head")) & (F.col(tie) == F.col("head_tie")), "left")
     places = F.array_compact(F.array(
         F.struct(F.col("_bucket").alias("bucket"), F.lit(False).alias("closing")),
         F.when(F.col("also").isNotNull(), F.struct(F.col("also").alias("bucket"), F.lit(True).alias("closing")))))

@@ -335,6 +335,27 @@ def test_fingerprint_plan_has_no_python(spark, docs):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+@pytest.mark.parametrize("buckets", [1, 100_000])
+def test_next_rows_of_crowded_and_far_ids(spark, monkeypatch, buckets):
+    """Null ids, one id in a third of the rows, far ids and repeated rows: the order is a plain
+    sort's, and no bucket holds more than a few times its share."""
+    monkeypatch.setattr(fingerprints, "MAX_BUCKETS", buckets)
+    draw = random.Random(11)
+    ids = [None] * 700 + [5] * 700 + [draw.randrange(2000) for _ in range(600)] + [-(1 << 63), (1 << 63) - 1, (1 << 63) - 1]
+    rows = [(k, draw.getrandbits(64) - (1 << 63)) for k in ids]
+    rows += [(7, 7), (7, 7), (7, 7)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, _tie long, row int").repartition(5)
+    got = fingerprints.with_next(df.withColumns({"id": F.col("doc_id"), "hash": F.col("_tie")}), ["row", "id", "hash"]).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = Counter(zip(order, order[1:] + order[:1]))
+    assert Counter(((r.id, r.hash), (r.next_id, r.next_hash)) for r in got) == want
+    assert sorted(r.row for r in got) == sorted(r.next_row for r in got) == list(range(len(rows)))
+    if buckets > 1:
+        bucket = fingerprints.neighbours(df, "doc_id", "_tie")
+        sizes = [r["count"] for r in df.groupBy(bucket.alias("b")).count().collect()]
+        assert len(sizes) > len(rows) // fingerprints.BUCKET_DOCS // 2 and max(sizes) < 5 * fingerprints.BUCKET_DOCS
+
+
 # -- 4 token counts -----------------------------------------------------------------------
 
 def brute_tokens(scores, word):
