@@ -254,6 +254,34 @@ cover AS (SELECT ch.doc_id, ch.p, coalesce(k.word, ch.c) AS word, k.l,
 mm AS (SELECT doc_id, word, (row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1)::INTEGER AS idx
        FROM cover WHERE l IS NOT NULL OR coalesce(reach, 0) <= p)"""
 
+# no word reaches over a place where a stretch begins, so each stretch has a best path of its own;
+# ``v`` holds the values of the places after the current one, ``got`` the sizes chosen from the right
+PATHS = """
+lexn AS (SELECT word, count(*) AS n FROM lw SEMI JOIN lex ON lex.word = lw.word GROUP BY word),
+one AS (SELECT -floor(1000000 * ln(sum(n)))::BIGINT AS w FROM lexn),
+reach AS (SELECT DISTINCT doc_id, p, coalesce(max(p + l) OVER (
+            PARTITION BY doc_id ORDER BY p RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= p AS opens FROM hits),
+stretch AS (SELECT doc_id, p, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY p) AS s FROM reach),
+ways AS (SELECT h.doc_id, h.p, max(h.l) AS far,
+                list({'k': h.l, 'w': (SELECT w FROM one) + floor(1000000 * ln(n.n))::BIGINT}) AS o
+         FROM hits h JOIN lexn n ON n.word = h.word GROUP BY h.doc_id, h.p),
+ends AS (SELECT s.doc_id, s.s, min(s.p) AS lo, max(w.p + w.far) AS hi
+         FROM stretch s JOIN ways w ON w.doc_id = s.doc_id AND w.p = s.p GROUP BY s.doc_id, s.s),
+spots AS (SELECT e.doc_id, e.s, e.hi, x.p, coalesce(w.o, []) AS o
+          FROM (SELECT *, unnest(range(lo, hi)) AS p FROM ends) x JOIN ends e ON e.doc_id = x.doc_id AND e.s = x.s
+          LEFT JOIN ways w ON w.doc_id = x.doc_id AND w.p = x.p),
+path AS (SELECT doc_id, hi, list_reduce(
+           list_prepend({'c': 0::BIGINT, 'o': []::STRUCT(k BIGINT, w BIGINT)[], 'v': [0]::BIGINT[], 'got': []::BIGINT[]},
+                        list({'c': one.w, 'o': o, 'v': []::BIGINT[], 'got': []::BIGINT[]} ORDER BY p DESC)),
+           lambda a, x: {'c': x.c, 'o': []::STRUCT(k BIGINT, w BIGINT)[],
+             'v': list_prepend(list_max(list_append([b.w + a.v[b.k] FOR b IN x.o], x.c + a.v[1])), a.v[1:6]),
+             'got': list_append(a.got, list_max(list_append([{'h': b.w + a.v[b.k], 'k': b.k} FOR b IN x.o],
+                                                            {'h': x.c + a.v[1], 'k': 1::BIGINT})).k)}).got AS got
+         FROM spots CROSS JOIN one GROUP BY doc_id, hi, s),
+best AS (SELECT h.doc_id, h.p, h.l, h.word
+         FROM (SELECT doc_id, hi - i AS p, got[i] AS l FROM (SELECT *, unnest(range(1, len(got) + 1)) AS i FROM path)) k
+         JOIN hits h ON h.doc_id = k.doc_id AND h.p = k.p AND h.l = k.l)"""
+
 INNER_WORDS = """
 subs AS (SELECT m.doc_id, m.idx, o.o AS off, substr(m.word, o.o + 1, k.k) AS word
          FROM mm m CROSS JOIN (SELECT unnest(range(0, 7)) AS o) o
@@ -463,6 +491,7 @@ SELECT conv_id, turn, cls AS prediction FROM (
     "svm_weights": "WITH " + svm_ctes() + "\nSELECT term, round(w::DOUBLE, 6) AS w FROM wf",
     "svm_predict": "WITH " + svm_ctes() + "\nSELECT doc_id, label, prediction::INTEGER AS prediction FROM spred",
     "svm_accuracy": "WITH " + svm_ctes() + ACCURACY.replace("FROM pred", "FROM spred"),
+    "segment_best_path": ",".join([SEGMENT, PATHS, FOLD]) + "\nSELECT doc_id, idx, word FROM mm",
     "segment_full": SEGMENT + "\nSELECT doc_id, p::INTEGER AS pos, word FROM hits",
     "segment_max_match": ",".join([SEGMENT, LONGEST, FOLD]) + "\nSELECT doc_id, idx, word FROM mm",
     "segment_numerals": "WITH " + ",".join([LEX, NUMERAL_DOCS, HITS, LONGEST, FOLD]) + """
