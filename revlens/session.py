@@ -7,9 +7,11 @@ the bench and local runs, and finds the shared checkpoint folder.
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,20 +89,92 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+class Run:
+    """Owner of the tables that ``materialize`` writes while it is open, one folder for each step:
+
+        with Run(spark, "train-2024-05"):
+            experiment(...).write.parquet(...)
+
+    Consume lazy results before the run closes: at its end the tables are dropped. A run without a
+    name drops them when it fails, too. One with a name keeps them when it fails or its driver
+    dies, and the next run of that name, in this application or another, takes up the steps that
+    were finished and goes on with the first that was not; from there on every step is written anew.
+    Steps are told apart by their order, name and columns, so a name stands for one piece of work on
+    one state of its inputs: give changed inputs another name. Two runs of one name must not be
+    open at the same time.
+    """
+
+    def __init__(self, spark: SparkSession, name: str | None = None):
+        if name is not None and not re.fullmatch(r"[\w.-]+", name):
+            raise ValueError(f"a run's name has letters, digits, '_', '.' and '-' only: {name!r}")
+        # the context's own folder carries the application in its name; runs lie beside it
+        shared = ensure_checkpoint_dir(spark).rstrip("/").rpartition("/")[0]
+        self.spark, self.named = spark, name is not None
+        self.folder = f"{shared}/revlens-run-{name or uuid.uuid4().hex}"
+        self._step, self._taking_up = 0, self.named
+
+    def __enter__(self) -> Run:
+        self._outer = _OPEN.set(self)
+        return self
+
+    def __exit__(self, failure, *_) -> None:
+        _OPEN.reset(self._outer)
+        if failure is None or not self.named:
+            self.drop()
+
+    def drop(self) -> None:
+        """Delete the run's tables."""
+        _delete(self.spark, self.folder)
+
+    def manifest(self) -> list[tuple[str, str, bool]]:
+        """(step, path, whether it was written to its end) of every table there is, in order."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        steps = sorted(s.getPath().getName() for s in files.listStatus(path))
+        return [(s, f"{self.folder}/{s}", self._complete(f"{self.folder}/{s}")) for s in steps]
+
+    def _complete(self, path: str) -> bool:
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(mark)
+
+    def _written(self, df: DataFrame, name: str) -> str:
+        """The path of the next step's table, written now if no earlier run has finished it."""
+        path = f"{self.folder}/{self._step:05d}-{name}"
+        self._step += 1
+        self._taking_up = self._taking_up and self._complete(path) and (
+            df.sparkSession.read.parquet(path).schema.simpleString() == df.schema.simpleString())
+        if not self._taking_up:
+            df.write.mode("overwrite").parquet(path)
+        return path
+
+
+_OPEN: ContextVar[Run | None] = ContextVar("revlens_run", default=None)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     A written table instead of an RDD checkpoint: readable by any later session, the lineage
     is cut, and the files survive lost executors. The folder is the one
-    ``spark.checkpoint.dir`` names.
+    ``spark.checkpoint.dir`` names. Inside a ``Run`` the table is the run's; else it stays until
+    ``drop_table`` or whoever clears that folder.
     """
-    spark = df.sparkSession
+    spark, run = df.sparkSession, _OPEN.get()
+    if run is not None:
+        return spark.read.schema(df.schema).parquet(run._written(df, name))
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/revlens-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _folders(df: DataFrame) -> set[str]:
     return {f.rpartition("/")[0] for f in df.inputFiles()}
 
@@ -111,9 +185,11 @@ def reopen(df: DataFrame, spark: SparkSession) -> DataFrame:
 
 
 def drop_table(df: DataFrame) -> None:
-    """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
-    spark = df.sparkSession
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more. A named run keeps
+    it to its end: a rerun may need it."""
+    run = _OPEN.get()
+    if run is not None and run.named:
+        return
     for folder in _folders(df):
         if "/revlens-" in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(df.sparkSession, folder)
