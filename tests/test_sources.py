@@ -49,3 +49,10 @@ def test_gbk_lines_survive_file_splits(spark, tmp_dir):
         assert sorted(r.value for r in lines.collect()) == sorted(rows)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_preview_is_a_plan_of_the_first_rows(spark):
+    from revlens.sources.text import preview
+    few = preview(spark.range(0, 100, 1, 7))
+    assert few.count() == 3 and {r.id for r in few.collect()} <= set(range(100))
+    assert preview(spark.range(2), 5).count() == 2 and preview(spark.range(5), 0).collect() == []
