@@ -281,3 +281,17 @@ def test_numerals_are_read_while_segmenting(spark):
         assert got[0][:3] == ["这个", "价位", "320"] and got[1][:3] == ["1", "2", "3"] and got[2] == []
     hits = {(r.doc_id, r.pos, r.word) for r in seg.segment(texts, lexicon, "full", numerals=True).collect()}
     assert (0, 4, "320") in hits and (1, 3, "好吃的") in hits
+
+
+def test_the_walk_looks_steps_up_and_searches_large_tries(monkeypatch):
+    import numpy as np
+    from revlens.operators import segment as seg
+    words, text = ["ab", "abc", "b", "😀c", "caé"], "abcaéz😀cabc"
+    chars, ends = np.frombuffer(text.encode("utf-32-le"), np.uint32), np.full(len(text), len(text))
+    want = sorted((i, len(w), w) for i in range(len(text)) for w in words if text.startswith(w, i))
+    for cells in (seg.TABLE_STEPS, 0):
+        monkeypatch.setattr(seg, "TABLE_STEPS", cells)
+        trie = seg.Trie(words, np.ones(len(words), np.int64))
+        assert (trie.table is None) == (cells == 0)
+        place, size, word = trie.find(chars, ends)
+        assert [(p, k, trie.words[w].as_py()) for p, k, w in zip(place.tolist(), size.tolist(), word.tolist())] == want
