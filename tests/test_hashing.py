@@ -53,3 +53,24 @@ def test_g3_through_idf_and_tfidf(spark):
     x = tfidf(counts, idf(counts, everyone), MURMUR, fit_docs=everyone)
     got = {r.term: r.tfidf for r in x.filter("doc_id = 1").collect()}
     assert got.keys() == G3_TFIDF.keys() and all(abs(got[b] - v) < 1e-12 for b, v in G3_TFIDF.items())
+
+
+def test_terms_are_counted_by_number_in_any_steps(spark, monkeypatch):
+    from collections import Counter
+    from hashlib import md5
+
+    from pyspark.sql import Row
+
+    from revlens.operators import features as feat
+    lists = {1: ["b", "a", "b", None, "é"], 2: [], 3: None, 4: ["a"] * 9 + ["😀"], 5: ["x", "b"]}
+    docs = spark.createDataFrame([Row(doc_id=k, label=k % 2, words=w) for k, w in [*lists.items(), (5, ["x"])]],
+                                 "doc_id long, label int, words array<string>")
+    for hashing, term in ((feat.EXACT, lambda w: w), (feat.MD5_16, lambda w: int(md5(w.encode()).hexdigest()[:4], 16))):
+        want = Counter()
+        for key, words in [*lists.items(), (5, ["x"])]:
+            want.update([(key, key % 2, t, n) for t, n in Counter(term(w) for w in words or [] if w is not None).items()])
+        for words in (1_000_000, 3):
+            monkeypatch.setattr(feat, "STEP_WORDS", words)
+            got = feat.term_counts(docs, hashing=hashing, carry=["label"])
+            assert Counter(map(tuple, got.collect())) == want
+            assert "transform(" not in got._jdf.queryExecution().executedPlan().toString()  # no md5 a word
