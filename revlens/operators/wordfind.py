@@ -8,9 +8,9 @@ characters stand before and after it (neighbour entropy):
 * ``left_entropy``, ``right_entropy``: of the characters next to it, in nats, the edge of a text
   being one more character.
 
-A text is cut into windows of one character before and ``max_len`` + 1 after each place; equal
-windows are counted first (combined before they are shuffled), and runs with their neighbours
-are spread from distinct windows, so frequent passages cost once, not once an occurrence.
+A text is cut into windows at each place; equal windows are counted first (combined before they are
+shuffled). Runs of each size are counted from the distinct runs of one character more, never from
+the places, so frequent passages cost once, not once an occurrence.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.joins import salted_join
-from revlens.session import materialize, spread
+from revlens.session import drop_table, materialize, spread
 
 MAX_LEN = 7
 MIN_COUNT = 25
@@ -38,26 +38,55 @@ def windows(texts: DataFrame, text_col: str = "text", max_len: int = MAX_LEN) ->
             .groupBy("window").agg(F.count("*").alias("n")))
 
 
-def runs(seen: DataFrame, max_len: int = MAX_LEN, min_count: int = MIN_COUNT) -> DataFrame:
-    """``(word, n, left_entropy, right_entropy)`` of the runs that occur ``min_count`` times or more,
-    from ``windows``. Characters next to a run are counted before they meet by run, so a run
-    anywhere has at most one row for each character and side in the second shuffle."""
-    spread = seen.select("window", "n", F.explode(F.sequence(F.lit(1), F.lit(max_len))).alias("_k"))
-    spread = spread.select(F.expr("substring(window, 2, _k)").alias("word"), "n", F.explode(F.array(
-        F.struct(F.lit(True).alias("before"), F.substring("window", 1, 1).alias("near")),
-        F.struct(F.lit(False).alias("before"), F.expr("substring(window, _k + 2, 1)").alias("near")))).alias("_s"))
-    spread = spread.filter(~F.contains("word", F.lit(EDGE)))
-    sides = spread.groupBy("word", "_s.before", "_s.near").agg(F.sum("n").alias("n"))
+def _ends(seen: DataFrame, size: int) -> DataFrame:
+    """``(window, n)`` that begin at the last character of a text, where ``windows`` has none."""
+    last = seen.filter(F.substring("window", 3, 1) == EDGE)
+    return last.select(F.rpad(F.substring("window", 2, 1), size, EDGE).alias("window"), "n").groupBy(
+        "window").agg(F.sum("n").alias("n"))
+
+
+def _cut(seen: DataFrame, size: int) -> DataFrame:
+    return seen.groupBy(F.substring("window", 1, size).alias("window")).agg(F.sum("n").alias("n"))
+
+
+def _levels(top: DataFrame, max_len: int) -> list[DataFrame]:
+    """Written tables ``(gram, n, weight)`` for grams of ``max_len`` + 1 down to one character from
+    counted grams of the first size: a gram's count and, from the second size on, the sum of n * ln(n)
+    over the characters after it. Each table is made from the distinct grams of the one before."""
     weight = F.col("n") * F.log(F.col("n").cast("double"))
-    counted = sides.groupBy("word").agg(
-        F.sum(F.when(F.col("before"), F.col("n"))).alias("n"),
-        F.sum(F.when(F.col("before"), weight)).alias("_left"), F.sum(F.when(~F.col("before"), weight)).alias("_right"))
+    tables = [materialize(top.select(F.col("window").alias("gram"), "n", F.lit(0.0).alias("weight")), "grams")]
+    for size in range(max_len, 0, -1):
+        shorter = tables[-1].groupBy(F.substring("gram", 1, size).alias("gram"))
+        tables.append(materialize(shorter.agg(F.sum("n").alias("n"), F.sum(weight).alias("weight")), "grams"))
+    return tables
+
+
+def _runs(tables: list[DataFrame], min_count: int) -> DataFrame:
+    """``runs`` from the levels: characters after a run are summed up in its own row, those before it
+    are the rows of the next level that end with it."""
+    weight = F.col("n") * F.log(F.col("n").cast("double"))
+    sides = [t.filter(~F.contains("gram", F.lit(EDGE)) & (F.col("n") >= min_count)).select(
+        F.col("gram").alias("word"), F.lit(0.0).alias("_left"), F.col("weight").alias("_right"), "n") for t in tables[1:]]
+    for longer in tables[:-1]:
+        word = F.substring("gram", 2, 1 << 20)
+        sides.append(longer.select(word.alias("word"), weight.alias("_left"), F.lit(0.0).alias("_right"),
+                                   F.lit(0).cast("long").alias("n")).filter(~F.contains("word", F.lit(EDGE))))
+    every = sides[0]
+    for side in sides[1:]:
+        every = every.unionByName(side)
+    counted = every.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("n", "_left", "_right")))
     size = F.col("n").cast("double")
-    return counted.filter(F.col("n") >= min_count).select(
+    return counted.filter((F.col("n") >= min_count) & (F.col("n") > 0)).select(
         "word", "n", (F.log(size) - F.col("_left") / size).alias("left_entropy"),
         (F.log(size) - F.col("_right") / size).alias("right_entropy"))
 
 
+def runs(seen: DataFrame, max_len: int = MAX_LEN, min_count: int = MIN_COUNT) -> DataFrame:
+    """``(word, n, left_entropy, right_entropy)`` of the runs that occur ``min_count`` times or more,
+    from ``windows``."""
+    return _runs(_levels(_cut(seen.unionByName(_ends(seen, max_len + 2)), max_len + 1), max_len), min_count)
+
+
 def with_cohesion(counted: DataFrame) -> DataFrame:
     """The runs of two characters or more with their ``cohesion``. Parts of a run occur at least as
     often as the run, so all of them are rows of ``counted`` too."""
@@ -84,8 +113,14 @@ def find_words(texts: DataFrame, text_col: str = "text", max_len: int = MAX_LEN,
     columns are passed over. The total is that of the characters that occur ``min_count`` times or
     more. The counted windows and runs are written once under the shared folder.
     """
-    seen = materialize(windows(spread(texts.select(text_col)), text_col, max_len), "windows")
-    counted = materialize(runs(spread(seen), max_len, min_count), "runs")
+    # a run and one character beside it: max_len + 1 characters are enough
+    size = max(max_len, 2) + 1
+    seen = materialize(windows(spread(texts.select(text_col)), text_col, size - 2), "windows")
+    every = seen.unionByName(_ends(seen, size))
+    tables = _levels(every if size == max_len + 1 else _cut(every, max_len + 1), max_len)
+    counted = materialize(_runs(tables, min_count), "runs")
+    for table in (seen, *tables):
+        drop_table(table)
     return with_cohesion(counted).filter(
         (F.col("cohesion") >= min_cohesion) & (F.col("left_entropy") >= min_entropy)
         & (F.col("right_entropy") >= min_entropy)).select("word", "n", "cohesion", "left_entropy", "right_entropy")

@@ -60,3 +60,14 @@ def test_edges_and_empty_tables(spark):
     assert {(r.window, r.n) for r in seen.collect()} == {("\nab\n", 2), ("ab\n\n", 2)}
     rows = {r.word: (r.n, r.left_entropy) for r in runs(seen, 2, 1).collect()}
     assert rows == {"a": (2, 0.0), "b": (2, 0.0), "ab": (2, 0.0)}
+
+
+def test_runs_are_counted_from_distinct_runs_one_longer(spark):
+    """No row for each size and side of a window; every size of words equals a plain count."""
+    texts = ["好吃价位", "好吃好吃", "的好吃", "a", "ab", "b", ""] * 3
+    for max_len in (1, 2, 5):
+        limits = dict(max_len=max_len, min_count=2, min_cohesion=0.0, min_entropy=0.0)
+        assert _found(spark, texts, limits) == _brute(texts, **limits)
+    seen = windows(spark.createDataFrame([(t,) for t in texts], "text string"), max_len=3)
+    plan = runs(seen, 3, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
