@@ -55,38 +55,39 @@ class TokenTrie:
         self.tokens = [0]
         self.terminals: dict[str, int] = {}
 
-    def _step(self, text: str, i: int, best, tokens) -> tuple[float, int]:
-        """Best score and its tokens for text[:i], from those of the shorter prefixes."""
+    def _step(self, text: str, i: int, best: list[float], tokens: list[int]) -> tuple[float, int]:
+        """Best score and its tokens for text[:i], from those of the shorter prefixes by their sizes."""
         size = len(text[i - 1].encode())
-        top, least = best(i - 1) + size * BYTE_SCORE, tokens(i - 1) + size
+        top, least = best[i - 1] + size * BYTE_SCORE, tokens[i - 1] + size
         get = self.scores.get
         for at in range(max(0, i - self.longest), i):
             score = get(text[at:i])
             if score is not None:
-                score += best(at)
-                n = tokens(at) + 1
+                score += best[at]
+                n = tokens[at] + 1
                 if score > top or score == top and n < least:
                     top, least = score, n
         return top, least
 
     def _grow(self, text: str) -> int:
         edges, best, tokens = self.edges, self.best, self.tokens
-        node, path = 0, [0]
+        node, scores, counts = 0, [0.0], [0]  # of the prefixes on the path
         for i, char in enumerate(text, 1):
             child = edges.get((node, char))
             if child is None:
-                score, n = self._step(text, i, lambda k: best[path[k]], lambda k: tokens[path[k]])
+                score, n = self._step(text, i, scores, counts)
                 child = edges[node, char] = len(best)
                 best.append(score)
                 tokens.append(n)
             node = child
-            path.append(node)
+            scores.append(best[node])
+            counts.append(tokens[node])
         return tokens[node]
 
     def _alone(self, text: str) -> int:
         best, tokens = [0.0], [0]
         for i in range(1, len(text) + 1):
-            score, n = self._step(text, i, best.__getitem__, tokens.__getitem__)
+            score, n = self._step(text, i, best, tokens)
             best.append(score)
             tokens.append(n)
         return tokens[-1]

@@ -717,3 +717,11 @@ def test_byte_bpe_equals_library(edge_docs, empty_docs, docs, texts):
 def test_every_operator_has_a_query():
     assert {q.split("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(ORACLE) <= set(QUERIES)
+
+
+def test_trie_steps_read_the_scores_of_the_path_from_lists():
+    from revlens.llm.token_trie import TokenTrie
+    trie = TokenTrie({"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -3.0, "▁ab": -4.0, "ba": -3.5})
+    assert trie._step("▁ab", 3, [0.0, -3.0, -5.0], [0, 1, 2]) == (-4.0, 1)
+    words = ["ab", "abab", "baab", "abé", "b", "abab"]
+    assert [trie.count(w) for w in words] == [trie._alone("▁" + w) for w in words]
