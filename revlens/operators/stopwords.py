@@ -1,8 +1,10 @@
 """Stop words from a table of any size.
 
 A list of at most ``BROADCAST_WORDS`` words and ``BROADCAST_BYTES`` bytes is sent to every task, which
-drops its words from the lists of a batch at once: no row is shuffled. A larger list meets the words in
-a join, salted by how often a word occurs, and the words that are left are put back in their order.
+drops its words from the lists of some rows at once: no row is shuffled. A task looks up the rows' words
+in the list the other way round, so that beside the list it holds only tables of ``SLICE_WORDS`` words.
+A larger list meets the words in a join, salted by how often a word occurs, and the words that are left
+are put back in their order.
 """
 
 from __future__ import annotations
@@ -20,27 +22,46 @@ from revlens.session import materialize, ship_package
 
 BROADCAST_WORDS = 2_000_000
 BROADCAST_BYTES = 64_000_000
+#: Words of the rows that a task handles at once (a longer row is handled by itself).
+SLICE_WORDS = 500_000
 
 
 def drop_listed(lists: pa.ListArray, listed: pa.Array) -> pa.ListArray:
     """The lists without null words and words in ``listed``; null lists stay null."""
     values, parents = lists.flatten(), lists.value_parent_indices().to_numpy()
-    keep = pc.and_not(pc.is_valid(values), pc.is_in(values, value_set=listed))
+    # is_in builds a table of its value_set: of the words at hand, never of the whole list
+    present = listed.filter(pc.is_in(listed, value_set=values.unique()))
+    keep = pc.and_not(pc.is_valid(values), pc.is_in(values, value_set=present))
     left = np.bincount(parents[keep.to_numpy(zero_copy_only=False)], minlength=len(lists))
     ends = pa.array(np.concatenate([[0], np.cumsum(left)]), pa.int32())
     return pa.ListArray.from_arrays(ends, values.filter(keep), mask=lists.is_null())
 
 
+def _slices(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows that hold at most ``SLICE_WORDS`` words, or in single rows."""
+    ends, at = batch.column(place).offsets.to_numpy()[1:], 0
+    while at < len(batch):
+        begin = int(ends[at - 1]) if at else int(batch.column(place).offsets[0].as_py())
+        to = max(at + 1, int(np.searchsorted(ends, begin + SLICE_WORDS, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _dropped(batches: Iterator[pa.RecordBatch], place: int, listed: pa.Array) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in _slices(batch, place):
+            columns = list(part.columns)
+            columns[place] = drop_listed(columns[place], listed)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+
 def _sent(docs: DataFrame, words: pa.Array, words_col: str) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     listed, place = spark.sparkContext.broadcast(words), docs.columns.index(words_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = list(batch.columns)
-            columns[place] = drop_listed(columns[place], listed.value)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+        return _dropped(batches, place, listed.value)
 
     return docs.mapInArrow(run, docs.schema)
 
