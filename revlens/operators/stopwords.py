@@ -3,8 +3,8 @@
 A list of at most ``BROADCAST_WORDS`` words and ``BROADCAST_BYTES`` bytes is sent to every task, which
 drops its words from the lists of some rows at once: no row is shuffled. A task looks up the rows' words
 in the list the other way round, so that beside the list it holds only tables of ``SLICE_WORDS`` words.
-A larger list meets the words in a join, salted by how often a word occurs, and the words that are left
-are put back in their order.
+A larger list meets, in a join, the different words of every block of rows; a task then drops from a
+block's rows the words found for it. The rows are shuffled once, their words never one by one.
 """
 
 from __future__ import annotations
@@ -17,11 +17,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.operators.joins import salted_join
 from revlens.session import materialize, ship_package
 
 BROADCAST_WORDS = 2_000_000
 BROADCAST_BYTES = 64_000_000
+#: Rows of a block (its power of two) whose different words meet a larger list together.
+BLOCK_ROWS_LOG2 = 10
 #: Words of the rows that a task handles at once (a longer row is handled by itself).
 SLICE_WORDS = 500_000
 
@@ -67,15 +68,19 @@ def _sent(docs: DataFrame, words: pa.Array, words_col: str) -> DataFrame:
 
 
 def _joined(docs: DataFrame, stop: DataFrame, words_col: str) -> DataFrame:
-    rows = materialize(docs.select("*", F.monotonically_increasing_id().alias("_row")), "numbered")
-    words = rows.select("_row", F.posexplode(words_col).alias("_at", "_word")).filter(F.col("_word").isNotNull())
-    often = words.groupBy("_word").agg(F.count("*").alias("_n"))
-    listed = stop.select(F.col("word").alias("_word"), F.lit(True).alias("_listed"))
-    left = salted_join(words, listed, "_word", often, "_n", "left").filter(F.col("_listed").isNull())
-    lists = left.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "_word"))).alias("_kept"))
-    kept = F.when(F.col(words_col).isNotNull(), F.coalesce(F.col("_kept._word"), F.array().cast("array<string>")))
-    return rows.join(lists, "_row", "left").select(
-        *(kept.alias(c) if c == words_col else F.col(c) for c in docs.columns))
+    ship_package(docs.sparkSession)
+    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_ROWS_LOG2).alias("_block")
+    rows = materialize(docs.select("*", block), "numbered")
+    words = rows.select(F.col("_block").alias("_found_in"), F.explode(words_col).alias("word")).distinct()
+    found = words.join(stop, "word", "left_semi")
+    names, place = docs.columns, docs.columns.index(words_col)
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        listed = found.column("word").combine_chunks().cast(pa.string())
+        batches = rows.select(names).to_batches()
+        return pa.Table.from_batches(list(_dropped(iter(batches), place, listed)))
+
+    return rows.groupBy("_block").cogroup(found.groupBy("_found_in")).applyInArrow(run, docs.schema)
 
 
 def remove_stop_words(docs: DataFrame, stop: DataFrame, words_col: str = "words",

@@ -76,3 +76,13 @@ def test_slices_keep_rows_nulls_and_order(monkeypatch):
         assert [k for p in parts for k in p.column(0).to_pylist()] == list(range(begin, 9))
         assert [x for p in parts for x in p.column(1).to_pylist()] == want[begin:]
         assert all(len(p) == 1 or sum(map(len, filter(None, p.column(1).to_pylist()))) <= 3 for p in parts)
+
+
+def test_larger_lists_meet_the_different_words_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(stopwords, "BLOCK_ROWS_LOG2", 1)
+    docs = spark.createDataFrame(ROWS * 3, SCHEMA).coalesce(1)
+    want = _rows(docs.withColumn("words", T.remove_stop_words("words", ["a", "d"])))
+    got = remove_stop_words(docs, spark.createDataFrame([("a",), ("d",), ("z",)], "word string"), max_words=-1)
+    assert _rows(got) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "LeftSemi" in plan  # a word goes out once a block, not once a place
