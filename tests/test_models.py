@@ -249,3 +249,53 @@ def test_svm_by_terms_equals_the_loop_by_rows_and_sends_bits(spark, monkeypatch)
     by_rows = svm_fit(x, y, iterations=5, hashing=Hashing("md5", 4096))
     got, want = ({r.term: r.w for r in m.weights.collect()} for m in (by_terms, by_rows))
     assert set(got) == set(want) and max(abs(got[t] - want[t]) for t in want) < 1e-12
+
+
+def test_svm_search_by_terms_is_that_of_linear_svc(spark, monkeypatch):
+    """The same model as LinearSVC's, and no evaluation sends the driver a number a term."""
+    import pickle
+
+    import numpy as np
+    from pyspark import RDD
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.linalg import Vectors
+    from revlens.operators import svc, svm
+    from revlens.session import materialize
+    n_terms, rng = 4000, np.random.default_rng(3)
+    rows = [(float(rng.random() < 0.5), {int(j): float(rng.random() + 0.1) for j in rng.choice(n_terms, 60, False)})
+            for _ in range(90)] + [(1.0, {})]  # a document without terms
+    vectors = spark.createDataFrame([(y, Vectors.sparse(n_terms, f)) for y, f in rows], ["label", "features"])
+    library = LinearSVC(maxIter=12, regParam=0.01, fitIntercept=False, standardization=False).fit(vectors)
+    src = materialize(spark.createDataFrame([(d, j, x, 2 * y - 1) for d, (y, f) in enumerate(rows) for j, x in f.items()],
+                                            "key long, term int, x double, ys double"))
+    read, collect = [], RDD.collect
+
+    def counted(rdd):
+        told = collect(rdd)
+        read.append(len(pickle.dumps(told)))
+        return told
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    monkeypatch.setattr(svm, "BLOCK_ENTRIES", 500)
+    monkeypatch.setattr(svc, "TASK_ENTRIES", 2000)
+    w = svc.svc_fit(src, n_terms, len(rows), 12, 0.01)
+    want = library.coefficients.toArray()
+    assert abs(want).max() > 1e-3 and abs(w - want).max() < 1e-9
+    assert len(read) > 24 and max(read[:-1]) < 16_000 < 8 * n_terms  # at the end the weights, once
+
+
+def test_wide_svm_is_fitted_by_terms(spark, monkeypatch, tmp_dir):
+    import os
+    from pyspark.ml.classification import LinearSVC
+    from revlens.operators import ml
+    train = spark.createDataFrame([(t, y) for t, y in (("good fine tea", 1), ("bad sour milk", 0), ("good sweet tea", 1),
+                                                       ("bad old bread", 0), ("", 0))], "document string, label int")
+    library = ml.fit_review_model(train, classifier="svm", iterations=3)
+    want = {r.document: r.predicted for r in ml.score(library, train).collect()}
+    monkeypatch.setattr(ml, "LIBRARY_TERMS", 0)
+    monkeypatch.setattr(LinearSVC, "_fit", lambda *_: pytest.fail("LinearSVC sends a gradient an evaluation"))
+    model = ml.fit_review_model(train, classifier="svm", iterations=3)
+    path = os.path.join(tmp_dir, "svm")
+    ml.save_model(model, path)
+    for m in (model, ml.load_model(path)):
+        assert {r.document: r.predicted for r in ml.score(m, train).collect()} == want
