@@ -72,6 +72,35 @@ def test_full_positions_are_code_points(spark):
         assert sorted(got.get(i, [])) == sorted(_full(text or ""))  # lists: no repeated match either
 
 
+def _uncovered(text, words=WORDS):
+    over = {i for p, w in _full(text, words) for i in range(p, p + len(w))}
+    return {(p, c) for p, c in enumerate(text) if p not in over}
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_full_gives_the_characters_that_no_word_covers(spark, monkeypatch, bound):
+    monkeypatch.setattr(seg, "BROADCAST_WORDS", bound)
+    want = {i: sorted(_full(x or "") | _uncovered(x or "")) for i, x in enumerate(TEXTS)}
+    got = {i: [] for i in want}
+    for r in seg.segment(*_frames(spark), "full", uncovered=True).collect():
+        got[r.doc_id].append((r.pos, r.word))
+    assert {i: sorted(x) for i, x in got.items()} == want
+    lists = {r.doc_id: r.words for r in seg.segment_lists(*_frames(spark), "full", uncovered=True).collect()}
+    assert {i: Counter(x) for i, x in lists.items()} == {i: Counter(w for _, w in x) for i, x in want.items()}
+    marks = seg.segment(*_frames(spark), "full", uncovered=True, keep_unknown=False, keep_marks="@.").collect()
+    assert sorted(r.word for r in marks) == sorted([*(w for x in TEXTS for _, w in _full(x or "")), "@", "."])
+    assert [r.word for r in seg.segment(*_frames(spark, ["ab"], []), "full", uncovered=True).collect()] == ["a", "b"]
+
+
+def test_segment_full_leaves_no_character_out(spark):
+    from conftest import SF_SMALL
+    from revlens.plans.queries import QUERIES, _unsegmented
+    over = {r.doc_id: set() for r in _unsegmented(spark, SF_SMALL).collect()}
+    for r in QUERIES["segment_full"](spark, SF_SMALL).collect():
+        over[r.doc_id] |= set(range(r.pos, r.pos + len(r.word)))
+    assert all(over[r.doc_id] == set(range(len(r.text))) for r in _unsegmented(spark, SF_SMALL).collect())
+
+
 def test_max_match_and_search(spark):
     got = _by_doc(seg.segment(*_frames(spark), "max_match").collect(), "idx")
     want = set()
