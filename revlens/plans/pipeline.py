@@ -25,7 +25,7 @@ from revlens.operators.bayes import NaiveBayesModel, nb_fit, nb_predict
 from revlens.operators.label import POLICIES, Policy, labelled_reviews
 from revlens.operators.sample import balance, hash_split
 from revlens.operators.svm import ITERATIONS, SVMModel, svm_fit, svm_predict
-from revlens.session import materialize
+from revlens.session import drop_table, materialize
 from revlens.sources.tables import review_lines
 
 # Features of the model queries: md5 buckets (2**20, the reference's larger size), so the
@@ -43,22 +43,45 @@ def by_pattern(words: Callable = T.words) -> Tokenizer:
 WORDS = by_pattern()
 
 
-def segmented(mode: str, lexicon: DataFrame, despaced: bool = False, stop_words: bool = False,
-              latin_parts: bool = False, **settings) -> Tokenizer:
-    """Tokens of unsegmented text by the dictionary segmenter. ``despaced`` removes the blanks
-    first (for spaced text standing in for unsegmented), ``stop_words`` drops the stop words,
-    ``latin_parts`` appends the second split of mixed Latin tokens."""
-    def run(docs: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Segmented:
+    """The tokenizer that ``segmented`` makes."""
+    mode: str
+    lexicon: DataFrame
+    despaced: bool
+    stop_words: bool
+    latin_parts: bool
+    settings: dict
+
+    def _texts(self, docs: DataFrame) -> DataFrame:
+        return docs.withColumn("document", T.despace("document")) if self.despaced else docs
+
+    def __call__(self, docs: DataFrame) -> DataFrame:
         key = docs.columns[0]
-        texts = docs.select(key, T.despace("document").alias("document")) if despaced else docs
-        words = seg.segment_lists(texts, lexicon, mode, key, "document", **settings)
-        if stop_words:
+        words = seg.segment_lists(self._texts(docs), self.lexicon, self.mode, key, "document", **self.settings)
+        if self.stop_words:
             words = words.withColumn("words", T.remove_stop_words("words"))
-        if latin_parts:
+        if self.latin_parts:
             words = words.withColumn("words", T.with_latin_parts("words"))
         return words
 
-    return run
+    def counts_words(self, hashing: feat.Hashing) -> bool:
+        """Whether ``term_counts`` can do it: no step needs the tokens' text."""
+        return hashing.kind == "md5" and not self.latin_parts
+
+    def term_counts(self, docs: DataFrame, hashing: feat.Hashing, carry: list[str]) -> DataFrame:
+        """``features.term_counts`` of the tokens, stop words dropped, without writing the tokens."""
+        settings = self.settings | ({"clear_stop_words": True} if self.stop_words else {})
+        return seg.segment_counts(self._texts(docs), self.lexicon, hashing, self.mode, docs.columns[0], "document",
+                                  carry=carry, **settings)
+
+
+def segmented(mode: str, lexicon: DataFrame, despaced: bool = False, stop_words: bool = False,
+              latin_parts: bool = False, **settings) -> Segmented:
+    """Tokens of unsegmented text by the dictionary segmenter. ``despaced`` removes the blanks
+    first (for spaced text standing in for unsegmented), ``stop_words`` drops the stop words,
+    ``latin_parts`` appends the second split of mixed Latin tokens."""
+    return Segmented(mode, lexicon, despaced, stop_words, latin_parts, settings)
 
 
 @dataclass
@@ -67,7 +90,7 @@ class Experiment:
     train: DataFrame      # (doc_id, label)
     test: DataFrame       # (doc_id, label)
     idf: DataFrame        # (term, df, idf)
-    tfidf: DataFrame      # (doc_id, label, split, term, tf, tfidf), written
+    tfidf: DataFrame      # (doc_id, label, split, term, tf, tfidf), written if asked for
     classes: list[int]
     hashing: feat.Hashing
     fit_docs: DataFrame   # (doc_id, ...) rows the IDF was fitted on
@@ -81,25 +104,42 @@ def balanced(spark: SparkSession, sf_dir: str, policy: str | Policy) -> DataFram
 
 def experiment(spark: SparkSession, sf_dir: str, policy: str | Policy = "binary_drop4",
                hashing: feat.Hashing = MODEL_HASHING, fit_on: str = "train",
-               tokenizer: Tokenizer = WORDS) -> Experiment:
-    """Run the chain up to TF-IDF; words, IDF and TF-IDF are written to the checkpoint folder.
-    ``fit_on="all"`` fits the IDF on train and test rows together, as the reference did."""
+               tokenizer: Tokenizer = WORDS, write_tfidf: bool = True) -> Experiment:
+    """Run the chain up to TF-IDF; words, IDF and TF-IDF are written to the checkpoint folder (a
+    segmenter's words only as their counts). ``fit_on="all"`` fits the IDF on train and test rows
+    together, as the reference did. Without ``write_tfidf`` the TF-IDF is made from the written counts
+    and IDF where it is read: cheaper for a model that reads each row once."""
     p = POLICIES[policy] if isinstance(policy, str) else policy
-    docs = materialize(hash_split(balanced(spark, sf_dir, p)), "balanced")
-    words = tokenizer(docs.select("doc_id", "document"))
-    rows = materialize(docs.select("doc_id", "label", "split").join(words, "doc_id")
-                       if tokenizer is not WORDS else
-                       docs.select("doc_id", "label", "split", T.words("document").alias("words")), "words")
+    labelled = labelled_reviews(review_lines(spark, sf_dir), p)
+    if p.distinct:  # balancing reads the reviews more than once: their lines are compared only once
+        labelled = materialize(labelled, "labelled")
+    docs = materialize(hash_split(balance(labelled, positive_label=p.positive_label)), "balanced")
+    if p.distinct:
+        drop_table(labelled)
+    # label and split ride along with the term counts, so train/test selection below is a
+    # filter on the written table, not a join back by document
+    counted = isinstance(tokenizer, Segmented) and tokenizer.counts_words(hashing)
+    if counted:
+        rows = materialize(docs.select("doc_id", "label", "split"), "split")
+        counts = tokenizer.term_counts(docs.filter(F.col("doc_id").isNotNull()), hashing, ["label", "split"])
+    else:
+        words = tokenizer(docs.select("doc_id", "document"))
+        rows = materialize(docs.select("doc_id", "label", "split").join(words, "doc_id")
+                           if tokenizer is not WORDS else
+                           docs.select("doc_id", "label", "split", T.words("document").alias("words")), "words")
+        counts = feat.term_counts(rows, hashing=hashing, carry=["label", "split"])
     sp = rows.select("doc_id", "label", "split")
     train = sp.filter(F.col("split") == "train").select("doc_id", "label")
     test = sp.filter(F.col("split") == "test").select("doc_id", "label")
-    # label and split ride along with the term counts, so train/test selection below is a
-    # filter on the written table, not a join back by document
-    tc = materialize(feat.term_counts(rows, hashing=hashing, carry=["label", "split"]), "term-counts")
+    tc = materialize(counts, "term-counts")
+    if counted:
+        drop_table(docs)  # the texts
     fit_docs = train if fit_on == "train" else sp.select("doc_id")
     fit_tc = tc.filter(F.col("split") == "train") if fit_on == "train" else tc
     idf_t = materialize(feat.idf(fit_tc, fit_docs), "idf")
-    x = materialize(feat.tfidf(tc, idf_t, hashing, fit_docs=fit_docs), "tfidf")
+    x = feat.tfidf(tc, idf_t, hashing, fit_docs=fit_docs)
+    if write_tfidf:
+        x = materialize(x, "tfidf")
     classes = sorted({p.positive_label, *((0,) if p.binary else p.negatives)})
     return Experiment(sp, train, test, idf_t, x, classes, hashing, fit_docs)
 

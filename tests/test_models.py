@@ -299,3 +299,52 @@ def test_wide_svm_is_fitted_by_terms(spark, monkeypatch, tmp_dir):
     ml.save_model(model, path)
     for m in (model, ml.load_model(path)):
         assert {r.document: r.predicted for r in ml.score(m, train).collect()} == want
+
+
+@pytest.mark.parametrize("entries", [1_000_000, 500])
+def test_svm_matrix_takes_four_bytes_an_entry(monkeypatch, entries):
+    """Chunks and blocks hold every entry once, whole terms to a block; values stand once a run."""
+    import numpy as np
+    import pyarrow as pa
+    from revlens.operators import svm
+    monkeypatch.setattr(svm, "BLOCK_ENTRIES", entries)
+    rng = np.random.default_rng(5)
+    idf = rng.random(40)
+    pairs = np.unique(rng.integers(0, 40 * 900, 20_000))
+    term, doc = pairs % 40, pairs // 40
+    order = np.argsort(doc, kind="stable")
+    term, doc = term[order].astype(np.int32), doc[order].astype(np.int32)
+    x = idf[term] * rng.integers(1, 4, len(term)) * np.where(doc % 2, 1.0, -1.0)
+    table = pa.RecordBatch.from_arrays([pa.array(term), pa.array(x), pa.array(doc)], names=["term", "x", "doc"])
+    batches = [table.slice(i, 300) for i in range(0, len(term), 300)] + [table.slice(0, 0)]
+    chunks = sorted(svm._deal_runs(3)(iter(batches)), key=lambda c: c.column(0)[0].as_py())
+    got, size = [], 0
+    for block in svm._blocks_of_runs(svm._pack_slices(iter(chunks))):
+        begins, terms, heads, values, docs = block
+        size += sum(c.nbytes for c in block)
+        run_of_entry = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(docs))))
+        term_of_run = np.repeat(terms, np.diff(np.append(begins, len(heads))))
+        got += zip(term_of_run[run_of_entry].tolist(), docs.tolist(), values[run_of_entry].tolist())
+        assert len(set(zip(term_of_run.tolist(), values.tolist()))) == len(heads)  # a run a value
+    assert sorted(got) == sorted(zip(term.tolist(), doc.tolist(), x.tolist()))
+    assert entries == 500 or size < 5 * len(term)
+    blocks = [set(b[1].tolist()) for b in svm._blocks_of_runs(svm._pack_slices(iter(chunks)))]
+    assert sum(map(len, blocks)) == 40 == len(set().union(*blocks)) and (entries > 500) == (len(blocks) == 3)
+
+
+def test_chain_writes_counts_not_tokens(spark, monkeypatch):
+    """What the segmented chain writes: no token as text, no value twice."""
+    from conftest import SF_SMALL
+    from revlens.operators import segment, svm
+    from revlens.plans import pipeline, queries
+    from revlens.session import materialize
+    written = []
+
+    def named(df, name="table"):
+        written.append(name)
+        return materialize(df, name)
+
+    for module in (pipeline, svm, segment, queries):
+        monkeypatch.setattr(module, "materialize", named)
+    assert queries.QUERIES["chain_4neg_full_svm"](spark, SF_SMALL).count() == 1
+    assert "term-counts" in written and not {"words", "tfidf", "svm-matrix", "svm-blocks"} & set(written)

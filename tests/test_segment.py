@@ -324,3 +324,22 @@ def test_the_walk_looks_steps_up_and_searches_large_tries(monkeypatch):
         assert (trie.table is None) == (cells == 0)
         place, size, word = trie.find(chars, ends)
         assert [(p, k, trie.words[w].as_py()) for p, k, w in zip(place.tolist(), size.tolist(), word.tolist())] == want
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_counts_equal_the_counted_lists(spark, monkeypatch, bound):
+    """Terms are counted where a text is segmented, whatever the mode; stop words and carried columns too."""
+    from pyspark.sql import functions as F
+    from revlens.operators.features import EXACT, MD5_16, term_counts
+    monkeypatch.setattr(seg, "BROADCAST_WORDS", bound)
+    monkeypatch.setattr(seg, "OUT_ROWS", 3)
+    t, lex = _frames(spark, [*TEXTS, "的\0好吃了吧"], [*LEX, "的好"])
+    t = t.withColumn("split", F.when(F.col("doc_id") > 2, F.lit("test")))
+    for mode in seg.MODES if bound else ["full", "search"]:
+        for settings in ({}, {"clear_stop_words": True, "uncovered": True}):
+            lists = seg.segment_lists(t, lex, mode, **settings).join(t.select("doc_id", "split"), "doc_id")
+            want = term_counts(lists, hashing=MD5_16, carry=["split"])
+            got = seg.segment_counts(t, lex, MD5_16, mode, carry=["split"], **settings)
+            assert got.schema == want.schema and Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    with pytest.raises(ValueError, match="md5"):
+        seg.segment_counts(t, lex, EXACT)
