@@ -77,7 +77,8 @@ def distinct_lines(lines: DataFrame, key: str = "doc_id", line_col: str = "line"
     partial aggregation: a line repeated millions of times leaves each map task as one row.
     The surplus copies' keys are then anti-joined away; ``key`` must be unique.
     """
-    digests = lines.select(key, F.sha2(F.col(line_col), 256).alias("_d"))
+    # both out of a generator: no condition on the key is pushed below it, so the readers of ``lines`` share its shuffle
+    digests = lines.select(F.inline(F.array(F.struct(key, F.sha2(F.col(line_col), 256).alias("_d")))))
     first = digests.groupBy("_d").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
     repeated = first.filter(F.col("_n") > 1).select("_d", "_first")
     surplus = digests.join(repeated, "_d").filter(F.col(key) != F.col("_first")).select(key)
